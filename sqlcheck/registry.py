@@ -1,7 +1,7 @@
 """All oracle SQL by query key."""
 
-from . import order
+from . import order, weekly
 
 ORACLE: dict[str, str] = {}
-for _m in (order,):
+for _m in (order, weekly):
     ORACLE.update(_m.SQL)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import order
+from . import order, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -10,4 +10,10 @@ QUERIES = {
     "transfer_items": order.q_transfer_items,
     "transfer_plan_ranked": order.q_transfer_plan_ranked,
     "store_orders": order.q_store_orders,
+    "weekly_order": weekly.q_weekly_order,
+    "needs_review": weekly.q_needs_review,
+    "being_removed": weekly.q_being_removed,
+    "buy_month_wait": weekly.q_buy_month_wait,
+    "budget_prefix": weekly.q_budget_prefix,
+    "dept_summary": weekly.q_dept_summary,
 }
