@@ -1,7 +1,7 @@
 """All oracle SQL by query key."""
 
-from . import order, weekly
+from . import history, order, weekly
 
 ORACLE: dict[str, str] = {}
-for _m in (order, weekly):
+for _m in (order, weekly, history):
     ORACLE.update(_m.SQL)

@@ -26,8 +26,13 @@ def loose_num(c) -> Column:
 
 
 def round_even(c, scale: int = 0) -> Column:
-    """Half-to-even rounding (numpy/pandas behaviour); '+ 0.0' turns -0.0 into 0.0."""
-    return F.bround(col(c), scale) + F.lit(0.0)
+    """numpy/pandas rounding: scale by 10^d, round half to even, scale back (so a value that
+    prints as ...5 but is stored just below rounds the way numpy does); '+ 0.0' turns -0.0
+    into 0.0."""
+    if scale == 0:
+        return F.bround(col(c), 0) + F.lit(0.0)
+    f = float(10 ** scale)
+    return F.bround(col(c) * f, 0) / f + F.lit(0.0)
 
 
 def clip0(c) -> Column:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_even
 from .rollups import first_by
 
 
@@ -23,7 +24,7 @@ def retail_by_code(inv: DataFrame) -> DataFrame:
 def buyer_terms(deals: DataFrame) -> DataFrame:
     """J01 (deal side): discount %, deal text per code from the buyer master; last row wins."""
     unit_regular = F.col("case_cost") / F.col("units_case")
-    disc = F.when(unit_regular > 0, F.bround((F.lit(1.0) - F.col("net_unit") / unit_regular) * 100, 1) + 0.0)
+    disc = F.when(unit_regular > 0, round_even((F.lit(1.0) - F.col("net_unit") / unit_regular) * 100, 1))
     return deals.select("code_key", disc.alias("discount_pct"),
                         F.concat(F.lit("case of "), F.col("units_case").cast("string")).alias("deal"))
 
@@ -72,8 +73,8 @@ def apply_overrides(buy: DataFrame, decisions: DataFrame) -> DataFrame:
     new_units = F.when(q.isNotNull(), F.greatest(q.cast("bigint"), F.lit(0)).cast("bigint")).otherwise(F.col("buy_units"))
     pack = F.when(F.col("case") != 0, F.col("case")).otherwise(F.lit(1.0))
     j = (j.withColumn("buy_units", F.when(is_qty, new_units).otherwise(F.col("buy_units")))
-          .withColumn("buy_cases", F.when(is_qty, F.bround(F.col("buy_units") / pack, 1) + 0.0).otherwise(F.col("buy_cases")))
-          .withColumn("net_buy_usd", F.when(is_qty, F.bround(F.col("buy_units") * F.col("cost"), 0) + 0.0)
+          .withColumn("buy_cases", F.when(is_qty, round_even(F.col("buy_units") / pack, 1)).otherwise(F.col("buy_cases")))
+          .withColumn("net_buy_usd", F.when(is_qty, round_even(F.col("buy_units") * F.col("cost"), 0))
                       .otherwise(F.col("net_buy_usd")))
           .withColumn("review", F.when(F.col("_act").isin("approve", "qty"), F.lit(""))
                       .when((F.col("_act") == "fix") & F.col("_note").isNotNull() & (F.col("_note") != ""),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import order, weekly
+from . import history, order, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -16,4 +16,14 @@ QUERIES = {
     "buy_month_wait": weekly.q_buy_month_wait,
     "budget_prefix": weekly.q_budget_prefix,
     "dept_summary": weekly.q_dept_summary,
+    "src_history": history.q_src_history,
+    "full_months": history.q_full_months,
+    "category_seasonality": history.q_category_seasonality,
+    "item_seasonality": history.q_item_seasonality,
+    "item_month_index": history.q_item_month_index,
+    "event_lift": history.q_event_lift,
+    "yoy_growth": history.q_yoy_growth,
+    "true_velocity": history.q_true_velocity,
+    "buy_ahead": history.q_buy_ahead,
+    "seasonal_factors": history.q_seasonal_factors,
 }
