@@ -23,7 +23,7 @@ INV = f"""inv AS (
          coalesce(on_hand, 0) AS on_hand, coalesce(u30, 0) AS u30, coalesce(u90, 0) AS u90,
          coalesce(u_ly4, 0) AS u_ly4, coalesce(case_pack, 0) AS case_pack,
          coalesce(avg_cost, 0) AS avg_cost, coalesce(supplier_cost, 0) AS supplier_cost,
-         coalesce(price, 0) AS price, ingest_row,
+         coalesce(price, 0) AS price, price AS price_raw, ingest_row,
          CASE WHEN coalesce(avg_cost, 0) > 0 THEN avg_cost
               WHEN coalesce(supplier_cost, 0) > 0 THEN supplier_cost ELSE 0.0 END AS cost,
          {dept_case()} AS dept
@@ -85,6 +85,11 @@ titems AS (
   GROUP BY s.dept, s.item)"""
 
 
+def norm_code(c: str) -> str:
+    d = f"regexp_replace(regexp_replace(trim(CAST({c} AS VARCHAR)), '\\.0$', ''), '[^0-9]', '', 'g')"
+    return f"(CASE WHEN ltrim({d}, '0') = '' THEN {d} ELSE ltrim({d}, '0') END)"
+
+
 def with_views(views: list[str], *ctes: str) -> str:
     """WITH clause: fixture views first, then the given CTE fragments."""
     head = as_cte_sql(views)

@@ -1,7 +1,7 @@
 """All oracle SQL by query key."""
 
-from . import history, order, weekly
+from . import brief, history, order, weekly
 
 ORACLE: dict[str, str] = {}
-for _m in (order, weekly, history):
+for _m in (order, weekly, history, brief):
     ORACLE.update(_m.SQL)

@@ -34,6 +34,7 @@ def src_inventory(raw: DataFrame) -> DataFrame:
     avg -> supplier -> purchase, code key normalised."""
     df = with_optional(raw, {"purchase_price": "double", "u_ly4": "double", "club_price": "double",
                              "ingest_row": "bigint", "code_key": "string"})
+    df = df.withColumn("price_raw", F.col("price").cast("string").try_cast("double"))
     for c in INVENTORY_NUMERIC:
         df = df.withColumn(c, num_or_zero(c))
     return (df.withColumn("code_key", F.coalesce(F.col("code_key"), norm_code("code")))

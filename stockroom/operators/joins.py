@@ -25,7 +25,8 @@ def buyer_terms(deals: DataFrame) -> DataFrame:
     """J01 (deal side): discount %, deal text per code from the buyer master; last row wins."""
     unit_regular = F.col("case_cost") / F.col("units_case")
     disc = F.when(unit_regular > 0, round_even((F.lit(1.0) - F.col("net_unit") / unit_regular) * 100, 1))
-    return deals.select("code_key", disc.alias("discount_pct"),
+    gm = F.when(F.col("retail") > 0, round_even((F.col("retail") - F.col("net_unit")) / F.col("retail") * 100, 1))
+    return deals.select("code_key", disc.alias("discount_pct"), gm.alias("buyer_gm_pct"),
                         F.concat(F.lit("case of "), F.col("units_case").cast("string")).alias("deal"))
 
 

@@ -50,7 +50,7 @@ def chain_by_code(inv: DataFrame) -> DataFrame:
     """Per code - chain OH / 30D / 90D, median price, first category, blended velocity."""
     g = inv.groupBy("code_key").agg(
         F.sum("on_hand").alias("oh"), F.sum("u30").alias("u30"), F.sum("u90").alias("u90"),
-        F.median("price").alias("price"), first_by("category").alias("category"))
+        F.median("price_raw").alias("price"), first_by("category").alias("category"))
     vel = F.lit(config.BLEND_30) * F.col("u30") * 7 / 30 + F.lit(config.BLEND_90) * F.col("u90") * 7 / 90
     return g.withColumn("vel", vel)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import history, order, weekly
+from . import brief, history, order, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -26,4 +26,9 @@ QUERIES = {
     "true_velocity": history.q_true_velocity,
     "buy_ahead": history.q_buy_ahead,
     "seasonal_factors": history.q_seasonal_factors,
+    "restock_brief": brief.q_restock_brief,
+    "pricing_flags": brief.q_pricing_flags,
+    "deal_evaluation": brief.q_deal_evaluation,
+    "inventory_snapshot": brief.q_inventory_snapshot,
+    "chain_by_code": brief.q_chain_by_code,
 }
