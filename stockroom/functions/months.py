@@ -64,7 +64,7 @@ def file_date(name) -> Column:
 
 def _make_date(y, m, d) -> Column:
     s = F.concat_ws("-", F.lpad(y, 4, "0"), F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-    return F.when(F.length(y) >= 4, F.try_to_date(s, F.lit("yyyy-MM-dd")))
+    return F.when(F.length(y) >= 4, F.try_to_date(s, "yyyy-MM-dd"))
 
 
 def fourth_thursday_of_november(year) -> Column:
