@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brief, history, order, weekly
+from . import brief, history, order, sales, vendors, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -31,4 +31,14 @@ QUERIES = {
     "deal_evaluation": brief.q_deal_evaluation,
     "inventory_snapshot": brief.q_inventory_snapshot,
     "chain_by_code": brief.q_chain_by_code,
+    "live_rollup": sales.q_live_rollup,
+    "open_po_report": sales.q_open_po_report,
+    "sink_vendor_split": sales.q_sink_vendor_split,
+    "freshness": sales.q_freshness,
+    "vendor_rollup": vendors.q_vendor_rollup,
+    "store_vendor_rollup": vendors.q_store_vendor_rollup,
+    "store_receiving_rollup": vendors.q_store_receiving_rollup,
+    "headline_kpis": vendors.q_headline_kpis,
+    "vendor_order": vendors.q_vendor_order,
+    "store_order": vendors.q_store_order,
 }
