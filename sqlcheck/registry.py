@@ -1,7 +1,7 @@
 """All oracle SQL by query key."""
 
-from . import brief, history, order, sales, weekly
+from . import brief, history, matching, order, sales, weekly
 
 ORACLE: dict[str, str] = {}
-for _m in (order, weekly, history, brief, sales):
+for _m in (order, weekly, history, brief, sales, matching):
     ORACLE.update(_m.SQL)

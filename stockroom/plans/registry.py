@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brief, history, order, sales, vendors, weekly
+from . import brief, history, matching, order, sales, vendors, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -41,4 +41,8 @@ QUERIES = {
     "headline_kpis": vendors.q_headline_kpis,
     "vendor_order": vendors.q_vendor_order,
     "store_order": vendors.q_store_order,
+    "sheet_compare": matching.q_sheet_compare,
+    "sheet_compare_summary": matching.q_sheet_compare_summary,
+    "ad_order": matching.q_ad_order,
+    "ad_order_unmatched": matching.q_ad_order_unmatched,
 }

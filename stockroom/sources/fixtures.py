@@ -126,10 +126,10 @@ FROM {events}
 # Product catalog: one row per distinct product listing seen in the snapshot. A code may be
 # listed several times (one per supplier), so the "last listing wins" rules have work to do.
 VIEWS["catalog"] = """
-SELECT code, code_key, item, department, category, supplier, case_pack, price,
+SELECT code, code_key, item, department, category, supplier, case_pack, price, avg_cost AS unit_cost,
        min(ingest_row) AS cat_row
 FROM {inventory}
-GROUP BY code, code_key, item, department, category, supplier, case_pack, price
+GROUP BY code, code_key, item, department, category, supplier, case_pack, price, avg_cost
 """
 
 # An uploaded price sheet: every catalog listing, its code written three ways
@@ -142,6 +142,17 @@ SELECT CASE cat_row % 3 WHEN 0 THEN concat(substr(code, 1, 4), '-', substr(code,
 FROM {catalog}
 """
 
+# Ad lines as marketing writes them: a product with a slash pair naming the next product
+# by a shortened name, or a whole-brand line ("All <first word>"); one line per listed part.
+VIEWS["ad_lines"] = """
+SELECT p_partkey AS line_id,
+       CASE WHEN p_partkey % 46 = 0 THEN concat('All ', split_part(p_name, ' ', 1), ' (all types)')
+            ELSE concat(p_name, ' ', cast(p_partkey AS string), ' / ', substr(p_name, 1, 4), ' ',
+                        cast(p_partkey + 1 AS string)) END AS raw,
+       CASE WHEN p_partkey % 2 = 0 THEN 'weekly' ELSE 'sunday' END AS kind
+FROM {part} WHERE p_partkey % 23 = 0
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
