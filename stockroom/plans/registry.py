@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brief, history, matching, order, sales, vendors, weekly
+from . import brief, explore, history, matching, order, sales, vendors, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -45,4 +45,21 @@ QUERIES = {
     "sheet_compare_summary": matching.q_sheet_compare_summary,
     "ad_order": matching.q_ad_order,
     "ad_order_unmatched": matching.q_ad_order_unmatched,
+    "mtd_kpis": explore.q_mtd_kpis,
+    "category_sales": explore.q_category_sales,
+    "low_margin_top_sellers": explore.q_low_margin_top_sellers,
+    "top_sellers": explore.q_top_sellers,
+    "top_profit": explore.q_top_profit,
+    "needs_attention_stockouts": explore.q_needs_attention_stockouts,
+    "needs_attention_above_market": explore.q_needs_attention_above_market,
+    "focus_low_wos": explore.q_focus_low_wos,
+    "focus_deals": explore.q_focus_deals,
+    "focus_items": explore.q_focus_items,
+    "focus_store_detail": explore.q_focus_store_detail,
+    "list_explore": explore.q_list_explore,
+    "list_facets": explore.q_list_facets,
+    "fit_budget": explore.q_fit_budget,
+    "right_size": explore.q_right_size,
+    "right_size_candidates": explore.q_right_size_candidates,
+    "decision_state": explore.q_decision_state,
 }

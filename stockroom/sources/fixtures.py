@@ -114,13 +114,33 @@ FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey JOIN {nation} ON n_nati
   JOIN {part} ON p_partkey = l_partkey
 """
 
+# Buyer decision log (append-only, id order). Set events carry their own action/qty/note;
+# an `error` event stands for an undo of the latest earlier set event of the same key
+# (target_id). Like the original log, every set event stores the state it replaced
+# (prev_*): the latest earlier set event of the key that was not undone.
 VIEWS["change_log"] = """
-SELECT event_id AS id, ts, concat('item ', cast(user_id AS string)) AS item,
-  CASE event_type WHEN 'click' THEN 'qty' WHEN 'view' THEN 'approve' WHEN 'purchase' THEN 'skip'
-                  WHEN 'error' THEN 'undo' ELSE 'fix' END AS action,
-  CASE WHEN event_type = 'click' THEN cast(event_id % 50 AS int) END AS qty,
-  CASE WHEN event_type = 'signup' THEN concat('note ', cast(event_id AS string)) END AS note
-FROM {events}
+WITH e AS (
+  SELECT event_id AS id, ts, CASE WHEN user_id % 2 = 0 THEN 'THC' ELSE 'Wine' END AS dept,
+    concat('item ', cast(user_id AS string)) AS item,
+    CASE event_type WHEN 'click' THEN 'qty' WHEN 'view' THEN 'approve' WHEN 'purchase' THEN 'skip'
+                    WHEN 'error' THEN 'undo' ELSE 'fix' END AS action,
+    CASE WHEN event_type = 'click' THEN cast(event_id % 50 AS int) END AS qty,
+    CASE WHEN event_type = 'signup' THEN concat('note ', cast(event_id AS string)) END AS note
+  FROM {events}),
+t AS (
+  SELECT e.*, CASE WHEN action = 'undo' THEN max(CASE WHEN action <> 'undo' THEN id END)
+    OVER (PARTITION BY dept, item ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS target_id
+  FROM e),
+g AS (SELECT DISTINCT target_id AS undone_id FROM t WHERE target_id IS NOT NULL),
+p AS (
+  SELECT t.*, max(CASE WHEN t.action <> 'undo' AND g.undone_id IS NULL THEN t.id END)
+    OVER (PARTITION BY t.dept, t.item ORDER BY t.id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_id
+  FROM t LEFT JOIN g ON g.undone_id = t.id)
+SELECT p.id, p.ts, p.dept, p.item, p.action, p.qty, p.note, p.target_id,
+  CASE WHEN p.action <> 'undo' THEN q.action END AS prev_action,
+  CASE WHEN p.action <> 'undo' THEN q.qty END AS prev_qty,
+  CASE WHEN p.action <> 'undo' THEN q.note END AS prev_note
+FROM p LEFT JOIN t q ON q.id = p.prev_id
 """
 
 # Product catalog: one row per distinct product listing seen in the snapshot. A code may be
@@ -153,6 +173,17 @@ SELECT p_partkey AS line_id,
 FROM {part} WHERE p_partkey % 23 = 0
 """
 
+# A list tab as the buyer tool shows it: every catalog listing as text, categories written
+# in mixed case and spacing (the facet dedupe has work to do), prices as "$" text.
+VIEWS["explore_tab"] = """
+SELECT cat_row AS row_id, code AS upc, item AS description, department,
+       CASE cat_row % 3 WHEN 0 THEN upper(category) WHEN 1 THEN replace(category, '#', ' #')
+                        ELSE category END AS category,
+       supplier, cast(cast(case_pack AS bigint) AS string) AS units_case,
+       concat('$', cast(cast(price AS decimal(12,2)) AS string)) AS retail
+FROM {catalog}
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
