@@ -39,9 +39,10 @@ def accepted_undos(log: DataFrame) -> DataFrame:
     return undos.join(sets, "target_id")
 
 
-def decision_state(log: DataFrame) -> DataFrame:
+def decision_state(log: DataFrame, keep_removed: bool = False) -> DataFrame:
     """Current decision per (dept, item) - action, qty, note, the id and ts of the entry
-    that set it. Keys whose last accepted entry removed the decision are absent."""
+    that set it. Keys whose last accepted entry removed the decision are absent (kept with a
+    NULL action when ``keep_removed``, as tombstones for an incremental state table)."""
     sets = log.filter(F.col("action").isin(SET_ACTIONS)).select(
         "id", "ts", "dept", "item", "action", "qty", "note")
     undos = accepted_undos(log).select(
@@ -51,8 +52,9 @@ def decision_state(log: DataFrame) -> DataFrame:
     last = (entries.select(*decision_key(F.col("dept"), F.col("item")), "id",
                            F.struct("id", "ts", "dept", "item", "action", "qty", "note").alias("e"))
                    .groupBy("dept_key", "item_key").agg(F.max_by("e", "id").alias("e")))
-    return (last.filter(F.col("e.action").isNotNull())
-                .select("e.dept", "e.item", "e.action", "e.qty", "e.note", F.col("e.id").alias("set_by"), "e.ts"))
+    if not keep_removed:
+        last = last.filter(F.col("e.action").isNotNull())
+    return (last.select("e.dept", "e.item", "e.action", "e.qty", "e.note", F.col("e.id").alias("set_by"), "e.ts"))
 
 
 def undone_entries(log: DataFrame) -> DataFrame:

@@ -34,19 +34,27 @@ def live_lines(lines: DataFrame, mapping=None) -> DataFrame:
                  .withColumn("store", F.trim("store")).withColumn("code", F.trim("code")))
 
 
-def live_rollup(lines: DataFrame, mapping=None, top_n: int = TOP_PRODUCTS) -> DataFrame:
-    """Chain, department, department x store and top products per department x day, as
-    flat rows labelled by ``level``. One pre-aggregation to (day, dept, store, code) does the
-    per-line work (map-side partial aggregation); every level is rolled up from it.
+def live_base(lines: DataFrame, mapping=None) -> DataFrame:
+    """Sale lines pre-aggregated to (day, dept, store, code): units, sales and the earliest
+    sale's (ts, id, description). Every rollup level is computed from this grain, in batch
+    and in the stream (which keeps it as state)."""
+    return (live_lines(lines, mapping)
+            .groupBy("day", "dept", "store", "code")
+            .agg(F.sum("quantity").alias("u"), F.sum("total").alias("s"), first_sale().alias("first")))
+
+
+def first_sale() -> Column:
+    return F.min_by(F.struct(F.col("ts"), F.col("event_id"), F.trim("description").alias("d")),
+                    F.struct(F.col("ts"), F.col("event_id")))
+
+
+def live_levels(base: DataFrame, top_n: int = TOP_PRODUCTS) -> DataFrame:
+    """A07 levels from the (day, dept, store, code) grain: chain, department, department x
+    store and the top products per department x day, as flat rows labelled by ``level``.
 
     Department units are the sum of *rounded* store units while the chain rounds its raw
     total, as the published figures do. A product's description is the one on its earliest
     sale of the day."""
-    base = (live_lines(lines, mapping)
-            .groupBy("day", "dept", "store", "code")
-            .agg(F.sum("quantity").alias("u"), F.sum("total").alias("s"),
-                 F.min_by(F.struct(F.col("ts"), F.col("event_id"), F.trim("description").alias("d")),
-                          F.struct(F.col("ts"), F.col("event_id"))).alias("first")))
     store = (base.groupBy("day", "dept", "store")
                  .agg(round_even(F.sum("u"), 0).cast("bigint").alias("units"), F.sum("s").alias("sales")))
     dept = store.groupBy("day", "dept").agg(F.sum("units").alias("units"), F.sum("sales").alias("sales"))
@@ -71,6 +79,12 @@ def live_rollup(lines: DataFrame, mapping=None, top_n: int = TOP_PRODUCTS) -> Da
             .unionByName(shape(store, "dept_store")).unionByName(shape(top, "dept_product")))
 
 
+def live_rollup(lines: DataFrame, mapping=None, top_n: int = TOP_PRODUCTS) -> DataFrame:
+    """One pre-aggregation to (day, dept, store, code) does the per-line work (map-side
+    partial aggregation); every level is rolled up from it."""
+    return live_levels(live_base(lines, mapping), top_n)
+
+
 def q_live_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live_rollup(ctx(spark, sf_dir).sales_lines)
 
