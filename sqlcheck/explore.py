@@ -178,3 +178,11 @@ e AS (SELECT * FROM sets UNION ALL SELECT * FROM undos),
 lst AS (SELECT lower(trim(dept)) AS dk, lower(trim(item)) AS ik, max(id) AS id FROM e GROUP BY 1, 2)
 SELECT e.dept, e.item, e.action, e.qty, e.note, e.id AS set_by, e.ts
 FROM e JOIN lst ON lst.id = e.id WHERE e.action IS NOT NULL"""
+
+# Streams: the streamed tables must equal the batch results.
+from . import sales as _sales  # noqa: E402
+
+SQL["stream_live_sales"] = _sales.SQL["live_rollup"]
+SQL["stream_history"] = with_views(["history"]) + """
+SELECT day, code, category, item, units, lines FROM history"""
+SQL["stream_decisions"] = SQL["decision_state"]

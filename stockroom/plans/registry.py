@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brief, explore, history, matching, order, sales, vendors, weekly
+from . import brief, explore, history, matching, order, sales, streams, vendors, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -62,4 +62,7 @@ QUERIES = {
     "right_size": explore.q_right_size,
     "right_size_candidates": explore.q_right_size_candidates,
     "decision_state": explore.q_decision_state,
+    "stream_live_sales": streams.q_stream_live_sales,
+    "stream_history": streams.q_stream_history,
+    "stream_decisions": streams.q_stream_decisions,
 }
