@@ -1,7 +1,7 @@
 """All oracle SQL by query key."""
 
-from . import brief, explore, history, matching, order, sales, weekly
+from . import brief, explore, history, lists, matching, order, sales, weekly
 
 ORACLE: dict[str, str] = {}
-for _m in (order, weekly, history, brief, sales, matching, explore):
+for _m in (order, weekly, history, brief, sales, matching, explore, lists):
     ORACLE.update(_m.SQL)

@@ -80,3 +80,79 @@ def category_report(df: DataFrame, department: str, exclude_categories=(),
     if exclude_location:
         out = out.filter(F.trim(F.col("store")) != exclude_location)
     return out.orderBy("store", "item")
+
+
+# --- P09 row tests ------------------------------------------------------------------------
+
+def _leading_number(c: Column) -> Column:
+    """A spreadsheet reader's number of a cell: the leading numeric part of its text
+    (``12 cs`` -> 12), NULL when there is none."""
+    s = F.regexp_extract(F.trim(c.cast("string")), r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", 0)
+    return F.when(s != "", s.try_cast("double"))
+
+
+def row_test(column: str, test: str, value=None) -> Column:
+    """Predicate of one cell test - zero, negative, blank, equals, contains (case-
+    insensitive), greaterthan, lessthan. Numeric tests read the cell's leading number; a
+    non-numeric cell never passes them. Unknown tests match nothing."""
+    cell = F.col(column)
+    num = _leading_number(cell)
+    text = F.coalesce(cell.cast("string"), F.lit(""))
+    t = str(test or "").lower()
+    if t == "zero":
+        p = num == 0
+    elif t == "negative":
+        p = num < 0
+    elif t == "blank":
+        p = cell.isNull() | (text == "")
+    elif t == "equals":
+        p = text == F.lit("" if value is None else str(value))
+    elif t == "contains":
+        p = F.instr(F.lower(text), F.lit(str(value or "").lower())) > 0
+    elif t == "greaterthan":
+        p = num > F.lit(float(value))
+    elif t == "lessthan":
+        p = num < F.lit(float(value))
+    else:
+        p = F.lit(False)
+    return F.coalesce(p, F.lit(False))
+
+
+def delete_rows_where(df: DataFrame, column: str, test: str, value=None) -> DataFrame:
+    return df.filter(~row_test(column, test, value))
+
+
+def flag_rows_where(df: DataFrame, flag: str, column: str, test: str, value=None) -> DataFrame:
+    return df.withColumn(flag, row_test(column, test, value))
+
+
+# --- S12 pasted purchase-order block -> import file -----------------------------------------
+
+# fixed values: the import file's columns, in order
+PO_IMPORT_COLUMNS = ["CasePrice", "CaseQuantity", "CasesOrdered", "Date", "Location", "ProductCode",
+                     "ReorderNumber", "Supplier", "Description", "Note", "ReferenceNumber"]
+
+
+def po_import(lines: DataFrame, date: str | None = None, *, line_col: str = "line",
+              order_col: str = "line_no") -> tuple[DataFrame, DataFrame]:
+    """Tab-separated pasted lines -> the 11-column PO import rows and the counts
+    (rows, skipped). The first line is a header when its first cell is not a number (one
+    row is read to decide); every row is right-padded to 11 cells; rows whose cases cell is
+    0, blank or not a number are skipped; ``date`` overwrites the Date cell."""
+    lines = lines.filter(F.trim(F.regexp_replace(F.col(line_col), "\r", "")) != "")
+    first = lines.orderBy(order_col).select(order_col, line_col).first()
+    if first is not None:
+        head = F.trim(F.regexp_replace(F.regexp_replace(F.split(F.lit(first[1]), "\t").getItem(0), r"\$", ""), ",", ""))
+        is_num = lines.sparkSession.range(1).select(head.try_cast("double").isNotNull()).first()[0]
+        if not is_num:
+            lines = lines.filter(F.col(order_col) != F.lit(first[0]))
+    cells = F.split(F.regexp_replace(F.col(line_col), "\r", ""), "\t")
+    row = lines.select(order_col, *[F.coalesce(F.get(cells, i), F.lit("")).alias(c)
+                                    for i, c in enumerate(PO_IMPORT_COLUMNS)])
+    cases = F.trim(F.regexp_replace(F.col("CasesOrdered"), ",", ""))
+    cases_num = F.when(cases == "", F.lit(0.0)).otherwise(cases.try_cast("double"))
+    row = row.withColumn("_skip", cases_num.isNull() | (cases_num == 0))
+    if date:
+        row = row.withColumn("Date", F.lit(date))
+    counts = row.agg(F.count_if(~F.col("_skip")).alias("rows"), F.count_if(F.col("_skip")).alias("skipped"))
+    return row.filter(~F.col("_skip")).drop("_skip"), counts

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.months import fourth_thursday_of_november, month_abbr
 from ..functions.numeric import round_even
+from ..session import write_table
 
 MONTH_COLS = [m.lower() for m in config.MONTH_ABBR]
 
@@ -36,18 +37,40 @@ def in_full_months(h: DataFrame) -> DataFrame:
     return h.join(full_months(h).select("ym"), "ym", "left_semi")
 
 
+def monthly_cube(h: DataFrame) -> DataFrame:
+    """The history reduced once to (code, category, full month): units and the earliest
+    (day, item). Every seasonality operator reads this reduction - days x products shrink
+    to months x products - instead of the daily rows; it is written once to the shared
+    checkpoint folder, so all of them share two scans of the history (one for the month
+    calendar, one for the totals)."""
+    cube = getattr(h, "_monthly_cube", None)
+    if cube is None:
+        fm = full_months(h).select("ym")
+        cube = (h.groupBy("code", "category", "ym")
+                 .agg(F.sum("units").alias("units"), F.min(F.struct("day", "item")).alias("first"))
+                 .join(fm, "ym", "left_semi")
+                 .withColumn("m", F.month("ym")))
+        cube = write_table(cube, "history-cube")
+        h._monthly_cube = cube
+    return cube
+
+
 def _monthly(h: DataFrame, key: str) -> DataFrame:
     """(key, ym) unit totals over full months, with the calendar month."""
-    return (in_full_months(h).groupBy(key, "ym").agg(F.sum("units").alias("units"))
+    return (monthly_cube(h).groupBy(key, "ym").agg(F.sum("units").alias("units"))
             .withColumn("m", F.month("ym")))
 
 
 def _index(mt: DataFrame, key: str) -> DataFrame:
     """Per key: base = mean monthly units, idx[m] = mean units of calendar month m / base."""
-    base = mt.groupBy(key).agg((F.sum("units") / F.count("units")).alias("base"),
-                               F.countDistinct("m").alias("n_months"))
-    by_m = mt.groupBy(key, "m").agg((F.sum("units") / F.count("units")).alias("m_units"))
-    return by_m.join(base, key).filter(F.col("base") > 0).withColumn("idx", F.col("m_units") / F.col("base"))
+    by_m = mt.groupBy(key, "m").agg(F.sum("units").alias("_s"), F.count("units").alias("_n"))
+    # a key has at most 12 calendar-month rows, so its base is a bounded window, not a join
+    w = Window.partitionBy(key)
+    return (by_m.withColumn("base", F.sum("_s").over(w) / F.sum("_n").over(w))
+                .withColumn("n_months", F.count("*").over(w))
+                .withColumn("m_units", F.col("_s") / F.col("_n"))
+                .filter(F.col("base") > 0).withColumn("idx", F.col("m_units") / F.col("base"))
+                .drop("_s", "_n"))
 
 
 def _wide(idx: DataFrame, keys: list[str]) -> DataFrame:
@@ -72,14 +95,15 @@ def category_seasonality(h: DataFrame) -> DataFrame:
 
 def _item_population(h: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Items with >= 200 units over full months and >= 6 distinct calendar months."""
-    fm = in_full_months(h)
-    info = fm.groupBy("code").agg(
+    cube = monthly_cube(h)
+    info = cube.groupBy("code").agg(
         F.sum("units").alias("tot"),
-        F.min_by("item", "day").alias("item"),
-        F.min_by("category", "day").alias("category"))
+        F.min(F.struct(F.col("first.day").alias("d"), F.col("first.item").alias("i"),
+                       F.col("category").alias("c"))).alias("f"))
+    info = info.select("code", "tot", F.col("f.i").alias("item"), F.col("f.c").alias("category"))
     keep = info.filter(F.col("tot") >= config.MIN_ITEM_UNITS)
-    mt = (fm.join(keep.select("code"), "code", "left_semi")
-            .groupBy("code", "ym").agg(F.sum("units").alias("units")).withColumn("m", F.month("ym")))
+    mt = (cube.join(keep.select("code"), "code", "left_semi")
+              .groupBy("code", "ym").agg(F.sum("units").alias("units")).withColumn("m", F.month("ym")))
     idx = _index(mt, "code").filter(F.col("n_months") >= config.MIN_ITEM_MONTHS)
     return idx, keep
 
@@ -163,8 +187,8 @@ def yoy_growth(h: DataFrame) -> DataFrame:
 def true_velocity(h: DataFrame) -> DataFrame:
     """Trailing 30/90-day units per day against the last date in the data (strict >),
     momentum = 30-day pace / 90-day pace, latest description."""
-    last = h.agg(F.max("day").alias("_last"))
-    j = h.crossJoin(F.broadcast(last))  # one row: the data's last date
+    last = h.agg(F.max("day")).first()[0]  # one scalar: the data's last date
+    j = h.withColumn("_last", F.lit(last))
     g = j.groupBy("code").agg(
         F.sum(F.when(F.col("day") > F.date_sub("_last", 30), F.col("units")).otherwise(0.0)).alias("d30"),
         F.sum(F.when(F.col("day") > F.date_sub("_last", 90), F.col("units")).otherwise(0.0)).alias("d90"),

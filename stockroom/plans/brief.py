@@ -31,7 +31,7 @@ def _brief_rows(t, *, retail_only: bool = True) -> DataFrame:
 
 def season_factor(df: DataFrame, t) -> DataFrame:
     """Item factor by code, else category factor, else 1.0; records which applied."""
-    item_f, cat_f = seasonal_factors(src_history(t.history))
+    item_f, cat_f = seasonal_factors(t.derived("history", lambda x: src_history(x.history)))
     i = item_f.select(F.col("code").alias("_ic"), F.col("factor").alias("_if"))
     c = cat_f.select(F.col("category").alias("_cc"), F.col("factor").alias("_cf"))
     j = (df.join(i, norm_code(df["code"]) == i["_ic"], "left")
@@ -176,7 +176,7 @@ def deal_evaluation(t) -> DataFrame:
                       .otherwise(F.lit(0))))
     j = d.join(by_upc.select("upc", "oh", F.col("vel").alias("wk_vel")), "upc", "left")
     j = j.withColumn("oh", F.coalesce("oh", F.lit(0.0))).withColumn("wk_vel", F.coalesce("wk_vel", F.lit(0.0)))
-    item_f, cat_f = seasonal_factors(src_history(t.history))
+    item_f, cat_f = seasonal_factors(t.derived("history", lambda x: src_history(x.history)))
     j = (j.join(item_f.select(F.col("code").alias("upc"), F.col("factor").alias("_if")), "upc", "left")
           .join(cat_f.select(F.col("category").alias("_cat"), F.col("factor").alias("_cf")),
                 F.col("category") == F.col("_cat"), "left"))

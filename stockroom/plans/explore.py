@@ -150,10 +150,11 @@ def facets(df: DataFrame, cols: list[str], *, lo: int = config.FACET_MIN_VALUES,
     counts = stacked.groupBy("column", norm_val(F.col("v")).alias("k"), "v").agg(F.count("*").alias("n"))
     labels = counts.groupBy("column", "k").agg(
         F.min_by("v", F.struct((-F.col("n")).alias("n"), F.col("v").alias("v"))).alias("label"))
-    w = Window.partitionBy("column")
-    return (labels.withColumn("n_labels", F.count("*").over(w))
-                  .filter((F.col("n_labels") > lo - 1) & (F.col("n_labels") <= hi))
-                  .select("column", "label", "n_labels"))
+    # label counts per column are aggregated, not windowed: a free-text column can have
+    # millions of labels and must not land in one task just to be discarded
+    sizes = (labels.groupBy("column").agg(F.count("*").alias("n_labels"))
+                   .filter((F.col("n_labels") >= lo) & (F.col("n_labels") <= hi)))
+    return labels.join(sizes, "column").select("column", "label", "n_labels")
 
 
 def _numeric_key(c: str) -> Column:

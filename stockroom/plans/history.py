@@ -17,7 +17,9 @@ _MONTH = datetime.date.fromisoformat(AS_OF).month
 
 
 def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.src_history(ctx(spark, sf_dir).history)
+    """S08 over the session's history table (one frame per session, so derived reductions
+    such as the monthly cube are shared by every history query)."""
+    return ctx(spark, sf_dir).derived("history", lambda t: H.src_history(t.history))
 
 
 def q_src_history(spark, sf_dir):

@@ -129,12 +129,14 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
                   .filter(F.length("tok") >= 2))
     hits = containment(b_tok, cat_tok, ["line_id", "pi"], "cid")
     wb = Window.partitionBy("line_id", "pi").orderBy("cid")
-    hits = (hits.withColumn("bi", F.row_number().over(wb))
-                .withColumn("n", F.count("*").over(Window.partitionBy("line_id", "pi"))))
-    brand_rows = (hits.filter(F.col("bi") <= config.BRAND_EXPAND_CAP)
+    sizes = hits.groupBy("line_id", "pi").agg(F.count("*").alias("n"))
+    hits = hits.withColumn("bi", F.row_number().over(wb))
+    cap = config.BRAND_EXPAND_CAP  # None: every match of the brand
+    kept = hits if cap is None else hits.filter(F.col("bi") <= cap)
+    brand_rows = (kept.join(sizes, ["line_id", "pi"])
                       .join(brand.select("line_id", "pi", "target"), ["line_id", "pi"])
                       .select("line_id", "pi", "bi", "cid", F.lit("brand").alias("conf"), "target",
-                              (F.col("n") > config.BRAND_EXPAND_CAP).alias("capped")))
+                              (F.lit(False) if cap is None else (F.col("n") > cap)).alias("capped")))
     brand_miss = brand.join(hits.select("line_id", "pi").distinct(), ["line_id", "pi"], "left_anti") \
         .select("line_id", "pi", F.col("raw").alias("unmatched"))
     # -- first occurrence of a UPC wins across all lines

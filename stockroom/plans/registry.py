@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brief, explore, history, matching, order, sales, streams, vendors, weekly
+from . import brief, explore, history, lists, matching, order, sales, streams, vendors, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -65,4 +65,11 @@ QUERIES = {
     "stream_live_sales": streams.q_stream_live_sales,
     "stream_history": streams.q_stream_history,
     "stream_decisions": streams.q_stream_decisions,
+    "category_report": lists.q_category_report,
+    "row_flags": lists.q_row_flags,
+    "po_import": lists.q_po_import,
+    "po_import_summary": lists.q_po_import_summary,
+    "cost_reference": lists.q_cost_reference,
+    "ad_week_items": lists.q_ad_week_items,
+    "report_items": lists.q_report_items,
 }

@@ -55,6 +55,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back: a lineage
+    cut that keeps column pruning, filter pushdown and size statistics for later plans."""
+    import os
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder and cut its lineage (survives lost executors)."""
     checkpoint_dir(df.sparkSession)

@@ -184,6 +184,63 @@ SELECT cat_row AS row_id, code AS upc, item AS description, department,
 FROM {catalog}
 """
 
+# A block of order lines pasted from a sheet: a header line, then one tab-separated line
+# per shipped line - some with 0, blank or non-numeric cases, all short of the 11 columns.
+VIEWS["po_paste"] = """
+SELECT CAST(0 AS BIGINT) AS line_no,
+       concat_ws(chr(9), 'CasePrice', 'CaseQuantity', 'CasesOrdered', 'Date', 'Location', 'ProductCode',
+                 'ReorderNumber', 'Supplier', 'Description') AS line
+UNION ALL
+SELECT l_orderkey * 8 + l_linenumber AS line_no,
+       concat_ws(chr(9), cast(cast(l_extendedprice / l_quantity AS decimal(12,2)) AS string), cast(p_size AS string),
+                 CASE l_linenumber WHEN 7 THEN '0' WHEN 6 THEN '' WHEN 5 THEN 'n/a'
+                      ELSE cast(cast(l_quantity AS bigint) AS string) END,
+                 '', n_name, cast(l_partkey AS string), '', s_name, p_name) AS line
+FROM {lineitem} JOIN {part} ON p_partkey = l_partkey JOIN {supplier} ON s_suppkey = l_suppkey
+  JOIN {nation} ON n_nationkey = s_nationkey
+"""
+
+# Price-reference rows as tabs repeat them: one row per listing, each field filled on only
+# some rows of a code (the per-field "first non-empty" rule has to gather them).
+VIEWS["cost_reference_rows"] = """
+SELECT code_key, ingest_row, department,
+       CASE WHEN ingest_row % 100 % 3 = 0 THEN cast(cast(avg_cost AS decimal(12,2)) AS string) ELSE '' END AS buyer_cost,
+       CASE WHEN ingest_row % 100 % 4 = 1 THEN concat('case of ', cast(cast(case_pack AS bigint) AS string)) END AS deal,
+       CASE WHEN ingest_row % 100 % 5 = 2 THEN concat(cast(ingest_row % 12 + 1 AS string), '|', cast((ingest_row + 6) % 12 + 1 AS string))
+            ELSE '' END AS buy_months
+FROM {inventory}
+"""
+
+# The weekly-ad workbook sheet: one block per ad week - a header row naming the in-store ad
+# with its date, a "Type / Item" row, then one row per advertised product (extra spaces in
+# the names, as typed). Rows before the first header belong to no week.
+VIEWS["ad_sheet"] = """
+SELECT CAST(floor(p_partkey / 40) AS BIGINT) * 1000 AS row_idx, 'In-Store Ad' AS c0, 'week of' AS c1,
+       CAST(NULL AS string) AS c2, DATE '2000-01-03' + CAST(floor(p_partkey / 40) * 7 AS INT) AS c_date
+FROM {part} WHERE p_partkey % 40 = 0
+UNION ALL
+SELECT CAST(floor(p_partkey / 40) AS BIGINT) * 1000 + 1, '', 'Type', 'Item', CAST(NULL AS date)
+FROM {part} WHERE p_partkey % 40 = 0
+UNION ALL
+SELECT CAST(floor(p_partkey / 40) AS BIGINT) * 1000 + 2 + p_partkey % 40, 'weekly', p_type,
+       concat(p_name, '  ', cast(p_size AS string), 'mg '), CAST(NULL AS date)
+FROM {part}
+"""
+
+# Landed pages of the sales report: one JSON document per page; items come wrapped
+# ({"item": {...}}) or bare, and some carry a blank product code.
+VIEWS["report_pages"] = """
+SELECT event_id AS page,
+       concat('{"estimatedTotal": 1, "items": [',
+              CASE WHEN event_id % 2 = 0 THEN '{"item": ' ELSE '' END,
+              '{"locationName": "', concat('STORE_', cast(user_id % 16 AS string)),
+              '", "department": "', event_type,
+              '", "productCode": "', CASE WHEN event_id % 17 = 0 THEN ' ' ELSE concat('P', cast(user_id % 40 AS string)) END,
+              '", "quantity": 1, "total": ', cast(cast(value AS decimal(18,2)) AS string), '}',
+              CASE WHEN event_id % 2 = 0 THEN '}' ELSE '' END, ']}') AS body
+FROM {events}
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
