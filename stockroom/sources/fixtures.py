@@ -192,7 +192,7 @@ SELECT CAST(0 AS BIGINT) AS line_no,
                  'ReorderNumber', 'Supplier', 'Description') AS line
 UNION ALL
 SELECT l_orderkey * 8 + l_linenumber AS line_no,
-       concat_ws(chr(9), cast(cast(l_extendedprice / l_quantity AS decimal(12,2)) AS string), cast(p_size AS string),
+       concat_ws(chr(9), cast(p_size * 3 + l_linenumber AS string), cast(p_size AS string),
                  CASE l_linenumber WHEN 7 THEN '0' WHEN 6 THEN '' WHEN 5 THEN 'n/a'
                       ELSE cast(cast(l_quantity AS bigint) AS string) END,
                  '', n_name, cast(l_partkey AS string), '', s_name, p_name) AS line
@@ -231,13 +231,13 @@ FROM {part}
 # ({"item": {...}}) or bare, and some carry a blank product code.
 VIEWS["report_pages"] = """
 SELECT event_id AS page,
-       concat('{"estimatedTotal": 1, "items": [',
-              CASE WHEN event_id % 2 = 0 THEN '{"item": ' ELSE '' END,
-              '{"locationName": "', concat('STORE_', cast(user_id % 16 AS string)),
+       concat('{{"estimatedTotal": 1, "items": [',
+              CASE WHEN event_id % 2 = 0 THEN '{{"item": ' ELSE '' END,
+              '{{"locationName": "', concat('STORE_', cast(user_id % 16 AS string)),
               '", "department": "', event_type,
               '", "productCode": "', CASE WHEN event_id % 17 = 0 THEN ' ' ELSE concat('P', cast(user_id % 40 AS string)) END,
-              '", "quantity": 1, "total": ', cast(cast(value AS decimal(18,2)) AS string), '}',
-              CASE WHEN event_id % 2 = 0 THEN '}' ELSE '' END, ']}') AS body
+              '", "quantity": 1, "total": ', cast(cast(value AS decimal(18,2)) AS string), '}}',
+              CASE WHEN event_id % 2 = 0 THEN '}}' ELSE '' END, ']}}') AS body
 FROM {events}
 """
 
@@ -261,5 +261,7 @@ def as_cte_sql(names: list[str]) -> str:
 
     for n in names:
         visit(n)
-    parts = [f"{n} AS ({_PLACEHOLDER.sub(lambda m: m.group(1), VIEWS[n]).strip()})" for n in order]
+    # {name} binds a frame on Spark; literal braces are written doubled, as spark.sql expects
+    parts = [f"{n} AS ({_PLACEHOLDER.sub(lambda m: m.group(1), VIEWS[n]).replace('{{', '{').replace('}}', '}').strip()})"
+             for n in order]
     return ("WITH " + ",\n".join(parts)) if parts else ""
