@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import norm_text
+from ..session import write_table
 
 
 def tokens(df: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
@@ -22,39 +23,50 @@ def tokens(df: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
               .filter(F.col("tok") != ""))
 
 
-def _block(t: DataFrame) -> DataFrame:
-    return t.withColumn("blk", F.when(F.length("tok") >= 3, F.substring("tok", 1, 3)).otherwise(F.col("tok")))
+def _block(t: DataFrame, col: str) -> DataFrame:
+    return t.withColumn("blk", F.when(F.length(col) >= 3, F.substring(col, 1, 3)).otherwise(F.col(col)))
 
 
-def prefix_hits(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: list[str]) -> DataFrame:
-    """J14 core: per (query, candidate) the number of distinct query tokens that equal a
-    candidate token or are a >= 3-character proper prefix of one."""
-    q = _block(q_tokens).withColumnRenamed("tok", "qt")
-    c = _block(c_tokens).withColumnRenamed("tok", "ct")
-    # a short query token only matches exactly; a long one matches tokens with its first 3 chars
-    short_q = q.filter(F.length("qt") < 3)
-    long_q = q.filter(F.length("qt") >= 3)
-    exact = short_q.join(c.filter(F.length("ct") < 3).select(*c_id, F.col("ct"), F.col("blk")), "blk") \
-        .filter(F.col("qt") == F.col("ct"))
-    exact_long = short_q.join(c.filter(F.length("ct") >= 3).select(*c_id, F.col("ct"), F.col("blk").alias("_b")),
-                              F.col("qt") == F.col("ct")).drop("_b")
-    pref = long_q.join(c.filter(F.length("ct") >= 3).select(*c_id, "ct", "blk"), "blk").filter(
+def _matches(q: DataFrame, c: DataFrame) -> DataFrame:
+    """Query-token x candidate-token pairs that hit: equal, or the query token (>= 3
+    characters) is a proper prefix. ``q`` has ``qt``, ``c`` has ``ct``. A short query token
+    can only hit an equal token (an equi-join on the token); a long one can only hit tokens
+    sharing its first three characters (an equi-join on that block, then the residual
+    prefix test) - never a cross product."""
+    short = q.filter(F.length("qt") < 3).join(c, F.col("qt") == F.col("ct"))
+    lq = _block(q.filter(F.length("qt") >= 3), "qt")
+    lc = _block(c.filter(F.length("ct") >= 3), "ct")
+    long = lq.join(lc, "blk").filter(
         (F.col("qt") == F.col("ct")) | ((F.length("qt") < F.length("ct")) & F.col("ct").startswith(F.col("qt"))))
-    cols = [*q_id, *c_id, "qt"]
-    pairs = exact.select(*cols).unionByName(exact_long.select(*cols)).unionByName(pref.select(*cols))
+    return short.unionByName(long.drop("blk"))
+
+
+def prefix_hits(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: list[str]) -> DataFrame:
+    """J14 core, all pairs: per (query, candidate) the number of distinct query tokens that
+    hit a candidate token."""
+    pairs = _matches(q_tokens.select(*q_id, F.col("tok").alias("qt")), c_tokens.select(*c_id, F.col("tok").alias("ct")))
     return pairs.groupBy(*q_id, *c_id).agg(F.countDistinct("qt").alias("hits"))
 
 
 def best_match(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: str, c_rank: DataFrame,
                min_score: float | None = None) -> DataFrame:
     """Best candidate per query by score = hits / distinct query tokens; ties go to the
-    candidate with the smallest ``ord`` in ``c_rank`` (c_id, ord). Returns q_id..., c_id, score."""
+    candidate with the smallest ``ord`` in ``c_rank`` (c_id, ord). Returns q_id..., c_id, score.
+    The query tokens are written once (shared checkpoint folder): they feed the hit count and
+    the query sizes, and the plan must not carry their derivation twice."""
+    q_tokens = write_table(q_tokens, "match-query-tokens")
     n = q_tokens.groupBy(*q_id).agg(F.count("*").alias("n_q"))
-    h = prefix_hits(q_tokens, c_tokens.select(c_id, "tok"), q_id, [c_id]).join(n, q_id).join(c_rank, c_id)
-    h = h.withColumn("score", F.col("hits") / F.col("n_q"))
-    best = h.groupBy(*q_id).agg(F.min_by(F.struct(F.col(c_id).alias("id"), F.col("score").alias("score")),
-                                         F.struct((-F.col("score")).alias("s"), F.col("ord").alias("o"))).alias("b"))
-    best = best.select(*q_id, F.col("b.id").alias(c_id), F.col("b.score").alias("score"))
+    h = prefix_hits(q_tokens, c_tokens.select(c_id, "tok"), q_id, [c_id])
+    # within a query the score orders like the hit count, so the best candidate is chosen on
+    # hits (the rank table is joined only when it is not the candidate id itself) and only
+    # the winners meet the query sizes
+    if c_rank is None:
+        h = h.withColumn("ord", F.col(c_id))
+    else:
+        h = h.join(c_rank, c_id)
+    best = h.groupBy(*q_id).agg(F.min_by(F.struct(F.col(c_id).alias("id"), F.col("hits").alias("hits")),
+                                         F.struct((-F.col("hits")).alias("h"), F.col("ord").alias("o"))).alias("b"))
+    best = best.join(n, q_id).select(*q_id, F.col("b.id").alias(c_id), (F.col("b.hits") / F.col("n_q")).alias("score"))
     if min_score is not None:
         best = best.filter(F.col("score") >= min_score)
     return best

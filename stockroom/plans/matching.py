@@ -12,6 +12,7 @@ from ..functions.numeric import round_even
 from ..functions.text import expand_abbrev, expand_ad_line
 from ..operators.matching import best_match, containment, tokens
 from ..operators.rollups import dedupe_keep
+from ..session import write_table
 from ..sources.fixtures import AS_OF
 from .base import ctx
 from .brief import inventory_snapshot
@@ -102,7 +103,7 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
         .select("line_id", "raw", "kind", "pi", F.col("p.q").alias("q"), F.col("p.is_brand").alias("is_brand"))
     parts = parts.withColumn("target", F.when(F.lower("kind") == "sunday", F.lit(tg["sunday"]))
                              .when(F.lower("kind") == "weekly", F.lit(tg["weekly"])).otherwise(F.lit(4.5)))
-    cat_tok = tokens(catalog.filter(F.col("nd") != ""), ["cid"], "nd")
+    cat_tok = write_table(tokens(catalog.filter(F.col("nd") != ""), ["cid"], "nd"), "ad-catalog-tokens")
     # -- single items
     single = parts.filter(~F.col("is_brand")).withColumn("dig", digits("q")).withColumn("nq", norm_text("q"))
     by_upc = (catalog.filter(F.col("upc") != "").groupBy("upc").agg(F.max("cid").alias("u_cid")))
@@ -114,8 +115,10 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
     s = s.join(by_desc, "nq", "left")
     q_tok = tokens(s.filter(F.col("upc_cid").isNull() & F.col("e_cid").isNull())
                     .withColumn("xq", expand_abbrev("nq")), ["line_id", "pi"], "xq")
-    fz = best_match(q_tok, cat_tok, ["line_id", "pi"], "cid", catalog.select("cid", F.col("cid").alias("ord")),
-                    min_score=config.AD_MATCH_MIN_SCORE).select("line_id", "pi", F.col("cid").alias("f_cid"))
+    # listings that share a name score alike and the smallest id wins ties, so the fuzzy
+    # match runs over distinct names (each carrying its smallest listing id)
+    name_tok = tokens(catalog.filter(F.col("nd") != "").groupBy("nd").agg(F.min("cid").alias("cid")), ["cid"], "nd")
+    fz = best_match(q_tok, name_tok, ["line_id", "pi"], "cid", None, min_score=config.AD_MATCH_MIN_SCORE).select("line_id", "pi", F.col("cid").alias("f_cid"))
     s = s.join(fz, ["line_id", "pi"], "left")
     s = s.withColumn("cid", F.coalesce("upc_cid", "e_cid", "f_cid")).withColumn(
         "conf", F.when(F.col("upc_cid").isNotNull(), "upc").when(F.col("e_cid").isNotNull(), "exact")
@@ -145,7 +148,8 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
     rows = rows.withColumn("_k", F.when(F.col("upc") != "", F.row_number().over(wu)).otherwise(F.lit(1))) \
         .filter(F.col("_k") == 1).drop("_k")
     # -- stock: exact name, else best token overlap with any score
-    stock = _stock_rows(snapshot)
+    rows = write_table(rows, "ad-matched-rows")
+    stock = write_table(_stock_rows(snapshot), "ad-stock")
     by_name = stock.groupBy("nd").agg(F.min_by("sid", "ord").alias("x_sid"))
     rows = rows.join(by_name, "nd", "left")
     need_fz = rows.filter(F.col("x_sid").isNull()).select("nd").distinct().withColumn("qid", F.col("nd"))
