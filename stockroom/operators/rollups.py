@@ -7,7 +7,7 @@ on any partitioning. All of these are hash aggregates with map-side partial aggr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
@@ -63,9 +63,12 @@ def coalesce_by_code(df: DataFrame, key: str, fields: list[str], order: str = "i
 def dedupe_keep(df: DataFrame, keys: list[str], order: str, keep: str = "last") -> DataFrame:
     """One row per key, the last (or first) by ``order`` - deterministic, unlike
     ``dropDuplicates``."""
-    o = F.col(order).desc() if keep == "last" else F.col(order).asc()
-    w = Window.partitionBy(*keys).orderBy(o)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    # an aggregate (max_by / min_by of the whole row) rather than a row_number window: it
+    # combines map-side, so a key repeated on a large share of the rows is never one task
+    rest = [c for c in df.columns if c not in keys]
+    pick = F.max_by if keep == "last" else F.min_by
+    return (df.groupBy(*keys).agg(pick(F.struct(*rest), F.col(order)).alias("_row"))
+              .select(*keys, *[F.col("_row")[c].alias(c) for c in rest]))
 
 
 def group_sum_sorted(df: DataFrame, keys: list[str], aggs: dict[str, Column], order_by: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import parse_by_store
@@ -67,11 +67,14 @@ def vendor_order(orders: DataFrame, snapshot: DataFrame) -> DataFrame:
     s = snapshot.select(F.col("dept").alias("_sd"), F.lower(F.trim("item")).alias("_si"),
                         F.col("by_store_oh").alias("_bs"), F.col("chain_oh").alias("_coh"))
     j = o.join(s, (o["dept"] == s["_sd"]) & (F.lower(F.trim(o["item"])) == s["_si"]), "left")
-    w = Window.partitionBy("dept", "supplier")
+    # vendor totals are an aggregate joined back (a vendor may hold a large share of the
+    # lines; a whole-vendor window would put all of them in one task)
+    tot = o.groupBy("dept", "supplier").agg(F.sum("buy_units").alias("vendor_units"),
+                                            F.sum("net_buy_usd").alias("vendor_total"))
+    j = j.join(tot, ["dept", "supplier"])
     parsed = parse_by_store(F.col("_bs"))
     return j.select(
-        "dept", "supplier", "item", "buy_units", "buy_cases", "net_buy_usd",
-        F.sum("buy_units").over(w).alias("vendor_units"), F.sum("net_buy_usd").over(w).alias("vendor_total"),
+        "dept", "supplier", "item", "buy_units", "buy_cases", "net_buy_usd", "vendor_units", "vendor_total",
         F.array_join(F.transform(parsed, lambda x: F.concat(x["store"], F.lit(":"), x["qty"].cast("string"))), ";")
          .alias("by_store"),
         ((F.size(parsed) == 0) & (F.coalesce(F.col("_coh"), F.lit(0)) <= 0)).alias("oos"))
@@ -79,11 +82,13 @@ def vendor_order(orders: DataFrame, snapshot: DataFrame) -> DataFrame:
 
 def store_order(store_orders: DataFrame) -> DataFrame:
     """Q17 (store side): each store x supplier order with its totals."""
-    w = Window.partitionBy("dept", "store", "supplier")
-    return store_orders.select(
+    keys = ["dept", "store", "supplier"]
+    tot = store_orders.groupBy(*keys).agg(F.sum("order_units").alias("total_units"),
+                                          F.sum("order_cases").alias("total_cases"),
+                                          F.sum("order_usd").alias("total_usd"))
+    return store_orders.join(tot, keys).select(
         "dept", "store", "supplier", "item", "product_code", "store_oh", "wos", "order_cases", "order_units",
-        "order_usd", F.sum("order_units").over(w).alias("total_units"),
-        F.sum("order_cases").over(w).alias("total_cases"), F.sum("order_usd").over(w).alias("total_usd"))
+        "order_usd", "total_units", "total_cases", "total_usd")
 
 
 # ---- registered queries -----------------------------------------------------------------

@@ -64,3 +64,68 @@ def report_items(pages: DataFrame, body_col: str = "body") -> DataFrame:
     leaf = F.coalesce(F.get_json_object("j", "$.item"), F.col("j"))
     rec = raw.select("page", "pos", F.from_json(leaf, SALES_ITEM_SCHEMA).alias("r")).select("page", "pos", "r.*")
     return rec.filter(F.trim(F.coalesce(F.col("productCode"), F.lit(""))) != "")
+
+
+# --- S07 newest report file -----------------------------------------------------------------
+
+def list_files(spark, folder: str, pattern: str = "*") -> DataFrame:
+    """File listing (path, name, mtime) of a folder; the content column is never read."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+                 .select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
+                         F.col("modificationTime").alias("mtime")))
+
+
+def report_files(listing: DataFrame, folder_rank: str | None = None) -> DataFrame:
+    """One report per data date - date from the file name (``YYYY-MM-DD`` or
+    ``M.D.YY``), else the file's modification day; lock files (``~$``) skipped; when several
+    files carry the same date the one from the best-ranked folder (then newest) wins."""
+    from ..functions.months import file_date
+    df = listing.filter(~F.col("name").startswith("~$"))
+    df = df.withColumn("data_date", F.coalesce(file_date(F.col("name")), F.to_date("mtime")))
+    rank = F.col(folder_rank) if folder_rank else F.lit(0)
+    best = df.groupBy("data_date").agg(
+        F.min_by(F.struct("path", "name", "mtime"), F.struct(rank.alias("r"), (-F.unix_micros(F.col("mtime").cast("timestamp"))).alias("t"))).alias("f"))
+    return best.select("data_date", "f.path", "f.name", "f.mtime")
+
+
+def newest_report(listing: DataFrame, folder_rank: str | None = None):
+    """The newest report's (data_date, path), or None."""
+    r = report_files(listing, folder_rank).orderBy(F.col("data_date").desc()).limit(1).first()
+    return None if r is None else (r["data_date"], r["path"])
+
+
+# --- S03 positional buyer master ---------------------------------------------------------------
+
+# fixed values: the buyer master's column positions (0-based) and the header rows to skip
+BUYER_MASTER_COLUMNS = {"code": 8, "description": 9, "category": 12, "units_case": 15, "deal": 16,
+                        "case_cost": 19, "min_cases": 21, "net_unit": 25, "discount": 26, "retail": 27,
+                        "margin": 29}
+BUYER_MASTER_HEADER_ROWS = 3
+
+
+def buyer_master(raw: DataFrame, columns=None, header_rows: int = BUYER_MASTER_HEADER_ROWS) -> DataFrame:
+    """A header-less CSV read (``_c0`` ..) or a cell sheet (``c0`` ..) -> named columns
+    by position, the first ``header_rows`` rows (by ``row_idx``) dropped. Missing positions
+    come out as NULL."""
+    cols = columns or BUYER_MASTER_COLUMNS
+    prefix = "_c" if "_c0" in raw.columns else "c"
+    out = raw.filter(F.col("row_idx") >= header_rows) if "row_idx" in raw.columns else raw
+    sel = [(F.col(f"{prefix}{i}") if f"{prefix}{i}" in raw.columns else F.lit(None).cast("string")).alias(name)
+           for name, i in cols.items()]
+    return out.select(*(["row_idx"] if "row_idx" in raw.columns else []), *sel)
+
+
+# --- S11 sinks -------------------------------------------------------------------------------------
+
+def write_sheet(df: DataFrame, path: str, fmt: str = "parquet", *, gzip: bool = False, single_file: bool = False) -> None:
+    """One dataset per logical sheet (order, snapshot, store orders ...); CSV with a
+    header, gzip for the large ones. ``single_file`` is for small sheets a person opens."""
+    out = df.coalesce(1) if single_file else df
+    w = out.write.mode("overwrite")
+    if fmt == "csv":
+        w = w.option("header", True)
+        if gzip:
+            w = w.option("compression", "gzip")
+        w.csv(path)
+    else:
+        w.parquet(path)
