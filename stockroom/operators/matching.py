@@ -23,6 +23,9 @@ def tokens(df: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
               .filter(F.col("tok") != ""))
 
 
+SALTS = 16  # sub-blocks per token block on the candidate side
+
+
 def _block(t: DataFrame, col: str) -> DataFrame:
     return t.withColumn("blk", F.when(F.length(col) >= 3, F.substring(col, 1, 3)).otherwise(F.col(col)))
 
@@ -34,11 +37,16 @@ def _matches(q: DataFrame, c: DataFrame) -> DataFrame:
     sharing its first three characters (an equi-join on that block, then the residual
     prefix test) - never a cross product."""
     short = q.filter(F.length("qt") < 3).join(c, F.col("qt") == F.col("ct"))
-    lq = _block(q.filter(F.length("qt") >= 3), "qt")
-    lc = _block(c.filter(F.length("ct") >= 3), "ct")
-    long = lq.join(lc, "blk").filter(
+    # a common 3-character block (every "blu..." token) is a hot key: the candidate side is
+    # spread over SALTS sub-blocks by a hash of the token row, and the (small) query side is
+    # repeated once per sub-block, so one block never lands in a single task
+    lq = (_block(q.filter(F.length("qt") >= 3), "qt")
+          .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    lc = (_block(c.filter(F.length("ct") >= 3), "ct")
+          .withColumn("salt", F.pmod(F.xxhash64(*c.columns), F.lit(SALTS)).cast("int")))
+    long = lq.join(lc, ["blk", "salt"]).filter(
         (F.col("qt") == F.col("ct")) | ((F.length("qt") < F.length("ct")) & F.col("ct").startswith(F.col("qt"))))
-    return short.unionByName(long.drop("blk"))
+    return short.unionByName(long.drop("blk", "salt"))
 
 
 def prefix_hits(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: list[str]) -> DataFrame:
