@@ -16,6 +16,7 @@ from ..operators.joins import buyer_terms
 from ..operators.rollups import chain_by_code, first_by
 from .base import ctx
 from .history import seasonal_factors
+from ..session import write_table
 
 BRIEF_DEPT = "THC"
 
@@ -29,9 +30,19 @@ def _brief_rows(t, *, retail_only: bool = True) -> DataFrame:
     return dept_scope(inv, groups, contains=True)
 
 
+def brief_factors(t) -> tuple[DataFrame, DataFrame]:
+    """Item and category seasonal factors (Q09) as the brief reads them: the nightly
+    history insights, written once per session to the shared checkpoint folder (the
+    original brief likewise reads the factors the history step wrote)."""
+    def build(x):
+        item_f, cat_f = seasonal_factors(x.derived("history", lambda y: src_history(y.history)))
+        return write_table(item_f, "item-factors"), write_table(cat_f, "category-factors")
+    return t.derived("brief-factors", build)
+
+
 def season_factor(df: DataFrame, t) -> DataFrame:
     """Item factor by code, else category factor, else 1.0; records which applied."""
-    item_f, cat_f = seasonal_factors(t.derived("history", lambda x: src_history(x.history)))
+    item_f, cat_f = brief_factors(t)
     i = item_f.select(F.col("code").alias("_ic"), F.col("factor").alias("_if"))
     c = cat_f.select(F.col("category").alias("_cc"), F.col("factor").alias("_cf"))
     j = (df.join(i, norm_code(df["code"]) == i["_ic"], "left")
@@ -176,7 +187,7 @@ def deal_evaluation(t) -> DataFrame:
                       .otherwise(F.lit(0))))
     j = d.join(by_upc.select("upc", "oh", F.col("vel").alias("wk_vel")), "upc", "left")
     j = j.withColumn("oh", F.coalesce("oh", F.lit(0.0))).withColumn("wk_vel", F.coalesce("wk_vel", F.lit(0.0)))
-    item_f, cat_f = seasonal_factors(t.derived("history", lambda x: src_history(x.history)))
+    item_f, cat_f = brief_factors(t)
     j = (j.join(item_f.select(F.col("code").alias("upc"), F.col("factor").alias("_if")), "upc", "left")
           .join(cat_f.select(F.col("category").alias("_cat"), F.col("factor").alias("_cf")),
                 F.col("category") == F.col("_cat"), "left"))
