@@ -59,20 +59,24 @@ def order_lines(needs: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFrame
     cur_month = datetime.date.fromisoformat(as_of).month
     items, _ = transfer_plan(needs)
     g = item_rollup(needs)
-    g = (g.withColumn("wk_vel", F.col("u30") * 7 / 30)
-          .withColumn("wos", F.when(F.col("wk_vel") > 0, round_even(F.col("chain_oh") / F.col("wk_vel"), 1)))
-          .withColumn("_v90", F.col("u90") * 7 / 90)
-          .withColumn("trend", F.when(F.col("_v90") > 0, round_even((F.col("wk_vel") / F.col("_v90") - 1) * 100, 0)))
-          .withColumn("ly_wk", round_even(F.col("u_ly4") / 4.0, 1)))
+    wk_vel, v90 = F.col("u30") * 7 / 30, F.col("u90") * 7 / 90
+    g = g.withColumns({
+        "wk_vel": wk_vel,
+        "wos": F.when(wk_vel > 0, round_even(F.col("chain_oh") / wk_vel, 1)),
+        "_v90": v90,
+        "trend": F.when(v90 > 0, round_even((wk_vel / v90 - 1) * 100, 0)),
+        "ly_wk": round_even(F.col("u_ly4") / 4.0, 1)})
     # 2-3: transfer totals and case rounding
     g = g.join(items, ["dept", "item"], "left")
-    for c in ("gross_need", "transfer", "net_buy"):
-        g = g.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
-    g = (g.withColumn("gross_usd", round_even(F.col("gross_need") * F.col("cost"), 0))
-          .withColumn("transfer_usd", round_even(F.col("transfer") * F.col("cost"), 0))
-          .withColumn("buy_cases", round_even(F.col("net_buy") / F.col("case"), 0))
-          .withColumn("buy_units", (F.col("buy_cases") * F.col("case")).cast("bigint"))
-          .withColumn("net_buy_usd", round_even(F.col("buy_units") * F.col("cost"), 0)))
+    g = g.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ("gross_need", "transfer", "net_buy")})
+    cases = round_even(F.col("net_buy") / F.col("case"), 0)
+    units = (cases * F.col("case")).cast("bigint")
+    g = g.withColumns({
+        "gross_usd": round_even(F.col("gross_need") * F.col("cost"), 0),
+        "transfer_usd": round_even(F.col("transfer") * F.col("cost"), 0),
+        "buy_cases": cases,
+        "buy_units": units,
+        "net_buy_usd": round_even(units * F.col("cost"), 0)})
     # 4: ad floor
     g = ad_join(g, t.ad_list)
     on_ad = F.col("ad_kind").isNotNull() & (F.length("ad_kind") > 0)
@@ -93,8 +97,8 @@ def order_lines(needs: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFrame
     # 6: enough stock chain-wide -> transfer instead of buying (NULL WOS is not cut)
     enough = F.coalesce(F.col("wos") >= target_weeks, F.lit(False)) & ~F.col("has_par") \
         & ~F.col("on_ad") & ~F.col("bm_stock")
-    for c, z in (("net_buy", 0.0), ("buy_cases", 0.0), ("buy_units", 0), ("net_buy_usd", 0.0)):
-        g = g.withColumn(c, F.when(enough, F.lit(z)).otherwise(F.col(c)))
+    g = g.withColumns({c: F.when(enough, F.lit(z)).otherwise(F.col(c))
+                       for c, z in (("net_buy", 0.0), ("buy_cases", 0.0), ("buy_units", 0), ("net_buy_usd", 0.0))})
     # 7: margin, deal terms, ad label, profit protected
     g = g.join(retail_by_code(src_inventory(t.inventory)), "code_key", "left").join(buyer_terms(t.deals), "code_key", "left")
     g = g.withColumn("gm_pct", F.when(F.col("retail") > 0,
