@@ -78,3 +78,8 @@ lf AS (SELECT page, pos, json_extract(body, '$.items[' || CAST(pos AS VARCHAR) |
 lf2 AS (SELECT page, pos, coalesce(json_extract(j, '$.item'), j) AS leaf FROM lf),
 rec AS (SELECT page, pos, {_FIELDS} FROM lf2)
 SELECT * FROM rec WHERE trim(coalesce(productCode, '')) <> ''"""
+
+SQL["ad_sheet_blocks"] = with_views(["ad_sheet"]) + f""",
+hd AS (SELECT row_idx AS block_row, c_date AS ad_date FROM ad_sheet WHERE {_IS_HEAD} AND c_date IS NOT NULL)
+SELECT a.row_idx, a.c2, h.block_row, h.ad_date
+FROM ad_sheet a ASOF LEFT JOIN hd h ON a.row_idx >= h.block_row"""

@@ -63,3 +63,10 @@ def q_report_items(spark, sf_dir):
     """Landed report pages flattened to sale items."""
     from ..sources.landed import report_items
     return report_items(ctx(spark, sf_dir).report_pages)
+
+
+def q_ad_sheet_blocks(spark, sf_dir):
+    """Every ad-sheet row with its block's header row and ad date."""
+    from ..sources.landed import ad_blocks, carry_forward_block
+    sheet = ctx(spark, sf_dir).ad_sheet
+    return carry_forward_block(sheet, ad_blocks(sheet)).select("row_idx", "c2", "block_row", "ad_date")

@@ -72,4 +72,5 @@ QUERIES = {
     "cost_reference": lists.q_cost_reference,
     "ad_week_items": lists.q_ad_week_items,
     "report_items": lists.q_report_items,
+    "ad_sheet_blocks": lists.q_ad_sheet_blocks,
 }

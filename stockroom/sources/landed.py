@@ -129,3 +129,39 @@ def write_sheet(df: DataFrame, path: str, fmt: str = "parquet", *, gzip: bool =
         w.csv(path)
     else:
         w.parquet(path)
+
+
+# --- W09 carry the block header forward to every row -------------------------------------------
+
+def carry_forward_block(sheet: DataFrame, blocks: DataFrame, order_col: str = "row_idx",
+                        ranges: int | None = None) -> DataFrame:
+    """Every sheet row with the header row (and ad date) of the block it sits in - the
+    last header at or before it; rows before the first header get NULL.
+
+    No window over the whole sheet: rows are range-partitioned on ``order_col`` (pinned by
+    a checkpoint), each range finds its last header locally, and a range without one takes
+    the last header of the ranges before it. That carry-in table has one entry per range
+    (bounded by the partition count) and is the only thing read on the driver."""
+    from pyspark.sql import Window
+    from ..session import durable
+    spark = sheet.sparkSession
+    n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    heads = blocks.select(F.col("row_idx").alias("_h"), F.col("ad_date").alias("_d"))
+    tagged = sheet.join(heads, F.col(order_col) == F.col("_h"), "left")
+    ranged = durable(tagged.repartitionByRange(n, order_col).withColumn("_rng", F.spark_partition_id()))
+    w = Window.partitionBy("_rng").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_lh", F.last(F.when(F.col("_h").isNotNull(), F.struct("_h", "_d")),
+                                            ignorenulls=True).over(w))
+    last_per_range = {r["_rng"]: (r["h"], r["d"]) for r in ranged.filter(F.col("_h").isNotNull())
+                      .groupBy("_rng").agg(F.max_by("_h", order_col).alias("h"), F.max_by("_d", order_col).alias("d"))
+                      .collect()}  # one row per range
+    carry, prev = [], (None, None)
+    for k in range(n):
+        carry.append((k, prev[0], prev[1]))
+        if k in last_per_range:
+            prev = last_per_range[k]
+    cin = spark.createDataFrame(carry, "_rng int, _ch bigint, _cd date")
+    out = local.join(cin, "_rng", "left")
+    return out.select(*[c for c in sheet.columns],
+                      F.coalesce(F.col("_lh._h"), F.col("_ch")).alias("block_row"),
+                      F.coalesce(F.col("_lh._d"), F.col("_cd")).alias("ad_date"))
