@@ -45,11 +45,11 @@ def _money_text(c: Column) -> Column:
 def _recase(df: DataFrame, mask: Column) -> DataFrame:
     """Re-case the masked lines with ceil and recompute units and $."""
     cases = F.ceil(F.coalesce(F.col("net_buy") / F.col("case"), F.lit(0.0))).cast("double")
-    df = df.withColumn("buy_cases", F.when(mask, cases).otherwise(F.col("buy_cases")))
-    df = df.withColumn("buy_units", F.when(mask, (F.col("buy_cases") * F.col("case")).cast("bigint"))
-                       .otherwise(F.col("buy_units")))
-    return df.withColumn("net_buy_usd", F.when(mask, round_even(F.col("buy_units") * F.col("cost"), 0))
-                         .otherwise(F.col("net_buy_usd")))
+    units = (cases * F.col("case")).cast("bigint")
+    return df.withColumns({
+        "buy_cases": F.when(mask, cases).otherwise(F.col("buy_cases")),
+        "buy_units": F.when(mask, units).otherwise(F.col("buy_units")),
+        "net_buy_usd": F.when(mask, round_even(units * F.col("cost"), 0)).otherwise(F.col("net_buy_usd"))})
 
 
 def order_lines(needs: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFrame | None = None,
@@ -88,8 +88,8 @@ def order_lines(needs: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFrame
     g = _recase(g, F.col("on_ad"))
     # 5: buy-month stock-up
     g = buy_months_join(g, t.buy_months)
-    g = g.withColumn("bm_wks", weeks_to_next_buy_month(F.col("buy_months"), F.lit(cur_month)))
-    g = g.withColumn("bm_stock", F.col("bm_wks") > 0)
+    bm_wks = weeks_to_next_buy_month(F.col("buy_months"), F.lit(cur_month))
+    g = g.withColumns({"bm_wks": bm_wks, "bm_stock": bm_wks > 0})
     bm_units = F.greatest(F.col("bm_wks") * F.col("wk_vel") - oh_pos, F.lit(0.0))
     g = g.withColumn("net_buy", F.when(F.col("bm_stock") & (bm_units > F.col("net_buy")), bm_units)
                      .otherwise(F.col("net_buy")))
