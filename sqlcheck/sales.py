@@ -6,7 +6,7 @@ from .common import with_views
 SQL = {}
 
 SQL["live_rollup"] = with_views(["sales_lines"]) + """,
-l AS (SELECT *, CAST(timezone('America/Chicago', CAST(ts AS TIMESTAMPTZ)) AS DATE) AS day,
+l AS (SELECT *, CAST(timezone('America/Chicago', timezone('UTC', ts)) AS DATE) AS day,
              coalesce(CASE trim(department) WHEN 'view' THEN 'THC' WHEN 'click' THEN 'Beer' WHEN 'purchase' THEN 'Wine'
                       WHEN 'signup' THEN 'Spirits' END, 'Other') AS dept
       FROM sales_lines WHERE trim(coalesce(code, '')) <> ''),
