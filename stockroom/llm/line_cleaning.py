@@ -21,7 +21,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .shared import map_texts, table
+from .shared import map_texts, replace_texts, table
 from .tokens import SPACE, Batch, span_hashes, windows
 
 # Fixed values.
@@ -130,10 +130,9 @@ def clean(docs: DataFrame) -> DataFrame:
                 at += len(line) + 1
             new[d] = b"\n".join(keep)
         rows = np.flatnonzero(out["kept"])
-        return rows, {"__new": [new[i].decode("utf-8", "replace") for i in rows]}
+        return rows, [new[i] for i in rows]
 
-    rest = [c for c in docs.columns if c != "text"]
-    return map_texts(docs, rest, run, "__new string").withColumnRenamed("__new", "text").select(*docs.columns)
+    return replace_texts(docs, run)
 
 
 def op4_line_cleaning(spark, sf_dir: str) -> DataFrame:

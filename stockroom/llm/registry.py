@@ -1,12 +1,26 @@
-"""Query key -> callable(spark, sf_dir) -> DataFrame of the training-data operators."""
+"""Query key -> callable(spark, sf_dir) -> DataFrame of the training-data operators, and their SQL."""
 
 from __future__ import annotations
 
+from . import mixing, url_filter
+from .byte_cnn import op7_byte_cnn
 from .line_cleaning import op4_line_cleaning
+from .packing import op10_packing
+from .pii import op3_pii
 from .secret_scan import op1_secret_scan
+from .substring_dedup import op5_substring_dedup
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_pii": op3_pii,
     "op4_line_cleaning": op4_line_cleaning,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op7_byte_cnn": op7_byte_cnn,
+    "op8_mixing": mixing.op8_mixing,
+    "op9_url_filter": url_filter.op9_url_filter,
+    "op10_packing": op10_packing,
+}
+ORACLE = {
+    "op8_mixing": mixing.ORACLE,
+    "op9_url_filter": url_filter.ORACLE,
 }
-ORACLE = {}

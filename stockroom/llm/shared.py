@@ -57,3 +57,32 @@ def map_texts(docs: DataFrame, keys: list[str], fn, columns: str, *, limit: int
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(carried, arrow)] + made, schema=arrow)
 
     return inner.mapInArrow(run, schema)
+
+
+def replace_texts(docs: DataFrame, fn, *, limit: int = 4 << 20) -> DataFrame:
+    """``docs`` with new texts, and without the rows ``fn`` leaves out; all columns as they were.
+
+    ``fn(list of bytes) -> (rows, new texts)``: index and new text of each row that stays (bytes or
+    str). A null text that stays is null."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    at_text = docs.columns.index("text")
+    arrow = to_arrow_schema(docs.schema)
+    # the text travels as bytes in its own place; all columns are told apart by position, not name
+    inner = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]).withColumn(f"c{at_text}", F.col(f"c{at_text}").cast("binary"))
+
+    def run(batches):
+        for batch in batches:
+            held = batch.column(at_text).to_pylist()
+            texts = [blob(x) for x in held]
+            for i, j in parts(texts, limit):
+                rows, new = fn(texts[i:j])
+                at = pa.array([int(r) + i for r in rows], pa.int64())
+                columns = [c.take(at).cast(f.type) if k != at_text else None for k, (c, f) in enumerate(zip(batch.columns, arrow))]
+                columns[at_text] = pa.array(
+                    [None if held[i + r] is None else t if isinstance(t, str) else t.decode("utf-8", "replace") for r, t in zip(rows, new)],
+                    arrow.field(at_text).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return inner.mapInArrow(run, docs.schema)

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 
 U64 = np.uint64
-CHUNK = 1 << 20
+CHUNK = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
