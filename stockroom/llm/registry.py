@@ -5,16 +5,20 @@ from __future__ import annotations
 from . import mixing, url_filter
 from .byte_cnn import op7_byte_cnn
 from .line_cleaning import op4_line_cleaning
+from .ngram_jaccard import op2_ngram_jaccard
 from .packing import op10_packing
 from .pii import op3_pii
 from .secret_scan import op1_secret_scan
+from .spherical_caps import op6_spherical_caps
 from .substring_dedup import op5_substring_dedup
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_pii": op3_pii,
     "op4_line_cleaning": op4_line_cleaning,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_spherical_caps": op6_spherical_caps,
     "op7_byte_cnn": op7_byte_cnn,
     "op8_mixing": mixing.op8_mixing,
     "op9_url_filter": url_filter.op9_url_filter,
