@@ -183,6 +183,14 @@ FROM e JOIN lst ON lst.id = e.id WHERE e.action IS NOT NULL"""
 from . import sales as _sales  # noqa: E402
 
 SQL["stream_live_sales"] = _sales.SQL["live_rollup"]
-SQL["stream_history"] = with_views(["history"]) + """
-SELECT day, code, category, item, units, lines FROM history"""
+SQL["stream_live_lines"] = with_views(["sales_lines"]) + """
+SELECT CAST(timezone('America/Chicago', timezone('UTC', ts)) AS DATE) AS day, count(*) AS lines,
+       CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(total) AS DECIMAL(28,2)) AS sales
+FROM sales_lines WHERE trim(coalesce(code, '')) <> '' GROUP BY 1"""
+SQL["stream_history"] = """
+SELECT CAST(l_shipdate AS DATE) AS day, CAST(l_partkey AS VARCHAR) AS code, arg_min(p_brand, l_orderkey * 8 + l_linenumber) AS category,
+       arg_min(p_name, l_orderkey * 8 + l_linenumber) AS item, sum(l_quantity) AS units,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS revenue,
+       CAST(sum(l_orderkey % 50) AS DOUBLE) AS on_hand, count(*) AS lines
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2"""
 SQL["stream_decisions"] = SQL["decision_state"]

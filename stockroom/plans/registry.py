@@ -63,6 +63,7 @@ QUERIES = {
     "right_size_candidates": explore.q_right_size_candidates,
     "decision_state": explore.q_decision_state,
     "stream_live_sales": streams.q_stream_live_sales,
+    "stream_live_lines": streams.q_stream_live_lines,
     "stream_history": streams.q_stream_history,
     "stream_decisions": streams.q_stream_decisions,
     "category_report": lists.q_category_report,

@@ -36,11 +36,12 @@ def live_lines(lines: DataFrame, mapping=None) -> DataFrame:
 
 def live_base(lines: DataFrame, mapping=None) -> DataFrame:
     """Sale lines pre-aggregated to (day, dept, store, code): units, sales and the earliest
-    sale's (ts, id, description). Every rollup level is computed from this grain, in batch
-    and in the stream (which keeps it as state)."""
+    sale's (ts, id, description), number of lines. Every rollup level is computed from this
+    grain, in batch and in the stream (which sums it over micro-batches)."""
     return (live_lines(lines, mapping)
             .groupBy("day", "dept", "store", "code")
-            .agg(F.sum("quantity").alias("u"), F.sum("total").alias("s"), first_sale().alias("first")))
+            .agg(F.sum("quantity").alias("u"), F.sum("total").alias("s"), first_sale().alias("first"),
+                 F.count("*").alias("n")))
 
 
 def first_sale() -> Column:

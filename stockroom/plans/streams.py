@@ -16,16 +16,19 @@ from ..streaming import history as SH
 from ..streaming import live_sales as SL
 from .base import ctx
 
-SLICES = 3  # input files landed per run, one micro-batch each
+SLICES = 3  # deliveries landed per run
+FILES = 4  # files of a delivery; each holds lines of all its days
+FILES_PER_TRIGGER = 3  # so a delivery spans micro-batches, and a micro-batch spans deliveries
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def land_in_order(df: DataFrame, order: F.Column, path: str, slices: int = SLICES) -> None:
-    """Write ``df`` as ``slices`` files in ``order`` (one write each, so the file source sees
-    them oldest first). Slice bounds come from one approximate-quantile pass."""
+def land(df: DataFrame, order: F.Column, path: str, slices: int = SLICES, files: int = FILES) -> None:
+    """Land ``df`` as ``slices`` deliveries in ``order`` (one write each, so the file source sees
+    them oldest first), each of ``files`` files that overlap in time. Slice bounds come from one
+    approximate-quantile pass; the streams do not depend on them."""
     keyed = df.withColumn("_o", order.cast("double"))
     cuts = keyed.approxQuantile("_o", [i / slices for i in range(1, slices)], 0.001) if slices > 1 else []
     edges = [None, *cuts, None]
@@ -35,31 +38,48 @@ def land_in_order(df: DataFrame, order: F.Column, path: str, slices: int = SLICE
             part = part.filter(F.col("_o") > edges[k])
         if edges[k + 1] is not None:
             part = part.filter(F.col("_o") <= edges[k + 1])
-        part.drop("_o").write.mode("append").parquet(path)
+        part.drop("_o").repartition(files).write.mode("append").parquet(path)
 
 
-def q_stream_live_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T01 over the sale lines: the streamed rollup equals the batch ``live_rollup``."""
+def _live_run(spark: SparkSession, sf_dir: str) -> str:
     lines = ctx(spark, sf_dir).sales_lines.select(*[c.split()[0] for c in SL.SALES_LINE_SCHEMA.split(", ")])
     d = _run_dir(spark, "live")
-    land_in_order(lines, F.unix_micros(F.col("ts").cast("timestamp")), os.path.join(d, "src"))
+    land(lines, F.unix_micros(F.col("ts").cast("timestamp")), os.path.join(d, "src"))
     SL.start(spark, os.path.join(d, "src"), os.path.join(d, "out"), os.path.join(d, "ck"),
-             files_per_trigger=1).awaitTermination()
-    return SL.live_from_stream(spark, os.path.join(d, "out"))
+             files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
+    return os.path.join(d, "out")
+
+
+def q_stream_live_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T01 over the sale lines: the streamed rollup equals the batch ``live_rollup``."""
+    return SL.live_from_stream(spark, _live_run(spark, sf_dir))
+
+
+def q_stream_live_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T01 reconciliation: lines and units per day in the streamed grain, to compare with the source."""
+    grain = SL.current_grain(spark, _live_run(spark, sf_dir))
+    return grain.groupBy("day").agg(F.sum("n").alias("lines"), F.sum("u").cast("bigint").alias("units"),
+                                    F.sum("s").cast("decimal(28,2)").alias("sales"))
+
+
+def history_lines(t) -> DataFrame:
+    """The shipped lines as one daily report each day (report 0)."""
+    return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+              .select(F.col("l_shipdate").cast("date").alias("day"), F.col("l_partkey").cast("string").alias("code"),
+                      F.col("p_brand").alias("category"), F.col("p_name").alias("item"),
+                      F.col("l_quantity").cast("double").alias("quantity"), F.col("l_extendedprice").cast("decimal(18,2)").alias("revenue"),
+                      (F.col("l_orderkey") % 50).cast("double").alias("on_hand"),
+                      (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("line_no"),
+                      F.lit(0).cast("bigint").alias("report_id")))
 
 
 def q_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T02 over the shipped lines as daily reports: the streamed history table equals the
     batch daily rollup (the ``history`` view)."""
-    t = ctx(spark, sf_dir)
-    lines = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-              .select(F.col("l_shipdate").cast("date").alias("day"), F.col("l_partkey").cast("string").alias("code"),
-                      F.col("p_brand").alias("category"), F.col("p_name").alias("item"),
-                      F.col("l_quantity").cast("double").alias("quantity"), F.lit(0).cast("bigint").alias("file_rank")))
     d = _run_dir(spark, "history")
-    land_in_order(lines, F.unix_date("day"), os.path.join(d, "src"))
+    land(history_lines(ctx(spark, sf_dir)), F.unix_date("day"), os.path.join(d, "src"))
     SH.start(spark, os.path.join(d, "src"), os.path.join(d, "out"), os.path.join(d, "ck"),
-             files_per_trigger=1).awaitTermination()
+             files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
     return SH.read_history(spark, os.path.join(d, "out"))
 
 
@@ -67,7 +87,7 @@ def q_stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T03 over the change log: the streamed state equals the batch fold."""
     log = ctx(spark, sf_dir).change_log.select(*[c.split()[0] for c in SD.LOG_SCHEMA.split(", ")])
     d = _run_dir(spark, "decisions")
-    land_in_order(log, F.col("id"), os.path.join(d, "src"))
+    land(log, F.col("id"), os.path.join(d, "src"))
     SD.start(spark, os.path.join(d, "src"), os.path.join(d, "log"), os.path.join(d, "state"),
-             os.path.join(d, "ck"), files_per_trigger=1).awaitTermination()
+             os.path.join(d, "ck"), files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
     return SD.read_state(spark, os.path.join(d, "state"))

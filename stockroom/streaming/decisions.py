@@ -29,7 +29,6 @@ def bucket_of(dept, item, buckets: int = BUCKETS) -> F.Column:
 def _fold_batch(log_dir: str, state_dir: str, buckets: int):
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         b = batch.withColumn("bucket", bucket_of(F.col("dept"), F.col("item"), buckets))
         b.write.mode("append").partitionBy("bucket").parquet(log_dir)
         touched = [r[0] for r in b.select("bucket").distinct().collect()]  # <= BUCKETS ints
@@ -40,7 +39,8 @@ def _fold_batch(log_dir: str, state_dir: str, buckets: int):
         # removed decisions stay as tombstones, so every touched bucket is rewritten
         state = decision_state(log, keep_removed=True).withColumn(
             "bucket", bucket_of(F.col("dept"), F.col("item"), buckets))
-        state.write.mode("overwrite").partitionBy("bucket").parquet(state_dir)
+        (state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("bucket").parquet(state_dir))
     return sink
 
 

@@ -1,14 +1,11 @@
 """Daily sales history kept current from landed daily report files.
 
-Each landed file is a full report of the days it covers; a later file for the same day
-replaces that day ("keep last"). The history table is parquet partitioned by month. Each
-micro-batch (at most ``FILES_PER_TRIGGER`` files, the original tool's checkpoint interval)
-is rolled up to (day, code) - A03 - and merged into the months it touches: the existing
-rows of those months minus the re-delivered days, plus the new days. The merged months are
-materialised in the checkpoint folder first (they are read from the same table they
-overwrite), then written with dynamic partition overwrite. The stream checkpoint records
-which files are done, so a restart resumes after the last committed batch and a replayed
-batch rewrites the same months with the same rows.
+A report is delivered as one or more files; each line names its report (``report_id``, ascending in
+time of delivery). Every micro-batch is reduced to (day, report, code) partials - A03 - and readers
+sum all partials of one report, so a day may span any number of files and micro-batches.
+
+One report counts for each day. U03: a day that is already held is skipped, so the first report of a
+day stays (``held="first"``); ``held="newest"`` lets a later report replace its days.
 """
 
 from __future__ import annotations
@@ -16,50 +13,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import durable, read_parquet_or_none
+from . import batches
 
 FILES_PER_TRIGGER = 40
 
-LINE_SCHEMA = "day date, code string, category string, item string, quantity double, file_rank bigint"
-HISTORY_COLUMNS = ["day", "code", "category", "item", "units", "lines"]
+LINE_SCHEMA = ("day date, code string, category string, item string, quantity double, revenue decimal(18,2), "
+               "on_hand double, line_no bigint, report_id bigint")
+HISTORY_COLUMNS = ["day", "code", "category", "item", "units", "revenue", "on_hand", "lines"]
+HISTORY_SCHEMA = ("day date, code string, category string, item string, units double, revenue decimal(28,2), "
+                  "on_hand double, lines bigint")
 
 
-def daily_rollup(lines: DataFrame) -> DataFrame:
-    """Per (day, code) - first category and description, units and line count. When one
-    batch carries two reports of the same day, only the latest (``file_rank``) counts."""
-    latest = lines.groupBy("day").agg(F.max("file_rank").alias("_fr"))
-    cur = lines.join(latest, "day").filter(F.col("file_rank") == F.col("_fr"))
-    return (cur.groupBy("day", "code")
-               .agg(F.min("category").alias("category"), F.min("item").alias("item"),
-                    F.sum("quantity").alias("units"), F.count("*").alias("lines"))
-               .withColumn("month", F.date_format("day", "yyyy-MM")))
+def daily_partials(lines: DataFrame) -> DataFrame:
+    """Per (day, report, code) - units, revenue, on-hand, line count and the first line's category
+    and description (of the lines at hand)."""
+    return (lines.groupBy("day", "report_id", "code")
+                 .agg(F.min(F.struct("line_no", "category", "item")).alias("first"), F.sum("quantity").alias("units"),
+                      F.sum("revenue").alias("revenue"), F.sum("on_hand").alias("on_hand"), F.count("*").alias("lines")))
 
 
-def _merge_batch(table_dir: str):
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = daily_rollup(batch)
-        old = read_parquet_or_none(spark, table_dir)
-        if old is not None:
-            months = new.select("month").distinct()
-            old = old.join(months, "month", "left_semi")
-            old = old.join(new.select("day").distinct(), "day", "left_anti")
-            merged = durable(old.select(*HISTORY_COLUMNS, "month").unionByName(new.select(*HISTORY_COLUMNS, "month")))
-        else:
-            merged = new
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (merged.repartition("month").write.mode("overwrite").partitionBy("month").parquet(table_dir))
-    return sink
+def merge_partials(partials: DataFrame) -> DataFrame:
+    return (partials.groupBy("day", "report_id", "code")
+                    .agg(F.min("first").alias("first"), F.sum("units").alias("units"), F.sum("revenue").alias("revenue"),
+                         F.sum("on_hand").alias("on_hand"), F.sum("lines").alias("lines")))
 
 
 def start(spark: SparkSession, source_dir: str, table_dir: str, checkpoint_dir: str, *,
           files_per_trigger: int = FILES_PER_TRIGGER, available_now: bool = True):
-    reader = spark.readStream.schema(LINE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-    w = (reader.parquet(source_dir).writeStream.foreachBatch(_merge_batch(table_dir))
-               .option("checkpointLocation", checkpoint_dir))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
-    return w.start()
-
-
-def read_history(spark: SparkSession, table_dir: str) -> DataFrame:
-    return spark.read.parquet(table_dir).select(*HISTORY_COLUMNS)
+    return batches.run(spark, LINE_SCHEMA, source_dir, checkpoint_dir, batches.append_partials(table_dir, daily_partials),
+                       files_per_trigger=files_per_trigger, available_now=available_now, interval="1 hour")
+
+
+def read_history(spark: SparkSession, table_dir: str, held: str = "first") -> DataFrame:
+    """The history: one row per (day, code) of the report that holds the day."""
+    t = batches.read_partials(spark, table_dir)
+    if t is None:
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+    pick = {"first": F.min, "newest": F.max}[held]
+    holder = t.groupBy("day").agg(pick("report_id").alias("report_id"))  # one row per calendar day
+    return (merge_partials(t).join(holder, ["day", "report_id"])
+                             .select("day", "code", F.col("first.category").alias("category"), F.col("first.item").alias("item"),
+                                     "units", "revenue", "on_hand", "lines"))

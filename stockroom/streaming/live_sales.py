@@ -1,15 +1,9 @@
 """Live sales rollup kept current from a stream of sale lines.
 
-Sale lines land as files (or arrive from a message bus). The stream keeps the
-(store-local day, dept, store, code) grain as state - one tumbling 1-day window on the
-store-local clock, with a 1-day watermark so finished days leave the state store - and
-emits updated groups each micro-batch. ``foreachBatch`` appends them, stamped with the
-batch id, to a table partitioned by day; readers take the latest version of each group,
-so a replayed batch (at-least-once delivery) changes nothing. Every rollup level is then
-computed from that grain by the batch ``live_levels``.
-
-A line later than the watermark is dropped by the stream and picked up by the nightly
-batch recompute (``live_rollup`` over the landed files).
+Sale lines land as files in any order. Each micro-batch is reduced to (store-local day, dept, store,
+code) partials by the batch ``live_base`` and readers sum them, so a line counts whenever it
+arrives and a day may span any number of files. Every rollup level is then computed from that grain by
+the batch ``live_levels``. ``late_lines`` reports what came after its day had been read.
 """
 
 from __future__ import annotations
@@ -17,55 +11,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import read_parquet_or_none
-from ..plans.sales import STORE_ZONE, first_sale, live_levels, live_lines
-
-WATERMARK = "1 day"
+from ..plans.sales import live_base, live_levels
+from . import batches
 
 SALES_LINE_SCHEMA = ("event_id bigint, ts timestamp_ntz, store string, department string, code string, "
                      "description string, quantity int, total decimal(18,2)")
+GRAIN_SCHEMA = ("day date, dept string, store string, code string, u bigint, s decimal(28,2), "
+                "first struct<ts:timestamp_ntz,event_id:bigint,d:string>, n bigint")
 
 
-def live_updates(lines: DataFrame, mapping=None, watermark: str = WATERMARK) -> DataFrame:
-    """Streaming (or batch) aggregate of sale lines to the day grain on the store-local clock.
-    The session time zone must be UTC so a 1-day window starts at local midnight."""
-    x = (live_lines(lines, mapping).drop("day")
-         .withColumn("lt", F.from_utc_timestamp("ts", STORE_ZONE))
-         .withWatermark("lt", watermark))
-    g = x.groupBy(F.window("lt", "1 day").alias("w"), "dept", "store", "code").agg(
-        F.sum("quantity").alias("u"), F.sum("total").alias("s"), first_sale().alias("first"))
-    return g.select(F.to_date(F.col("w.start")).alias("day"), "dept", "store", "code", "u", "s", "first")
-
-
-def _append_batch(table_dir: str):
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id))
-              .write.mode("append").partitionBy("day").parquet(table_dir))
-    return sink
+def partials(lines: DataFrame, mapping=None) -> DataFrame:
+    """A micro-batch's part of the grain, with its number of lines."""
+    return live_base(lines, mapping)
 
 
 def start(spark: SparkSession, source_dir: str, table_dir: str, checkpoint_dir: str, *,
           files_per_trigger: int | None = None, available_now: bool = True, mapping=None):
     """Run the stream: parquet files of sale lines in ``source_dir`` -> grain table."""
-    reader = spark.readStream.schema(SALES_LINE_SCHEMA)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    updates = live_updates(reader.parquet(source_dir), mapping)
-    w = (updates.writeStream.outputMode("update").foreachBatch(_append_batch(table_dir))
-                .option("checkpointLocation", checkpoint_dir))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="15 minutes")
-    return w.start()
+    return batches.run(spark, SALES_LINE_SCHEMA, source_dir, checkpoint_dir,
+                       batches.append_partials(table_dir, lambda b: partials(b, mapping)),
+                       files_per_trigger=files_per_trigger, available_now=available_now, interval="15 minutes")
+
+
+def merge_partials(t: DataFrame) -> DataFrame:
+    return t.groupBy("day", "dept", "store", "code").agg(
+        F.sum("u").alias("u"), F.sum("s").alias("s"), F.min("first").alias("first"), F.sum("n").alias("n"))
 
 
 def current_grain(spark: SparkSession, table_dir: str) -> DataFrame:
-    """Latest version of every (day, dept, store, code) group written by the stream."""
-    t = read_parquet_or_none(spark, table_dir)
+    """Every (day, dept, store, code) group over all micro-batches so far."""
+    t = batches.read_partials(spark, table_dir)
+    return spark.createDataFrame([], GRAIN_SCHEMA) if t is None else merge_partials(t)
+
+
+def late_lines(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Per day: all lines, and those that came in a later micro-batch than the day's first."""
+    t = batches.read_partials(spark, table_dir)
     if t is None:
-        return spark.createDataFrame([], "day date, dept string, store string, code string, u bigint, "
-                                         "s decimal(28,2), first struct<ts:timestamp_ntz,event_id:bigint,d:string>")
-    return (t.groupBy("day", "dept", "store", "code")
-             .agg(F.max_by(F.struct("u", "s", "first"), "batch_id").alias("v"))
-             .select("day", "dept", "store", "code", "v.u", "v.s", "v.first"))
+        return spark.createDataFrame([], "day date, lines bigint, late bigint")
+    per = t.groupBy("day", "batch_id").agg(F.sum("n").alias("n"))
+    return per.groupBy("day").agg(F.sum("n").alias("lines"), (F.sum("n") - F.min_by("n", "batch_id")).alias("late"))
 
 
 def live_from_stream(spark: SparkSession, table_dir: str) -> DataFrame:

@@ -1,16 +1,18 @@
-"""Streams (T01-T04) run with availableNow over split files must equal the batch result;
-a replayed file changes nothing; a line later than the watermark is dropped."""
+"""Streams (T01-T04) run with availableNow over files that overlap in time must equal the batch
+result; a replayed micro-batch changes nothing; a late line counts."""
 
 import datetime
 import os
-import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from stockroom.operators.decisions import decision_state
 from stockroom.plans.sales import live_rollup
+from stockroom.plans.streams import history_lines, land
 from stockroom.sources.tables import tables
+from stockroom.streaming import batches
 from stockroom.streaming import decisions as SD
 from stockroom.streaming import history as SH
 from stockroom.streaming import live_sales as SL
@@ -22,91 +24,91 @@ def _rows(df):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
-def _scratch():
-    return tempfile.mkdtemp(prefix="stream-")
+@pytest.fixture
+def scratch(tmp_path):
+    return str(tmp_path)
 
 
-def test_live_sales_stream_equals_batch(spark):
-    t = tables(spark, SF_SMALL)
-    lines = t.sales_lines.select(*[c.split()[0] for c in SL.SALES_LINE_SCHEMA.split(", ")])
-    d = _scratch()
-    src, out, ck = (os.path.join(d, x) for x in ("src", "out", "ck"))
-    ordered = lines.withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")).cast("double"))
-    for k, (lo, hi) in enumerate([(None, 0.34), (0.34, 0.67), (0.67, None)]):
-        qs = ordered.approxQuantile("_t", [q for q in (lo, hi) if q is not None], 0.0)
-        part = ordered
-        if lo is not None:
-            part = part.filter(F.col("_t") > qs[0])
-        if hi is not None:
-            part = part.filter(F.col("_t") <= qs[-1])
-        part.drop("_t").coalesce(1).write.mode("append").parquet(src)
-    SL.start(spark, src, out, ck, files_per_trigger=1).awaitTermination()
-    expected = _rows(live_rollup(t.sales_lines))
+def _live_lines(spark):
+    return tables(spark, SF_SMALL).sales_lines.select(*[c.split()[0] for c in SL.SALES_LINE_SCHEMA.split(", ")])
+
+
+@pytest.mark.parametrize("files_per_trigger", [1, 3, None])
+def test_live_sales_stream_equals_batch(spark, scratch, files_per_trigger):
+    lines = _live_lines(spark)
+    src, out, ck = (os.path.join(scratch, x) for x in ("src", "out", "ck"))
+    land(lines, F.unix_micros(F.col("ts").cast("timestamp")), src, slices=2, files=4)
+    SL.start(spark, src, out, ck, files_per_trigger=files_per_trigger).awaitTermination()
+    expected = _rows(live_rollup(lines))
     assert _rows(SL.live_from_stream(spark, out)) == expected
-    # replay: nothing new to read, nothing changes
-    SL.start(spark, src, out, ck, files_per_trigger=1).awaitTermination()
+    assert SL.current_grain(spark, out).agg(F.sum("n")).first()[0] == lines.filter("trim(coalesce(code, '')) <> ''").count()
+    # nothing new to read, nothing changes
+    SL.start(spark, src, out, ck, files_per_trigger=files_per_trigger).awaitTermination()
     assert _rows(SL.live_from_stream(spark, out)) == expected
-    # a line two weeks older than the newest data is beyond the 1-day watermark: dropped
+    # a line of the first day, long after: it counts, and is reported as late
     late = lines.orderBy("ts").limit(1).withColumn("event_id", F.lit(10**9).cast("bigint"))
+    before = {r["day"]: r["late"] for r in SL.late_lines(spark, out).collect()}
     late.write.mode("append").parquet(src)
-    SL.start(spark, src, out, ck, files_per_trigger=1).awaitTermination()
-    assert _rows(SL.live_from_stream(spark, out)) == expected
-
-
-def _history_lines(t):
-    return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-             .select(F.col("l_shipdate").cast("date").alias("day"), F.col("l_partkey").cast("string").alias("code"),
-                     F.col("p_brand").alias("category"), F.col("p_name").alias("item"),
-                     F.col("l_quantity").cast("double").alias("quantity")))
-
-
-def test_history_stream_equals_batch_and_replay_is_idempotent(spark):
+    SL.start(spark, src, out, ck, files_per_trigger=files_per_trigger).awaitTermination()
+    assert _rows(SL.live_from_stream(spark, out)) == _rows(live_rollup(lines.unionByName(late)))
+    after = {r["day"]: r["late"] for r in SL.late_lines(spark, out).collect()}
+    assert sum(after.values()) == sum(before.values()) + 1
+    # one compacted batch says the same
+    small = os.path.join(scratch, "small")
+    batches.compact(spark, out, small, SL.merge_partials)
+    assert _rows(SL.live_from_stream(spark, small)) == _rows(SL.live_from_stream(spark, out))
+
+
+def test_a_replayed_micro_batch_changes_nothing(spark, scratch):
+    lines = _live_lines(spark)
+    sink = batches.append_partials(scratch, SL.partials)
+    half = lines.filter("event_id % 2 = 0")
+    sink(half, 0)
+    sink(lines.filter("event_id % 2 = 1"), 1)
+    sink(half, 0)
+    assert _rows(SL.live_from_stream(spark, scratch)) == _rows(live_rollup(lines))
+
+
+def _expected_history(lines):
+    return _rows(lines.groupBy("day", "code").agg(
+        F.min_by("category", "line_no").alias("category"), F.min_by("item", "line_no").alias("item"),
+        F.sum("quantity").alias("units"), F.sum("revenue").alias("revenue"), F.sum("on_hand").alias("on_hand"),
+        F.count("*").alias("lines")))
+
+
+@pytest.mark.parametrize("files_per_trigger", [1, 40])
+def test_history_of_overlapping_files_equals_batch(spark, scratch, files_per_trigger):
+    lines = history_lines(tables(spark, SF_SMALL))
+    src, out, ck = (os.path.join(scratch, x) for x in ("src", "out", "ck"))
+    land(lines, F.col("line_no"), src, slices=2, files=4)  # every day is in several files of both deliveries
+    SH.start(spark, src, out, ck, files_per_trigger=files_per_trigger).awaitTermination()
+    assert _rows(SH.read_history(spark, out)) == _expected_history(lines)
     t = tables(spark, SF_SMALL)
-    lines = _history_lines(t)
-    d = _scratch()
-    src, out, ck = (os.path.join(d, x) for x in ("src", "out", "ck"))
-    cuts = [datetime.date(1997, 1, 1), datetime.date(1999, 1, 1)]
-    edges = [None, *cuts, None]
-    for k in range(3):
-        part = lines
-        if edges[k] is not None:
-            part = part.filter(F.col("day") >= F.lit(edges[k]))
-        if edges[k + 1] is not None:
-            part = part.filter(F.col("day") < F.lit(edges[k + 1]))
-        part.withColumn("file_rank", F.lit(k).cast("bigint")).coalesce(1).write.mode("append").parquet(src)
-    SH.start(spark, src, out, ck, files_per_trigger=1).awaitTermination()
-    expected = _rows(t.history)
-    assert _rows(SH.read_history(spark, out)) == expected
-    # the report of one month is delivered again: same rows, history unchanged
-    again = lines.filter((F.col("day") >= F.lit(datetime.date(1998, 3, 1))) & (F.col("day") < F.lit(datetime.date(1998, 4, 1))))
-    again.withColumn("file_rank", F.lit(7).cast("bigint")).coalesce(1).write.mode("append").parquet(src)
+    assert _rows(SH.read_history(spark, out).select(*t.history.columns)) == _rows(t.history)
+
+
+def test_one_report_counts_for_a_day(spark, scratch):
+    lines = history_lines(tables(spark, SF_SMALL))
+    src, out, ck = (os.path.join(scratch, x) for x in ("src", "out", "ck"))
+    lines.repartition(4).write.parquet(src)
+    SH.start(spark, src, out, ck, files_per_trigger=2).awaitTermination()
+    first = _expected_history(lines)
+    fix = (lines.filter((F.col("day") >= F.lit(datetime.date(1998, 3, 1))) & (F.col("day") < F.lit(datetime.date(1998, 4, 1))))
+                .withColumn("quantity", F.lit(1.0)).withColumn("report_id", F.lit(7).cast("bigint")))
+    assert fix.count() > 0
+    fix.repartition(3).write.mode("append").parquet(src)
     SH.start(spark, src, out, ck, files_per_trigger=1).awaitTermination()
-    assert _rows(SH.read_history(spark, out)) == expected
+    # Days already held are skipped
+    assert _rows(SH.read_history(spark, out)) == first
+    # or the newest report replaces its days, all its files together
+    rest = lines.join(fix.select("day").distinct(), "day", "left_anti").unionByName(fix)
+    assert _rows(SH.read_history(spark, out, held="newest")) == _expected_history(rest)
 
 
-def test_history_later_report_replaces_its_days(spark):
-    t = tables(spark, SF_SMALL)
-    lines = _history_lines(t)
-    d = _scratch()
-    src, out, ck = (os.path.join(d, x) for x in ("src", "out", "ck"))
-    lines.withColumn("file_rank", F.lit(0).cast("bigint")).coalesce(1).write.mode("append").parquet(src)
-    SH.start(spark, src, out, ck).awaitTermination()
-    day = lines.agg(F.max("day")).first()[0]
-    fix = lines.filter(F.col("day") == F.lit(day)).withColumn("quantity", F.lit(1.0))
-    fix.withColumn("file_rank", F.lit(1).cast("bigint")).coalesce(1).write.mode("append").parquet(src)
-    SH.start(spark, src, out, ck).awaitTermination()
-    h = SH.read_history(spark, out)
-    got = h.filter(F.col("day") == F.lit(day)).agg(F.sum("units"), F.sum("lines")).first()
-    assert got[0] == got[1]  # every line of the re-sent day now has one unit
-    before = t.history.filter(F.col("day") != F.lit(day))
-    assert _rows(h.filter(F.col("day") != F.lit(day))) == _rows(before)
-
-
-def test_decision_stream_equals_batch_fold(spark):
+def test_decision_stream_equals_batch_fold(spark, scratch):
     t = tables(spark, SF_SMALL)
     log = t.change_log.select(*[c.split()[0] for c in SD.LOG_SCHEMA.split(", ")])
-    d = _scratch()
-    src, logd, state, ck = (os.path.join(d, x) for x in ("src", "log", "state", "ck"))
+    src, logd, state, ck = (os.path.join(scratch, x) for x in ("src", "log", "state", "ck"))
     ids = log.approxQuantile("id", [1 / 3, 2 / 3], 0.0)
     edges = [None, *ids, None]
     for k in range(3):
@@ -115,7 +117,7 @@ def test_decision_stream_equals_batch_fold(spark):
             part = part.filter(F.col("id") > edges[k])
         if edges[k + 1] is not None:
             part = part.filter(F.col("id") <= edges[k + 1])
-        part.coalesce(1).write.mode("append").parquet(src)
+        part.repartition(3).write.mode("append").parquet(src)
     SD.start(spark, src, logd, state, ck, buckets=8, files_per_trigger=1).awaitTermination()
     expected = _rows(decision_state(log))
     assert _rows(SD.read_state(spark, state)) == expected
