@@ -28,7 +28,8 @@ b2 AS (
 rs AS (
   SELECT *, greatest(target - ohp, 0) AS need, greatest(ohp - target, 0) AS surp FROM b2),
 ritem AS (SELECT item, median(price_raw) AS price, arg_min(code, ingest_row) AS item_code FROM rs GROUP BY item),
-rrecv AS (SELECT item, store, need, row_number() OVER (PARTITION BY item ORDER BY vel DESC, store) AS k FROM rs WHERE need > 0),
+rrecv AS (SELECT item, store, ingest_row, need, row_number() OVER (PARTITION BY item ORDER BY vel DESC, store, ingest_row) AS k
+          FROM rs WHERE need > 0),
 rwalk(item, k, donor, avail, take, before) AS (
   SELECT item, CAST(0 AS BIGINT), store, surp, CAST(0 AS DOUBLE), surp FROM rs WHERE surp > 0
   UNION ALL
@@ -39,17 +40,17 @@ rwalk(item, k, donor, avail, take, before) AS (
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prev
       FROM rwalk w JOIN rrecv v ON v.item = w.item AND v.k = w.k + 1) x) y),
 rgot AS (
-  SELECT v.item, v.store, coalesce(sum(w.take), 0) AS got,
+  SELECT v.item, v.ingest_row, coalesce(sum(w.take), 0) AS got,
          string_agg(CAST(CAST(trunc(w.take) AS BIGINT) AS VARCHAR) || ' from ' || w.donor, ', '
                     ORDER BY w.before DESC, w.donor) FILTER (WHERE w.take > 0) AS xfer
-  FROM rrecv v LEFT JOIN rwalk w ON w.item = v.item AND w.k = v.k GROUP BY v.item, v.store)"""
+  FROM rrecv v LEFT JOIN rwalk w ON w.item = v.item AND w.k = v.k GROUP BY v.item, v.ingest_row)"""
 
 SQL = {}
 SQL["restock_brief"] = with_views(["inventory", "history", "deals"], INV, H, CAT, ITEM, FACTORS, TERMS, RESTOCK) + f""",
 rows AS (
   SELECT r.*, g.got, g.xfer, ri.price, ri.item_code,
          CAST(trunc(greatest(r.need - g.got, 0)) AS BIGINT) AS buy
-  FROM rs r JOIN rgot g ON g.item = r.item AND g.store = r.store JOIN ritem ri ON ri.item = r.item WHERE r.need > 0)
+  FROM rs r JOIN rgot g ON g.item = r.item AND g.ingest_row = r.ingest_row JOIN ritem ri ON ri.item = r.item WHERE r.need > 0)
 SELECT rows.item, rows.store, CASE WHEN ohp = 0 AND vel > 0 THEN 'STOCKOUT' ELSE '' END AS stockout,
        CAST(trunc(on_hand) AS BIGINT) AS on_hand, round_even(vel, 1) + 0.0 AS wk_velocity,
        CASE WHEN trend_r >= 1.2 THEN 'rising' WHEN trend_r <= 0.8 THEN 'falling' ELSE 'steady' END AS trend,
@@ -67,7 +68,8 @@ ours AS (SELECT {norm_code('code')} AS upc, item, median(price) AS our FROM inve
          GROUP BY {norm_code('code')}, item HAVING median(price) > 0),
 mkt AS (SELECT code_key AS upc, avg(market) AS mkt FROM market_price GROUP BY code_key),
 j AS (SELECT o.*, m.mkt, c.comp_a, c.comp_b FROM ours o LEFT JOIN mkt m ON m.upc = o.upc
-      LEFT JOIN market_price c ON c.code_key = o.upc),
+      LEFT JOIN (SELECT * FROM market_price QUALIFY row_number() OVER (PARTITION BY code_key ORDER BY list_row DESC) = 1) c
+        ON c.code_key = o.upc),
 j2 AS (SELECT *, CASE WHEN comp_a IS NULL THEN comp_b WHEN comp_b IS NULL THEN comp_a ELSE least(comp_a, comp_b) END AS best FROM j),
 j3 AS (SELECT *, coalesce(best, mkt) AS bench,
               CASE WHEN best IS NOT NULL THEN concat_ws('/', CASE WHEN comp_a = best THEN 'comp_a' END,
@@ -84,7 +86,7 @@ SQL["deal_evaluation"] = with_views(["inventory", "history", "deals"], INV, H, C
 byupc AS (SELECT {norm_code('code')} AS upc, sum(on_hand) AS oh, 0.6 * sum(u30) * 7 / 30 + 0.4 * sum(u90) * 7 / 90 AS wk_vel
           FROM inv WHERE {_THC} GROUP BY {norm_code('code')}),
 d0 AS (SELECT *, {norm_code('code_key')} AS upc, CASE WHEN units_case > 0 THEN CAST(units_case AS BIGINT) ELSE 1 END AS uc
-       FROM deals WHERE case_cost IS NOT NULL AND net_unit IS NOT NULL AND case_cost > 0 AND net_unit > 0),
+       FROM deals_rows WHERE case_cost IS NOT NULL AND net_unit IS NOT NULL AND case_cost > 0 AND net_unit > 0),
 d1 AS (SELECT *, case_cost / uc AS reg_cost, case_cost / uc - net_unit AS savings FROM d0),
 d2 AS (SELECT *, savings / reg_cost * 100 AS disc,
               CASE WHEN min_cases > 0 THEN CAST(trunc(min_cases * uc) AS BIGINT) ELSE 0 END AS min_units

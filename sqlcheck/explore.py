@@ -91,12 +91,9 @@ SELECT {_FCOLS}, score FROM (SELECT *, row_number() OVER (PARTITION BY dept ORDE
 
 _Q = X.FOCUS_QUESTION.lower().replace("'", "''")
 SQL["focus_store_detail"] = f"""WITH ranked AS (SELECT * FROM ({order.SQL['transfer_plan_ranked']}) r0),
-named AS (SELECT * FROM ranked WHERE instr('{_Q}', lower(to_store)) > 0),
-pick AS (SELECT to_store FROM (SELECT DISTINCT to_store FROM named) d ORDER BY to_store LIMIT {X.FOCUS_NAMED_STORES})
-SELECT * FROM (
-  SELECT n.*, row_number() OVER (PARTITION BY n.to_store ORDER BY priority_rank, value DESC NULLS LAST, dept, item) AS line
-  FROM named n JOIN pick p ON p.to_store = n.to_store) x
-WHERE line <= {X.FOCUS_STORE_ROWS}"""
+named AS (SELECT * FROM ranked WHERE instr('{_Q}', lower(to_store)) > 0)
+SELECT n.*, row_number() OVER (PARTITION BY n.to_store ORDER BY priority_rank, value DESC NULLS LAST, dept, item) AS line
+FROM named n"""
 
 _TAB = X.TAB_COLS
 _HAY = "lower(concat_ws(' ', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _TAB) + "))"
@@ -188,7 +185,7 @@ SELECT CAST(timezone('America/Chicago', timezone('UTC', ts)) AS DATE) AS day, co
        CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(total) AS DECIMAL(28,2)) AS sales
 FROM sales_lines WHERE trim(coalesce(code, '')) <> '' GROUP BY 1"""
 SQL["stream_history"] = """
-SELECT CAST(l_shipdate AS DATE) AS day, CAST(l_partkey AS VARCHAR) AS code, arg_min(p_brand, l_orderkey * 8 + l_linenumber) AS category,
+SELECT CAST(l_shipdate AS DATE) AS day, CAST(900000000000 + l_partkey AS VARCHAR) AS code, arg_min(p_brand, l_orderkey * 8 + l_linenumber) AS category,
        arg_min(p_name, l_orderkey * 8 + l_linenumber) AS item, sum(l_quantity) AS units,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS revenue,
        CAST(sum(l_orderkey % 50) AS DOUBLE) AS on_hand, count(*) AS lines

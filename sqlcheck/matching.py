@@ -94,7 +94,7 @@ fz AS (SELECT h.line_id, h.pi, arg_min(h.cid, (-(h.hits / n.n_q), h.cid)) AS f_c
 s2 AS (SELECT s1.*, CASE WHEN fz.sc >= 0.6 THEN fz.f_cid END AS f_cid FROM s1 LEFT JOIN fz ON fz.line_id = s1.line_id AND fz.pi = s1.pi),
 srows AS (SELECT line_id, pi, 0 AS bi, coalesce(upc_cid, e_cid, f_cid) AS cid,
                  CASE WHEN upc_cid IS NOT NULL THEN 'upc' WHEN e_cid IS NOT NULL THEN 'exact' ELSE 'fuzzy' END AS conf,
-                 target, false AS capped FROM s2 WHERE coalesce(upc_cid, e_cid, f_cid) IS NOT NULL),
+                 target, false AS many FROM s2 WHERE coalesce(upc_cid, e_cid, f_cid) IS NOT NULL),
 smiss AS (SELECT line_id, pi, q AS unmatched FROM s2 WHERE coalesce(upc_cid, e_cid, f_cid) IS NULL),
 brand AS (SELECT * FROM parts WHERE is_brand),
 btok AS (SELECT DISTINCT line_id, pi, unnest(string_split({_norm('q')}, ' ')) AS tok FROM brand),
@@ -104,8 +104,8 @@ bh AS (SELECT b.line_id, b.pi, c.cid FROM btok2 b JOIN ctok2 c ON c.tok = b.tok
        HAVING count(*) = (SELECT n_q FROM bn WHERE bn.line_id = b.line_id AND bn.pi = b.pi)),
 bh2 AS (SELECT *, row_number() OVER (PARTITION BY line_id, pi ORDER BY cid) AS bi,
                count(*) OVER (PARTITION BY line_id, pi) AS n FROM bh),
-brows AS (SELECT h.line_id, h.pi, h.bi, h.cid, 'brand' AS conf, b.target, h.n > 40 AS capped
-          FROM bh2 h JOIN brand b ON b.line_id = h.line_id AND b.pi = h.pi WHERE h.bi <= 40),
+brows AS (SELECT h.line_id, h.pi, h.bi, h.cid, 'brand' AS conf, b.target, h.n > 40 AS many
+          FROM bh2 h JOIN brand b ON b.line_id = h.line_id AND b.pi = h.pi),
 bmiss AS (SELECT line_id, pi, raw AS unmatched FROM brand b
           WHERE NOT EXISTS (SELECT 1 FROM bh WHERE bh.line_id = b.line_id AND bh.pi = b.pi)),
 r0 AS (SELECT r.*, ac.upc, ac."desc", ac.nd, ac.units_case, ac.net_case, ac.retail_case, ac.bm_text
@@ -151,7 +151,7 @@ SELECT line_id, pi, bi, upc, trim(regexp_replace("desc", '\\s+', ' ', 'g')) AS i
        round_even(coalesce(cases, 0) * price, 2) + 0.0 AS order_usd,
        concat_ws('; ',
          CASE WHEN conf = 'brand' THEN 'whole brand' END,
-         CASE WHEN conf = 'brand' AND capped THEN 'many, review' END,
+         CASE WHEN conf = 'brand' AND many THEN 'many, review' END,
          CASE WHEN conf = 'fuzzy' THEN 'check match' END,
          CASE WHEN conf <> 'upc' AND coalesce(n_upc, 0) > 1 THEN 'multiple UPCs, confirm' END,
          CASE WHEN NOT has_inv THEN 'no stock data' END,

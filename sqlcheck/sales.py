@@ -40,7 +40,7 @@ FROM u WHERE trim(coalesce(code, '')) <> ''
 SQL["sink_vendor_split"] = with_views(["po_lines"]) + """,
 v AS (SELECT coalesce(nullif(trim(vendor), ''), 'Unknown') AS vendor FROM po_lines
       WHERE status = 'Receiving' AND created > DATE '2001-06-30' - 4 AND trim(coalesce(code, '')) <> '')
-SELECT vendor, substr(trim(regexp_replace(vendor, '[^A-Za-z0-9_ .-]', '_', 'g')), 1, 60) || '.csv' AS file, count(*) AS lines
+SELECT vendor, trim(regexp_replace(vendor, '[^A-Za-z0-9_ .-]', '_', 'g')) || '.csv' AS file, count(*) AS lines
 FROM v GROUP BY vendor"""
 
 SQL["freshness"] = with_views(["history"]) + """

@@ -118,7 +118,7 @@ lines AS (
            CASE WHEN ly_wk IS NOT NULL AND ly_wk >= 2 AND ly_wk >= 1.5 * wk_vel
                 THEN 'Seasonal - last year ~' || CAST(CAST(round_even(ly_wk, 0) AS BIGINT) AS VARCHAR) || '/wk vs '
                      || CAST(CAST(round_even(wk_vel, 0) AS BIGINT) AS VARCHAR) || ' now, buy ahead?' END), '') END AS review,
-         section, wos AS _wos, profit_protected AS _pp
+         section, wos AS _wos, profit_protected AS _pp, cost AS _cost, pack AS _pack
   FROM buy3)"""
 
 _HEAD = with_views(_VIEWS, INV, NEED, TRANSFER, ORDER)
@@ -138,6 +138,27 @@ ranked AS (
   FROM lines WHERE section = 'order')
 SELECT dept, item, wos, net_buy_usd, cum_buy, CASE WHEN cum_buy <= 50000 THEN 'order' ELSE 'deferred' END AS section
 FROM ranked"""
+SQL["weekly_order_overrides"] = with_views([*_VIEWS, "order_decisions"], INV, NEED, TRANSFER, ORDER) + """,
+ov AS (
+  SELECT l.*, d.action, d.note, coalesce(d.action = 'qty', false) AND d.qty IS NOT NULL AS is_qty, TRY_CAST(d.qty AS DOUBLE) AS q
+  FROM lines l LEFT JOIN order_decisions d
+    ON lower(trim(l.dept)) = lower(trim(d.dept)) AND lower(trim(l.item)) = lower(trim(d.item))
+  WHERE l.section = 'order' AND coalesce(d.action, '') <> 'skip'),
+ov2 AS (SELECT *, CASE WHEN is_qty AND q IS NOT NULL THEN greatest(CAST(trunc(q) AS BIGINT), 0) ELSE buy_units END AS units2 FROM ov)
+SELECT dept, item, product_code, category, supplier, chain_oh, wos, trend, ly_wk, gross_need, transfer, units2 AS buy_units,
+       CASE WHEN is_qty THEN round_even(units2 / _pack, 1) + 0.0 ELSE buy_cases END AS buy_cases, unit_cost,
+       CASE WHEN is_qty THEN round_even(units2 * _cost, 0) + 0.0 ELSE net_buy_usd END AS net_buy_usd,
+       gm_pct, discount_pct, deal_terms, buy_month,
+       CASE WHEN action IN ('approve', 'qty') THEN '' WHEN action = 'fix' AND coalesce(note, '') <> '' THEN 'FIX REQUESTED: ' || note
+            ELSE review END AS review
+FROM ov2"""
+for _name, _by in {"margin": "gm_pct DESC NULLS LAST, _pp DESC NULLS LAST", "deals": "(length(deal_terms) > 0) DESC, _pp DESC NULLS LAST",
+                   "balanced": "_pp DESC NULLS LAST"}.items():
+    SQL[f"rank_{_name}"] = _HEAD + f""",
+ranked AS (
+  SELECT dept, item, net_buy_usd, sum(net_buy_usd) OVER (PARTITION BY dept ORDER BY {_by}, item
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_buy FROM lines WHERE section = 'order')
+SELECT dept, item, net_buy_usd, cum_buy, CASE WHEN cum_buy <= 50000 THEN 'order' ELSE 'deferred' END AS section FROM ranked"""
 SQL["dept_summary"] = _HEAD + """,
 money AS (
   SELECT r.dept, sum(round_even(coalesce(t.gross_need, 0) * r.cost, 0)) AS gross_usd,

@@ -50,7 +50,7 @@ AD_TARGETS = {
 }
 AD_TARGETS_DEFAULT = {"weekly": 4.5, "sunday": 4.5}
 AD_MATCH_MIN_SCORE = 0.6  # fuzzy name match keeps scores at or above this
-BRAND_EXPAND_CAP = 40     # a whole-brand ad line expands to at most this many items
+BRAND_REVIEW_COUNT = 40   # a whole-brand ad line with more items than this is flagged for review
 # whole-token varietal initialisms expanded before fuzzy matching
 ABBREVIATIONS = {
     "sb": "sauvignon blanc",
@@ -93,7 +93,7 @@ FOCUS_TOP_N = 15
 OPEN_PO_DAYS = 21
 VENDOR_PO_DAYS = 4
 
-# Department groups: label -> exact lower-cased department values. The default is the
+# Fixed values. Department groups: label -> exact lower-cased department values. The default is the
 # retail chain's own grouping; the driver fixture maps its part types onto it.
 DEPARTMENTS = {
     "THC": ["thc"],
@@ -113,10 +113,10 @@ FIXTURE_DEPARTMENTS = {
 # Locations that are not stores (never donors, never stockouts).
 NON_RETAIL_LOCATIONS = ["NATION_24"]
 
-# Move priority classes and their sort rank.
+# Move priority classes and their sort rank.
 MOVE_PRIORITY = {"STOCKOUT": 0, "Low <2wk": 1, "Top-up": 2}
 
-# Brand names whose first word alone is ambiguous (brand = first two words).
+# Brand names whose first word alone is ambiguous (brand = first two words).
 TWO_WORD_BRANDS = ["uncle", "minny", "hop", "sweet", "earl", "bent", "green", "old"]
 
 # Named competitors in the price comparison, in report order.

@@ -45,10 +45,12 @@ def norm_val(c) -> Column:
 
 def safe_name(c, max_len: int = 60) -> Column:
     """File-safe vendor name: characters other than word, space, '.', '-' -> '_', trimmed,
-    first 60 characters, 'Unknown' when empty."""
-    s = F.regexp_replace(F.coalesce(col(c).cast("string"), F.lit("")), r"(?U)[^\w .-]", "_")
-    s = F.substring(F.trim(s), 1, max_len)
-    return F.when(s == "", F.lit("Unknown")).otherwise(s)
+    'Unknown' when empty. A longer name keeps its first ``max_len`` characters and gets a hash of the
+    whole name, so two long names never share a file."""
+    raw = F.coalesce(col(c).cast("string"), F.lit(""))
+    s = F.trim(F.regexp_replace(raw, r"(?U)[^\w .-]", "_"))
+    long = F.concat(F.substring(s, 1, max_len), F.lit("-"), F.substring(F.md5(raw), 1, 8))
+    return F.when(s == "", F.lit("Unknown")).when(F.length(s) > max_len, long).otherwise(s)
 
 
 def parse_by_store(c) -> Column:

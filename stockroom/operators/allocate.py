@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from .. import config
 from ..functions.numeric import round_even
+from .joins import last_rows
 
 
 def weekly_velocity(u30: str = "u30") -> F.Column:
@@ -28,12 +29,12 @@ def blended_velocity(u30: str = "u30", u90: str = "u90") -> F.Column:
 
 
 def par_floor(inv: DataFrame, par: DataFrame) -> DataFrame:
-    """Attach par cases by (code_key, lower(trim(store))); only positive cases count.
+    """Attach par cases by (code_key, lower(trim(store))); the last list row of a key wins,
+    and only positive cases count.
 
     Adds ``par_cases`` (0 when none) and ``has_par``."""
-    p = (par.filter(F.col("cases") > 0)
-            .select(F.col("code_key").alias("_pk"), F.lower(F.trim(F.col("store"))).alias("_ps"),
-                    F.col("cases").alias("par_cases")))
+    p = last_rows(par.select(F.col("code_key").alias("_pk"), F.lower(F.trim(F.col("store"))).alias("_ps"),
+                             F.col("cases").alias("par_cases"), "list_row"), ["_pk", "_ps"]).filter(F.col("par_cases") > 0)
     j = inv.join(p, (inv["code_key"] == p["_pk"]) & (F.lower(F.trim(inv["store"])) == p["_ps"]), "left")
     return (j.drop("_pk", "_ps")
              .withColumn("par_cases", F.coalesce(F.col("par_cases"), F.lit(0.0)))
@@ -119,6 +120,7 @@ def transfer_plan(need_rows: DataFrame, *, keep_weeks: float = config.DONOR_KEEP
                                             F.lit(0.0)).cast("long"))
          .withColumn("_need", F.greatest(round_even(F.col("need"), 0), F.lit(0.0)).cast("long"))
          .withColumn("_wos", F.when(F.col("vel") > 0, F.col("on_hand") / F.col("vel")).otherwise(F.lit(1e9))))
+    d = d.dropna(subset=g)  # rows without an item name are no item
     per_item = d.groupBy(*g).agg(
         F.sum("_need").alias("gross_need"),
         F.array_sort(F.collect_list(F.when(F.col("_need") > 0, F.struct(

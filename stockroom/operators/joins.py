@@ -12,7 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_even
-from .rollups import first_by
+from .rollups import dedupe_keep, first_by
+
+
+def last_rows(lst: DataFrame, keys: list[str], order: str = "list_row") -> DataFrame:
+    """A reference list with one row per key, the last in list order."""
+    return dedupe_keep(lst, keys, order, keep="last").drop(order)
 
 
 def retail_by_code(inv: DataFrame) -> DataFrame:
@@ -26,6 +31,7 @@ def buyer_terms(deals: DataFrame) -> DataFrame:
     unit_regular = F.col("case_cost") / F.col("units_case")
     disc = F.when(unit_regular > 0, round_even((F.lit(1.0) - F.col("net_unit") / unit_regular) * 100, 1))
     gm = F.when(F.col("retail") > 0, round_even((F.col("retail") - F.col("net_unit")) / F.col("retail") * 100, 1))
+    deals = last_rows(deals, ["code_key"])
     return deals.select("code_key", disc.alias("discount_pct"), gm.alias("buyer_gm_pct"),
                         F.concat(F.lit("case of "), F.col("units_case").cast("string")).alias("deal"))
 
@@ -46,8 +52,8 @@ def split_discontinued(buy: DataFrame, remove_list: DataFrame) -> DataFrame:
 
 
 def ad_join(df: DataFrame, ads: DataFrame) -> DataFrame:
-    """Ad kind and weeks-of-supply target by code (last row wins upstream)."""
-    a = ads.select(F.col("code_key").alias("_ak"), F.col("kind").alias("ad_kind"),
+    """Ad kind and weeks-of-supply target by code; the last list row of a code wins."""
+    a = last_rows(ads, ["code_key"]).select(F.col("code_key").alias("_ak"), F.col("kind").alias("ad_kind"),
                    F.col("target_wos").alias("ad_target"))
     return df.join(a, df["code_key"] == a["_ak"], "left").drop("_ak")
 

@@ -12,7 +12,7 @@ from ..functions.codes import norm_code
 from ..functions.numeric import round_even, trend_label
 from ..operators.clean import dept_scope, drop_nonretail, src_inventory
 from ..operators.history import src_history
-from ..operators.joins import buyer_terms
+from ..operators.joins import buyer_terms, last_rows
 from ..operators.rollups import chain_by_code, first_by
 from .base import ctx
 from .history import seasonal_factors
@@ -59,7 +59,7 @@ _POOL = T.ArrayType(T.StructType([T.StructField("ns", T.DoubleType()), T.StructF
 def _walk(short: Column, pool: Column) -> Column:
     """W02 fold: receivers in velocity order drain donors largest-remaining-first, no
     minimum move; returns per receiver (store, got, src)."""
-    move_t = T.StructType([T.StructField("store", T.StringType()), T.StructField("got", T.DoubleType()),
+    move_t = T.StructType([T.StructField("row", T.LongType()), T.StructField("got", T.DoubleType()),
                            T.StructField("src", _SRC)])
     zero = F.struct(pool.alias("pool"), F.array().cast(T.ArrayType(move_t)).alias("moves"))
 
@@ -82,7 +82,7 @@ def _walk(short: Column, pool: Column) -> Column:
                                     a["got"].alias("got"), a["src"].alias("src")))
 
         def finish(a):
-            mv = F.struct(r["store"].alias("store"), a["got"].alias("got"), a["src"].alias("src"))
+            mv = F.struct(r["row"].cast("long").alias("row"), a["got"].alias("got"), a["src"].alias("src"))
             return F.struct(a["pool"].alias("pool"), F.concat(acc["moves"], F.array(mv)).alias("moves"))
 
         return F.aggregate(F.array_sort(acc["pool"]), z, give, finish)
@@ -92,7 +92,7 @@ def _walk(short: Column, pool: Column) -> Column:
 
 def restock_actions(t, *, target_weeks: float = config.BRIEF_TARGET_WEEKS) -> DataFrame:
     """Per store restock line - transfer from surplus stores first, buy the rest."""
-    df = _brief_rows(t)
+    df = _brief_rows(t).dropna(subset=["item"])
     v30, v90 = F.col("u30") * 7 / 30, F.col("u90") * 7 / 90
     df = (df.withColumn("vel", F.lit(config.BLEND_30) * v30 + F.lit(config.BLEND_90) * v90)
             .withColumn("trend_r", F.when(v90 > 0, v30 / v90).otherwise(F.lit(1.0))))
@@ -105,14 +105,16 @@ def restock_actions(t, *, target_weeks: float = config.BRIEF_TARGET_WEEKS) -> Da
         F.median("price_raw").alias("item_price"),
         first_by("code").alias("item_code"),
         F.array_sort(F.collect_list(F.when(F.col("need") > 0, F.struct(
-            (-F.col("vel")).alias("nv"), F.col("store").alias("store"), F.col("need").alias("need"))))).alias("_short"),
+            (-F.col("vel")).alias("nv"), F.col("store").alias("store"), F.col("ingest_row").alias("row"),
+            F.col("need").alias("need"))))).alias("_short"),
         F.collect_list(F.when(F.col("surp") > 0, F.struct((-F.col("surp")).alias("ns"),
                                                            F.col("store").alias("store")))).alias("_pool"))
     moves = per_item.select("item", "item_price", "item_code",
                             F.explode(_walk(F.col("_short"), F.col("_pool"))).alias("m"))
-    moves = moves.select("item", "item_price", "item_code", F.col("m.store").alias("store"),
+    moves = moves.select("item", "item_price", "item_code", F.col("m.row").alias("ingest_row"),
                          F.col("m.got").alias("got"), F.col("m.src").alias("src"))
-    rows = df.filter(F.col("need") > 0).join(moves, ["item", "store"])
+    # an item may have several codes in a store: a receiver is a row, not a store
+    rows = df.filter(F.col("need") > 0).join(moves.drop("item"), "ingest_row")
     rows = rows.join(buyer_terms(t.deals).withColumnRenamed("code_key", "_bk"),
                      norm_code(F.col("item_code")) == F.col("_bk"), "left")
     buy = F.greatest(F.col("need") - F.col("got"), F.lit(0.0)).cast("bigint")
@@ -147,7 +149,7 @@ def pricing_flags(t) -> DataFrame:
     ours = inv.groupBy("upc", "item").agg(F.median("price_raw").alias("our")).filter(F.col("our") > 0)
     mp = t.market_price
     market = mp.groupBy(F.col("code_key").alias("upc")).agg(F.avg("market").alias("mkt"))
-    comps = mp.select(F.col("code_key").alias("upc"), *[F.col(c) for c in config.COMPETITORS])
+    comps = last_rows(mp, ["code_key"]).select(F.col("code_key").alias("upc"), *[F.col(c) for c in config.COMPETITORS])
     j = ours.join(market, "upc", "left").join(comps, "upc", "left")
     named = [F.col(c) for c in config.COMPETITORS]
     best = F.least(*named)
@@ -233,7 +235,7 @@ def inventory_snapshot(t) -> DataFrame:
     cost first), retail, margin, 30/90-day units, on-hand by store (OH > 0, file order)."""
     from .base import scoped_inventory
     inv = scoped_inventory(t)
-    ref = t.deals.select(F.col("code_key").alias("_rk"), round_even(F.col("net_unit"), 2).alias("buyer_cost"),
+    ref = last_rows(t.deals, ["code_key"]).select(F.col("code_key").alias("_rk"), round_even(F.col("net_unit"), 2).alias("buyer_cost"),
                          F.concat(F.lit("case of "), F.col("units_case").cast("string")).alias("ref_deal"))
     g = inv.groupBy("dept", "item").agg(
         F.sum("on_hand").alias("oh"), F.sum("u30").alias("u30"), F.sum("u90").alias("u90"),

@@ -24,8 +24,6 @@ from .weekly import weekly_order
 # --- fixed values: dashboard defaults ---------------------------------------------------
 TOP_SELLERS_N = 15
 FOCUS_DEALS_N = 25
-FOCUS_STORE_ROWS = 60
-FOCUS_NAMED_STORES = 2
 SHEET_BUDGET = 100000.0   # per-department budget used by the registered budget queries
 
 # Parameters of the registered list / focus queries (a user passes their own).
@@ -116,17 +114,13 @@ def focus_lists(snapshot: DataFrame, question: str) -> dict[str, DataFrame]:
     return {"low": low.select(*cols), "deals": deals.select(*cols), "items": items.select(*cols, "score")}
 
 
-def focus_store_detail(moves: DataFrame, question: str, stores: int = FOCUS_NAMED_STORES,
-                       rows: int = FOCUS_STORE_ROWS) -> DataFrame:
-    """Q13: transfer lines of the stores named in the question (first two by name), each
-    in its transfer-plan order."""
+def focus_store_detail(moves: DataFrame, question: str) -> DataFrame:
+    """Q13: transfer lines of every store named in the question, each in its transfer-plan order."""
     q = F.lit((question or "").lower())
     named = moves.filter(F.instr(q, F.lower(F.col("to_store"))) > 0)
-    pick = named.select("to_store").distinct().orderBy("to_store").limit(stores)  # <= store count
     w = Window.partitionBy("to_store").orderBy(F.col("priority_rank"), F.col("value").desc_nulls_last(),
                                                F.col("dept"), F.col("item"))
-    return (named.join(pick, "to_store").withColumn("line", F.row_number().over(w))
-                 .filter(F.col("line") <= rows))
+    return named.withColumn("line", F.row_number().over(w))
 
 
 # ---- O01 / O02 / A21 list explore --------------------------------------------------------

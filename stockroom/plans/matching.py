@@ -31,7 +31,8 @@ def sheet_compare(upload: DataFrame, catalog: DataFrame, snapshot: DataFrame) ->
         "ck", F.col("item").alias("c_item"), F.col("unit_cost").alias("our_cost"), F.col("price").alias("our_retail"))
     by_desc = (dedupe_keep(cat.withColumn("dk", squeeze_lower("item")).filter(F.col("dk") != ""), ["dk"], "cat_row",
                            keep="last").select("dk", F.col("ck").alias("code2")))
-    stock = snapshot.select(squeeze_lower("item").alias("sk"), F.col("chain_oh").alias("oh"), "wos")
+    stock = dedupe_keep(snapshot.select(squeeze_lower("item").alias("sk"), F.col("chain_oh").alias("oh"), "wos",
+                                        F.struct("dept", "item").alias("_ord")), ["sk"], "_ord", keep="last").drop("_ord")
     u = upload.withColumn("their_code", digits("up_code")).withColumn("dk", squeeze_lower("up_item"))
     j = u.join(by_code, u["their_code"] == by_code["ck"], "left").drop("ck")
     j = j.join(by_desc, "dk", "left")
@@ -96,7 +97,7 @@ def _stock_rows(snapshot: DataFrame) -> DataFrame:
 def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month: int = _MONTH,
              dept: str = AD_DEPT) -> tuple[DataFrame, DataFrame]:
     """Q11: expand ad lines (F07), match each part to the catalog - UPC digits, exact name,
-    fuzzy prefix tokens (J14, score >= 0.6), or whole brand (J15, up to 40) - then size the
+    fuzzy prefix tokens (J14, score >= 0.6), or whole brand (J15) - then size the
     buy from live stock. Returns (rows, unmatched)."""
     tg = {**config.AD_TARGETS_DEFAULT, **config.AD_TARGETS.get(dept, {})}
     parts = lines.select("line_id", "raw", "kind", F.posexplode(expand_ad_line("raw")).alias("pi", "p")) \
@@ -124,7 +125,7 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
         "conf", F.when(F.col("upc_cid").isNotNull(), "upc").when(F.col("e_cid").isNotNull(), "exact")
         .when(F.col("f_cid").isNotNull(), "fuzzy"))
     single_rows = s.filter(F.col("cid").isNotNull()).select(
-        "line_id", "pi", F.lit(0).alias("bi"), "cid", "conf", "target", F.lit(False).alias("capped"))
+        "line_id", "pi", F.lit(0).alias("bi"), "cid", "conf", "target", F.lit(False).alias("many"))
     single_miss = s.filter(F.col("cid").isNull()).select("line_id", "pi", F.col("q").alias("unmatched"))
     # -- whole brands
     brand = parts.filter(F.col("is_brand"))
@@ -134,19 +135,18 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
     wb = Window.partitionBy("line_id", "pi").orderBy("cid")
     sizes = hits.groupBy("line_id", "pi").agg(F.count("*").alias("n"))
     hits = hits.withColumn("bi", F.row_number().over(wb))
-    cap = config.BRAND_EXPAND_CAP  # None: every match of the brand
-    kept = hits if cap is None else hits.filter(F.col("bi") <= cap)
-    brand_rows = (kept.join(sizes, ["line_id", "pi"])
+    brand_rows = (hits.join(sizes, ["line_id", "pi"])
                       .join(brand.select("line_id", "pi", "target"), ["line_id", "pi"])
                       .select("line_id", "pi", "bi", "cid", F.lit("brand").alias("conf"), "target",
-                              (F.lit(False) if cap is None else (F.col("n") > cap)).alias("capped")))
+                              (F.col("n") > config.BRAND_REVIEW_COUNT).alias("many")))
     brand_miss = brand.join(hits.select("line_id", "pi").distinct(), ["line_id", "pi"], "left_anti") \
         .select("line_id", "pi", F.col("raw").alias("unmatched"))
     # -- first occurrence of a UPC wins across all lines
     rows = single_rows.unionByName(brand_rows).join(catalog, "cid")
-    wu = Window.partitionBy("upc").orderBy("line_id", "pi", "bi")
-    rows = rows.withColumn("_k", F.when(F.col("upc") != "", F.row_number().over(wu)).otherwise(F.lit(1))) \
-        .filter(F.col("_k") == 1).drop("_k")
+    place = F.struct("line_id", "pi", "bi")
+    first = rows.filter(F.col("upc") != "").groupBy("upc").agg(F.min(place).alias("_first"))
+    rows = (rows.join(first, "upc", "left")
+                .filter(F.col("_first").isNull() | (place == F.col("_first"))).drop("_first"))
     # -- stock: exact name, else best token overlap with any score
     rows = write_table(rows, "ad-matched-rows")
     stock = write_table(_stock_rows(snapshot), "ad-stock")
@@ -174,7 +174,7 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
     months = parse_months_token(F.col("bm_text"))
     flags = F.array(
         F.when(F.col("conf") == "brand", F.lit("whole brand")),
-        F.when((F.col("conf") == "brand") & F.col("capped"), F.lit("many, review")),
+        F.when((F.col("conf") == "brand") & F.col("many"), F.lit("many, review")),
         F.when(F.col("conf") == "fuzzy", F.lit("check match")),
         F.when((F.col("conf") != "upc") & (F.coalesce(F.col("n_upc"), F.lit(0)) > 1), F.lit("multiple UPCs, confirm")),
         F.when(~has_inv, F.lit("no stock data")),

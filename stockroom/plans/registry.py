@@ -15,6 +15,10 @@ QUERIES = {
     "being_removed": weekly.q_being_removed,
     "buy_month_wait": weekly.q_buy_month_wait,
     "budget_prefix": weekly.q_budget_prefix,
+    "weekly_order_overrides": weekly.q_weekly_order_overrides,
+    "rank_margin": weekly.q_rank_margin,
+    "rank_deals": weekly.q_rank_deals,
+    "rank_balanced": weekly.q_rank_balanced,
     "dept_summary": weekly.q_dept_summary,
     "src_history": history.q_src_history,
     "full_months": history.q_full_months,

@@ -65,7 +65,7 @@ def q_stream_live_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history_lines(t) -> DataFrame:
     """The shipped lines as one daily report each day (report 0)."""
     return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-              .select(F.col("l_shipdate").cast("date").alias("day"), F.col("l_partkey").cast("string").alias("code"),
+              .select(F.col("l_shipdate").cast("date").alias("day"), (F.lit(900000000000) + F.col("l_partkey")).cast("string").alias("code"),
                       F.col("p_brand").alias("category"), F.col("p_name").alias("item"),
                       F.col("l_quantity").cast("double").alias("quantity"), F.col("l_extendedprice").cast("decimal(18,2)").alias("revenue"),
                       (F.col("l_orderkey") % 50).cast("double").alias("on_hand"),

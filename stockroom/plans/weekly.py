@@ -231,6 +231,26 @@ def q_budget_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dept", "item", "wos", "net_buy_usd", "cum_buy", "section")
 
 
+def q_weekly_order_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q02 with the buyers' decisions applied to its order lines."""
+    t = ctx(spark, sf_dir)
+    return (weekly_order(store_needs(t), t, decisions=t.order_decisions)
+            .filter(F.col("section") == "order").drop("section"))
+
+
+def _ranked(priority: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = ctx(spark, sf_dir)
+        w = weekly_order(store_needs(t), t, budget=50000.0, priority=priority)
+        return w.filter(F.col("section").isin("order", "deferred")).select(
+            "dept", "item", "net_buy_usd", "cum_buy", "section")
+    query.__doc__ = f"W08 + W03: the {priority} ranking of each department's order under a $50,000 budget."
+    return query
+
+
+q_rank_margin, q_rank_deals, q_rank_balanced = map(_ranked, ("margin", "deals", "balanced"))
+
+
 def q_dept_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = ctx(spark, sf_dir)
     return dept_summary(store_needs(t), t)

@@ -44,7 +44,7 @@ FROM s JOIN {nation} ON n_nationkey = nk JOIN {part} ON p_partkey = pk
 """
 
 VIEWS["history"] = """
-SELECT cast(l_shipdate AS date) AS day, cast(l_partkey AS string) AS code, p_brand AS category,
+SELECT cast(l_shipdate AS date) AS day, cast(900000000000 + l_partkey AS string) AS code, p_brand AS category,
        min(p_name) AS item, sum(l_quantity) AS units, count(*) AS lines
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 GROUP BY cast(l_shipdate AS date), l_partkey, p_brand
@@ -61,8 +61,11 @@ FROM {events}
 VIEWS["ad_list"] = """
 SELECT cast(900000000000 + p_partkey AS string) AS code_key,
        CASE WHEN p_partkey % 2 = 0 THEN 'weekly' ELSE 'sunday' END AS kind,
-       CASE WHEN p_partkey % 2 = 0 THEN 4.5E0 ELSE 8.0E0 END AS target_wos
+       CASE WHEN p_partkey % 2 = 0 THEN 4.5E0 ELSE 8.0E0 END AS target_wos, p_partkey AS list_row
 FROM {part} WHERE p_partkey % 23 = 0
+UNION ALL
+SELECT cast(900000000000 + p_partkey AS string), 'weekly', 6.0E0, 10000000 + p_partkey
+FROM {part} WHERE p_partkey % 92 = 0
 """
 
 VIEWS["remove_list"] = """
@@ -83,24 +86,36 @@ FROM {part} WHERE p_partkey % 14 = 0
 
 VIEWS["par_list"] = """
 SELECT cast(900000000000 + p_partkey AS string) AS code_key, n_name AS store,
-       cast(1 + (p_partkey + n_nationkey) % 6 AS double) AS cases
+       cast(1 + (p_partkey + n_nationkey) % 6 AS double) AS cases, p_partkey * 100 + n_nationkey AS list_row
 FROM {part} CROSS JOIN {nation} WHERE p_partkey % 41 = 0
+UNION ALL
+SELECT cast(900000000000 + p_partkey AS string), concat(' ', lower(n_name)), cast(3 + n_nationkey % 2 AS double),
+       1000000000 + p_partkey * 100 + n_nationkey
+FROM {part} CROSS JOIN {nation} WHERE p_partkey % 123 = 0 AND n_nationkey % 3 = 0
 """
 
 VIEWS["market_price"] = """
 SELECT cast(900000000000 + p_partkey AS string) AS code_key,
   CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_retailprice * (75 + p_partkey % 50) / 100 END AS market,
   CASE WHEN p_partkey % 5 = 0 THEN p_retailprice * (80 + p_partkey % 37) / 100 END AS comp_a,
-  CASE WHEN p_partkey % 11 = 0 THEN p_retailprice * (80 + p_partkey % 41) / 100 END AS comp_b
+  CASE WHEN p_partkey % 11 = 0 THEN p_retailprice * (80 + p_partkey % 41) / 100 END AS comp_b,
+  p_partkey AS list_row
 FROM {part}
+UNION ALL
+SELECT cast(900000000000 + p_partkey AS string), p_retailprice, p_retailprice * 0.7E0, NULL, 10000000 + p_partkey
+FROM {part} WHERE p_partkey % 15 = 0
 """
 
 VIEWS["deals"] = """
 SELECT cast(900000000000 + p_partkey AS string) AS code_key, p_name AS item, p_brand AS category,
   cast(1 + p_partkey % 12 AS int) AS units_case, (p_retailprice - 350) * (1 + p_partkey % 12) AS case_cost,
   (p_retailprice - 350) * (100 - p_partkey % 31) / 100 AS net_unit, cast(p_partkey % 4 AS double) AS min_cases,
-  p_retailprice AS retail
+  p_retailprice AS retail, p_partkey AS list_row
 FROM {part} WHERE p_partkey % 6 = 0
+UNION ALL
+SELECT cast(900000000000 + p_partkey AS string), p_name, p_brand, 6, (p_retailprice - 350) * 6,
+  (p_retailprice - 350) * 0.85E0, 2.0E0, p_retailprice, 10000000 + p_partkey
+FROM {part} WHERE p_partkey % 24 = 0
 """
 
 VIEWS["po_lines"] = """
@@ -143,6 +158,18 @@ SELECT p.id, p.ts, p.dept, p.item, p.action, p.qty, p.note, p.target_id,
 FROM p LEFT JOIN t q ON q.id = p.prev_id
 """
 
+# Buyer decisions on order lines, as the decision state holds them: one per (dept, item), keys in
+# any case and spacing, quantities as text (some not numbers).
+VIEWS["order_decisions"] = """
+SELECT CASE lower(p_type) WHEN 'small' THEN ' thc' WHEN 'large' THEN 'BEER' WHEN 'medium' THEN 'Wine '
+            WHEN 'standard' THEN 'spirits' ELSE 'Other' END AS dept,
+       upper(concat(p_name, ' ', cast(p_partkey AS string), ' ', cast((p_partkey % 4 + 1) * 5 AS string), 'mg')) AS item,
+       CASE p_partkey % 5 WHEN 0 THEN 'skip' WHEN 1 THEN 'qty' WHEN 2 THEN 'approve' WHEN 3 THEN 'fix' ELSE 'qty' END AS action,
+       CASE p_partkey % 5 WHEN 1 THEN cast(p_partkey % 90 - 5 AS string) WHEN 4 THEN 'a few' END AS qty,
+       CASE WHEN p_partkey % 5 = 3 THEN concat('check ', p_brand) END AS note
+FROM {part} WHERE p_partkey % 3 <> 0
+"""
+
 # Product catalog: one row per distinct product listing seen in the snapshot. A code may be
 # listed several times (one per supplier), so the "last listing wins" rules have work to do.
 VIEWS["catalog"] = """
@@ -241,6 +268,9 @@ SELECT event_id AS page,
 FROM {events}
 """
 
+# Lists that repeat keys; a later row replaces an earlier one (by list_row).
+LAST_ROW_WINS = {"ad_list": "code_key", "par_list": "code_key, lower(trim(store))", "deals": "code_key"}
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
@@ -249,7 +279,8 @@ def dependencies(name: str) -> list[str]:
 
 
 def as_cte_sql(names: list[str]) -> str:
-    """``WITH`` clause defining the named views (and what they need) for the oracle engine."""
+    """``WITH`` clause defining the named views (and what they need) for the oracle engine. A list
+    that repeats keys is there as ``<name>_rows`` and, last row per key only, under its name."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -262,6 +293,11 @@ def as_cte_sql(names: list[str]) -> str:
     for n in names:
         visit(n)
     # {name} binds a frame on Spark; literal braces are written doubled, as spark.sql expects
-    parts = [f"{n} AS ({_PLACEHOLDER.sub(lambda m: m.group(1), VIEWS[n]).replace('{{', '{').replace('}}', '}').strip()})"
-             for n in order]
+    parts = []
+    for n in order:
+        text = _PLACEHOLDER.sub(lambda m: m.group(1), VIEWS[n]).replace("{{", "{").replace("}}", "}").strip()
+        if n in LAST_ROW_WINS:
+            parts.append(f"{n}_rows AS ({text})")
+            text = f"SELECT * FROM {n}_rows QUALIFY row_number() OVER (PARTITION BY {LAST_ROW_WINS[n]} ORDER BY list_row DESC) = 1"
+        parts.append(f"{n} AS ({text})")
     return ("WITH " + ",\n".join(parts)) if parts else ""

@@ -31,12 +31,12 @@ def ad_blocks(sheet: DataFrame, text_cols=("c0", "c1", "c2"), date_col: str = "c
 def ad_week_items(sheet: DataFrame, target: datetime.date, text_cols=("c0", "c1", "c2"),
                   item_col: str = "c2", type_col: str = "c1", date_col: str = "c_date") -> DataFrame:
     """Item lines of the ad week in force on ``target`` - the block with the latest date
-    on or before it, else the earliest block. The block spans from its header row to the
+    on or before it (of two with one date the first), else the earliest block. The block spans from its header row to the
     next header row. Two scalars pick the block (one aggregate over the headers); the rows
     are then a range filter on row_idx, so nothing is windowed over the whole sheet."""
     blocks = ad_blocks(sheet, text_cols, date_col)
     pick = blocks.agg(
-        F.max(F.when(F.col("ad_date") <= F.lit(target), F.struct("ad_date", "row_idx"))).alias("past"),
+        F.max(F.when(F.col("ad_date") <= F.lit(target), F.struct("ad_date", (-F.col("row_idx")).alias("up"), "row_idx"))).alias("past"),
         F.min(F.struct("ad_date", "row_idx")).alias("first")).first()
     chosen = pick["past"] or pick["first"]
     if chosen is None:
@@ -140,28 +140,19 @@ def carry_forward_block(sheet: DataFrame, blocks: DataFrame, order_col: str = "r
 
     No window over the whole sheet: rows are range-partitioned on ``order_col`` (pinned by
     a checkpoint), each range finds its last header locally, and a range without one takes
-    the last header of the ranges before it. That carry-in table has one entry per range
-    (bounded by the partition count) and is the only thing read on the driver."""
+    the last header of the ranges before it (a window over one row per range)."""
     from pyspark.sql import Window
     from ..session import durable
     spark = sheet.sparkSession
     n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    heads = blocks.select(F.col("row_idx").alias("_h"), F.col("ad_date").alias("_d"))
+    heads = blocks.select(F.col(order_col).alias("_h"), F.col("ad_date").alias("_d"))
     tagged = sheet.join(heads, F.col(order_col) == F.col("_h"), "left")
     ranged = durable(tagged.repartitionByRange(n, order_col).withColumn("_rng", F.spark_partition_id()))
     w = Window.partitionBy("_rng").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_lh", F.last(F.when(F.col("_h").isNotNull(), F.struct("_h", "_d")),
-                                            ignorenulls=True).over(w))
-    last_per_range = {r["_rng"]: (r["h"], r["d"]) for r in ranged.filter(F.col("_h").isNotNull())
-                      .groupBy("_rng").agg(F.max_by("_h", order_col).alias("h"), F.max_by("_d", order_col).alias("d"))
-                      .collect()}  # one row per range
-    carry, prev = [], (None, None)
-    for k in range(n):
-        carry.append((k, prev[0], prev[1]))
-        if k in last_per_range:
-            prev = last_per_range[k]
-    cin = spark.createDataFrame(carry, "_rng int, _ch bigint, _cd date")
-    out = local.join(cin, "_rng", "left")
-    return out.select(*[c for c in sheet.columns],
-                      F.coalesce(F.col("_lh._h"), F.col("_ch")).alias("block_row"),
-                      F.coalesce(F.col("_lh._d"), F.col("_cd")).alias("ad_date"))
+    head = F.when(F.col("_h").isNotNull(), F.struct("_h", "_d"))
+    local = ranged.withColumn("_lh", F.last(head, ignorenulls=True).over(w))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (ranged.groupBy("_rng").agg(F.max(head).alias("_last"))  # one row per range
+                   .select(F.col("_rng"), F.last("_last", ignorenulls=True).over(earlier).alias("_before")))
+    out = local.join(carry, "_rng", "left").withColumn("_at", F.coalesce("_lh", "_before"))
+    return out.select(*[c for c in sheet.columns], F.col("_at._h").alias("block_row"), F.col("_at._d").alias("ad_date"))

@@ -1,9 +1,9 @@
 """Reading loosely laid-out sheets.
 
 Uploaded sheets and buyer workbooks put their header on some early row and name columns
-freely. The *decisions* (which row is the header, which column holds the code or the
-money) read only a handful of rows or one profiling aggregate on the driver; the data
-itself is then a plain ``select`` over the whole frame.
+freely. Which row is the header and which column holds the code or the money is one profiling
+aggregate over the whole sheet each; Spark ranks the candidates and the driver reads the winner.
+The data itself is then a plain ``select`` over the whole frame.
 
 A raw sheet is a DataFrame of string cells ``c0 .. cN`` plus ``row_idx`` (file order).
 """
@@ -15,8 +15,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HEADER_SCAN_ROWS = 8
-CODE_SCAN_ROWS = 40
+from ..functions.numeric import loose_num
 
 # fixed values: header patterns of the upload columns, tried in this order
 COLUMN_PATTERNS = {
@@ -35,44 +34,28 @@ def cell_cols(df: DataFrame) -> list[str]:
     return sorted((c for c in df.columns if re.fullmatch(r"c\d+", c)), key=lambda c: int(c[1:]))
 
 
-def _loose_num(v) -> float | None:
-    """Keep only [0-9.-] and parse; None when nothing numeric is left."""
-    if v is None:
-        return None
-    t = re.sub(r"[^0-9.\-]", "", str(v))
-    if t in ("", "-", "."):
-        return None
-    try:
-        return float(t)
-    except ValueError:
-        return None
+def _filled(cols: list[str]) -> F.Column:
+    """The non-empty cells of a row."""
+    return F.filter(F.array(*[F.col(c).cast("string") for c in cols]), lambda x: x.isNotNull() & (x != ""))
 
 
-def header_row(sheet: DataFrame, scan: int = HEADER_SCAN_ROWS) -> int | None:
-    """row_idx of the header - the first of the first ``scan`` rows with at least two
-    non-empty cells that are not all numbers (the first row when none qualifies)."""
-    cols = cell_cols(sheet)
-    head = sheet.orderBy("row_idx").limit(scan).collect()  # a handful of rows
-    for r in head:
-        cells = [r[c] for c in cols if r[c] not in (None, "")]
-        if len(cells) >= 2 and not all(_loose_num(c) is not None for c in cells):
-            return r["row_idx"]
-    return head[0]["row_idx"] if head else None
+def header_row(sheet: DataFrame) -> int | None:
+    """row_idx of the header - the first row with at least two non-empty cells of which one is
+    not a number (the first row of all when there is none)."""
+    cells = _filled(cell_cols(sheet))
+    named = (F.size(cells) >= 2) & F.exists(cells, lambda x: loose_num(x).isNull())
+    return sheet.agg(F.coalesce(F.min(F.when(named, F.col("row_idx"))), F.min("row_idx"))).first()[0]
 
 
-def sheet_body(sheet: DataFrame, scan: int = HEADER_SCAN_ROWS) -> tuple[list[str], DataFrame]:
+def sheet_body(sheet: DataFrame) -> tuple[list[str], DataFrame]:
     """(header names, body rows after the header that have any non-empty cell)."""
     cols = cell_cols(sheet)
-    h = header_row(sheet, scan)
-    if h is None:
+    at = header_row(sheet)
+    if at is None:
         return [], sheet.limit(0)
-    names_row = sheet.filter(F.col("row_idx") == h).first()
-    headers = [str(names_row[c]).strip() if names_row[c] is not None else "" for c in cols]
-    any_cell = None
-    for c in cols:
-        x = F.coalesce(F.col(c), F.lit("")) != ""
-        any_cell = x if any_cell is None else (any_cell | x)
-    return headers, sheet.filter((F.col("row_idx") > h) & any_cell)
+    names = sheet.filter(F.col("row_idx") == at).select(
+        F.array(*[F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in cols])).first()[0]
+    return names, sheet.filter((F.col("row_idx") > at) & (F.size(_filled(cols)) > 0))
 
 
 def resolve_aliases(headers: list[str], aliases: dict[str, list[str]]) -> dict[str, int]:
@@ -87,75 +70,67 @@ def resolve_aliases(headers: list[str], aliases: dict[str, list[str]]) -> dict[s
     return out
 
 
+def _winner(profile: DataFrame, rank: list[str], fits: F.Column) -> int | None:
+    """Position of the fitting column that ranks highest (the leftmost of equals)."""
+    best = profile.filter(fits).agg(F.max(F.struct(*[F.col(c) for c in rank], (-F.col("at")).alias("left"))).alias("w")).first()["w"]
+    return None if best is None else -best["left"]
+
+
+def _stacked(body: DataFrame, n: int, value) -> DataFrame:
+    """(at, v): one row per body row and column, ``value`` of the cell."""
+    cells = F.array(*[value(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in cell_cols(body)[:n]])
+    return body.select(F.posexplode(cells).alias("at", "v"))
+
+
 def detect_columns(headers: list[str], body: DataFrame) -> dict[str, int | None]:
     """Code / description / price / quantity columns by header pattern; when no header
-    names the code, the column with the most 11-14 digit values among the first 40 body rows
-    wins if at least max(3, rows/3) of them look like codes (one aggregate)."""
-    norm = [re.sub(r"\s+", " ", str(h or "").strip().lower()) for h in headers]
-    idx: dict[str, int | None] = {}
-    for key, pats in COLUMN_PATTERNS.items():
-        idx[key] = next((i for i, h in enumerate(norm) if any(re.search(p, h) for p in pats)), None)
-    if idx["upc"] is None:
-        cols = cell_cols(body)[:len(headers)]
-        first = body.orderBy("row_idx").limit(CODE_SCAN_ROWS)
-        prof = first.agg(F.count("*").alias("n"), *[
-            F.count_if(F.length(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\D", "")).between(11, 14)).alias(c)
-            for c in cols]).first()
-        best, score = None, 0
-        for i, c in enumerate(cols):
-            if prof[c] > score:
-                best, score = i, prof[c]
-        if best is not None and score >= max(3, prof["n"] // 3):
-            idx["upc"] = best
-    return idx
+    names the code, the column with the most 11-14 digit values over all body rows wins if at least
+    max(3, rows / 3) of them look like codes."""
+    tidy = [" ".join(str(h or "").lower().split()) for h in headers]
+    found = {field: next((at for at, h in enumerate(tidy) if re.search("|".join(patterns), h)), None)
+             for field, patterns in COLUMN_PATTERNS.items()}
+    if found["upc"] is None and headers:
+        codes = _stacked(body, len(headers), lambda x: F.length(F.regexp_replace(x, r"\D", "")).between(11, 14))
+        profile = codes.groupBy("at").agg(F.count_if("v").alias("codes"), F.count("*").alias("rows"))
+        found["upc"] = _winner(profile, ["codes"], F.col("codes") >= F.greatest(F.lit(3), F.floor(F.col("rows") / 3)))
+    return found
 
 
 def detect_money_column(headers: list[str], body: DataFrame) -> tuple[int | None, bool]:
     """The order-dollar column. An exact name wins; otherwise, among columns that are
     >= 60 % numeric and >= 80 % positive, the best by (money word in header, >= 30 % with
-    cents, largest total). Returns (index, guessed). One profiling aggregate."""
+    cents, largest total). Returns (index, guessed)."""
     low = [str(h or "").strip().lower() for h in headers]
-    for n in MONEY_NAMES:
-        if n in low:
-            return low.index(n), False
-    cols = cell_cols(body)[:len(headers)]
-    num = {c: F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"[$,]", "").try_cast("double") for c in cols}
-    aggs = [F.count("*").alias("_rows")]
-    for c in cols:
-        x = num[c]
-        aggs += [F.count(x).alias(f"{c}_n"), F.count_if(x > 0).alias(f"{c}_pos"),
-                 F.count_if(F.abs(x % 1) > 1e-9).alias(f"{c}_dec"), F.sum(x).alias(f"{c}_sum")]
-    p = body.agg(*aggs).first()
-    best = None
-    for i, c in enumerate(cols):
-        n = p[f"{c}_n"]
-        if not n:
-            continue
-        if (n / p["_rows"] if p["_rows"] else 0) < 0.6 or p[f"{c}_pos"] / n < 0.8:
-            continue
-        score = (1 if re.search(MONEY_WORDS, low[i]) else 0, 1 if p[f"{c}_dec"] / n >= 0.3 else 0, p[f"{c}_sum"])
-        if best is None or score > best[1]:
-            best = (i, score)
-    return (best[0], True) if best else (None, True)
+    exact = next((low.index(name) for name in MONEY_NAMES if name in low), None)
+    if exact is not None or not headers:
+        return exact, exact is None
+    worded = F.array(*[F.lit(bool(re.search(MONEY_WORDS, h))) for h in low])
+    numbers = _stacked(body, len(headers), lambda x: F.regexp_replace(x, r"[$,]", "").try_cast("double"))
+    v, n = F.col("v"), F.count("v")
+    profile = numbers.groupBy("at").agg(
+        (n / F.count("*") >= 0.6).alias("numeric"), (F.count_if(v > 0) / n >= 0.8).alias("positive"),
+        (F.count_if(F.abs(v % 1) > 1e-9) / n >= 0.3).alias("cents"), F.sum("v").alias("total"))
+    profile = profile.withColumn("worded", F.element_at(worded, F.col("at") + 1))
+    return _winner(profile, ["worded", "cents", "total"], F.col("numeric") & F.col("positive")), True
 
 
 def tidy_columns(df: DataFrame, *, key: str, drop_like=(), preferred=(), cap: int | None = None) -> DataFrame:
-    """P10: repeated header names get ' (1)', ' (2)' suffixes; helper columns whose name
-    contains a ``drop_like`` text go; ``preferred`` columns come first; columns that are
-    empty on every row go (one aggregate); rows with a blank key go. ``cap`` keeps the first
-    rows by ``row_idx`` only when a caller asks for a size-limited tab."""
-    seen: dict[str, int] = {}
-    names = []
-    for c in df.columns:
-        k = seen.get(c, 0)
-        names.append(c if k == 0 else f"{c} ({k})")
-        seen[c] = k + 1
-    out = df.toDF(*names)
-    keep = [c for c in names if not any(s.lower() in c.lower() for s in drop_like) or c in (key, "row_idx")]
-    filled = out.agg(*[F.count(F.when(F.trim(F.col(c).cast("string")) != "", 1)).alias(c) for c in keep]).first()
-    keep = [c for c in keep if filled[c] > 0 or c in (key, "row_idx")]
-    order = [c for c in preferred if c in keep] + [c for c in keep if c not in preferred]
-    out = out.select(*[F.col(f"`{c}`") for c in order]).filter(F.trim(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))) != "")
-    if cap is not None:
-        out = out.orderBy("row_idx").limit(cap)
-    return out
+    """P10: of a repeated header name the first column stays, and names ending in "(n)" (a repeated
+    header block), blank names and helper columns whose name contains a ``drop_like`` text go. Each
+    ``preferred`` text brings the first column containing it to the front. Columns that are empty on
+    every row go (one aggregate), and rows with a blank key. ``cap`` keeps the first rows by
+    ``row_idx`` only when a caller asks for a size-limited tab."""
+    places = df.toDF(*[f"p{k}" for k in range(len(df.columns))])
+    wanted = {c: f"p{k}" for k, c in reversed(list(enumerate(df.columns)))}  # the first of equal names
+    always = {key, "row_idx"}
+    gone = lambda c: not c.strip() or c.strip().lower() == "nan" or re.search(r"\(\d+\)\s*$", c) or any(
+        s.lower() in c.lower() for s in drop_like)
+    names = [c for c in dict.fromkeys(df.columns) if c in always or not gone(c)]
+    out = places.select(*[F.col(wanted[c]).alias(c) for c in names])
+    blank = lambda c: F.trim(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) == ""
+    filled = out.agg(*[F.count_if(~blank(c)).alias(c) for c in names]).first()
+    names = [c for c in names if c in always or filled[c]]
+    front = dict.fromkeys(next((c for c in names if p.lower() in c.lower()), None) for p in preferred)
+    order = [c for c in front if c] + [c for c in names if c not in front]
+    out = out.select(*[F.col(f"`{c}`") for c in order]).filter(~blank(key))
+    return out if cap is None else out.orderBy("row_idx").limit(cap)

@@ -23,6 +23,9 @@ def test_clean_and_safe_names(spark):
     assert one(spark, codes.clean_code, None) == ""
     assert one(spark, codes.safe_name, "A&B Wines, Inc.") == "A_B Wines_ Inc."
     assert one(spark, codes.safe_name, "") == "Unknown"
+    long = ["v" * 60 + x for x in "ab"]
+    names = [one(spark, codes.safe_name, x) for x in long]
+    assert names[0] != names[1] and all(n.startswith("v" * 60 + "-") for n in names)
 
 
 def test_parse_by_store(spark):

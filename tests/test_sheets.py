@@ -49,6 +49,16 @@ def test_tidy_columns(spark):
     df = spark.createDataFrame([(0, "a", "x", None, "h", "1"), (1, "", "y", None, "h", "2"), (2, "b", "z", None, "h", "3")],
                                "row_idx bigint, code string, name string, empty string, helper_col string, name2 string")
     df = df.toDF("row_idx", "code", "name", "empty", "helper_col", "name")
-    out = tidy_columns(df, key="code", drop_like=["helper"], preferred=["name (1)"])
-    assert out.columns == ["name (1)", "row_idx", "code", "name"]
-    assert [r.code for r in out.orderBy("row_idx").collect()] == ["a", "b"]
+    out = tidy_columns(df, key="code", drop_like=["helper"], preferred=["nam"])
+    assert out.columns == ["name", "row_idx", "code"]
+    assert [(r.code, r.name) for r in out.orderBy("row_idx").collect()] == [("a", "x"), ("b", "z")]
+    twice = df.toDF("row_idx", "code", "name", "empty", "Cost", "Cost (1)")
+    assert tidy_columns(twice, key="code", preferred=["cost"]).columns == ["Cost", "row_idx", "code", "name"]
+
+
+def test_late_evidence_counts(spark):
+    rows = [["Ref", "Name"]] + [["x", f"item {i}"] for i in range(60)] + [[f"00{900000000000 + i}", "z"] for i in range(60)]
+    headers, body = sheet_body(_sheet(spark, rows))
+    assert detect_columns(headers, body)["upc"] == 0
+    assert header_row(_sheet(spark, [["1", "2"]] * 20 + [["Code", "Cost"], ["5", "6"]])) == 20
+    assert header_row(_sheet(spark, [["1", "2"], ["3", "4"]])) == 0
