@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, url_filter
+from . import mixing, sql, url_filter
 from .byte_cnn import op7_byte_cnn
 from .line_cleaning import op4_line_cleaning
 from .ngram_jaccard import op2_ngram_jaccard
@@ -25,6 +25,11 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 ORACLE = {
+    "op1_secret_scan": sql.SECRETS,
+    "op2_ngram_jaccard": sql.JACCARD,
+    "op4_line_cleaning": sql.LINES,
+    "op5_substring_dedup": sql.SUBSTRINGS,
+    "op6_spherical_caps": sql.VECTORS,
     "op8_mixing": mixing.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
 }
