@@ -3,17 +3,16 @@
 Token matching is a blocked join, never a cross product: every name is exploded into its
 distinct tokens, and a query token can only hit a catalog token that *starts* with it, so
 both sides are joined on the first three characters (tokens shorter than three characters
-can only match exactly and are joined on the whole token). The residual prefix test runs
-on the joined pairs, hits are counted per (query, candidate) and the best candidate is
-picked with ``max_by`` - all in the JVM.
+can only match exactly and are joined on the whole token). That join runs over the two
+vocabularies; names meet through their rarest tokens only, and hits are counted on the
+token arrays of the pairs that met - all in the JVM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import norm_text
 from ..session import write_table
 
 
@@ -49,35 +48,72 @@ def _matches(q: DataFrame, c: DataFrame) -> DataFrame:
     return short.unionByName(long.drop("blk", "salt"))
 
 
-def prefix_hits(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: list[str]) -> DataFrame:
-    """J14 core, all pairs: per (query, candidate) the number of distinct query tokens that
-    hit a candidate token."""
-    pairs = _matches(q_tokens.select(*q_id, F.col("tok").alias("qt")), c_tokens.select(*c_id, F.col("tok").alias("ct")))
-    return pairs.groupBy(*q_id, *c_id).agg(F.countDistinct("qt").alias("hits"))
+def _vocabulary(q_tokens: DataFrame, c_tokens: DataFrame) -> DataFrame:
+    """(qt, ct, n): which candidate tokens each query token hits, with the number of candidates that
+    hold them. Runs over the two distinct vocabularies, not over names."""
+    words = c_tokens.groupBy(F.col("tok").alias("ct")).agg(F.count("*").alias("n"))
+    return _matches(q_tokens.select(F.col("tok").alias("qt")).distinct(), words)
 
 
-def best_match(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: str, c_rank: DataFrame,
+def _rarest_first(q_tokens: DataFrame, vocabulary: DataFrame, q_id: list[str]) -> DataFrame:
+    """Per query its distinct tokens (``toks``), those that hit the fewest candidates first."""
+    reach = vocabulary.groupBy("qt").agg(F.sum("n").alias("reach"))
+    t = q_tokens.join(reach, q_tokens["tok"] == reach["qt"], "left").withColumn("reach", F.coalesce("reach", F.lit(0)))
+    return (t.groupBy(*q_id).agg(F.array_sort(F.collect_list(F.struct("reach", "tok"))).alias("_s"))
+             .withColumn("toks", F.col("_s.tok")).drop("_s"))
+
+
+def candidate_pairs(queries: DataFrame, vocabulary: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: str,
+                    least_hits) -> DataFrame:
+    """Every (query, candidate) that can have ``least_hits`` of the query's n tokens hit: it must have
+    a hit among any n - least_hits + 1 of them, so only the rarest so many are looked up."""
+    some = queries.select(*q_id, F.explode(F.slice("toks", 1, F.size("toks") - least_hits + 1)).alias("qt"))
+    held = c_tokens.select(F.col("tok").alias("ct"), c_id)
+    return some.join(vocabulary.select("qt", "ct"), "qt").join(held, "ct").select(*q_id, c_id).distinct()
+
+
+def _hits(toks, words):
+    """How many query tokens hit a candidate word: equal, or (3 characters and more) its beginning."""
+    return F.size(F.filter(toks, lambda t: F.exists(words, lambda w: (w == t) | ((F.length(t) >= 3) & w.startswith(t)))))
+
+
+def best_match(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: str, c_rank: DataFrame | None,
                min_score: float | None = None) -> DataFrame:
-    """Best candidate per query by score = hits / distinct query tokens; ties go to the
-    candidate with the smallest ``ord`` in ``c_rank`` (c_id, ord). Returns q_id..., c_id, score.
-    The query tokens are written once (shared checkpoint folder): they feed the hit count and
-    the query sizes, and the plan must not carry their derivation twice."""
+    """Best candidate per query by score = hits / distinct query tokens; ties go to the candidate
+    with the smallest ``ord`` in ``c_rank`` (c_id, ord), else the smallest id. Returns q_id..., c_id,
+    score.
+
+    Pairs are looked up by each query's rarest tokens and verified on the token arrays, so common
+    tokens do not multiply them. Without ``min_score`` a query goes on to the next stage only if it has
+    no match yet: 60 % of its tokens, then two tokens, then one - where the candidate with the smallest
+    ``ord`` per token is enough."""
     q_tokens = write_table(q_tokens, "match-query-tokens")
-    n = q_tokens.groupBy(*q_id).agg(F.count("*").alias("n_q"))
-    h = prefix_hits(q_tokens, c_tokens.select(c_id, "tok"), q_id, [c_id])
-    # within a query the score orders like the hit count, so the best candidate is chosen on
-    # hits (the rank table is joined only when it is not the candidate id itself) and only
-    # the winners meet the query sizes
-    if c_rank is None:
-        h = h.withColumn("ord", F.col(c_id))
-    else:
-        h = h.join(c_rank, c_id)
-    best = h.groupBy(*q_id).agg(F.min_by(F.struct(F.col(c_id).alias("id"), F.col("hits").alias("hits")),
-                                         F.struct((-F.col("hits")).alias("h"), F.col("ord").alias("o"))).alias("b"))
-    best = best.join(n, q_id).select(*q_id, F.col("b.id").alias(c_id), (F.col("b.hits") / F.col("n_q")).alias("score"))
+    c_tokens = write_table(c_tokens.select(c_id, "tok"), "match-candidate-tokens")
+    vocabulary = write_table(_vocabulary(q_tokens, c_tokens), "match-vocabulary")
+    queries = write_table(_rarest_first(q_tokens, vocabulary, q_id), "match-queries")
+    names = c_tokens.groupBy(c_id).agg(F.collect_set("tok").alias("words"))
+    order = (lambda df: df.withColumn("ord", F.col(c_id))) if c_rank is None else (lambda df: df.join(c_rank, c_id))
+    n = F.size("toks")
+
+    def stage(todo: DataFrame, least_hits) -> DataFrame:
+        pairs = candidate_pairs(todo, vocabulary, c_tokens, q_id, c_id, least_hits)
+        scored = (order(pairs).join(names, c_id).join(todo, q_id).withColumn("hits", _hits(F.col("toks"), F.col("words")))
+                  .filter(F.col("hits") >= least_hits))
+        return scored.groupBy(*q_id).agg(
+            F.min_by(F.struct(F.col(c_id), (F.col("hits") / n).alias("score")),
+                     F.struct((-F.col("hits")).alias("h"), F.col("ord").alias("o"))).alias("b")).select(*q_id, "b.*")
+
     if min_score is not None:
-        best = best.filter(F.col("score") >= min_score)
-    return best
+        return stage(queries, F.greatest(F.ceil(n * min_score - 1e-9), F.lit(1)).cast("int")).filter(F.col("score") >= min_score)
+    found = write_table(stage(queries, F.greatest(F.ceil(n * 0.6), F.lit(2)).cast("int")), "match-most")
+    todo = queries.join(found, q_id, "left_anti")
+    more = write_table(stage(todo.filter(n > 1), F.lit(2)), "match-two")
+    todo = todo.join(more, q_id, "left_anti").select(*q_id, n.alias("n"), F.explode("toks").alias("qt"))
+    first = (order(c_tokens).groupBy(F.col("tok").alias("ct")).agg(F.min(F.struct("ord", c_id)).alias("f"))
+             .join(vocabulary.select("qt", "ct"), "ct").groupBy("qt").agg(F.min("f").alias("f")))
+    one = todo.join(first, "qt").groupBy(*q_id).agg(F.min("f").alias("f"), F.first("n").alias("n"))
+    one = one.select(*q_id, F.col("f")[c_id].alias(c_id), (1 / F.col("n")).alias("score"))
+    return found.unionByName(more).unionByName(one)
 
 
 def containment(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: str) -> DataFrame:
@@ -86,14 +122,3 @@ def containment(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id:
     n = q_tokens.groupBy(*q_id).agg(F.count("*").alias("n_q"))
     j = q_tokens.join(c_tokens.select(c_id, "tok"), "tok").groupBy(*q_id, c_id).agg(F.count("*").alias("hits"))
     return j.join(n, q_id).filter(F.col("hits") == F.col("n_q")).select(*q_id, c_id)
-
-
-def first_per_key(df: DataFrame, key: str, order: list[str], keep: str = "first") -> DataFrame:
-    """Keep one row per key: the first (or last) by ``order``."""
-    o = [F.col(c).asc() if keep == "first" else F.col(c).desc() for c in order]
-    w = Window.partitionBy(key).orderBy(*o)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
-def name_key(c) -> F.Column:
-    return norm_text(c)
