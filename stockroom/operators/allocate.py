@@ -104,15 +104,12 @@ def _allocate(short, pool, min_transfer: int):
     return F.aggregate(short, zero_outer, receive, lambda acc: acc["moves"])
 
 
-def transfer_plan(need_rows: DataFrame, *, keep_weeks: float = config.DONOR_KEEP_WEEKS,
-                  min_transfer: int = config.MIN_TRANSFER,
-                  group_cols=("dept", "item")) -> tuple[DataFrame, DataFrame]:
+def planned_items(need_rows: DataFrame, *, keep_weeks: float = config.DONOR_KEEP_WEEKS,
+                  min_transfer: int = config.MIN_TRANSFER, group_cols=("dept", "item"), extra=()) -> DataFrame:
     """Per item, cover short stores from overstocked ones before anything is bought.
 
-    Input: one row per (group..., store) with ``on_hand``, ``vel``, ``need``.
-    Returns (items, moves):
-      items: group..., gross_need, transfer, net_buy          (every item)
-      moves: group..., priority, to_store, to_oh, to_wos, transfer_in, from_stores, then_buy
+    Input: one row per (group..., store) with ``on_hand``, ``vel``, ``need``. One groupBy gives group...,
+    gross_need, transfer, net_buy, the moves as an array and the ``extra`` aggregates of the item.
     """
     g = list(group_cols)
     d = (need_rows
@@ -127,13 +124,26 @@ def transfer_plan(need_rows: DataFrame, *, keep_weeks: float = config.DONOR_KEEP
             F.col("_wos").alias("wos"), F.col("store").alias("store"), F.col("_need").alias("need"),
             F.col("on_hand").alias("oh"))))).alias("_short"),
         F.collect_list(F.when(F.col("_surplus") >= min_transfer, F.struct(
-            (-F.col("_surplus")).alias("ns"), F.col("store").alias("store")))).alias("_pool"))
-    planned = per_item.withColumn("_moves", _allocate(F.col("_short"), F.col("_pool"), min_transfer))
-    items = planned.select(*g, F.col("gross_need"),
-                           F.aggregate("_moves", F.lit(0).cast("long"), lambda a, mv: a + mv["got"]).alias("transfer")) \
-        .withColumn("net_buy", F.col("gross_need") - F.col("transfer"))
+            (-F.col("_surplus")).alias("ns"), F.col("store").alias("store")))).alias("_pool"), *extra)
+    planned = per_item.withColumn("_moves", _allocate(F.col("_short"), F.col("_pool"), min_transfer)).drop("_short", "_pool")
+    return (planned.withColumn("transfer", F.aggregate("_moves", F.lit(0).cast("long"), lambda a, mv: a + mv["got"]))
+                   .withColumn("net_buy", F.col("gross_need") - F.col("transfer")))
+
+
+def transfer_plan(need_rows: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """W01 as (items, moves):
+      items: group..., gross_need, transfer, net_buy          (every item)
+      moves: group..., priority, to_store, to_oh, to_wos, transfer_in, from_stores, then_buy
+    """
+    g = list(options.get("group_cols", ("dept", "item")))
+    planned = planned_items(need_rows, **options)
+    return planned.select(*g, "gross_need", "transfer", "net_buy"), planned_moves(planned, g)
+
+
+def planned_moves(planned: DataFrame, g=("dept", "item")) -> DataFrame:
+    """The moves of planned items, one row each."""
     mv = planned.select(*g, F.explode("_moves").alias("m")).filter(F.col("m.got") > 0)
-    moves = mv.select(
+    return mv.select(
         *g,
         F.when(F.col("m.oh") <= 0, "STOCKOUT").when(F.col("m.wos") < 2, "Low <2wk").otherwise("Top-up").alias("priority"),
         F.col("m.store").alias("to_store"),
@@ -143,14 +153,14 @@ def transfer_plan(need_rows: DataFrame, *, keep_weeks: float = config.DONOR_KEEP
         F.array_join(F.transform("m.src", lambda s: F.concat(s["store"], F.lit(" ("), s["qty"].cast("string"), F.lit(")"))),
                      ", ").alias("from_stores"),
         (F.col("m.need") - F.col("m.got")).alias("then_buy"))
-    return items, moves
 
 
-def rank_moves(moves: DataFrame, item_cost: DataFrame) -> DataFrame:
-    """Moves valued at the item's median cost, ordered by priority class then value."""
+def rank_moves(moves: DataFrame, item_cost: DataFrame, ordered: bool = True) -> DataFrame:
+    """Moves valued at the item's median cost, ordered by priority class then value
+    (``ordered=False`` for a caller that goes on to aggregate)."""
     rank = F.create_map(*[x for k, v in config.MOVE_PRIORITY.items() for x in (F.lit(k), F.lit(v))])
     out = (moves.join(item_cost, on=["dept", "item"], how="left")
                 .withColumn("value", round_even(F.col("transfer_in") * F.col("cost"), 0))
                 .withColumn("priority_rank", F.coalesce(F.element_at(rank, F.col("priority")), F.lit(3)))
                 .drop("cost"))
-    return out.orderBy(F.col("priority_rank"), F.col("value").desc_nulls_last(), F.col("to_store"), F.col("item"))
+    return out if not ordered else out.orderBy(F.col("priority_rank"), F.col("value").desc_nulls_last(), F.col("to_store"), F.col("item"))

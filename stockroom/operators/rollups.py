@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.numeric import round_even
 
 
 def first_by(c: str, order: str = "ingest_row", skip_empty: bool = False) -> Column:
@@ -23,14 +22,20 @@ def first_by(c: str, order: str = "ingest_row", skip_empty: bool = False) -> Col
     return F.min_by(F.col(c), F.when(ok, F.col(order)))
 
 
-def last_by(c: str, order: str = "ingest_row") -> Column:
-    return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order)))
-
-
 def item_rollup(needs: DataFrame, keys=("dept", "item")) -> DataFrame:
     """Per item - first code/category/supplier, summed OH / 30D / 90D / LY, median cost,
     largest case pack (0 or missing -> 1), any par."""
-    g = needs.groupBy(*keys).agg(
+    return with_case(needs.groupBy(*keys).agg(*item_aggregates()))
+
+
+def with_case(g: DataFrame) -> DataFrame:
+    return g.withColumn("case", F.when(F.col("case_pack").isNull() | (F.col("case_pack") == 0), 1.0)
+                               .otherwise(F.col("case_pack")))
+
+
+def item_aggregates() -> list[Column]:
+    """A01's aggregates of the store rows of an item."""
+    return [
         first_by("code").alias("code"),
         first_by("code_key").alias("code_key"),
         first_by("category").alias("category"),
@@ -41,9 +46,7 @@ def item_rollup(needs: DataFrame, keys=("dept", "item")) -> DataFrame:
         F.sum("u_ly4").alias("u_ly4"),
         F.median("cost").alias("cost"),
         F.max("case_pack").alias("case_pack"),
-        F.bool_or("has_par").alias("has_par"))
-    return g.withColumn("case", F.when(F.col("case_pack").isNull() | (F.col("case_pack") == 0), 1.0)
-                               .otherwise(F.col("case_pack")))
+        F.bool_or("has_par").alias("has_par")]
 
 
 def chain_by_code(inv: DataFrame) -> DataFrame:
@@ -69,12 +72,3 @@ def dedupe_keep(df: DataFrame, keys: list[str], order: str, keep: str = "last")
     pick = F.max_by if keep == "last" else F.min_by
     return (df.groupBy(*keys).agg(pick(F.struct(*rest), F.col(order)).alias("_row"))
               .select(*keys, *[F.col("_row")[c].alias(c) for c in rest]))
-
-
-def group_sum_sorted(df: DataFrame, keys: list[str], aggs: dict[str, Column], order_by: str) -> DataFrame:
-    """A16-A18 shape: groupBy + named aggregates, largest first."""
-    return df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()]).orderBy(F.col(order_by).desc())
-
-
-def rounded(c: str, scale: int) -> Column:
-    return round_even(F.col(c), scale).alias(c)

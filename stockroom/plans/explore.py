@@ -18,7 +18,7 @@ from ..operators.rollups import first_by
 from ..operators.windows import top_n
 from .base import ctx, scoped_inventory, store_needs
 from .brief import inventory_snapshot, pricing_flags, restock_actions
-from .order import q_transfer_plan_ranked
+from .order import ranked_moves
 from .weekly import weekly_order
 
 # --- fixed values: dashboard defaults ---------------------------------------------------
@@ -238,7 +238,7 @@ def q_focus_items(spark, sf_dir):
 
 
 def q_focus_store_detail(spark, sf_dir):
-    return focus_store_detail(q_transfer_plan_ranked(spark, sf_dir), FOCUS_QUESTION)
+    return focus_store_detail(ranked_moves(ctx(spark, sf_dir)), FOCUS_QUESTION)
 
 
 TAB_COLS = ["upc", "description", "department", "category", "supplier", "units_case", "retail"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import category_report, delete_rows_where, flag_rows_where, po_import
 from ..operators.rollups import coalesce_by_code
 from .base import ctx
-from .order import q_store_orders
+from .order import store_orders
 
 # fixed values: the category report's scope (the fixture's wine department and its cuts)
 REPORT_DEPARTMENT = "medium"
@@ -34,7 +34,7 @@ def row_flags(sheet: DataFrame) -> DataFrame:
 
 
 def q_row_flags(spark, sf_dir):
-    return row_flags(q_store_orders(spark, sf_dir))
+    return row_flags(store_orders(ctx(spark, sf_dir)))
 
 
 def q_po_import(spark, sf_dir):

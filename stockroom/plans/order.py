@@ -42,9 +42,18 @@ def q_transfer_plan_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_moves(moves, item_median_cost(store_needs(t)))
 
 
+def ranked_moves(t) -> DataFrame:
+    """Q03 without its presentation order, for callers that aggregate it."""
+    return rank_moves(transfers(t)[1], item_median_cost(store_needs(t)), ordered=False)
+
+
 def q_store_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q04: each store orders its own need in full cases; removed items excluded."""
-    t = ctx(spark, sf_dir)
+    return store_orders(ctx(spark, sf_dir)).orderBy("dept", "store", "supplier", F.col("wos").asc_nulls_last(), "item")
+
+
+def store_orders(t) -> DataFrame:
+    """Q04 without its presentation order."""
     n = store_needs(t).filter(F.col("need") > 0)
     n = n.join(t.remove_list.select("code_key").distinct(), "code_key", "left_anti")
     pack = F.when(F.col("case_pack") == 0, 1.0).otherwise(F.col("case_pack"))
@@ -57,5 +66,4 @@ def q_store_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(F.col("vel") > 0, round_even(F.col("on_hand") / F.col("vel"), 1)).alias("wos"),
                      "order_cases", "order_units",
                      round_even(F.col("cost"), 2).alias("unit_cost"),
-                     round_even(F.col("order_units") * F.col("cost"), 0).alias("order_usd"))
-             .orderBy("dept", "store", "supplier", F.col("wos").asc_nulls_last(), "item"))
+                     round_even(F.col("order_units") * F.col("cost"), 0).alias("order_usd")))

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import parse_by_store
-from .base import ctx, store_needs, transfers
+from ..operators.allocate import planned_moves
+from ..session import write_table
+from .base import ctx, store_needs
 from .brief import inventory_snapshot
-from .order import q_store_orders, q_transfer_plan_ranked
-from .weekly import weekly_order
+from .order import ranked_moves, store_orders
+from .weekly import item_plan, weekly_order
 
 
 def _orders(t) -> DataFrame:
@@ -42,7 +44,7 @@ def store_receiving_rollup(ranked_moves: DataFrame) -> DataFrame:
                         .orderBy(F.col("transfer_in_value").desc(), "dept", "to_store"))
 
 
-def headline_kpis(orders: DataFrame, moves: DataFrame, items: DataFrame, needs: DataFrame) -> DataFrame:
+def headline_kpis(orders: DataFrame, moves: DataFrame) -> DataFrame:
     """One row per department with the app's headline numbers, each a conditional
     aggregate over the order sections and the moves."""
     o = orders.groupBy("dept").agg(
@@ -98,23 +100,25 @@ def q_vendor_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_store_vendor_rollup(spark, sf_dir):
-    return store_vendor_rollup(q_store_orders(spark, sf_dir))
+    return store_vendor_rollup(store_orders(ctx(spark, sf_dir)))
 
 
 def q_store_receiving_rollup(spark, sf_dir):
-    return store_receiving_rollup(q_transfer_plan_ranked(spark, sf_dir))
+    return store_receiving_rollup(ranked_moves(ctx(spark, sf_dir)))
 
 
 def q_headline_kpis(spark, sf_dir):
     t = ctx(spark, sf_dir)
-    items, moves = transfers(t)
-    return headline_kpis(_orders(t), moves, items, store_needs(t))
+    needs = store_needs(t)
+    planned = write_table(item_plan(needs), "item-plan")
+    return headline_kpis(weekly_order(needs, t, planned=planned), planned_moves(planned))
 
 
 def q_vendor_order(spark, sf_dir):
     t = ctx(spark, sf_dir)
-    return vendor_order(_orders(t), inventory_snapshot(t))
+    orders = write_table(_orders(t).filter(F.col("section") == "order"), "vendor-order-lines")
+    return vendor_order(orders, inventory_snapshot(t))
 
 
 def q_store_order(spark, sf_dir):
-    return store_order(q_store_orders(spark, sf_dir))
+    return store_order(store_orders(ctx(spark, sf_dir)))

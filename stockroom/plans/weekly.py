@@ -22,11 +22,12 @@ from ..functions.codes import clean_code
 from ..functions.months import month_abbr, weeks_to_next_buy_month
 from ..functions.numeric import round_even
 from ..functions.text import join_text
-from ..operators.allocate import transfer_plan
+from ..operators.allocate import planned_items
 from ..operators.joins import (ad_join, apply_overrides, buy_months_join, buyer_terms,
                                flag_membership, retail_by_code, split_discontinued)
-from ..operators.rollups import item_rollup
+from ..operators.rollups import item_aggregates, with_case
 from ..operators.windows import priority_order, running_sum
+from ..session import write_table
 from ..sources.fixtures import AS_OF
 from ..operators.clean import src_inventory
 from .base import ctx, store_needs
@@ -52,13 +53,17 @@ def _recase(df: DataFrame, mask: Column) -> DataFrame:
         "net_buy_usd": F.when(mask, round_even(units * F.col("cost"), 0)).otherwise(F.col("net_buy_usd"))})
 
 
-def order_lines(needs: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFrame | None = None,
+def item_plan(needs: DataFrame) -> DataFrame:
+    """A01 + W01 of every item in one groupBy by (dept, item)."""
+    return with_case(planned_items(needs, extra=item_aggregates()))
+
+
+def order_lines(planned: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFrame | None = None,
                 target_weeks: float = config.TARGET_WEEKS) -> DataFrame:
     """All bought-or-considered lines of every department with a ``section`` column:
-    order | removed | wait. Lines cut to zero units are not returned."""
+    order | removed | wait, from the item plan. Lines cut to zero units are not returned."""
     cur_month = datetime.date.fromisoformat(as_of).month
-    items, _ = transfer_plan(needs)
-    g = item_rollup(needs)
+    g = planned.drop("_moves")
     wk_vel, v90 = F.col("u30") * 7 / 30, F.col("u90") * 7 / 90
     g = g.withColumns({
         "wk_vel": wk_vel,
@@ -67,7 +72,6 @@ def order_lines(needs: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFrame
         "trend": F.when(v90 > 0, round_even((wk_vel / v90 - 1) * 100, 0)),
         "ly_wk": round_even(F.col("u_ly4") / 4.0, 1)})
     # 2-3: transfer totals and case rounding
-    g = g.join(items, ["dept", "item"], "left")
     g = g.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ("gross_need", "transfer", "net_buy")})
     cases = round_even(F.col("net_buy") / F.col("case"), 0)
     units = (cases * F.col("case")).cast("bigint")
@@ -169,9 +173,11 @@ def _present(df: DataFrame, *extra: str) -> DataFrame:
 
 
 def weekly_order(needs: DataFrame, t, *, budget: float | None = config.WEEKLY_BUDGET,
-                 priority: str = config.PRIORITY, decisions: DataFrame | None = None) -> DataFrame:
-    """The order sheet(s): section order (within budget), deferred (over budget), removed, wait."""
-    lines = order_lines(needs, t, decisions=decisions)
+                 priority: str = config.PRIORITY, decisions: DataFrame | None = None,
+                 planned: DataFrame | None = None) -> DataFrame:
+    """The order sheet(s): section order (within budget), deferred (over budget), removed, wait.
+    A caller that has the item plan of ``needs`` passes it on."""
+    lines = order_lines(item_plan(needs) if planned is None else planned, t, decisions=decisions)
     if budget is None:
         return _present(lines, "section")
     orders = lines.filter(F.col("section") == "order")
@@ -185,12 +191,11 @@ def dept_summary(needs: DataFrame, t) -> DataFrame:
     """Per department items, gross $, transfer $, net buy $, plus an all-departments
     row (``dept`` NULL) from the same rollup. Gross/transfer count every item; net counts
     the surviving order lines only."""
-    items, _ = transfer_plan(needs)
-    g = item_rollup(needs).join(items, ["dept", "item"], "left")
-    money = g.groupBy("dept").agg(
+    planned = write_table(item_plan(needs), "item-plan")
+    money = planned.groupBy("dept").agg(
         F.sum(round_even(F.col("gross_need") * F.col("cost"), 0)).alias("gross_usd"),
         F.sum(round_even(F.col("transfer") * F.col("cost"), 0)).alias("transfer_usd"))
-    lines = order_lines(needs, t).filter(F.col("section") == "order")
+    lines = order_lines(planned, t).filter(F.col("section") == "order")
     net = lines.groupBy("dept").agg(F.count("*").alias("items"), F.sum("net_buy_usd").alias("net_buy_usd"))
     per = money.join(net, "dept", "left").select(
         "dept", F.coalesce("items", F.lit(0)).alias("items"), "gross_usd", "transfer_usd",

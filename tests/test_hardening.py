@@ -67,7 +67,7 @@ def test_season_factors_by_item_and_by_category_both_occur(spark):
 def test_every_override_occurs(spark):
     from conftest import SF_CHECK
     t = tables(spark, SF_CHECK)
-    orders = weekly.order_lines(store_needs(t), t).filter("section = 'order'")
+    orders = weekly.order_lines(weekly.item_plan(store_needs(t)), t).filter("section = 'order'")
     d = t.order_decisions
     hit = orders.join(d, (F.lower(F.trim(orders.dept)) == F.lower(F.trim(d.dept))) & (F.lower(F.trim(orders.item)) == F.lower(F.trim(d.item))))
     seen = {(r["action"], None if r["qty"] is None else r["qty"].lstrip("-").isdigit()) for r in hit.select(d.action, d.qty).collect()}
