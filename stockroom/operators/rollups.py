@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions.codes import norm_code
 
 
 def first_by(c: str, order: str = "ingest_row", skip_empty: bool = False) -> Column:
@@ -63,6 +64,13 @@ def coalesce_by_code(df: DataFrame, key: str, fields: list[str], order: str = "i
     return df.groupBy(key).agg(*[first_by(f, order, skip_empty=True).alias(f) for f in fields])
 
 
+def tab_items(tab: DataFrame, code: str, item: str, order: str) -> DataFrame:
+    """(code, item) of any list tab: rows with a code and an item, the first row of a code."""
+    named = tab.select(norm_code(code).alias("code"), F.trim(F.col(item)).alias("item"), order)
+    named = named.filter((F.col("code") != "") & (F.coalesce(F.col("item"), F.lit("")) != "") & (F.lower("item") != "nan"))
+    return dedupe_keep(named, ["code"], order, keep="first").select("code", "item")
+
+
 def dedupe_keep(df: DataFrame, keys: list[str], order: str, keep: str = "last") -> DataFrame:
     """One row per key, the last (or first) by ``order`` - deterministic, unlike
     ``dropDuplicates``."""

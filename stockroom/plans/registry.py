@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brief, explore, history, lists, matching, order, sales, streams, vendors, weekly
+from . import brief, explore, history, lists, matching, order, sales, streams, uploads, vendors, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -78,4 +78,14 @@ QUERIES = {
     "ad_week_items": lists.q_ad_week_items,
     "report_items": lists.q_report_items,
     "ad_sheet_blocks": lists.q_ad_sheet_blocks,
+    "upload_compare": uploads.q_upload_compare,
+    "upload_money": uploads.q_upload_money,
+    "buyer_master": uploads.q_buyer_master,
+    "tidy_tab": uploads.q_tidy_tab,
+    "tab_items": uploads.q_tab_items,
+    "report_files": uploads.q_report_files,
+    "newest_snapshot": uploads.q_newest_snapshot,
+    "explore_filtered": uploads.q_explore_filtered,
+    "store_orders_written": uploads.q_store_orders_written,
+    "vendor_split_files": sales.q_vendor_split_files,
 }

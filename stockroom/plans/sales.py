@@ -138,11 +138,15 @@ def _vendor_lines(po: DataFrame, as_of: str, days: int) -> DataFrame:
               .withColumn("vendor", F.coalesce(F.nullif(F.trim("vendor"), F.lit("")), F.lit("Unknown"))))
 
 
+FILES_PER_VENDOR = 4
+
+
 def write_vendor_split(po: DataFrame, out_dir: str, as_of: str = AS_OF, days: int = config.VENDOR_PO_DAYS) -> DataFrame:
-    """S10 sink: one CSV folder per vendor (partitioned write, overwrite) + the manifest."""
+    """S10 sink: one CSV folder per vendor (partitioned write, overwrite; a large vendor is several
+    files) + the manifest."""
     lines = _vendor_lines(po, as_of, days).withColumn("vendor_file", safe_name(F.col("vendor")))
     (lines.select("vendor_file", "location", "ref", "code", "cases_ordered", "department", "category")
-          .repartition("vendor_file").write.mode("overwrite").partitionBy("vendor_file")
+          .repartition(F.col("vendor_file"), F.pmod(F.xxhash64("ref", "code"), F.lit(FILES_PER_VENDOR))).write.mode("overwrite").partitionBy("vendor_file")
           .option("header", True).csv(out_dir))
     return vendor_split_manifest(po, as_of, days)
 
@@ -155,6 +159,19 @@ def q_sink_vendor_split(spark, sf_dir):
     return vendor_split_manifest(ctx(spark, sf_dir).po_lines)
 
 
+def q_vendor_split_files(spark, sf_dir):
+    """S10 end to end: the split written, read back, and counted per vendor folder."""
+    import os
+    import uuid
+    from ..session import checkpoint_dir
+    out = os.path.join(checkpoint_dir(spark), "vendor-split", uuid.uuid4().hex[:12])
+    write_vendor_split(ctx(spark, sf_dir).po_lines, out)
+    lines = spark.read.option("header", True).schema(
+        "location string, ref bigint, code string, cases_ordered double, department string, category string, vendor_file string").csv(out)
+    return lines.groupBy("vendor_file").agg(F.count("*").alias("lines"), F.sum("cases_ordered").alias("cases"),
+                                            F.min("code").alias("first_code"))
+
+
 def q_freshness(spark, sf_dir, as_of: str = AS_OF):
     """Q19: data date of the history feed, its age against the run date, health flag."""
     h = ctx(spark, sf_dir).history

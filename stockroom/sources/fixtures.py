@@ -189,6 +189,35 @@ SELECT CASE cat_row % 3 WHEN 0 THEN concat(substr(code, 1, 4), '-', substr(code,
 FROM {catalog}
 """
 
+# The same price sheet as it is uploaded: a title, a blank row, a header row, then text cells with
+# "$" prices. No header names the code.
+VIEWS["upload_sheet"] = """
+SELECT CAST(0 AS BIGINT) AS row_idx, 'Spring price sheet' AS c0, CAST(NULL AS string) AS c1, CAST(NULL AS string) AS c2
+UNION ALL SELECT 1, '', '', ''
+UNION ALL SELECT 2, 'Ref', ' Product  Title', 'Unit  Cost'
+UNION ALL SELECT up_row + 10, up_code, up_item, concat('$', cast(cast(floor(up_price) AS bigint) AS string), '.50 ea') FROM {upload}
+"""
+
+# The buyer master as a header-less sheet (the columns in use), with deal months in the deal text.
+VIEWS["buyer_sheet"] = """
+SELECT p_partkey + 2 AS row_idx, cast(900000000000 + p_partkey AS string) AS c8, p_name AS c9, p_brand AS c12,
+       cast(p_partkey % 12 + 1 AS string) AS c15,
+       CASE p_partkey % 4 WHEN 0 THEN concat('Case deal JAN/', substr(p_type, 1, 3), '/Mar') WHEN 1 THEN 'sond only' WHEN 2 THEN 'nan' ELSE 'May, june' END AS c16,
+       cast(p_size AS string) AS c25, cast(p_retailprice AS string) AS c27
+FROM {part}
+"""
+
+# A folder listing of report files, dated in two ways or not at all; lock files in between.
+VIEWS["file_listing"] = """
+SELECT concat('/reports/', cast(o_orderkey AS string)) AS path,
+       concat(CASE WHEN o_orderkey % 13 = 0 THEN '~$' ELSE '' END, 'Sales Report',
+              CASE o_orderkey % 3 WHEN 0 THEN concat(' 2001-', cast(o_orderkey % 12 + 1 AS string), '-', cast(o_orderkey % 28 + 1 AS string))
+                                  WHEN 1 THEN concat(' ', cast(o_orderkey % 12 + 1 AS string), '.', cast(o_orderkey % 28 + 1 AS string), '.02') ELSE '' END,
+              '.xlsx') AS name,
+       o_orderdate AS mtime, o_orderkey % 2 AS folder
+FROM {orders}
+"""
+
 # Ad lines as marketing writes them: a product with a slash pair naming the next product
 # by a shortened name, or a whole-brand line ("All <first word>"); one line per listed part.
 VIEWS["ad_lines"] = """

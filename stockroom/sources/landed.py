@@ -84,7 +84,7 @@ def report_files(listing: DataFrame, folder_rank: str | None = None) -> DataFram
     df = df.withColumn("data_date", F.coalesce(file_date(F.col("name")), F.to_date("mtime")))
     rank = F.col(folder_rank) if folder_rank else F.lit(0)
     best = df.groupBy("data_date").agg(
-        F.min_by(F.struct("path", "name", "mtime"), F.struct(rank.alias("r"), (-F.unix_micros(F.col("mtime").cast("timestamp"))).alias("t"))).alias("f"))
+        F.min_by(F.struct("path", "name", "mtime"), F.struct(rank.alias("r"), (-F.unix_micros(F.col("mtime").cast("timestamp"))).alias("t"), F.col("path").alias("p"))).alias("f"))
     return best.select("data_date", "f.path", "f.name", "f.mtime")
 
 

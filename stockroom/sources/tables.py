@@ -56,6 +56,10 @@ class Tables:
             self._cache[key] = build(self)
         return self._cache[key]
 
+    def forget_derived(self) -> None:
+        """Drop what ``derived`` built, so that the next query builds it again."""
+        self._cache = {k: v for k, v in self._cache.items() if not k.startswith("derived:")}
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
@@ -65,11 +69,17 @@ class Tables:
             raise AttributeError(name) from e
 
 
-_TABLES: dict[tuple[int, str], Tables] = {}
+_TABLES: dict[tuple[str, str], Tables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark), sf_dir)
+    """The tables of one data directory, kept for the running application (its id is never reused).
+    Input that changed under the same path needs ``forget(spark, sf_dir)``."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TABLES:
         _TABLES[key] = Tables(spark, sf_dir)
     return _TABLES[key]
+
+
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    _TABLES.pop((spark.sparkContext.applicationId, sf_dir), None)
