@@ -1,9 +1,9 @@
 """Oracle SQL: daily brief (restock, pricing, deals), snapshot, chain by code."""
 
-from .common import INV, norm_code, with_views
+from .common import INV, dept_case, norm_code, with_views
 from .history import CAT, H, ITEM
 
-_THC = "lower(trim(coalesce(department, ''))) LIKE '%small%'"
+_DEPT = "dept IS NOT NULL"
 
 FACTORS = """ifac AS (SELECT code, least(greatest(jul / jun, 0.7), 1.8) AS f FROM iwide
          WHERE jun > 0 AND jul IS NOT NULL AND code IN (SELECT code FROM ibase)),
@@ -19,7 +19,7 @@ TERMS = """terms AS (
 RESTOCK = f"""b0 AS (
   SELECT *, 0.6 * (u30 * 7 / 30) + 0.4 * (u90 * 7 / 90) AS vel,
          CASE WHEN u90 * 7 / 90 > 0 THEN (u30 * 7 / 30) / (u90 * 7 / 90) ELSE 1.0 END AS trend_r
-  FROM inv WHERE {_THC}),
+  FROM inv WHERE {_DEPT}),
 b1 AS (
   SELECT b0.*, coalesce(i.f, c.f, 1.0) AS season_f, CASE WHEN i.f IS NOT NULL THEN 'item' ELSE 'category' END AS season_src
   FROM b0 LEFT JOIN ifac i ON i.code = {norm_code('b0.code')} LEFT JOIN cfac c ON c.category = trim(b0.category)),
@@ -51,7 +51,7 @@ rows AS (
   SELECT r.*, g.got, g.xfer, ri.price, ri.item_code,
          CAST(trunc(greatest(r.need - g.got, 0)) AS BIGINT) AS buy
   FROM rs r JOIN rgot g ON g.item = r.item AND g.ingest_row = r.ingest_row JOIN ritem ri ON ri.item = r.item WHERE r.need > 0)
-SELECT rows.item, rows.store, CASE WHEN ohp = 0 AND vel > 0 THEN 'STOCKOUT' ELSE '' END AS stockout,
+SELECT rows.dept, rows.item, rows.store, CASE WHEN ohp = 0 AND vel > 0 THEN 'STOCKOUT' ELSE '' END AS stockout,
        CAST(trunc(on_hand) AS BIGINT) AS on_hand, round_even(vel, 1) + 0.0 AS wk_velocity,
        CASE WHEN trend_r >= 1.2 THEN 'rising' WHEN trend_r <= 0.8 THEN 'falling' ELSE 'steady' END AS trend,
        round_even(season_f, 2) + 0.0 AS season_x, season_src AS season_basis,
@@ -64,8 +64,8 @@ SELECT rows.item, rows.store, CASE WHEN ohp = 0 AND vel > 0 THEN 'STOCKOUT' ELSE
 FROM rows LEFT JOIN terms t ON t.code_key = {norm_code('rows.item_code')}"""
 
 SQL["pricing_flags"] = with_views(["inventory", "market_price"]) + f""",
-ours AS (SELECT {norm_code('code')} AS upc, item, median(price) AS our FROM inventory WHERE {_THC}
-         GROUP BY {norm_code('code')}, item HAVING median(price) > 0),
+ours AS (SELECT {dept_case()} AS dept, {norm_code('code')} AS upc, item, median(price) AS our FROM inventory WHERE {dept_case()} IS NOT NULL
+         GROUP BY {dept_case()}, {norm_code('code')}, item HAVING median(price) > 0),
 mkt AS (SELECT code_key AS upc, avg(market) AS mkt FROM market_price GROUP BY code_key),
 j AS (SELECT o.*, m.mkt, c.comp_a, c.comp_b FROM ours o LEFT JOIN mkt m ON m.upc = o.upc
       LEFT JOIN (SELECT * FROM market_price QUALIFY row_number() OVER (PARTITION BY code_key ORDER BY list_row DESC) = 1) c
@@ -76,7 +76,7 @@ j3 AS (SELECT *, coalesce(best, mkt) AS bench,
                                                         CASE WHEN comp_b = best THEN 'comp_b' END)
                    WHEN mkt IS NOT NULL THEN 'Market' END AS vs FROM j2),
 j4 AS (SELECT *, (our - bench) / bench * 100 AS gap FROM j3 WHERE bench IS NOT NULL AND bench > 0)
-SELECT item, round_even(our, 2) + 0.0 AS our_price, round_even(comp_a, 2) + 0.0 AS comp_a, round_even(comp_b, 2) + 0.0 AS comp_b,
+SELECT dept, item, round_even(our, 2) + 0.0 AS our_price, round_even(comp_a, 2) + 0.0 AS comp_a, round_even(comp_b, 2) + 0.0 AS comp_b,
        round_even(mkt, 2) + 0.0 AS market_mean, round_even(bench, 2) + 0.0 AS market_price, vs,
        round_even(gap, 1) + 0.0 AS gap_pct,
        CASE WHEN gap >= 10 THEN 'ABOVE market (review)' ELSE 'BELOW market (raise)' END AS flag
@@ -84,7 +84,7 @@ FROM j4 WHERE gap >= 10 OR gap <= -15"""
 
 SQL["deal_evaluation"] = with_views(["inventory", "history", "deals"], INV, H, CAT, ITEM, FACTORS) + f""",
 byupc AS (SELECT {norm_code('code')} AS upc, sum(on_hand) AS oh, 0.6 * sum(u30) * 7 / 30 + 0.4 * sum(u90) * 7 / 90 AS wk_vel
-          FROM inv WHERE {_THC} GROUP BY {norm_code('code')}),
+          FROM inv WHERE {_DEPT} GROUP BY {norm_code('code')}),
 d0 AS (SELECT *, {norm_code('code_key')} AS upc, CASE WHEN units_case > 0 THEN CAST(units_case AS BIGINT) ELSE 1 END AS uc
        FROM deals_rows WHERE case_cost IS NOT NULL AND net_unit IS NOT NULL AND case_cost > 0 AND net_unit > 0),
 d1 AS (SELECT *, case_cost / uc AS reg_cost, case_cost / uc - net_unit AS savings FROM d0),
@@ -140,4 +140,4 @@ SQL["chain_by_code"] = with_views(["inventory"], INV) + f"""
 SELECT code_key, sum(on_hand) AS oh, sum(u30) AS u30, sum(u90) AS u90, round_even(median(price_raw), 4) + 0.0 AS price,
        arg_min(category, ingest_row) FILTER (WHERE category IS NOT NULL) AS category,
        round_even(0.6 * sum(u30) * 7 / 30 + 0.4 * sum(u90) * 7 / 90, 4) + 0.0 AS vel
-FROM inv WHERE {_THC} GROUP BY code_key"""
+FROM inv WHERE {_DEPT} GROUP BY code_key"""

@@ -63,12 +63,12 @@ SELECT dept, rank, item, category, {_metric} FROM (
 WHERE rank <= {X.TOP_SELLERS_N}"""
 
 SQL["needs_attention_stockouts"] = f"""
-SELECT item, {brand_sql('item')} AS brand, {potency_sql('item')} AS potency, store, on_hand, wk_velocity, trend,
+SELECT dept, item, {brand_sql('item')} AS brand, {potency_sql('item')} AS potency, store, on_hand, wk_velocity, trend,
        wk_usd_at_risk, action
 FROM ({brief.SQL['restock_brief']}) r WHERE stockout = 'STOCKOUT'"""
 
 SQL["needs_attention_above_market"] = f"""
-SELECT item, {brand_sql('item')} AS brand, {potency_sql('item')} AS potency, our_price, market_price, vs, gap_pct
+SELECT dept, item, {brand_sql('item')} AS brand, {potency_sql('item')} AS potency, our_price, market_price, vs, gap_pct
 FROM ({brief.SQL['pricing_flags']}) p WHERE starts_with(flag, 'ABOVE')"""
 
 _SNAP = f"snap AS (SELECT * FROM ({brief.SQL['inventory_snapshot']}) s0)"

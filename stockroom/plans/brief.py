@@ -18,16 +18,13 @@ from .base import ctx
 from .history import seasonal_factors
 from ..session import write_table
 
-BRIEF_DEPT = "THC"
-
-
-def _brief_rows(t, *, retail_only: bool = True) -> DataFrame:
-    """Snapshot rows of the brief's department (value *contains* match, as the brief does)."""
+def _brief_rows(t, *, retail_only: bool = True, departments=None) -> DataFrame:
+    """Snapshot rows of the brief's departments (value *contains* match, as the brief does), labelled
+    by ``dept``. Default: every department; a single-department brief passes its own."""
     inv = src_inventory(t.inventory)
     if retail_only:
         inv = drop_nonretail(inv)
-    groups = {BRIEF_DEPT: config.FIXTURE_DEPARTMENTS[BRIEF_DEPT]}
-    return dept_scope(inv, groups, contains=True)
+    return dept_scope(inv, departments or config.FIXTURE_DEPARTMENTS, contains=True)
 
 
 def brief_factors(t) -> tuple[DataFrame, DataFrame]:
@@ -101,7 +98,7 @@ def restock_actions(t, *, target_weeks: float = config.BRIEF_TARGET_WEEKS) -> Da
             .withColumn("ohp", F.greatest(F.col("on_hand"), F.lit(0.0)))
             .withColumn("need", F.greatest(F.col("target") - F.col("ohp"), F.lit(0.0)))
             .withColumn("surp", F.greatest(F.col("ohp") - F.col("target"), F.lit(0.0))))
-    per_item = df.groupBy("item").agg(
+    per_item = df.groupBy("dept", "item").agg(
         F.median("price_raw").alias("item_price"),
         first_by("code").alias("item_code"),
         F.array_sort(F.collect_list(F.when(F.col("need") > 0, F.struct(
@@ -124,7 +121,7 @@ def restock_actions(t, *, target_weeks: float = config.BRIEF_TARGET_WEEKS) -> Da
     act = F.when(buy > 0, F.when(act != "", F.concat(act, F.lit("; BUY "), buy.cast("string")))
                  .otherwise(F.concat(F.lit("BUY "), buy.cast("string")))).otherwise(act)
     return rows.select(
-        "item", "store",
+        "dept", "item", "store",
         F.when((F.col("ohp") == 0) & (F.col("vel") > 0), "STOCKOUT").otherwise("").alias("stockout"),
         F.col("on_hand").cast("bigint").alias("on_hand"),
         round_even(F.col("vel"), 1).alias("wk_velocity"),
@@ -143,10 +140,8 @@ def restock_actions(t, *, target_weeks: float = config.BRIEF_TARGET_WEEKS) -> Da
 def pricing_flags(t) -> DataFrame:
     """Q07: our median price vs the cheapest named competitor, else the market mean;
     ABOVE at >= +10 %, BELOW at <= -15 %, other rows dropped."""
-    inv = dept_scope(src_inventory(t.inventory), {BRIEF_DEPT: config.FIXTURE_DEPARTMENTS[BRIEF_DEPT]},
-                     contains=True)
-    inv = inv.withColumn("upc", norm_code("code"))
-    ours = inv.groupBy("upc", "item").agg(F.median("price_raw").alias("our")).filter(F.col("our") > 0)
+    inv = _brief_rows(t, retail_only=False).withColumn("upc", norm_code("code"))
+    ours = inv.groupBy("dept", "upc", "item").agg(F.median("price_raw").alias("our")).filter(F.col("our") > 0)
     mp = t.market_price
     market = mp.groupBy(F.col("code_key").alias("upc")).agg(F.avg("market").alias("mkt"))
     comps = last_rows(mp, ["code_key"]).select(F.col("code_key").alias("upc"), *[F.col(c) for c in config.COMPETITORS])
@@ -162,7 +157,7 @@ def pricing_flags(t) -> DataFrame:
     j = j.withColumn("flag", F.when(F.col("gap") >= config.ABOVE_FLAG, "ABOVE market (review)")
                      .when(F.col("gap") <= -config.BELOW_FLAG, "BELOW market (raise)"))
     return j.filter(F.col("flag").isNotNull()).select(
-        "item", round_even(F.col("our"), 2).alias("our_price"),
+        "dept", "item", round_even(F.col("our"), 2).alias("our_price"),
         *[round_even(F.col(c), 2).alias(c) for c in config.COMPETITORS],
         round_even(F.col("mkt"), 2).alias("market_mean"), round_even(F.col("bench"), 2).alias("market_price"),
         "vs", round_even(F.col("gap"), 1).alias("gap_pct"), "flag")
@@ -280,7 +275,7 @@ def q_inventory_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_chain_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A04 over the brief department: per code OH / 30D / 90D, median price, first category."""
+    """A04 over the brief's departments: per code OH / 30D / 90D, median price, first category."""
     t = ctx(spark, sf_dir)
     inv = _brief_rows(t)
     g = chain_by_code(inv)

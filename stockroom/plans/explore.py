@@ -16,6 +16,7 @@ from ..operators.decisions import decision_state
 from ..operators.quantile import exact_quantile
 from ..operators.rollups import first_by
 from ..operators.windows import top_n
+from ..session import write_table
 from .base import ctx, scoped_inventory, store_needs
 from .brief import inventory_snapshot, pricing_flags, restock_actions
 from .order import ranked_moves
@@ -196,7 +197,7 @@ def q_category_sales(spark, sf_dir):
 
 
 def q_low_margin_top_sellers(spark, sf_dir):
-    return low_margin_top_sellers(product_db(ctx(spark, sf_dir)))
+    return low_margin_top_sellers(write_table(product_db(ctx(spark, sf_dir)), "product-db"))
 
 
 def q_top_sellers(spark, sf_dir):
@@ -211,14 +212,14 @@ def q_needs_attention_stockouts(spark, sf_dir):
     """Q16: stockouts on sellers, largest weekly $ at risk first."""
     r = with_dims(restock_actions(ctx(spark, sf_dir)), "item")
     return explore_filters(r, discount_col="discount_pct").filter(F.col("stockout") == "STOCKOUT").select(
-        "item", "brand", "potency", "store", "on_hand", "wk_velocity", "trend", "wk_usd_at_risk", "action")
+        "dept", "item", "brand", "potency", "store", "on_hand", "wk_velocity", "trend", "wk_usd_at_risk", "action")
 
 
 def q_needs_attention_above_market(spark, sf_dir):
     """Q16: items priced above the market benchmark, largest gap first."""
     p = with_dims(pricing_flags(ctx(spark, sf_dir)), "item")
     return explore_filters(p).filter(F.col("flag").startswith("ABOVE")).select(
-        "item", "brand", "potency", "our_price", "market_price", "vs", "gap_pct")
+        "dept", "item", "brand", "potency", "our_price", "market_price", "vs", "gap_pct")
 
 
 def _focus(spark, sf_dir, part):
