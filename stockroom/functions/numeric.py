@@ -35,16 +35,6 @@ def round_even(c, scale: int = 0) -> Column:
     return F.bround(col(c) * f, 0) / f + F.lit(0.0)
 
 
-def clip0(c) -> Column:
-    """max(x, 0) with NULL kept NULL."""
-    return F.when(col(c).isNull(), None).otherwise(F.greatest(col(c), F.lit(0.0)))
-
-
-def trunc_long(c) -> Column:
-    """int(x): truncation toward zero."""
-    return col(c).cast("double").cast("bigint")
-
-
 def trend_label(ratio) -> Column:
     """rising at >= 1.2, falling at <= 0.8, steady otherwise."""
     r = col(ratio)

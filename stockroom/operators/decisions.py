@@ -55,11 +55,3 @@ def decision_state(log: DataFrame, keep_removed: bool = False) -> DataFrame:
     if not keep_removed:
         last = last.filter(F.col("e.action").isNotNull())
     return (last.select("e.dept", "e.item", "e.action", "e.qty", "e.note", F.col("e.id").alias("set_by"), "e.ts"))
-
-
-def undone_entries(log: DataFrame) -> DataFrame:
-    """The log with its ``undone`` marker: set events later undone, and every undo entry."""
-    marked = accepted_undos(log).select(F.col("target_id").alias("id"), F.lit(True).alias("_u"))
-    return (log.join(marked, "id", "left")
-               .withColumn("undone", (F.col("action") == "undo") | F.coalesce(F.col("_u"), F.lit(False)))
-               .drop("_u"))

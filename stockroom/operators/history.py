@@ -33,10 +33,6 @@ def full_months(h: DataFrame, min_days: int = config.MIN_DAYS_IN_MONTH) -> DataF
              .filter(F.col("n_days") >= min_days))
 
 
-def in_full_months(h: DataFrame) -> DataFrame:
-    return h.join(full_months(h).select("ym"), "ym", "left_semi")
-
-
 def monthly_cube(h: DataFrame) -> DataFrame:
     """The history reduced once to (code, category, full month): units and the earliest
     (day, item). Every seasonality operator reads this reduction - days x products shrink

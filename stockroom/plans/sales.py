@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.codes import safe_name
-from ..functions.numeric import round_even
+from ..functions.numeric import round_even, staleness_days
 from ..sources.fixtures import AS_OF
 from .base import ctx
 
@@ -176,6 +176,6 @@ def q_freshness(spark, sf_dir, as_of: str = AS_OF):
     """Q19: data date of the history feed, its age against the run date, health flag."""
     h = ctx(spark, sf_dir).history
     d = h.agg(F.max("day").alias("data_date"))
-    age = F.datediff(F.lit(as_of).cast("date"), F.col("data_date"))
+    age = staleness_days("data_date", F.lit(as_of).cast("date"))
     return d.select("data_date", F.lit(datetime.date.fromisoformat(as_of)).alias("as_of"),
                     age.alias("stale_days"), F.when(age >= 1, "stale").otherwise("ok").alias("health"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.codes import clean_code
 from ..functions.months import month_abbr, weeks_to_next_buy_month
-from ..functions.numeric import round_even
+from ..functions.numeric import round_even, trend_pct
 from ..functions.text import join_text
 from ..operators.allocate import planned_items
 from ..operators.joins import (ad_join, apply_overrides, buy_months_join, buyer_terms,
@@ -69,7 +69,7 @@ def order_lines(planned: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFra
         "wk_vel": wk_vel,
         "wos": F.when(wk_vel > 0, round_even(F.col("chain_oh") / wk_vel, 1)),
         "_v90": v90,
-        "trend": F.when(v90 > 0, round_even((wk_vel / v90 - 1) * 100, 0)),
+        "trend": trend_pct(wk_vel, v90),
         "ly_wk": round_even(F.col("u_ly4") / 4.0, 1)})
     # 2-3: transfer totals and case rounding
     g = g.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ("gross_need", "transfer", "net_buy")})

@@ -92,3 +92,11 @@ def test_keyword_score(spark):
     words = text.query_words("How many Blue Widget items do we have?")
     assert words == ["blue", "widget"]
     assert one(spark, lambda c: text.keyword_score(c, words), "Blue widget 12") == 2
+
+
+def test_age_label_and_money(spark):
+    for secs, text in ((30, "30 sec ago"), (600, "10 min ago"), (7200, "2 hours ago"), (200000, "2 days ago"), (None, "")):
+        row = spark.createDataFrame([(None if secs is None else float(secs),)], "s double").select(numeric.age_label("s")).first()
+        assert row[0] == text
+    assert one(spark, numeric.money_or_zero, "$1,234.50") == 1234.5 and one(spark, numeric.money_or_zero, "n/a") == 0.0
+    assert one(spark, numeric.loose_num, "about 5.50 ea") == 5.5 and one(spark, numeric.loose_num, "-") is None
