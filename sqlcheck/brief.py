@@ -120,7 +120,7 @@ FROM d6"""
 SQL["inventory_snapshot"] = with_views(["inventory", "deals"], INV) + f""",
 g AS (SELECT dept, item, sum(on_hand) AS oh, sum(u30) AS u30, sum(u90) AS u90,
              arg_min(code, ingest_row) AS code, arg_min(category, ingest_row) AS category,
-             arg_min(supplier, ingest_row) AS supplier, median(cost) AS avgc, median(price) AS ret0,
+             arg_min(supplier, ingest_row) AS supplier, median(cost) AS avgc, median(price) AS ret0, median(club_price) AS club0,
              string_agg(CASE WHEN on_hand > 0 THEN store || ':' || CAST(CAST(trunc(on_hand) AS BIGINT) AS VARCHAR) END, ';'
                         ORDER BY ingest_row) AS by_store
       FROM sinv GROUP BY dept, item),
@@ -130,7 +130,7 @@ g2 AS (SELECT g.*, 0.6 * u30 * 7 / 30 + 0.4 * u90 * 7 / 90 AS vel,
        FROM g LEFT JOIN deals d ON d.code_key = {norm_code('g.code')})
 SELECT dept, item, category, supplier, CAST(trunc(oh) AS BIGINT) AS chain_oh, round_even(vel, 1) + 0.0 AS wk_velocity,
        CASE WHEN vel > 0 THEN round_even(oh / vel, 1) + 0.0 END AS wos, round_even(ucost, 2) + 0.0 AS cost,
-       round_even(ret, 2) + 0.0 AS retail,
+       round_even(ret, 2) + 0.0 AS retail, CASE WHEN club0 > 0 THEN round_even(club0, 2) + 0.0 END AS club,
        CASE WHEN ret IS NOT NULL AND ucost IS NOT NULL THEN CAST(round_even((ret - ucost) / ret * 100, 0) AS BIGINT) END AS margin_pct,
        coalesce(ref_deal, '') AS deal, CAST(trunc(u30) AS BIGINT) AS units_30d, CAST(trunc(u90) AS BIGINT) AS units_90d,
        coalesce(by_store, '') AS by_store_oh

@@ -23,7 +23,7 @@ INV = f"""inv AS (
          coalesce(on_hand, 0) AS on_hand, coalesce(u30, 0) AS u30, coalesce(u90, 0) AS u90,
          coalesce(u_ly4, 0) AS u_ly4, coalesce(case_pack, 0) AS case_pack,
          coalesce(avg_cost, 0) AS avg_cost, coalesce(supplier_cost, 0) AS supplier_cost,
-         coalesce(price, 0) AS price, price AS price_raw, ingest_row,
+         coalesce(price, 0) AS price, price AS price_raw, club_price, ingest_row,
          CASE WHEN coalesce(avg_cost, 0) > 0 THEN avg_cost
               WHEN coalesce(supplier_cost, 0) > 0 THEN supplier_cost ELSE 0.0 END AS cost,
          {dept_case()} AS dept

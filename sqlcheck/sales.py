@@ -37,6 +37,8 @@ FROM u WHERE trim(coalesce(code, '')) <> ''
   AND lower(trim(coalesce(department, ''))) NOT IN ('standard', 'large', 'small')
   AND NOT (lower(trim(coalesce(department, ''))) IN ('promo') AND lower(trim(coalesce(category, ''))) IN ('brand#1', 'brand#2'))"""
 
+SQL["open_po_wine"] = SQL["open_po_report"].replace("FROM po_lines", "FROM (SELECT * FROM po_lines WHERE contains(lower(team), 'wine')) po")
+
 SQL["sink_vendor_split"] = with_views(["po_lines"]) + """,
 v AS (SELECT coalesce(nullif(trim(vendor), ''), 'Unknown') AS vendor FROM po_lines
       WHERE status = 'Receiving' AND created > DATE '2001-06-30' - 4 AND trim(coalesce(code, '')) <> '')

@@ -20,6 +20,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+DECISION_SCHEMA = "dept string, item string, action string, qty string, note string"
+
+
+def read_decisions(spark, path: str, *, multiline: bool = False) -> DataFrame:
+    """Buyer decisions from JSON files, one object per line (``multiline``: one array per file);
+    quantities stay text, as buyers type them."""
+    return spark.read.schema(DECISION_SCHEMA).option("multiLine", multiline).json(path)
+
+
 SET_ACTIONS = ["approve", "qty", "skip", "fix"]
 
 

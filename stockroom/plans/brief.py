@@ -237,7 +237,7 @@ def inventory_snapshot(t) -> DataFrame:
         F.min_by("code", "ingest_row").alias("code"),
         F.min_by("category", "ingest_row").alias("category"),
         F.min_by("supplier", "ingest_row").alias("supplier"),
-        F.median("cost").alias("avgc"), F.median("price").alias("ret0"),
+        F.median("cost").alias("avgc"), F.median("price").alias("ret0"), F.median("club_price").alias("club0"),
         F.array_sort(F.collect_list(F.when(F.col("on_hand") > 0, F.struct(
             F.col("ingest_row").alias("r"), F.col("store").alias("s"), F.col("on_hand").alias("oh"))))).alias("_by"))
     g = g.withColumn("vel", F.lit(config.BLEND_30) * F.col("u30") * 7 / 30 + F.lit(config.BLEND_90) * F.col("u90") * 7 / 90)
@@ -249,6 +249,7 @@ def inventory_snapshot(t) -> DataFrame:
         F.col("oh").cast("bigint").alias("chain_oh"), round_even(F.col("vel"), 1).alias("wk_velocity"),
         F.when(F.col("vel") > 0, round_even(F.col("oh") / F.col("vel"), 1)).alias("wos"),
         round_even(ucost, 2).alias("cost"), round_even(ret, 2).alias("retail"),
+        F.when(F.col("club0") > 0, round_even(F.col("club0"), 2)).alias("club"),
         F.when(ret.isNotNull() & ucost.isNotNull(), round_even((ret - ucost) / ret * 100, 0).cast("bigint")).alias("margin_pct"),
         F.coalesce(F.col("ref_deal"), F.lit("")).alias("deal"),
         F.col("u30").cast("bigint").alias("units_30d"), F.col("u90").cast("bigint").alias("units_90d"),

@@ -37,6 +37,7 @@ QUERIES = {
     "chain_by_code": brief.q_chain_by_code,
     "live_rollup": sales.q_live_rollup,
     "open_po_report": sales.q_open_po_report,
+    "open_po_wine": sales.q_open_po_wine,
     "sink_vendor_split": sales.q_sink_vendor_split,
     "freshness": sales.q_freshness,
     "vendor_rollup": vendors.q_vendor_rollup,

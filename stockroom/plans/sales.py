@@ -107,9 +107,12 @@ def po_lines_clean(po: DataFrame) -> DataFrame:
     return po.filter((F.trim(F.coalesce(F.col("code"), F.lit(""))) != "") & keep)
 
 
-def open_po_report(po: DataFrame, as_of: str = AS_OF, days: int = config.OPEN_PO_DAYS) -> DataFrame:
+def open_po_report(po: DataFrame, as_of: str = AS_OF, days: int = config.OPEN_PO_DAYS, team: str | None = None) -> DataFrame:
     """Lines still in Receiving, plus recently created lines (Receiving or
-    Received) with a case discrepancy; each tagged with its source (bag union)."""
+    Received) with a case discrepancy; each tagged with its source (bag union). ``team`` keeps the
+    lines whose buying team contains that text, in any case."""
+    if team:
+        po = po.filter(F.contains(F.lower("team"), F.lit(team.lower())))
     cut = F.date_sub(F.lit(as_of).cast("date"), days)
     base = (po.withColumn("case_discrepancy", F.col("cases_ordered") - F.col("cases_received"))
               .filter(F.trim(F.coalesce(F.col("vendor"), F.lit(""))) != ""))
@@ -155,6 +158,11 @@ def q_open_po_report(spark, sf_dir):
     return open_po_report(ctx(spark, sf_dir).po_lines)
 
 
+def q_open_po_wine(spark, sf_dir):
+    """Q18 of one buying team, as the chain pulls it."""
+    return open_po_report(ctx(spark, sf_dir).po_lines, team="wine")
+
+
 def q_sink_vendor_split(spark, sf_dir):
     return vendor_split_manifest(ctx(spark, sf_dir).po_lines)
 

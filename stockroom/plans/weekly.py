@@ -13,6 +13,8 @@ Everything is one plan: one shuffle by (dept, item) for the rollup and the alloc
 from __future__ import annotations
 
 import datetime
+import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +29,8 @@ from ..operators.joins import (ad_join, apply_overrides, buy_months_join, buyer_
                                flag_membership, retail_by_code, split_discontinued)
 from ..operators.rollups import item_aggregates, with_case
 from ..operators.windows import priority_order, running_sum
-from ..session import write_table
+from ..operators.decisions import read_decisions
+from ..session import checkpoint_dir, write_table
 from ..sources.fixtures import AS_OF
 from ..operators.clean import src_inventory
 from .base import ctx, store_needs
@@ -237,9 +240,12 @@ def q_budget_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_weekly_order_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q02 with the buyers' decisions applied to its order lines."""
+    """Q02 with the buyers' decisions, written and read as JSON files (S06), applied to its order lines
+    (J10)."""
     t = ctx(spark, sf_dir)
-    return (weekly_order(store_needs(t), t, decisions=t.order_decisions)
+    path = os.path.join(checkpoint_dir(spark), "decisions", uuid.uuid4().hex[:12])
+    t.order_decisions.write.json(path)
+    return (weekly_order(store_needs(t), t, decisions=read_decisions(spark, path))
             .filter(F.col("section") == "order").drop("section"))
 
 

@@ -39,7 +39,8 @@ SELECT n_name AS store, concat('00', cast(900000000000 + pk AS string)) AS code,
        CASE WHEN pk % 10 = 0 THEN 0.0E0 WHEN pk % 53 = 0 THEN p_retailprice + 10
             ELSE p_retailprice - 350 END AS avg_cost,
        CASE WHEN pk % 20 = 0 THEN 0.0E0 ELSE p_retailprice - 340 END AS supplier_cost,
-       p_retailprice AS price, pk * 100 + nk AS ingest_row
+       p_retailprice AS price,
+       CASE pk % 9 WHEN 0 THEN 0.0E0 WHEN 1 THEN NULL ELSE p_retailprice - 5 END AS club_price, pk * 100 + nk AS ingest_row
 FROM s JOIN {nation} ON n_nationkey = nk JOIN {part} ON p_partkey = pk
 """
 
@@ -124,6 +125,7 @@ SELECT l_orderkey AS ref, s_name AS vendor, n_name AS location, cast(l_partkey A
   CASE l_linestatus WHEN 'O' THEN 'Receiving' ELSE 'Inventory Received' END AS status,
   l_quantity AS cases_ordered,
   CASE WHEN l_returnflag = 'R' THEN l_quantity - 1 ELSE l_quantity END AS cases_received,
+  CASE l_linenumber % 3 WHEN 0 THEN 'Wine & Spirits' WHEN 1 THEN 'Fine WINE team' END AS team,
   cast(l_shipdate AS date) AS created
 FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey JOIN {nation} ON n_nationkey = s_nationkey
   JOIN {part} ON p_partkey = l_partkey

@@ -1,7 +1,7 @@
 """Header and column detection on small hand-made sheets (S04, S13, P10, P12, P13), each
 checked against the answer worked out by hand."""
 
-from stockroom.sources.sheets import (detect_columns, detect_money_column, header_row, resolve_aliases,
+from stockroom.sources.sheets import (detect_columns, detect_money_column, header_row, pick_inventory_sheet, resolve_aliases,
                                       sheet_body, tidy_columns)
 
 
@@ -62,3 +62,17 @@ def test_late_evidence_counts(spark):
     assert detect_columns(headers, body)["upc"] == 0
     assert header_row(_sheet(spark, [["1", "2"]] * 20 + [["Code", "Cost"], ["5", "6"]])) == 20
     assert header_row(_sheet(spark, [["1", "2"], ["3", "4"]])) == 0
+
+
+def test_inventory_sheet_by_required_columns_and_score():
+    base = ["OH", "Product Description"]
+    sheets = {"notes": ["a"], "plain": base, "locations": [*base, "Location Name"], "windows": [*base, "30D", "90D"], "half": ["OH", "TOH", "PM", "30D"]}
+    assert pick_inventory_sheet(sheets) == "locations"
+    assert pick_inventory_sheet({"one": base, "two": base}) == "one" and pick_inventory_sheet({"x": ["OH"]}) is None
+
+
+def test_decisions_from_json(spark, tmp_path):
+    from stockroom.operators.decisions import read_decisions
+    (tmp_path / "a.json").write_text('[{"dept": "THC", "item": "x", "action": "qty", "qty": 12}, {"item": "y", "qty": "a few", "extra": 1}]')
+    got = read_decisions(spark, str(tmp_path / "a.json"), multiline=True).orderBy("item").collect()
+    assert [(r.item, r.qty, r.action) for r in got] == [("x", "12", "qty"), ("y", "a few", None)]
