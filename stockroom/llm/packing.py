@@ -64,8 +64,7 @@ def pieces(docs: DataFrame, *, path: str | None = None, length: int = LENGTH, en
         return rows, out
 
     held: list[Encoder] = []  # one for each task
-    return map_texts(docs, ["doc_id"], run, "piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * tokens,
-                     limit=8 << 20)
+    return map_texts(docs, ["doc_id"], run, "piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * tokens)
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:

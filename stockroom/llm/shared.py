@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockroom.session import write_table
 
-from .tokens import blob, parts
+from .tokens import blob, text_parts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +25,7 @@ def hash_order(col: str, salt: str):
     return F.xxhash64(F.lit(salt), F.col(col))
 
 
-def map_texts(docs: DataFrame, keys: list[str], fn, columns: str, *, limit: int = 4 << 20,
+def map_texts(docs: DataFrame, keys: list[str], fn, columns: str, *, limit: int = 2 << 20,
               text: str = "text") -> DataFrame:
     """Run ``fn`` over the texts of ``docs`` in Arrow batches, on the tasks where they are.
 
@@ -45,10 +45,8 @@ def map_texts(docs: DataFrame, keys: list[str], fn, columns: str, *, limit: int
 
     def run(batches):
         for batch in batches:
-            held = batch.column(batch.num_columns - 1).to_pylist()
-            texts = [blob(x) for x in held]
-            for i, j in parts(texts, limit):
-                rows, out = fn(texts[i:j])
+            for i, j, held in text_parts(batch.column(batch.num_columns - 1), limit):
+                rows, out = fn([blob(x) for x in held])
                 carried = [batch.column(k).slice(i, j - i) for k in range(len(keys))]
                 if rows is not None:
                     at = pa.array(rows, pa.int64())
@@ -59,7 +57,7 @@ def map_texts(docs: DataFrame, keys: list[str], fn, columns: str, *, limit: int
     return inner.mapInArrow(run, schema)
 
 
-def replace_texts(docs: DataFrame, fn, *, limit: int = 4 << 20) -> DataFrame:
+def replace_texts(docs: DataFrame, fn, *, limit: int = 2 << 20) -> DataFrame:
     """``docs`` with new texts, and without the rows ``fn`` leaves out; all columns as they were.
 
     ``fn(list of bytes) -> (rows, new texts)``: index and new text of each row that stays (bytes or
@@ -74,14 +72,12 @@ def replace_texts(docs: DataFrame, fn, *, limit: int = 4 << 20) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            held = batch.column(at_text).to_pylist()
-            texts = [blob(x) for x in held]
-            for i, j in parts(texts, limit):
-                rows, new = fn(texts[i:j])
+            for i, _, held in text_parts(batch.column(at_text), limit):
+                rows, new = fn([blob(x) for x in held])
                 at = pa.array([int(r) + i for r in rows], pa.int64())
                 columns = [c.take(at).cast(f.type) if k != at_text else None for k, (c, f) in enumerate(zip(batch.columns, arrow))]
                 columns[at_text] = pa.array(
-                    [None if held[i + r] is None else t if isinstance(t, str) else t.decode("utf-8", "replace") for r, t in zip(rows, new)],
+                    [None if held[r] is None else t if isinstance(t, str) else t.decode("utf-8", "replace") for r, t in zip(rows, new)],
                     arrow.field(at_text).type)
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import table
-from .tokens import U64, Batch, blob, parts, windows
+from .tokens import U64, Batch, blob, text_parts, windows
 
 WINDOW = 20
 SUB = 8
@@ -72,9 +72,8 @@ def runs_of(group: np.ndarray) -> np.ndarray:
 
 
 def batches_of(batch, limit: int = 8 << 20):
-    texts = [blob(x) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-    for i, j in parts(texts, limit):
-        yield i, j, texts[i:j]
+    for i, j, held in text_parts(batch.column(batch.schema.get_field_index("text")), limit):
+        yield i, j, [blob(x) for x in held]
 
 
 def announce(slices: int, window: int, sub: int):

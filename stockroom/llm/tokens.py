@@ -103,16 +103,23 @@ def windows(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, n
     return mix(h[at]), at
 
 
-def parts(texts: list[bytes], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def parts(sizes, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of at most ``limit`` bytes together (one text at least)."""
     i, total = 0, 0
-    for j, t in enumerate(texts):
-        if j > i and total + len(t) > limit:
+    for j, n in enumerate(sizes):
+        if j > i and total + n > limit:
             yield i, j
             i, total = j, 0
-        total += len(t)
-    if i < len(texts):
-        yield i, len(texts)
+        total += n
+    if i < len(sizes):
+        yield i, len(sizes)
+
+
+def text_parts(column, limit: int = 2 << 20) -> Iterator[tuple[int, int, list]]:
+    """An Arrow column of texts a few megabytes at a time: (from, to, bytes or None of each)."""
+    import pyarrow.compute as pc
+    for i, j in parts(pc.fill_null(pc.binary_length(column), 0).to_pylist(), limit):
+        yield i, j, column.slice(i, j - i).to_pylist()
 
 
 def blob(x) -> bytes:

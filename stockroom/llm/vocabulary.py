@@ -37,6 +37,8 @@ def byte_classes() -> np.ndarray:
 
 
 CLASS = byte_classes()
+#: Units remembered at most (about 250 bytes each); past it a task starts to learn anew.
+MOST = 300_000
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
@@ -71,6 +73,8 @@ class Encoder:
 
     def learned(self, buf, starts, ends, odd, keys) -> list[tuple]:
         raw, known, model = buf.tobytes(), self.known, self.model
+        if len(known) > MOST:
+            known.clear()
         for k, s, e, o in zip(keys, starts.tolist(), ends.tolist(), odd.tolist()):
             if k not in known:
                 unit = raw[s:e]
