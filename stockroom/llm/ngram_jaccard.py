@@ -40,7 +40,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 48, 6
 VALUES, STEP = 64, 16
 TOLERANCE = 1e-6
-BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK_CLASSES, BLOCK_SHINGLES = 128, 1 << 17
 #: The ids of candidate classes are broadcast up to this many (16 bytes each); beyond it Spark shuffles.
 BROADCAST_ROWS = 1_000_000
 
@@ -260,7 +260,7 @@ def row_links(docs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     whole = components(across).select(F.col("node").alias("c"), F.col("component"))
     ends = (ends.join(whole, "c", "left").select("c", "links", F.coalesce("component", "label").alias("label"))
                 .join(classes.select("c", "rep"), "c"))
-    named = ends.groupBy("label").agg(F.min("rep").alias("class_id"))
+    named = kept(ends.groupBy("label").agg(F.min("rep").alias("class_id")), "class-ids")  # so that Spark can split a large label
     linked = ends.join(named, "label").select("c", "links", "label", "class_id")
     per_class = (classes.select("c", "c2", "rep", "weight").join(linked, "c", "left")
                         .select("c", "c2", F.coalesce("label", "c").alias("label"),
@@ -306,7 +306,7 @@ def keep_one(docs: DataFrame, *, threshold: float = THRESHOLD, tolerance: float
     """``docs`` with one row of each component of links: one whose doc_id is the class id, of several the
     one with the least text hash. Rows without shingles stay. Columns are told apart by position."""
     rows = kept(row_links(docs, threshold, tolerance).filter("n > 0"), "row-links")
-    first = rows.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("label").agg(F.min("th").alias("first"))
+    first = kept(rows.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("label").agg(F.min("th").alias("first")), "firsts")
     marked = kept(rows.join(first, "label").select(
         "doc_id", "th", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("th") == F.col("first"))).alias("stays")), "stays")
     at = docs.columns.index
