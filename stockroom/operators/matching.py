@@ -55,21 +55,10 @@ def _vocabulary(q_tokens: DataFrame, c_tokens: DataFrame) -> DataFrame:
     return _matches(q_tokens.select(F.col("tok").alias("qt")).distinct(), words)
 
 
-def _rarest_first(q_tokens: DataFrame, vocabulary: DataFrame, q_id: list[str]) -> DataFrame:
-    """Per query its distinct tokens (``toks``), those that hit the fewest candidates first."""
-    reach = vocabulary.groupBy("qt").agg(F.sum("n").alias("reach"))
-    t = q_tokens.join(reach, q_tokens["tok"] == reach["qt"], "left").withColumn("reach", F.coalesce("reach", F.lit(0)))
-    return (t.groupBy(*q_id).agg(F.array_sort(F.collect_list(F.struct("reach", "tok"))).alias("_s"))
-             .withColumn("toks", F.col("_s.tok")).drop("_s"))
-
-
-def candidate_pairs(queries: DataFrame, vocabulary: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: str,
-                    least_hits) -> DataFrame:
-    """Every (query, candidate) that can have ``least_hits`` of the query's n tokens hit: it must have
-    a hit among any n - least_hits + 1 of them, so only the rarest so many are looked up."""
-    some = queries.select(*q_id, F.explode(F.slice("toks", 1, F.size("toks") - least_hits + 1)).alias("qt"))
-    held = c_tokens.select(F.col("tok").alias("ct"), c_id)
-    return some.join(vocabulary.select("qt", "ct"), "qt").join(held, "ct").select(*q_id, c_id).distinct()
+#: A query token that hits more candidates than this is common.
+RARE_REACH = 200
+#: Sets of more common tokens than this are compared pair by pair instead of by their subsets.
+SUBSET_TOKENS = 10
 
 
 def _hits(toks, words):
@@ -77,43 +66,72 @@ def _hits(toks, words):
     return F.size(F.filter(toks, lambda t: F.exists(words, lambda w: (w == t) | ((F.length(t) >= 3) & w.startswith(t)))))
 
 
+def _subsets(tokens_col: str):
+    """The non-empty subsets of a sorted token array, each as one text with its size."""
+    return F.expr(f"transform(sequence(1, cast(pow(2, size({tokens_col})) as int) - 1), m -> "
+                  f"filter({tokens_col}, (x, i) -> (shiftright(m, i) & 1) = 1))")
+
+
+def split_queries(q_tokens: DataFrame, vocabulary: DataFrame, q_id: list[str]) -> DataFrame:
+    """Per query its distinct tokens, the rare ones (looked up one by one) and the common ones (looked
+    up as sets; a query with very many counts all of its tokens as rare)."""
+    reach = vocabulary.groupBy(F.col("qt").alias("tok")).agg(F.sum("n").alias("reach"))
+    t = q_tokens.join(reach, "tok", "left").groupBy(*q_id).agg(
+        F.array_sort(F.collect_set("tok")).alias("toks"),
+        F.array_sort(F.collect_set(F.when(F.col("reach") <= RARE_REACH, F.col("tok")))).alias("rare"),
+        F.array_sort(F.collect_set(F.when(F.col("reach") > RARE_REACH, F.col("tok")))).alias("common"))
+    many = F.size("common") > SUBSET_TOKENS
+    return (t.withColumn("rare", F.when(many, F.concat("rare", "common")).otherwise(F.col("rare")))
+             .withColumn("common", F.when(many, F.array().cast("array<string>")).otherwise(F.col("common"))))
+
+
+def candidate_pairs(queries: DataFrame, common_sets: DataFrame, vocabulary: DataFrame, c_tokens: DataFrame, q_id: list[str],
+                    c_id: str) -> DataFrame:
+    """The (query, candidate) pairs that are compared one by one: those that share a rare token, and
+    the candidates with very many common tokens. At most about RARE_REACH for a query token."""
+    hit = vocabulary.select("qt", "ct").join(c_tokens.select(F.col("tok").alias("ct"), c_id), "ct")
+    rare = queries.select(*q_id, F.explode("rare").alias("qt")).join(hit, "qt").select(*q_id, c_id)
+    wide = common_sets.filter(F.size("common") > SUBSET_TOKENS).select(c_id, F.explode("common").alias("qt"))
+    wide = queries.select(*q_id, F.explode("common").alias("qt")).join(wide, "qt").select(*q_id, c_id)
+    return rare.unionByName(wide).distinct()
+
+
 def best_match(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: str, c_rank: DataFrame | None,
                min_score: float | None = None) -> DataFrame:
     """Best candidate per query by score = hits / distinct query tokens; ties go to the candidate
     with the smallest ``ord`` in ``c_rank`` (c_id, ord), else the smallest id. Returns q_id..., c_id,
     score.
 
-    Pairs are looked up by each query's rarest tokens and verified on the token arrays, so common
-    tokens do not multiply them. Without ``min_score`` a query goes on to the next stage only if it has
-    no match yet: 60 % of its tokens, then two tokens, then one - where the candidate with the smallest
-    ``ord`` per token is enough."""
+    A query's rare tokens give few candidates, which are verified on the token arrays. Candidates that
+    share only common tokens with it are not paired: of each set of common tokens the candidate with the
+    smallest ``ord`` that hits all of it is kept, and the query takes its largest subset that has one. A
+    candidate that hits more of the query than that subset shares a rare token, so it is among the
+    pairs. The work grows with the names and the queries, not with their product."""
     q_tokens = write_table(q_tokens, "match-query-tokens")
     c_tokens = write_table(c_tokens.select(c_id, "tok"), "match-candidate-tokens")
     vocabulary = write_table(_vocabulary(q_tokens, c_tokens), "match-vocabulary")
-    queries = write_table(_rarest_first(q_tokens, vocabulary, q_id), "match-queries")
-    names = c_tokens.groupBy(c_id).agg(F.collect_set("tok").alias("words"))
+    queries = write_table(split_queries(q_tokens, vocabulary, q_id), "match-queries")
     order = (lambda df: df.withColumn("ord", F.col(c_id))) if c_rank is None else (lambda df: df.join(c_rank, c_id))
-    n = F.size("toks")
-
-    def stage(todo: DataFrame, least_hits) -> DataFrame:
-        pairs = candidate_pairs(todo, vocabulary, c_tokens, q_id, c_id, least_hits)
-        scored = (order(pairs).join(names, c_id).join(todo, q_id).withColumn("hits", _hits(F.col("toks"), F.col("words")))
-                  .filter(F.col("hits") >= least_hits))
-        return scored.groupBy(*q_id).agg(
-            F.min_by(F.struct(F.col(c_id), (F.col("hits") / n).alias("score")),
-                     F.struct((-F.col("hits")).alias("h"), F.col("ord").alias("o"))).alias("b")).select(*q_id, "b.*")
-
-    if min_score is not None:
-        return stage(queries, F.greatest(F.ceil(n * min_score - 1e-9), F.lit(1)).cast("int")).filter(F.col("score") >= min_score)
-    found = write_table(stage(queries, F.greatest(F.ceil(n * 0.6), F.lit(2)).cast("int")), "match-most")
-    todo = queries.join(found, q_id, "left_anti")
-    more = write_table(stage(todo.filter(n > 1), F.lit(2)), "match-two")
-    todo = todo.join(more, q_id, "left_anti").select(*q_id, n.alias("n"), F.explode("toks").alias("qt"))
-    first = (order(c_tokens).groupBy(F.col("tok").alias("ct")).agg(F.min(F.struct("ord", c_id)).alias("f"))
-             .join(vocabulary.select("qt", "ct"), "ct").groupBy("qt").agg(F.min("f").alias("f")))
-    one = todo.join(first, "qt").groupBy(*q_id).agg(F.min("f").alias("f"), F.first("n").alias("n"))
-    one = one.select(*q_id, F.col("f")[c_id].alias(c_id), (1 / F.col("n")).alias("score"))
-    return found.unionByName(more).unionByName(one)
+    best = F.min_by(F.struct(c_id, "hits"), F.struct((-F.col("hits")).alias("h"), F.col("ord").alias("o"))).alias("b")
+
+    common = queries.select(F.explode("common").alias("qt")).distinct().join(vocabulary.select("qt", "ct"), "qt")
+    sets = write_table(c_tokens.select(c_id, F.col("tok").alias("ct")).join(common, "ct")
+                       .groupBy(c_id).agg(F.array_sort(F.collect_set("qt")).alias("common")), "match-common-sets")
+    pairs = candidate_pairs(queries, sets, vocabulary, c_tokens, q_id, c_id)
+    names = c_tokens.groupBy(c_id).agg(F.collect_set("tok").alias("words"))
+    paired = (order(pairs).join(names, c_id).join(queries.select(*q_id, "toks"), q_id)
+              .withColumn("hits", _hits(F.col("toks"), F.col("words"))).select(*q_id, c_id, "ord", "hits"))
+
+    first = (order(sets.filter(F.size("common") <= SUBSET_TOKENS)).groupBy("common").agg(F.min(F.struct("ord", c_id)).alias("f"))
+             .select(F.explode(_subsets("common")).alias("part"), "f").groupBy("part").agg(F.min("f").alias("f")))
+    asked = queries.filter(F.size("common") > 0).select("common").distinct()
+    by_set = (asked.select("common", F.explode(_subsets("common")).alias("part")).join(first, "part")
+              .groupBy("common").agg(F.min(F.struct((-F.size("part")).alias("h"), F.col("f.ord").alias("ord"), F.col(f"f.{c_id}").alias(c_id))).alias("b")))
+    grouped = (queries.join(by_set, "common").select(*q_id, F.col(f"b.{c_id}").alias(c_id), F.col("b.ord").alias("ord"), (-F.col("b.h")).alias("hits")))
+
+    out = paired.unionByName(grouped).groupBy(*q_id).agg(best).join(queries.select(*q_id, F.size("toks").alias("n")), q_id)
+    out = out.select(*q_id, F.col(f"b.{c_id}").alias(c_id), (F.col("b.hits") / F.col("n")).alias("score"))
+    return out if min_score is None else out.filter(F.col("score") >= min_score)
 
 
 def containment(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id: str) -> DataFrame:

@@ -15,9 +15,9 @@ def _pairs(spark, sf):
     lines = t.ad_lines.select("line_id", norm_text(F.element_at(F.split("raw", "/"), 1)).alias("nd"))
     q, c = M.tokens(lines, ["line_id"], "nd"), M.tokens(names, ["cid"], "nd")
     vocabulary = write_table(M._vocabulary(q, c), "vocabulary")
-    queries = M._rarest_first(q, vocabulary, ["line_id"])
-    least = F.greatest(F.ceil(F.size("toks") * 0.6), F.lit(1)).cast("int")
-    return lines.count() * names.count(), M.candidate_pairs(queries, vocabulary, c, ["line_id"], "cid", least).count()
+    queries = M.split_queries(q, vocabulary, ["line_id"])
+    none = spark.createDataFrame([], "cid long, common array<string>")
+    return lines.count() * names.count(), M.candidate_pairs(queries, none, vocabulary, c, ["line_id"], "cid").count()
 
 
 def test_candidate_pairs_grow_with_the_data(spark):
@@ -31,7 +31,11 @@ ASKED = ["blue gear", "blu gea 5mg", "gear", "anvil anvil", "xx nothing here", "
 
 
 @pytest.mark.parametrize("least_score", [0.6, None])
-def test_best_match_is_the_best_of_all_pairs(spark, least_score):
+@pytest.mark.parametrize("reach", [0, 2, 200])
+@pytest.mark.parametrize("most", [0, 1, 10])
+def test_best_match_is_the_best_of_all_pairs(spark, monkeypatch, least_score, reach, most):
+    monkeypatch.setattr(M, "RARE_REACH", reach)
+    monkeypatch.setattr(M, "SUBSET_TOKENS", most)
     c = spark.createDataFrame([(i, n) for i, n in enumerate(NAMES)], "cid long, nd string")
     q = spark.createDataFrame([(i, n) for i, n in enumerate(ASKED)], "qid long, nd string")
     rank = c.select("cid", (100 - F.col("cid")).alias("ord"))
