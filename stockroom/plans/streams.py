@@ -88,6 +88,6 @@ def q_stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = ctx(spark, sf_dir).change_log.select(*[c.split()[0] for c in SD.LOG_SCHEMA.split(", ")])
     d = _run_dir(spark, "decisions")
     land(log, F.col("id"), os.path.join(d, "src"))
-    SD.start(spark, os.path.join(d, "src"), os.path.join(d, "log"), os.path.join(d, "state"),
-             os.path.join(d, "ck"), files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
-    return SD.read_state(spark, os.path.join(d, "state"))
+    SD.start(spark, os.path.join(d, "src"), os.path.join(d, "log"), os.path.join(d, "ck"),
+             files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
+    return SD.read_state(spark, os.path.join(d, "log"))

@@ -1,59 +1,40 @@
-"""Buyer decisions folded incrementally from an append-only change-log stream.
-
-The log and the state are parquet tables partitioned by a hash bucket of the decision key
-(dept, item). Each micro-batch appends its entries to the log, then recomputes W07 only for
-the buckets it touched - reading just those log partitions - and overwrites exactly those
-state partitions (dynamic partition overwrite). The recompute is the batch
-``decision_state`` itself, so the streamed state always equals the batch fold, and a
-replayed batch (appended twice) changes nothing because duplicate log rows collapse on
+"""Buyer decisions kept current from a change-log stream.
+
+A micro-batch costs what it holds: its entries are appended under its own folder (a replay overwrites
+it). The state is the batch fold W07 over the log - the last accepted entry of each key, a ``max_by``
+that combines map-side - so streamed and batch state are one function. An undo may name any earlier
+entry, which is why the log and not a table of last entries is what is kept; readers that want the
+state as a table write it when they need it (``write_state``). Entries delivered twice collapse on
 their id.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.decisions import decision_state
-
-BUCKETS = 64
+from . import batches
 
 LOG_SCHEMA = ("id bigint, ts timestamp_ntz, dept string, item string, action string, qty int, note string, "
               "target_id bigint, prev_action string, prev_qty int, prev_note string")
 
 
-def bucket_of(dept, item, buckets: int = BUCKETS) -> F.Column:
-    return F.pmod(F.xxhash64(F.lower(F.trim(dept)), F.lower(F.trim(item))), F.lit(buckets)).cast("int")
-
-
-def _fold_batch(log_dir: str, state_dir: str, buckets: int):
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        b = batch.withColumn("bucket", bucket_of(F.col("dept"), F.col("item"), buckets))
-        b.write.mode("append").partitionBy("bucket").parquet(log_dir)
-        touched = [r[0] for r in b.select("bucket").distinct().collect()]  # <= BUCKETS ints
-        if not touched:
-            return
-        log = (spark.read.parquet(log_dir).filter(F.col("bucket").isin(touched))
-                    .dropDuplicates(["id"]))  # a replayed batch appends the same ids again
-        # removed decisions stay as tombstones, so every touched bucket is rewritten
-        state = decision_state(log, keep_removed=True).withColumn(
-            "bucket", bucket_of(F.col("dept"), F.col("item"), buckets))
-        (state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("bucket").parquet(state_dir))
-    return sink
-
-
-def start(spark: SparkSession, source_dir: str, log_dir: str, state_dir: str, checkpoint_dir: str, *,
-          buckets: int = BUCKETS, files_per_trigger: int | None = None, available_now: bool = True):
-    reader = spark.readStream.schema(LOG_SCHEMA)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    w = (reader.parquet(source_dir).writeStream.foreachBatch(_fold_batch(log_dir, state_dir, buckets))
-               .option("checkpointLocation", checkpoint_dir))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
-
-
-def read_state(spark: SparkSession, state_dir: str) -> DataFrame:
-    return spark.read.parquet(state_dir).filter(F.col("action").isNotNull()).drop("bucket")
+def start(spark: SparkSession, source_dir: str, log_dir: str, checkpoint_dir: str, *,
+          files_per_trigger: int | None = None, available_now: bool = True):
+    return batches.run(spark, LOG_SCHEMA, source_dir, checkpoint_dir, batches.append_partials(log_dir, lambda b: b),
+                       files_per_trigger=files_per_trigger, available_now=available_now, interval="1 minute")
+
+
+def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
+    """Every entry once."""
+    t = batches.read_partials(spark, log_dir)
+    return spark.createDataFrame([], LOG_SCHEMA) if t is None else t.drop("batch_id").dropDuplicates(["id"])
+
+
+def read_state(spark: SparkSession, log_dir: str) -> DataFrame:
+    """The current decision of every key that has one."""
+    return decision_state(read_log(spark, log_dir))
+
+
+def write_state(spark: SparkSession, log_dir: str, state_dir: str) -> None:
+    read_state(spark, log_dir).write.mode("overwrite").parquet(state_dir)

@@ -118,13 +118,15 @@ def test_decision_stream_equals_batch_fold(spark, scratch):
         if edges[k + 1] is not None:
             part = part.filter(F.col("id") <= edges[k + 1])
         part.repartition(3).write.mode("append").parquet(src)
-    SD.start(spark, src, logd, state, ck, buckets=8, files_per_trigger=1).awaitTermination()
+    SD.start(spark, src, logd, ck, files_per_trigger=1).awaitTermination()
     expected = _rows(decision_state(log))
-    assert _rows(SD.read_state(spark, state)) == expected
+    assert _rows(SD.read_state(spark, logd)) == expected
+    SD.write_state(spark, logd, state)
+    assert _rows(spark.read.parquet(state)) == expected
     # the first file is delivered again (at-least-once source): state unchanged
     log.filter(F.col("id") <= edges[1]).coalesce(1).write.mode("append").parquet(src)
-    SD.start(spark, src, logd, state, ck, buckets=8, files_per_trigger=1).awaitTermination()
-    assert _rows(SD.read_state(spark, state)) == expected
+    SD.start(spark, src, logd, ck, files_per_trigger=1).awaitTermination()
+    assert _rows(SD.read_state(spark, logd)) == expected
 
 
 def test_newest_copy_serves_one_whole_copy(spark):
