@@ -9,7 +9,7 @@ unit and goes through the complete tokenizer, so the ids are those of encoding t
 
 from __future__ import annotations
 
-from itertools import chain
+from array import array
 
 import numpy as np
 
@@ -37,8 +37,22 @@ def byte_classes() -> np.ndarray:
 
 
 CLASS = byte_classes()
-#: Units remembered at most (about 250 bytes each); past it a task starts to learn anew.
-MOST = 300_000
+#: Units remembered at most (about 150 bytes each); past it a task starts to learn anew.
+MOST = 500_000
+
+
+def strange_bytes() -> tuple[np.ndarray, np.ndarray]:
+    """1: makes a word unusual by itself; 2: together with some next bytes (multiplication and
+    division sign, capital I with a dot, the opening of a special string)."""
+    one, pair = np.zeros(256, np.uint8), np.zeros((256, 256), bool)
+    one[[0x27, 0xC2, 127, *(b for b in range(32) if not SPACE[b]), *range(0xCA, 256)]] = 1
+    for b, follow in ((0xC3, (0x97, 0xB7)), (0xC4, (0xB0,)), (0x3C, (0x7C,))):
+        one[b] = 2
+        pair[b, list(follow)] = True
+    return one, pair
+
+
+STRANGE, STRANGE_PAIR = strange_bytes()
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
@@ -49,7 +63,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.known: dict[int, tuple] = {}
+        self.known: dict[int, bytes] = {}  # the ids of a unit, four bytes each
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         buf, spans, odd, first = units(texts)
@@ -62,8 +76,8 @@ class Encoder:
         where = np.empty(len(distinct), np.int64)
         where[code[::-1]] = np.arange(len(h))[::-1]
         ids = self.learned(buf, starts[where], ends[where], odd[where], distinct.tolist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         at = np.concatenate(([0], np.cumsum(size)))[:-1]
         n = size[code]
         end = np.concatenate(([0], np.cumsum(n)))
@@ -71,7 +85,7 @@ class Encoder:
         cut = end[first]
         return [out[cut[i]:cut[i + 1]] for i in range(len(texts))]
 
-    def learned(self, buf, starts, ends, odd, keys) -> list[tuple]:
+    def learned(self, buf, starts, ends, odd, keys) -> list[bytes]:
         raw, known, model = buf.tobytes(), self.known, self.model
         if len(known) > MOST:
             known.clear()
@@ -79,13 +93,13 @@ class Encoder:
             if k not in known:
                 unit = raw[s:e]
                 if o:
-                    known[k] = tuple(self.whole.encode(unit.decode("utf-8", "replace"), add_special_tokens=False).ids)
+                    ids = self.whole.encode(unit.decode("utf-8", "replace"), add_special_tokens=False).ids
+                elif unit.isascii():
+                    ids = [t.id for t in model.tokenize(unit.decode())]
                 else:
-                    if not unit.isascii():
-                        unit = unit.decode().lower().encode()
-                        known[k] = tuple(t.id for t in model.tokenize(unit.decode("latin-1").translate(STAND_IN)))
-                    else:
-                        known[k] = tuple(t.id for t in model.tokenize(unit.decode()))
+                    unit = unit.decode().lower().encode()
+                    ids = [t.id for t in model.tokenize(unit.decode("latin-1").translate(STAND_IN))]
+                known[k] = array("I", ids).tobytes()
         return [known[k] for k in keys]
 
 
@@ -95,21 +109,27 @@ def units(texts: list[bytes]):
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     at = np.concatenate(([0], np.cumsum(size + 1)))
-    after = np.append(buf[1:], np.uint8(10))
-    strange = (buf == 0x27) | (buf == 0xC2) | (buf >= 0xCA) | (buf < 32) & ~SPACE[buf] | (buf == 127) \
-        | (buf == 0xC3) & ((after == 0x97) | (after == 0xB7)) | (buf == 0xC4) & (after == 0xB0) | (buf == 0x3C) & (after == 0x7C)
     kind = CLASS[buf]
-    blank = kind == 0
-    word = np.concatenate(([True], blank[:-1])) & ~blank
-    number = np.cumsum(word) - 1
-    n_words = int(number[-1]) + 1 if len(number) else 0
-    bad = np.zeros(max(n_words, 1), bool)
-    bad[number[strange & ~blank]] = True
-    in_bad = bad[number] & ~blank if n_words else np.zeros(len(buf), bool)
     before = np.concatenate(([np.uint8(0)], kind[:-1]))
-    cut = ~blank & (word | ~in_bad & ((kind != before) | (kind == 2)))
-    starts = np.flatnonzero(cut)
-    stop = np.flatnonzero(cut | blank)
-    ends = stop[np.searchsorted(stop, starts, "right")]
-    lowered = np.where(in_bad, buf, LOWER[buf])
-    return lowered, (starts, ends), in_bad[starts], np.searchsorted(starts, at)
+    cut = (kind != 0) & ((kind != before) | (kind == 2))
+    lowered = LOWER[buf]
+    strange = np.flatnonzero(STRANGE[buf])
+    pair = STRANGE[buf[strange]] == 2
+    second = buf[np.minimum(strange + 1, len(buf) - 1)]
+    strange = strange[~pair | STRANGE_PAIR[buf[strange], second]]
+    in_bad = None
+    if len(strange):
+        first = np.flatnonzero((kind != 0) & (before == 0))  # of each word
+        last = np.flatnonzero((kind == 0) & (before != 0))
+        bad = np.unique(np.searchsorted(first, strange, "right") - 1)
+        edge = np.zeros(len(buf), np.int8)
+        edge[first[bad]], edge[last[bad]] = 1, -1
+        in_bad = np.cumsum(edge, dtype=np.int8) > 0
+        cut &= ~in_bad
+        cut[first[bad]] = True
+        lowered = np.where(in_bad, buf, lowered)
+    stop = np.flatnonzero(cut | (kind == 0))
+    opens = np.flatnonzero(cut[stop])
+    starts, ends = stop[opens], stop[opens + 1]
+    odd = np.zeros(len(starts), bool) if in_bad is None else in_bad[starts]
+    return lowered, (starts, ends), odd, np.searchsorted(starts, at)
