@@ -128,18 +128,23 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
         "line_id", "pi", F.lit(0).alias("bi"), "cid", "conf", "target", F.lit(False).alias("many"))
     single_miss = s.filter(F.col("cid").isNull()).select("line_id", "pi", F.col("q").alias("unmatched"))
     # -- whole brands
-    brand = parts.filter(F.col("is_brand"))
-    b_tok = (brand.select("line_id", "pi", F.explode(F.array_distinct(F.split(norm_text("q"), " "))).alias("tok"))
-                  .filter(F.length("tok") >= 2))
-    hits = containment(b_tok, cat_tok, ["line_id", "pi"], "cid")
-    wb = Window.partitionBy("line_id", "pi").orderBy("cid")
-    sizes = hits.groupBy("line_id", "pi").agg(F.count("*").alias("n"))
-    hits = hits.withColumn("bi", F.row_number().over(wb))
-    brand_rows = (hits.join(sizes, ["line_id", "pi"])
-                      .join(brand.select("line_id", "pi", "target"), ["line_id", "pi"])
-                      .select("line_id", "pi", "bi", "cid", F.lit("brand").alias("conf"), "target",
-                              (F.col("n") > config.BRAND_REVIEW_COUNT).alias("many")))
-    brand_miss = brand.join(hits.select("line_id", "pi").distinct(), ["line_id", "pi"], "left_anti") \
+    # lines that name one brand expand alike, so each distinct set of tokens is matched once. A UPC
+    # goes to the first line that lists it: of equal sets that is the first line; rows without a UPC
+    # stay on every line
+    toks = F.array_sort(F.filter(F.array_distinct(F.split(norm_text("q"), " ")), lambda x: F.length(x) >= 2))
+    brand = parts.filter(F.col("is_brand")).withColumn("bk", F.array_join(toks, " "))
+    b_tok = brand.filter(F.col("bk") != "").select("bk", F.explode(F.split("bk", " ")).alias("tok")).distinct()
+    hits = containment(b_tok, cat_tok, ["bk"], "cid")
+    sizes = hits.groupBy("bk").agg(F.count("*").alias("n"))
+    hits = write_table(hits.withColumn("bi", F.row_number().over(Window.partitionBy("bk").orderBy("cid")))
+                           .join(sizes, "bk").join(catalog.select("cid", (F.col("upc") != "").alias("has_upc")), "cid"), "ad-brand-hits")
+    line = F.struct("line_id", "pi", "target")
+    first = brand.groupBy("bk").agg(F.min(line).alias("l")).select("bk", "l.*")
+    every = hits.filter("has_upc").join(first, "bk").unionByName(
+        hits.filter("NOT has_upc").join(brand.select("bk", "line_id", "pi", "target"), "bk"))
+    brand_rows = every.select("line_id", "pi", "bi", "cid", F.lit("brand").alias("conf"), "target",
+                              (F.col("n") > config.BRAND_REVIEW_COUNT).alias("many"))
+    brand_miss = brand.join(hits.select("bk").distinct(), "bk", "left_anti") \
         .select("line_id", "pi", F.col("raw").alias("unmatched"))
     # -- first occurrence of a UPC wins across all lines
     rows = single_rows.unionByName(brand_rows).join(catalog, "cid")
