@@ -39,7 +39,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 48, 6
 VALUES, STEP = 64, 16
-TOLERANCE = 1e-6
+TOLERANCE = 1e-9
 BLOCK_CLASSES, BLOCK_SHINGLES = 128, 1 << 17
 #: The ids of candidate classes are broadcast up to this many (16 bytes each); beyond it Spark shuffles.
 BROADCAST_ROWS = 1_000_000
