@@ -48,7 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return d
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
     d = tempfile.mkdtemp(prefix="stockroom-ckpt-")
     sc.setCheckpointDir(d)
