@@ -140,7 +140,7 @@ def carry_forward_block(sheet: DataFrame, blocks: DataFrame, order_col: str = "r
 
     No window over the whole sheet: rows are range-partitioned on ``order_col`` (pinned by
     a checkpoint), each range finds its last header locally, and a range without one takes
-    the last header of the ranges before it (a window over one row per range)."""
+    the last header of the ranges before it (an array with one entry per range)."""
     from pyspark.sql import Window
     from ..session import durable
     spark = sheet.sparkSession
@@ -151,8 +151,9 @@ def carry_forward_block(sheet: DataFrame, blocks: DataFrame, order_col: str = "r
     w = Window.partitionBy("_rng").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     head = F.when(F.col("_h").isNotNull(), F.struct("_h", "_d"))
     local = ranged.withColumn("_lh", F.last(head, ignorenulls=True).over(w))
-    earlier = Window.partitionBy(F.lit(0)).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (ranged.groupBy("_rng").agg(F.max(head).alias("_last"))  # one row per range
-                   .select(F.col("_rng"), F.last("_last", ignorenulls=True).over(earlier).alias("_before")))
+    lasts = ranged.groupBy("_rng").agg(F.max(head).alias("_last")).agg(F.collect_list(F.struct("_rng", "_last")).alias("_all"))
+    carry = lasts.select("_all", F.explode("_all").alias("_r")).select(
+        F.col("_r._rng").alias("_rng"),
+        F.array_max(F.transform(F.filter("_all", lambda x: x["_rng"] < F.col("_r._rng")), lambda x: x["_last"])).alias("_before"))
     out = local.join(carry, "_rng", "left").withColumn("_at", F.coalesce("_lh", "_before"))
     return out.select(*[c for c in sheet.columns], F.col("_at._h").alias("block_row"), F.col("_at._d").alias("ad_date"))
