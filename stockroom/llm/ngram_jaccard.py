@@ -248,12 +248,13 @@ def row_links(docs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     inner = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     described = kept(map_texts(inner, ["doc_id", "th"], describe, "c long, c2 long, n long, keys binary"), "shingles")
     classes = kept(described.groupBy("c", "c2").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
+        F.min(F.struct(F.isnull("doc_id"), "doc_id", "th")).alias("one"), F.count("*").alias("weight"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .select("c", "c2", F.col("one.doc_id").alias("rep"), F.col("one.th").alias("rep_th"), "weight", "n", "keys"), "classes")
     chains = (classes.filter("n > 0").select("c", "keys").mapInArrow(chain_in_batch, "key long, a long, b long")
                      .repartition(F.coalesce("key", F.xxhash64("a", "b"))).sortWithinPartitions("key", "a")
                      .mapInArrow(chain_sorted, "a long, b long").distinct())
     groups = components(chains).select(F.col("node").alias("c"), F.col("component").alias("g"))
-    members = kept(groups.join(classes.select("c", "rep", "weight", "n"), "c"), "members")
+    members = kept(groups.join(classes.select("c", "rep", "rep_th", "weight", "n"), "c"), "members")
     result = compared(docs, members, threshold, tolerance)
     ends = kept(result.groupBy("c").agg(F.sum("links").alias("links"), F.min("label").alias("label")), "class-links")
     across = result.filter("split AND c <> label").select(F.col("c").alias("a"), F.col("label").alias("b"))
@@ -279,7 +280,8 @@ def links(docs: DataFrame, *, threshold: float = THRESHOLD, tolerance: float = T
 
 
 def compared(docs: DataFrame, members: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """(c, links, label, split) from every pair of blocks of every group of ``members``."""
+    """(c, links, label, split) from every pair of blocks of every group of ``members``. A class's text is
+    that of its member with id ``rep`` (null for a class without ids) and text hash ``rep_th``."""
     sizes = members.groupBy("g").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = members.join(sizes, "g").withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
@@ -287,12 +289,14 @@ def compared(docs: DataFrame, members: DataFrame, threshold: float, tolerance: f
         placed = F.broadcast(placed)
 
     def fetch(texts):
+        rows = list({t: k for k, t in enumerate(texts)}.values())  # rows equal in id and text are fetched once a batch
+        texts = [texts[k] for k in rows]
         h, first = shingle_sets(texts)
         values = min_hashes(h, first, VALUE_HASHES)
-        return None, {"digest": set_digests(h, first)[0], "vals": [v.tobytes() for v in values],
+        return rows, {"digest": set_digests(h, first)[0], "vals": [v.tobytes() for v in values],
                       "shingles": [h[first[k]:first[k + 1]].tobytes() for k in range(len(texts))]}
 
-    texts = docs.select("doc_id", "text").join(placed, F.col("doc_id") == F.col("rep"))
+    texts = docs.select("doc_id", "text").join(placed, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("rep_th")))
     rows = (map_texts(texts, ["c", "g", "weight", "block", "blocks"], fetch, "digest long, vals binary, shingles binary")
             .filter("digest = c").drop("digest"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

@@ -74,6 +74,18 @@ def test_jaccard_with_odd_rows_and_groups(spark):
     assert ngram_jaccard.links(brute.documents(spark, [])).count() == 0
 
 
+def test_jaccard_of_near_copies_without_ids(spark):
+    rng = random.Random(9)
+    one_side, both, many = (near_copies(rng, 8, 100, 1) for _ in range(3))
+    rows = [(i if i < 3 else None, t) for i, t in enumerate(one_side)] + [(None, t) for t in both] + [(None, t) for t in many * 3] + [(40, many[0]), (41, "alone " * 9)]
+    want = expected(rows)
+    assert sum(r[1] is None and r[2] > 0 for r in want) >= 6
+    docs = brute.documents(spark, rows).repartition(5)
+    assert jaccard(ngram_jaccard.links(docs)) == want
+    stay = sorted(((r["doc_id"], r["text"]) for r in ngram_jaccard.keep_one(docs).collect()), key=str)
+    assert [i for i, _ in stay] == [0, 40, 41, None] and stay[3][1] in both
+
+
 def test_blocks_change_nothing(spark, monkeypatch):
     rng = random.Random(3)
     rows = list(enumerate(near_copies(rng, 150, 100, 5) + near_copies(rng, 30, 80, 2)))
