@@ -1,8 +1,10 @@
 """Repeated passages: Rabin-Karp hashes of every window of ``WINDOW`` words, counted in Spark; windows
 that also start earlier are removed, merged into maximal intervals of words.
 
-Three steps in one plan; only the second and the last move texts, through one shuffle that Spark
-reuses for both:
+The rows are numbered and written once to the shared checkpoint folder. Messages go to row numbers, so
+rows that share an id, or have none, share no message; doc_id only says which window is earlier. Three
+steps in one plan; only the second and the last move texts, through one shuffle that Spark reuses for
+both:
 
 1. **Which windows can repeat.** Equal windows hold the same least hash among their ``SUB``-word
    parts (at the same place). Each document sends the low 32 bits of its windows' least hashes,
@@ -32,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import kept, table
 from .tokens import U64, Batch, blob, text_parts, windows
 
 WINDOW = 20
@@ -77,11 +79,11 @@ def batches_of(batch, limit: int = 8 << 20):
 
 
 def announce(slices: int, window: int, sub: int):
-    """Step 1, document side: (slice, key, hashes, keys). A negative slice is an answer already."""
+    """Step 1, document side: (slice, row, hashes, rows). A negative slice is an answer already."""
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            key = batch.column(batch.schema.get_field_index("key")).to_numpy(zero_copy_only=False)
+            row = batch.column(batch.schema.get_field_index("row")).to_numpy(zero_copy_only=False)
             for i, j, texts in batches_of(batch):
                 b = Batch(texts)
                 _, _, where, least = least_parts(b.hashes(), b.first, window, sub)
@@ -95,27 +97,27 @@ def announce(slices: int, window: int, sub: int):
                 group = runs_of(to.astype(U64) << U64(32) | low.astype(U64))
                 again = np.repeat(np.diff(group) > 1, np.diff(group))
                 lone, sent = ~again, group[:-1]
-                out = {"slice": [], "key": [], "hashes": [], "keys": []}
+                out = {"slice": [], "row": [], "hashes": [], "rows": []}
 
-                def put(s, k, h, ks):
-                    out["slice"].append(s), out["key"].append(k), out["hashes"].append(h), out["keys"].append(ks)
+                def put(s, r, h, rs):
+                    out["slice"].append(s), out["row"].append(r), out["hashes"].append(h), out["rows"].append(rs)
 
                 # one entry for each hash; a hash met twice here is sent twice, so that its slice counts two
                 entry = np.sort(np.concatenate((sent, sent[again[sent]])))
                 cut = runs_of(to[entry])
                 for a, z in zip(cut[:-1], cut[1:]):
                     e = entry[a:z]
-                    put(int(to[e[0]]), None, low[e].tobytes(), np.where(lone[e], key[i + doc[e]], -1).astype(np.int64).tobytes()
+                    put(int(to[e[0]]), None, low[e].tobytes(), np.where(lone[e], row[i + doc[e]], -1).astype(np.int64).tobytes()
                         + lone[e].tobytes())
                 known = np.flatnonzero(again)
                 known = known[np.argsort(doc[known], kind="stable")]
                 cut = runs_of(doc[known])
                 for a, z in zip(cut[:-1], cut[1:]):
                     d = int(doc[known[a]])
-                    put(-1 - int(key[i + d] % slices), int(key[i + d]), low[known[a:z]].tobytes(), b"")
+                    put(-1 - int(row[i + d] % slices), int(row[i + d]), low[known[a:z]].tobytes(), b"")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["slice"], pa.int32()), pa.array(out["key"], pa.int64()), pa.array(out["hashes"], pa.binary()), pa.array(out["keys"], pa.binary())],
-                    names=["slice", "key", "hashes", "keys"])
+                    [pa.array(out["slice"], pa.int32()), pa.array(out["row"], pa.int64()), pa.array(out["hashes"], pa.binary()), pa.array(out["rows"], pa.binary())],
+                    names=["slice", "row", "hashes", "rows"])
     return run
 
 
@@ -123,18 +125,18 @@ def answer_repeats(pdf):
     """Step 1, slice side: for each document the hashes that occur again."""
     import pandas as pd
     if pdf["slice"].iloc[0] < 0:
-        return pdf[["key", "hashes"]].astype({"key": "int64"})
+        return pdf[["row", "hashes"]].astype({"row": "int64"})
     low = np.frombuffer(b"".join(pdf["hashes"]), np.uint32)
-    keys = np.concatenate([np.frombuffer(x[: len(x) // 9 * 8], np.int64) for x in pdf["keys"]])
-    lone = np.concatenate([np.frombuffer(x[len(x) // 9 * 8:], bool) for x in pdf["keys"]])
+    rows = np.concatenate([np.frombuffer(x[: len(x) // 9 * 8], np.int64) for x in pdf["rows"]])
+    lone = np.concatenate([np.frombuffer(x[len(x) // 9 * 8:], bool) for x in pdf["rows"]])
     order = np.argsort(low, kind="stable")
     group = runs_of(low[order])
     again = np.zeros(len(low), bool)
     again[order] = np.repeat(np.diff(group) > 1, np.diff(group))
     told = np.flatnonzero(again & lone)
-    told = told[np.argsort(keys[told], kind="stable")]
-    cut = runs_of(keys[told])
-    return pd.DataFrame({"key": keys[told[cut[:-1]]] if len(told) else np.zeros(0, np.int64),
+    told = told[np.argsort(rows[told], kind="stable")]
+    cut = runs_of(rows[told])
+    return pd.DataFrame({"row": rows[told[cut[:-1]]] if len(told) else np.zeros(0, np.int64),
                          "hashes": [low[told[a:z]].tobytes() for a, z in zip(cut[:-1], cut[1:])]})
 
 
@@ -151,15 +153,15 @@ def intervals(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, list[byte
 
 
 def count(slices: int, window: int, sub: int):
-    """Step 2, document side: (slice, key, th, keys, ths, counts, hashes, starts); a negative slice is
+    """Step 2, document side: (slice, row, keys, rows, counts, hashes, starts); a negative slice is
     an answer already, its runs in ``starts``."""
-    names = ["slice", "key", "th", "keys", "ths", "counts", "hashes", "starts"]
+    names = ["slice", "row", "keys", "rows", "counts", "hashes", "starts"]
 
     def run(batches):
         import pyarrow as pa
-        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
         for batch in batches:
-            key, th = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("key", "th"))
+            row, key = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("row", "key"))
             told = batch.column(batch.schema.get_field_index("told"))
             for i, j, texts in batches_of(batch):
                 b = Batch(texts)
@@ -181,14 +183,14 @@ def count(slices: int, window: int, sub: int):
                 out = []
                 rows, runs = intervals(doc[gone], start[gone])
                 for d, r in zip(rows, runs):
-                    out.append((-1 - int(key[i + d] % slices), int(key[i + d]), int(th[i + d]), b"", b"", b"", b"", r))
+                    out.append((-1 - int(row[i + d] % slices), int(row[i + d]), b"", b"", b"", b"", r))
                 sent = sent[np.argsort(to[sent], kind="stable")]
                 cut = runs_of(to[sent])
                 for a, z in zip(cut[:-1], cut[1:]):
                     e = sent[a:z]
                     c = runs_of(doc[e])
                     d = i + doc[e[c[:-1]]]
-                    out.append((int(to[e[0]]), None, None, key[d].tobytes(), th[d].tobytes(), np.diff(c).astype(np.uint32).tobytes(),
+                    out.append((int(to[e[0]]), None, key[d].tobytes(), row[d].tobytes(), np.diff(c).astype(np.uint32).tobytes(),
                                 h[e].tobytes(), start[e].astype(np.uint32).tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=names)
     return run
@@ -198,19 +200,19 @@ def answer_later(pdf):
     """Step 2, slice side: for each document the runs of windows that also start earlier."""
     import pandas as pd
     if pdf["slice"].iloc[0] < 0:
-        return pdf[["key", "th", "starts"]].rename(columns={"starts": "runs"}).astype({"key": "int64", "th": "int64"})
+        return pdf[["row", "starts"]].rename(columns={"starts": "runs"}).astype({"row": "int64"})
     read = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
-    key, th, n = read("keys", np.int64), read("ths", np.int64), read("counts", np.uint32)
+    key, row, n = read("keys", np.int64), read("rows", np.int64), read("counts", np.uint32)
     h, start = read("hashes", U64), read("starts", np.uint32).astype(np.int64)
-    row = np.repeat(np.arange(len(key)), n)
-    k = key[row]
+    doc = np.repeat(np.arange(len(key)), n)
+    k = key[doc]
     order = np.lexsort((start, k, h))
     cut = runs_of(h[order])
     head = np.repeat(order[cut[:-1]], np.diff(cut))
     gone = order[(k[order] != k[head]) | (start[order] != start[head])]
-    gone = gone[np.lexsort((start[gone], row[gone]))]
-    rows, runs = intervals(row[gone], start[gone])
-    return pd.DataFrame({"key": key[rows], "th": th[rows], "runs": runs})
+    gone = gone[np.lexsort((start[gone], doc[gone]))]
+    docs, runs = intervals(doc[gone], start[gone])
+    return pd.DataFrame({"row": row[docs], "runs": runs})
 
 
 def removed_words(n_words: int, runs: list[bytes], window: int) -> np.ndarray:
@@ -229,10 +231,9 @@ def remove(window: int, schema):
         for batch in batches:
             got = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
             out = {"n_words": [], "n_removed": [], "kept_text": []}
-            for x, th, told in zip(got["text"], got["th"], got["runs"]):
+            for x, runs in zip(got["text"], got["runs"]):
                 words = blob(x.as_py()).split()
-                runs = [t["runs"] for t in told.as_py() or [] if t["th"] == th.as_py()]
-                gone = removed_words(len(words), runs, window)
+                gone = removed_words(len(words), runs.as_py() or [], window)
                 n = int(gone.sum())
                 out["n_words"].append(len(words)), out["n_removed"].append(n)
                 out["kept_text"].append(b" ".join([w for w, g in zip(words, gone) if not g] if n else words))
@@ -249,16 +250,18 @@ def dedup(docs: DataFrame, *, window: int = WINDOW, sub: int = SUB, digest: bool
     kept words joined by one space (``digest``: their SHA-256)."""
     spark = docs.sparkSession
     slices = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"),
-                       F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
-    told = (text.select("key", "text").mapInArrow(announce(slices, window, sub), "slice int, key long, hashes binary, keys binary")
-                .groupBy("slice").applyInPandas(answer_repeats, "key long, hashes binary")
-                .groupBy("key").agg(F.collect_list("hashes").alias("told")))
-    gone = (text.join(told, "key")
-                .mapInArrow(count(slices, window, sub), "slice int, key long, th long, keys binary, ths binary, counts binary, hashes binary, starts binary")
-                .groupBy("slice").applyInPandas(answer_later, "key long, th long, runs binary")
-                .groupBy("key").agg(F.collect_list(F.struct("th", "runs")).alias("runs")))
-    return (text.join(gone, "key", "left")
+    # rows are numbered in a table of their own: numbers made on the way could change when a task runs again
+    text = kept(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                            F.col("text").cast("binary").alias("text")), "numbered-texts")
+    text = text.withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
+    told = (text.select("row", "text").mapInArrow(announce(slices, window, sub), "slice int, row long, hashes binary, rows binary")
+                .groupBy("slice").applyInPandas(answer_repeats, "row long, hashes binary")
+                .groupBy("row").agg(F.collect_list("hashes").alias("told")))
+    gone = (text.join(told, "row")
+                .mapInArrow(count(slices, window, sub), "slice int, row long, keys binary, rows binary, counts binary, hashes binary, starts binary")
+                .groupBy("slice").applyInPandas(answer_later, "row long, runs binary")
+                .groupBy("row").agg(F.collect_list("runs").alias("runs")))
+    return (text.join(gone, "row", "left")
                 .mapInArrow(remove(window, "digest" if digest else "text"),
                             f"doc_id long, n_words long, n_removed long, kept {'string' if digest else 'binary'}"))
 

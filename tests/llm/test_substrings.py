@@ -38,6 +38,16 @@ def test_many_partitions_and_a_hot_passage(spark):
     assert got(df) == sorted(brute.substring_dedup(rows), key=str)
 
 
+def test_messages_go_to_single_rows(spark):
+    rng = random.Random(8)
+    hot = " ".join(str(rng.random()) for _ in range(30))
+    rows = [(None if i % 3 else i % 2, f"{hot} {i}" if i % 2 else f"{i} {hot}") for i in range(90)]
+    df = dedup(brute.documents(spark, rows).repartition(4), digest=True)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(row#" in plan and "hashpartitioning(key#" not in plan
+    assert got(df) == sorted(brute.substring_dedup(rows), key=str)
+
+
 def test_empty_table_and_kept_text(spark):
     assert dedup(brute.documents(spark, [])).count() == 0
     text = " ".join(str(i) for i in range(25))
