@@ -15,8 +15,9 @@ both:
 3. **Removal.** Each document covers the words of its answered windows and hashes what is left.
 
 Both kinds of message are combined before they are sent: of equal hashes in a task's batch one
-is sent, the others are answered on the spot. So a passage in a third of all documents costs a
-slice one entry per batch. A slice holds a share of the hashes; their number follows
+is sent, the others are answered on the spot; a window of the same id and start as the one sent (of
+rows that share an id or have none) takes that one's answer. So a passage in a third of all documents
+costs a slice one entry per batch. A slice holds a share of the hashes; their number follows
 ``spark.sql.shuffle.partitions``.
 
 Defined results: windows are judged on the input; texts under ``WINDOW`` words and null texts lose
@@ -153,13 +154,14 @@ def intervals(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, list[byte
 
 
 def count(slices: int, window: int, sub: int):
-    """Step 2, document side: (slice, row, keys, rows, counts, hashes, starts); a negative slice is
-    an answer already, its runs in ``starts``."""
-    names = ["slice", "row", "keys", "rows", "counts", "hashes", "starts"]
+    """Step 2, document side: (slice, row, head, keys, rows, counts, hashes, starts); a negative slice is
+    an answer already, its runs in ``starts``. With a ``head`` it holds for those of them that the head,
+    the row that was sent for windows of equal hash, id and start, is told are removed."""
+    names = ["slice", "row", "head", "keys", "rows", "counts", "hashes", "starts"]
 
     def run(batches):
         import pyarrow as pa
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
         for batch in batches:
             row, key = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("row", "key"))
             told = batch.column(batch.schema.get_field_index("told"))
@@ -183,14 +185,21 @@ def count(slices: int, window: int, sub: int):
                 out = []
                 rows, runs = intervals(doc[gone], start[gone])
                 for d, r in zip(rows, runs):
-                    out.append((-1 - int(row[i + d] % slices), int(row[i + d]), b"", b"", b"", b"", r))
+                    out.append((-1 - int(row[i + d] % slices), int(row[i + d]), None, b"", b"", b"", b"", r))
+                tie = ~later & (doc[order] != doc[head])
+                led, by = doc[order[tie]], doc[head[tie]]
+                near = np.lexsort((start[order[tie]], led, by))
+                pair, runs = intervals((by[near] << 32) | led[near], start[order[tie]][near])
+                for p, r in zip(pair.tolist(), runs):
+                    r_, h_ = int(row[i + (p & 0xFFFFFFFF)]), int(row[i + (p >> 32)])
+                    out.append((-1 - h_ % slices, r_, h_, b"", b"", b"", b"", r))
                 sent = sent[np.argsort(to[sent], kind="stable")]
                 cut = runs_of(to[sent])
                 for a, z in zip(cut[:-1], cut[1:]):
                     e = sent[a:z]
                     c = runs_of(doc[e])
                     d = i + doc[e[c[:-1]]]
-                    out.append((int(to[e[0]]), None, key[d].tobytes(), row[d].tobytes(), np.diff(c).astype(np.uint32).tobytes(),
+                    out.append((int(to[e[0]]), None, None, key[d].tobytes(), row[d].tobytes(), np.diff(c).astype(np.uint32).tobytes(),
                                 h[e].tobytes(), start[e].astype(np.uint32).tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=names)
     return run
@@ -200,7 +209,7 @@ def answer_later(pdf):
     """Step 2, slice side: for each document the runs of windows that also start earlier."""
     import pandas as pd
     if pdf["slice"].iloc[0] < 0:
-        return pdf[["row", "starts"]].rename(columns={"starts": "runs"}).astype({"row": "int64"})
+        return pdf[["row", "head", "starts"]].rename(columns={"starts": "runs"}).astype({"row": "int64", "head": "Int64"})
     read = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
     key, row, n = read("keys", np.int64), read("rows", np.int64), read("counts", np.uint32)
     h, start = read("hashes", U64), read("starts", np.uint32).astype(np.int64)
@@ -212,7 +221,31 @@ def answer_later(pdf):
     gone = order[(k[order] != k[head]) | (start[order] != start[head])]
     gone = gone[np.lexsort((start[gone], doc[gone]))]
     docs, runs = intervals(doc[gone], start[gone])
-    return pd.DataFrame({"row": row[docs], "runs": runs})
+    return pd.DataFrame({"row": row[docs], "head": pd.array([None] * len(docs), "Int64"), "runs": runs})
+
+
+def starts_of(runs: list[bytes]) -> np.ndarray:
+    """The sorted starts of (start, number) pairs as bytes."""
+    pair = np.frombuffer(b"".join(runs), np.uint32).reshape(-1, 2).astype(np.int64)
+    n = pair[:, 1]
+    return np.unique(np.repeat(pair[:, 0] - (np.cumsum(n) - n), n) + np.arange(int(n.sum())))
+
+
+def share(batches):
+    """Answers of each row, and those that its ties of one batch take from it: (row, runs)."""
+    import pyarrow as pa
+    for batch in batches:
+        rows, runs = [], []
+        for at, own, ties in zip(*(c.to_pylist() for c in batch.columns)):
+            if own:
+                rows.extend([at] * len(own)), runs.extend(own)
+            if own and ties:
+                gone = starts_of(own)
+                for t in ties:
+                    start = np.intersect1d(starts_of([t["runs"]]), gone, assume_unique=True)
+                    if len(start):
+                        rows.append(t["row"]), runs.append(intervals(np.zeros(len(start), np.int64), start)[1][0])
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(runs, pa.binary())], names=["row", "runs"])
 
 
 def removed_words(n_words: int, runs: list[bytes], window: int) -> np.ndarray:
@@ -253,13 +286,18 @@ def dedup(docs: DataFrame, *, window: int = WINDOW, sub: int = SUB, digest: bool
     # rows are numbered in a table of their own: numbers made on the way could change when a task runs again
     text = kept(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                             F.col("text").cast("binary").alias("text")), "numbered-texts")
-    text = text.withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
+    # a row number that cannot be null needs no filter in either join, so both read one shuffle of the texts
+    text = text.select(F.coalesce("row", F.lit(-1)).alias("row"), "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("key"), "text")
     told = (text.select("row", "text").mapInArrow(announce(slices, window, sub), "slice int, row long, hashes binary, rows binary")
                 .groupBy("slice").applyInPandas(answer_repeats, "row long, hashes binary")
                 .groupBy("row").agg(F.collect_list("hashes").alias("told")))
     gone = (text.join(told, "row")
-                .mapInArrow(count(slices, window, sub), "slice int, row long, keys binary, rows binary, counts binary, hashes binary, starts binary")
-                .groupBy("slice").applyInPandas(answer_later, "row long, runs binary")
+                .mapInArrow(count(slices, window, sub), "slice int, row long, head long, keys binary, rows binary, counts binary, hashes binary, starts binary")
+                .groupBy("slice").applyInPandas(answer_later, "row long, head long, runs binary")
+                .groupBy(F.coalesce("head", "row").alias("at")).agg(
+                    F.collect_list(F.when(F.col("head").isNull(), F.col("runs"))).alias("own"),
+                    F.collect_list(F.when(F.col("head").isNotNull(), F.struct("row", "runs"))).alias("ties"))
+                .mapInArrow(share, "row long, runs binary")
                 .groupBy("row").agg(F.collect_list("runs").alias("runs")))
     return (text.join(gone, "row", "left")
                 .mapInArrow(remove(window, "digest" if digest else "text"),

@@ -48,6 +48,17 @@ def test_messages_go_to_single_rows(spark):
     assert got(df) == sorted(brute.substring_dedup(rows), key=str)
 
 
+def test_ties_in_a_batch_share_the_answer(spark):
+    rng = random.Random(7)
+    text = lambda n: " ".join(str(rng.random()) for _ in range(n))
+    hot, other = text(30), text(25)
+    ties = [(None, f"{hot} {text(9)}") for _ in range(4)] + [(7, f"{text(3)} {hot} {i} {other}") for i in range(4)] + [(None, f"{hot} 1 {other}")] * 2
+    rows = [(1, f"{text(5)} {hot}"), (2, f"{other} {text(4)}")]
+    for first, last in ((rows, ties), (ties[:3], ties[3:] + rows), (ties, [])):
+        df = brute.documents(spark, first).coalesce(1).unionAll(brute.documents(spark, last).coalesce(1))
+        assert got(dedup(df, digest=True)) == sorted(brute.substring_dedup(first + last), key=str)
+
+
 def test_empty_table_and_kept_text(spark):
     assert dedup(brute.documents(spark, [])).count() == 0
     text = " ".join(str(i) for i in range(25))
