@@ -46,7 +46,7 @@ RULES = (
     Rule("hex", r"[0-9a-f]+", 0, 24, True),
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
-    Rule("url_login", r"://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    Rule("url_login", r"://[^\s/:@]+:[^\s/:@]{3,}@"),
 )
 FINDINGS = "array<struct<rule:string,kind:string,start:int,end:int>>"
 

@@ -45,6 +45,12 @@ def test_secrets_match_plain_version(spark):
     check_spans(secret_scan.digest(scan(spark, SECRET_TEXTS), "doc_id").collect(), SECRET_TEXTS, brute.SECRETS)
 
 
+def test_url_logins_of_any_length(spark):
+    texts = ["git clone https://user:" + "t0k" * 33 + "x@host/repo", "https://" + "u" * 200 + ":abc@host", "https://u:ab@host"]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.digest(scan(spark, texts), "doc_id").collect()}
+    assert got == {0: "url_login:15:124", 1: "url_login:5:213", 2: ""}
+
+
 def test_secrets_over_the_table(spark):
     texts = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
     got = secret_scan.op1_secret_scan(spark, SF).collect()
