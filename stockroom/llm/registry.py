@@ -7,6 +7,7 @@ from .byte_cnn import op7_byte_cnn
 from .line_cleaning import op4_line_cleaning
 from .ngram_jaccard import op2_ngram_jaccard
 from .packing import op10_packing
+from .periodic_runs import op13_periodic_runs
 from .pii import op3_pii
 from .secret_scan import op1_secret_scan
 from .spherical_caps import op6_spherical_caps
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_packing": op10_packing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE = {
     "op1_secret_scan": sql.SECRETS,
@@ -32,4 +34,5 @@ ORACLE = {
     "op6_spherical_caps": sql.VECTORS,
     "op8_mixing": mixing.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
+    "op13_periodic_runs": sql.RUNS,
 }

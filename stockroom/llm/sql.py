@@ -9,6 +9,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 DOCS = f"""d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '{WORD}') AS ws FROM d)"""
 
+#: The table of the CRC-32 (polynomial EDB88320, reflected), as a list in one row.
+CRC = """crc_table AS (SELECT list(c ORDER BY i) AS crc_t FROM (
+  SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)))"""
+
+
+def _crc(codes: str, first: str = "4294967295::BIGINT") -> str:
+    """State of the CRC-32 after a list of byte values (its complement is the CRC)."""
+    return f"list_reduce(list_concat([{first}], {codes}), lambda c, b: xor(crc_t[(xor(c, b) & 255) + 1], c >> 8))"
+
+
+def _ascii(text: str) -> str:
+    return f"list_transform(range(1, length({text}) + 1), lambda k: unicode({text}[k])::BIGINT)"
+
 
 def _quoted(text: str) -> str:
     return text.replace("'", "''")
@@ -86,3 +100,23 @@ reach(x, y) AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN li
 c AS (SELECT vec_id, least(vec_id, coalesce((SELECT min(y) FROM reach WHERE reach.x = vec_id), vec_id)) AS component_id,
              (SELECT count(*) FROM link WHERE link.x = vec_id) AS n_links FROM embeddings)
 SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM c"""
+
+RUNS = f"""WITH {DOCS},
+{CRC},
+h AS (SELECT doc_id, ws, len(ws) AS n, xor({_crc(_ascii("coalesce(doc_id::VARCHAR, '')"))}, 4294967295) AS h FROM w, crc_table),
+p AS (SELECT *, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM h),
+v AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN ws[i + 1] ELSE ws[a + (i - a) % p + 1] END) ELSE ws END AS ws FROM p),
+words AS (SELECT doc_id, n, unnest(ws) AS word, unnest(range(n)) AS i FROM v),
+equal AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y
+          ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 2 * (y.i - x.i) <= x.n),
+island AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM equal),
+stretch AS (SELECT doc_id, q, min(i) AS s, min(i) + count(*) + q AS e FROM island GROUP BY doc_id, q, g HAVING count(*) + q >= greatest(12, 2 * q)),
+run AS (SELECT doc_id, s, e - s AS len, min(q) AS q FROM stretch GROUP BY doc_id, s, e),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY len DESC, s, q) AS k FROM run),
+per AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS k FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, len AS length, q AS period, (1000 * len) // q AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.k, '')) AS collapsed_sha256
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id) LEFT JOIN best ON best.doc_id = d.doc_id AND best.k = 1"""
