@@ -10,6 +10,7 @@ from .packing import op10_packing
 from .periodic_runs import op13_periodic_runs
 from .pii import op3_pii
 from .secret_scan import op1_secret_scan
+from .spelling_variants import op12_spelling_variants
 from .spherical_caps import op6_spherical_caps
 from .substring_dedup import op5_substring_dedup
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_packing": op10_packing,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE = {
@@ -34,5 +36,6 @@ ORACLE = {
     "op6_spherical_caps": sql.VECTORS,
     "op8_mixing": mixing.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
+    "op12_spelling_variants": sql.VARIANTS,
     "op13_periodic_runs": sql.RUNS,
 }

@@ -21,7 +21,7 @@ def _crc(codes: str, first: str = "4294967295::BIGINT") -> str:
 
 
 def _ascii(text: str) -> str:
-    return f"list_transform(range(1, length({text}) + 1), lambda k: unicode({text}[k])::BIGINT)"
+    return f"list_transform(range(1, length({text}) + 1), lambda k: unicode(({text})[k])::BIGINT)"
 
 
 def _quoted(text: str) -> str:
@@ -120,3 +120,26 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS k FROM words ANTI JO
 SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, len AS length, q AS period, (1000 * len) // q AS exponent_milli,
        sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.k, '')) AS collapsed_sha256
 FROM d LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id) LEFT JOIN best ON best.doc_id = d.doc_id AND best.k = 1"""
+
+#: UTF-8 of a run: code points past U+007F are U+00C0 to U+00FF, two bytes with C3 first.
+RUN_BYTES = """flatten(list_transform(range(1, length(run) + 1),
+  lambda k: CASE WHEN unicode(run[k]) < 128 THEN [unicode(run[k])::BIGINT] ELSE [195, unicode(run[k])::BIGINT - 64] END))"""
+
+VARIANTS = f"""WITH RECURSIVE {CRC},
+docs AS (SELECT doc_id, text, {_crc(_ascii("coalesce(doc_id::VARCHAR, '') || ':'"))} AS state FROM documents, crc_table),
+runs AS (SELECT doc_id, any_value(state) AS state, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+         FROM (SELECT doc_id, state, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS r FROM docs) GROUP BY 1, 3),
+hashed AS (SELECT run, c, xor({_crc(RUN_BYTES, "state")}, 4294967295) AS h FROM runs, crc_table WHERE length(run) >= 6),
+words AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(c)::BIGINT AS n
+          FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(c) >= 5),
+places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+cut AS (SELECT word, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS masked, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM places),
+near AS (SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.masked = b.masked AND a.word <> b.word
+         UNION SELECT cut.word, words.word FROM cut JOIN words ON less = words.word
+         UNION SELECT words.word, cut.word FROM cut JOIN words ON less = words.word),
+best AS (SELECT near.word, any_value(w.n) AS n, count(*) AS n_near, arg_min(other, (-o.n, other)) AS top, max(o.n) AS top_n
+         FROM near JOIN words w ON w.word = near.word JOIN words o ON o.word = other GROUP BY near.word),
+form AS (SELECT word, top, top_n FROM best WHERE top_n >= 5 * n),
+chain(word, here, k) AS (SELECT word, word, 0 FROM words UNION ALL SELECT c.word, f.top, k + 1 FROM chain c JOIN form f ON f.word = c.here)
+SELECT words.word, form.top AS form, (SELECT arg_max(here, k) FROM chain WHERE chain.word = words.word) AS root, words.n, coalesce(n_near, 0) AS n_near, form.top_n AS form_n
+FROM words LEFT JOIN best USING (word) LEFT JOIN form USING (word)"""
