@@ -13,6 +13,7 @@ from .secret_scan import op1_secret_scan
 from .spelling_variants import op12_spelling_variants
 from .spherical_caps import op6_spherical_caps
 from .substring_dedup import op5_substring_dedup
+from .token_store import op11_token_store
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_packing": op10_packing,
+    "op11_token_store": op11_token_store,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }

@@ -87,7 +87,7 @@ def test_words_flushed_early_add_up(spark, monkeypatch):
     assert {r["word"]: r["n"] for r in S.frequent_words(docs, limit=20_000).collect()} == plain_words(rows)
 
 
-def family(seed, size=260):
+def family(seed, size=110):
     """Words that are edits of one another, of few letters, with long ones, anagrams and every kind of count."""
     rng = random.Random(seed)
     words = {}
