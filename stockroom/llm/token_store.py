@@ -3,7 +3,8 @@
 A store is a folder on storage that all executors reach:
 
 * ``shard-<part>-<attempt>``: 16 bytes of header (magic, bytes an id takes), then the ids of the part's documents, one
-  after the other, little-endian unsigned 32-bit; parts follow each other in ascending key order;
+  after the other, little-endian and unsigned: 16-bit where the whole vocabulary fits, else 32-bit; parts follow each other
+  in ascending key order;
 * ``index-<bucket>-<attempt>``: keys are dealt into buckets by the CRC-32 of the key, about ``BUCKET_KEYS`` each. A bucket
   holds a minimal perfect hash function and one slot for each key: fingerprint, part, offset, number of ids;
 * ``parts``, ``buckets``, ``keys``: Parquet tables that name the files in force (one row for each part and bucket) and the
@@ -189,12 +190,13 @@ def shard_writer(base: str, path: str, end: int, limit: int):
                 for i, j, held in text_parts(batch.column(1), limit):
                     if file is None:
                         encoder = Encoder(path)
+                        width = 2 if max(encoder.whole.get_vocab_size(), end + 1) <= 1 << 16 else 4
                         where, folder = filesystem(base)
                         name = f"shard-{part:08d}-{uuid.uuid4().hex[:12]}"
                         file = where.open_output_stream(f"{folder}/{name}")
-                        file.write(struct.pack(SHARD, SHARD_MAGIC, 4, 0))
+                        file.write(struct.pack(SHARD, SHARD_MAGIC, width, 0))
                     ids = batch.column(0).slice(i, j - i)
-                    out = [np.append(x, np.uint32(end)).astype("<u4") for x in encoder.encode([blob(t) for t in held])]
+                    out = [np.append(x, np.uint32(end)).astype(f"<u{width}") for x in encoder.encode([blob(t) for t in held])]
                     file.write(np.concatenate(out).tobytes())
                     n = np.fromiter(map(len, out), np.int64, len(out))
                     seen = []
@@ -295,6 +297,19 @@ def store_buckets(spark: SparkSession, base: str) -> int:
     return max((r["bucket"] + 1 for r in spark.read.parquet(f"{base}/buckets").collect()), default=1)
 
 
+def id_width(file) -> int:
+    """Bytes of an id in an opened shard."""
+    magic, width, _ = struct.unpack(SHARD, file.read_at(SHARD_SIZE, 0))
+    if magic != SHARD_MAGIC:
+        raise ValueError("not a shard file")
+    return width
+
+
+def stored_ids(file, width: int, offset: int, n: int) -> np.ndarray:
+    """``n`` ids from ``offset`` on, as little-endian unsigned 32-bit integers."""
+    return np.frombuffer(file.read_at(width * n, SHARD_SIZE + width * offset), f"<u{width}").astype("<u4")
+
+
 def read_ids(found: DataFrame, base: str, *, ids: bool = False, limit: int = 8 << 20) -> DataFrame:
     """doc_id, occurrence, part, offset, n, ids_crc32 (and ids) of the documents that ``locate`` found, from the shards."""
     spark = found.sparkSession
@@ -304,29 +319,28 @@ def read_ids(found: DataFrame, base: str, *, ids: bool = False, limit: int = 8 <
     def run(batches):
         import pyarrow as pa
         where, folder = filesystem(base)
-        opened, file = None, None
+        opened, file, width = None, None, 4
         for batch in batches:
             part, offset, n = (batch.column(k).to_numpy() for k in (2, 3, 4))
             crc, held = np.zeros(len(part), np.int64), []
             i = 0
             while i < len(part):
-                # rows come by part and offset: neighbours within one stretch of the file are read together
-                j = i + 1
-                while j < len(part) and part[j] == part[i] and 4 * (offset[j] + n[j] - offset[i]) <= limit:
-                    j += 1
                 if part[i] != opened:
                     if file is not None:
                         file.close()
                     opened, file = part[i], where.open_input_file(f"{folder}/{files[int(part[i])]}")
-                    if struct.unpack(SHARD, file.read_at(SHARD_SIZE, 0))[:2] != (SHARD_MAGIC, 4):
-                        raise ValueError("not a shard file")
-                raw = memoryview(file.read_at(4 * int((offset[i:j] + n[i:j]).max() - offset[i]), SHARD_SIZE + 4 * int(offset[i])))
+                    width = id_width(file)
+                # rows come by part and offset: neighbours within one stretch of the file are read together
+                j = i + 1
+                while j < len(part) and part[j] == part[i] and width * (offset[j] + n[j] - offset[i]) <= limit:
+                    j += 1
+                first = int(offset[i])
+                stretch = stored_ids(file, width, first, int((offset[i:j] + n[i:j]).max()) - first)
                 for k in range(i, j):
-                    a = 4 * int(offset[k] - offset[i])
-                    mine = raw[a:a + 4 * int(n[k])]
+                    mine = stretch[int(offset[k]) - first:int(offset[k] + n[k]) - first]
                     crc[k] = zlib.crc32(mine)
                     if ids:
-                        held.append(np.frombuffer(mine, "<u4").astype(np.int64))
+                        held.append(mine.astype(np.int64))
                 i = j
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(crc), *([pa.array(held, pa.list_(pa.int64()))] if ids else [])],
                                              names=[*batch.schema.names, "ids_crc32", *(["ids"] if ids else [])])
@@ -383,8 +397,9 @@ class Reader:
             return None
         shard = self.parts[int(slot["part"])]
         if shard not in self.opened:
-            self.opened[shard] = self.where.open_input_file(f"{self.folder}/{shard}")
-        return np.frombuffer(self.opened[shard].read_at(4 * int(slot["n"]), SHARD_SIZE + 4 * int(slot["offset"])), "<u4")
+            file = self.where.open_input_file(f"{self.folder}/{shard}")
+            self.opened[shard] = (file, id_width(file))
+        return stored_ids(*self.opened[shard], int(slot["offset"]), int(slot["n"]))
 
 
 def op11_token_store(spark, sf_dir: str) -> DataFrame:

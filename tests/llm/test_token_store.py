@@ -78,6 +78,16 @@ def test_ids_of_other_types(spark):
     assert [r["doc_id"] for r in got] == ["a", "a:0", "b", None]
 
 
+def test_large_vocabularies_take_four_bytes(spark):
+    docs = brute.documents(spark, [(1, "one two"), (2, "three")])
+    for end, width in ((2, 2), (65_535, 2), (65_536, 4), (2**32 - 1, 4)):
+        base = T.write_store(docs, new_base(spark), end=end)
+        reader = T.Reader(base)
+        got = {r["doc_id"]: r["ids"] for r in T.read_store(spark, base, ids=True).collect()}
+        assert got == {i: reader.get(i).tolist() for i in (1, 2)} and got[1][-1] == end
+        assert {w for _, w in (x for x in reader.opened.values() if isinstance(x, tuple))} == {width}
+
+
 def test_empty_table(spark):
     base = T.write_store(brute.documents(spark, []), new_base(spark))
     assert T.read_store(spark, base).count() == 0 and T.Reader(base).get(1) is None
