@@ -79,13 +79,17 @@ def margins(model: dict, x: np.ndarray) -> np.ndarray:
 
 
 def calibrate(model: dict, x: np.ndarray, y: np.ndarray) -> dict:
-    """Logistic calibration on rows the trees did not see (Newton steps on scale and shift)."""
-    m = margins(model, x)
+    """Logistic calibration on rows the trees did not see."""
+    return calibrate_margins(model, margins(model, x), y, np.ones(len(y)))
+
+
+def calibrate_margins(model: dict, m: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
+    """Logistic calibration by margins, labels and weights (Newton steps on scale and shift)."""
     a, b = 1.0, 0.0
     for _ in range(25):
         p = sigmoid(a * m + b)
-        g = np.array([((p - y) * m).sum() + 1e-3 * (a - 1), (p - y).sum() + 1e-3 * b])
-        w = np.maximum(p * (1 - p), 1e-9)
+        g = np.array([(weight * (p - y) * m).sum() + 1e-3 * (a - 1), (weight * (p - y)).sum() + 1e-3 * b])
+        w = weight * np.maximum(p * (1 - p), 1e-9)
         h = np.array([[(w * m * m).sum() + 1e-3, (w * m).sum()], [(w * m).sum(), w.sum() + 1e-3]])
         step = np.linalg.solve(h, g)
         a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -1, 1)

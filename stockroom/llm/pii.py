@@ -7,10 +7,14 @@ hold no validator (no checksum, no range check), so the trees pass on what valid
 like and the words around them to proposals that a validator misses (a masked address, a number
 without its plus sign). Such spans have the kinds ``soft_email`` and ``soft_number``.
 
+So a masked address is a negative while the trees learn, by construction: what is found of them is what looks like a
+validated span all the same.
+
 The trees are fitted on a bounded sample: the ``SAMPLE_DOCS`` documents first in a fixed hash order,
-and of their proposals the ``SAMPLE_SPANS`` first in a fixed hash order; a fifth of them only sets
-the calibration and the threshold (least score at which ``PRECISION`` of the proposals at or above
-it are positive). Scoring covers every proposal of every document.
+and of their proposals four fifths of the ``SAMPLE_SPANS`` first in a fixed hash order. Calibration and threshold (least
+score at which ``PRECISION`` of the proposals at or above it are positive) come from a histogram of the margins of all
+proposals of all other documents; only where there are none, from the last fifth of the sample. Scoring covers every
+proposal of every document.
 
 Defined results: null texts are empty; repeated rows get equal results; empty tables give an empty
 result (a sample with one class only gives no trees: validated spans stand alone); texts of any
@@ -26,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .boosted import calibrate, fit, probability
+from .boosted import calibrate_margins, fit, margins, probability, sigmoid
 from .shared import hash_order, map_texts, replace_texts, table
 
 SAMPLE_DOCS = 20_000
@@ -80,7 +84,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     """The validated spans of a text: (start, end, kind) by start, then kind as listed."""
     out = [(s, e, "email") for s, e in emails(text)] if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+        if all(len(x) <= 3 and int(x or "0") <= 255 for x in (y.lstrip("0") for y in m[0].split("."))):
             out.append((m.start(), m.end(), "ip"))
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
@@ -119,8 +123,20 @@ def features(text: str, start: int, end: int, generator: int) -> list[float]:
 N_FEATURES = len(features("1", 0, 1, 0))
 
 
-def overlaps(start: int, end: int, spans) -> bool:
-    return any(s < end and start < e for s, e, *_ in spans)
+class Covered:
+    """Which characters of a text lie in the spans added so far. A test or an addition takes time in the span's length;
+    the spans of one kind do not overlap, so all of them together take time in the text's."""
+
+    def __init__(self, text: str, spans=()):
+        self.marks = bytearray(len(text))
+        for s, e, *_ in spans:
+            self.add(s, e)
+
+    def add(self, start: int, end: int) -> None:
+        self.marks[start:end] = b"\1" * (end - start)
+
+    def meets(self, start: int, end: int) -> bool:
+        return self.marks.find(1, start, end) >= 0
 
 
 def all_spans(text: str, model: dict | None) -> tuple[list, list]:
@@ -129,20 +145,22 @@ def all_spans(text: str, model: dict | None) -> tuple[list, list]:
     base = base_spans(text)
     if model is None:
         return base, base
-    found = [c for c in proposals(text) if not overlaps(c[0], c[1], base)]
+    taken = Covered(text, base)
+    found = [c for c in proposals(text) if not taken.meets(c[0], c[1])]
     if not found:
         return base, base
     p = probability(model, np.array([features(text, *c) for c in found], np.float64))
     chosen = []
     for q, (s, e, g) in sorted(zip(p, found), key=lambda x: (-x[0], x[1][0] - x[1][1], x[1][0])):
-        if q >= model["threshold"] and not overlaps(s, e, chosen):
+        if q >= model["threshold"] and not taken.meets(s, e):
+            taken.add(s, e)
             chosen.append((s, e, "soft_email" if g == 0 else "soft_number"))
     return base, sorted([*base, *chosen], key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
 def train(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, sample_spans: int = SAMPLE_SPANS,
           precision: float = PRECISION) -> dict | None:
-    """The calibrated trees, fitted on the bounded sample (see above); None if it has one class."""
+    """The trees, fitted on the bounded sample, with calibration and threshold (see above); None if one class is missing."""
     order = hash_order("doc_id", "pii")
     last = docs.select(order.alias("h")).orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
     if last is None:
@@ -151,12 +169,9 @@ def train(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, sample_spans: int
     def run(texts):
         rows, at, x, y = [], [], [], []
         for i, t in enumerate(texts):
-            if ANY.search(t):
-                text = t.decode("utf-8", "replace")
-                base = base_spans(text)
-                for s, e, g in proposals(text):
-                    rows.append(i), at.append(s), y.append(overlaps(s, e, base))
-                    x.append([float(v) for v in features(text, s, e, g)])
+            for (s, e, g), hit, text in labelled(t):
+                rows.append(i), at.append(s), y.append(hit)
+                x.append([float(v) for v in features(text, s, e, g)])
         return rows, {"at": at, "y": y, "x": x}
 
     got = (map_texts(docs.filter(order <= last), ["doc_id"], run, "at int, y boolean, x array<double>")
@@ -167,14 +182,59 @@ def train(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, sample_spans: int
     x = np.array([r["x"] for r in got])
     held = np.arange(len(y)) % 5 == 0
     model = fit(x[~held], y[~held])
-    if not 0 < y[held].sum() < held.sum():
-        return None
-    model = calibrate(model, x[held], y[held])
-    p = probability(model, x[held])
-    order_ = np.argsort(-p, kind="stable")
-    good = np.cumsum(y[held][order_]) / np.arange(1, held.sum() + 1)
-    ok = np.flatnonzero(good >= precision)
-    return model | {"threshold": max(0.5, float(p[order_][ok[-1]])) if len(ok) else 2.0}
+    m, n = histogram(docs.filter(order > last), model)
+    if not (n[0].sum() and n[1].sum()):  # nothing outside the sample to set the threshold by
+        m, n = binned(margins(model, x[held]), y[held])
+        if not (n[0].sum() and n[1].sum()):
+            return None
+    model = calibrate_margins(model, np.concatenate((m, m)), np.repeat([0.0, 1.0], len(m)), np.concatenate(n))
+    good = np.cumsum(n[1][::-1]) / np.maximum(np.cumsum((n[0] + n[1])[::-1]), 1)
+    ok = np.flatnonzero((good >= precision) & (np.cumsum(n[1][::-1]) > 0))
+    lowest = m[::-1][ok[-1]] - 0.5 / BINS if len(ok) else None
+    return model | {"threshold": 2.0 if lowest is None else max(0.5, float(sigmoid(model["scale"] * lowest + model["shift"])))}
+
+
+#: Margins are counted in this many steps a unit, from -LIMIT to LIMIT.
+BINS, LIMIT = 32, 16
+
+
+def labelled(t: bytes):
+    """Each proposal of a text: (span, does it meet a validated span, text)."""
+    if ANY.search(t):
+        text = t.decode("utf-8", "replace")
+        base = Covered(text, base_spans(text))
+        for span in proposals(text):
+            yield span, base.meets(span[0], span[1]), text
+
+
+def bin_of(margin: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor((margin + LIMIT) * BINS), 0, 2 * LIMIT * BINS - 1).astype(np.int64)
+
+
+def binned(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(middle of each bin, counts by label and bin)."""
+    n = np.zeros((2, 2 * LIMIT * BINS))
+    np.add.at(n, (y.astype(int), bin_of(margin)), 1)
+    return (np.arange(n.shape[1]) + 0.5) / BINS - LIMIT, n
+
+
+def histogram(docs: DataFrame, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """``binned`` of all proposals of ``docs``, counted in Spark (at most two rows a bin reach the driver)."""
+    def run(texts):
+        x, y = [], []
+        for t in texts:
+            for (s, e, g), hit, text in labelled(t):
+                x.append(features(text, s, e, g)), y.append(hit)
+        if not x:
+            return [], {"bin": [], "y": [], "n": []}
+        _, n = binned(margins(model, np.array(x, np.float64)), np.array(y))
+        label, at = np.nonzero(n)
+        return [0] * len(at), {"bin": at.tolist(), "y": label.tolist(), "n": n[label, at].astype(np.int64).tolist()}
+
+    m, n = binned(np.zeros(0), np.zeros(0))
+    for r in map_texts(docs, [], run, "bin int, y int, n long").groupBy("bin", "y").agg(F.sum("n").alias("n")).collect():
+        n[r["y"], r["bin"]] = r["n"]
+    return m, n
 
 
 def line(spans) -> str:

@@ -58,7 +58,7 @@ def card(m):
 
 PERSONAL = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
-    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m[0].split("."))),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(len(x) < 4 and int(x or 0) <= 255 for x in (y.lstrip("0") for y in m[0].split(".")))),
     "card": (r"[0-9]([\x20-]?[0-9])+", card),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub(r"[^0-9]", "", m[0])) <= 15)}
 
