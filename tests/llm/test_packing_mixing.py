@@ -140,6 +140,25 @@ def test_targets(spark, sizes):
         assert got[s]["target"] == pytest.approx(want[s]) and got[s]["rate"] <= 3
 
 
+@pytest.mark.parametrize("number", [mixing.NUMBERED, 7])
+def test_rows_without_ids_and_repeated_rows_come_near_their_targets(spark, monkeypatch, number):
+    monkeypatch.setattr(mixing, "NUMBERED", number)
+    monkeypatch.setattr(mixing.repeats, "__defaults__", (number,))
+    rows = [(None, f"no id {i}", "a") for i in range(900)] + [(7, f"one id {i % 400}", "b") for i in range(900)]
+    rows += [(8, "equal rows", "c")] * 800 + [(None, "equal too", "d")] * 700 + [(i, "apart " * 3, "e") for i in range(500)]
+    docs = brute.documents(spark, rows)
+    plan = mixing.plan(docs).collect()
+    taken, target = collections.Counter(), {}
+    for r in plan:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert r["taken"] <= 3 * r["size"]
+    assert len(plan) == len(rows) and all(abs(taken[s] - t) <= 0.1 * t for s, t in target.items())
+    again = mixing.plan(docs.repartition(5)).collect()
+    assert sorted(map(tuple, plan), key=str) == sorted(map(tuple, again), key=str)
+    assert mixing.mix(docs).count() == sum(r["copies"] for r in plan)
+
+
 def test_mix_takes_near_targets_and_repeats_alike(spark):
     rows = [(i, "w " * (1 + i % 50), "s" + str(i % 2 + (i % 7 == 0))) for i in range(6000)] + [(None, None, None), (5, "twice", "s1"), (5, "twice", "s1")]
     docs = brute.documents(spark, rows).withColumn("__rate", F.lit("x")).withColumn("size", F.lit(1))
