@@ -5,9 +5,9 @@ A document's bytes are cut into overlapping chunks that cover it whole. Learned
 sum of lookups), their activations are max-pooled per chunk, and the chunks' pools are combined into
 one probability from their maximum and their mean.
 
-Training (numpy on the driver, mini-batches, Adam, fixed seed) uses the ``SAMPLE`` labelled rows first
-in a fixed hash order, outside the held-out fold, each by at most ``SAMPLE_CHUNKS`` evenly spaced
-chunks. That bounds what the driver holds; scoring reads every byte of every document.
+Training (numpy on the driver, mini-batches, Adam, fixed seed) uses at most ``SAMPLE`` labelled rows and ``SAMPLE_BYTES``
+bytes of text, outside the held-out fold: in a fixed hash order, each row that still fits in the bytes left, whole. That
+bounds what the driver holds; scoring reads every byte of every document.
 
 Defined results: null and empty texts are one chunk of padding and get a score like any other;
 rows that repeat a doc_id are scored by their own texts; labels with a null or unknown value teach
@@ -28,20 +28,19 @@ WIDTH = 5
 CHUNK = 512
 STRIDE = 448
 SAMPLE = 4000
-SAMPLE_CHUNKS = 32
+SAMPLE_BYTES = 24 << 20
 EPOCHS = 8
 THRESHOLD = 0.3
 
 
-def chunked(texts: list[bytes], most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def chunked(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The chunks of each text as rows of bytes (with the filters' overhang, padded by zeros) and
     the index of each text's first chunk, the number of chunks at the end."""
     n = [max(1, -(-max(len(t) - (CHUNK - STRIDE), 1) // STRIDE)) for t in texts]
     buf = np.frombuffer(b"".join(t.ljust(k * STRIDE + CHUNK + WIDTH, b"\0") for t, k in zip(texts, n)), np.uint8)
     at = np.concatenate(([0], np.cumsum([k * STRIDE + CHUNK + WIDTH for k in n])))
-    picks = [np.arange(k) if most is None or k <= most else np.linspace(0, k - 1, most).astype(np.int64) for k in n]
-    starts = np.concatenate([at[i] + p * STRIDE for i, p in enumerate(picks)]) if n else np.zeros(0, np.int64)
-    first = np.concatenate(([0], np.cumsum([len(p) for p in picks]))).astype(np.int64)
+    starts = np.concatenate([at[i] + np.arange(k) * STRIDE for i, k in enumerate(n)]) if n else np.zeros(0, np.int64)
+    first = np.concatenate(([0], np.cumsum(n))).astype(np.int64)
     return np.lib.stride_tricks.sliding_window_view(buf, CHUNK + WIDTH - 1)[starts] if n else np.zeros((0, CHUNK + WIDTH - 1), np.uint8), first
 
 
@@ -127,19 +126,24 @@ def held_out(doc_id="doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, epochs: int = EPOCHS) -> dict:
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, epochs: int = EPOCHS) -> dict:
     """The network, trained on the bounded sample of ``labels`` (doc_id, quality)."""
     rows = (labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y"))
                   .filter(F.col("__id").isNotNull() & F.col("__y").isin(0, 1) & ~held_out("__id"))
                   .orderBy(hash_order("__id", "cnn"), "__id", "__y").limit(sample))  # broadcast: `sample` rows at most
-
-    def run(texts):
-        return None, {"x": [chunked([t], SAMPLE_CHUNKS)[0].tobytes() for t in texts]}
-
-    labelled = docs.select("doc_id", "text").join(F.broadcast(rows), F.col("doc_id") == F.col("__id"))
-    got = (map_texts(labelled, ["doc_id", "__y"], run, "x binary").orderBy(hash_order("doc_id", "cnn"), "doc_id", "__y", "x")
-           .limit(sample).collect())
-    return fit([np.frombuffer(r["x"], np.uint8).reshape(-1, CHUNK + WIDTH - 1) for r in got], np.array([r["__y"] for r in got], float), epochs)
+    labelled = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(rows), F.col("doc_id") == F.col("__id"))
+    order = [hash_order("doc_id", "cnn"), "doc_id", "__y", "key"]
+    keyed = labelled.withColumn("key", F.xxhash64("text"))
+    taken, left = [], sample_bytes
+    for r in keyed.select("doc_id", "__y", "key", F.octet_length("text").alias("n")).orderBy(*order).limit(sample).collect():
+        if r["n"] <= left:
+            taken.append((r["doc_id"], r["__y"], r["key"]))
+            left -= r["n"]
+    if not taken:
+        return fit([], np.zeros(0), epochs)
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(sorted(set(taken)), keyed.select("doc_id", "__y", "key").schema))
+    got = keyed.join(chosen, ["doc_id", "__y", "key"]).orderBy(*order).select("text", "__y").limit(len(taken)).collect()
+    return fit([chunked([r["text"].encode()])[0] for r in got], np.array([r["__y"] for r in got], float), epochs)
 
 
 def classify(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:

@@ -29,6 +29,25 @@ def test_classifier_on_held_out_rows(spark):
     assert auc >= 0.97
 
 
+def test_long_texts_are_learned_and_scored_whole(spark):
+    sf = "/root/testdata/sf0.1"
+    got = byte_cnn.op7_byte_cnn(spark, sf).join(table(spark, sf, "labels"), "doc_id").join(
+        table(spark, sf, "documents").filter("octet_length(text) > 14400").select("doc_id"), "doc_id").filter("held_out").collect()
+    assert len(got) >= 5 and sum((r["predicted"] == 1) == (r["quality"] == 1) for r in got) >= 0.8 * len(got)
+
+
+def test_sample_is_bounded_by_bytes(spark, monkeypatch):
+    docs = brute.documents(spark, [(i, "word " * (20 if i % 3 else 400)) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(byte_cnn, "fit", lambda chunks, y, epochs: seen.append((sum(map(len, chunks)), len(y))))
+    byte_cnn.train(docs, labels)
+    byte_cnn.train(docs, labels, sample_bytes=3000)
+    learned = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    assert seen[0] == (sum(len(byte_cnn.chunked([b"word " * (20 if i % 3 else 400)])[0]) for i in learned), len(learned))
+    assert 10 <= seen[1][1] <= 30  # 100 bytes a row, or one of 2,000 and ten of 100
+
+
 def test_chunks_cover_whole_texts():
     rng = np.random.default_rng(1)
     texts = [bytes(rng.integers(1, 256, n).astype(np.uint8)) for n in (0, 1, 63, 64, 65, 447, 448, 512, 513, 960, 961, 5000)]
