@@ -191,3 +191,12 @@ SELECT CAST(l_shipdate AS DATE) AS day, CAST(900000000000 + l_partkey AS VARCHAR
        CAST(sum(l_orderkey % 50) AS DOUBLE) AS on_hand, count(*) AS lines
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2"""
 SQL["stream_decisions"] = SQL["decision_state"]
+SQL["stream_decision_refusals"] = with_views(["change_log"]) + f""",
+u AS (SELECT id, target_id, min(id) OVER (PARTITION BY target_id) AS first FROM change_log WHERE action = 'undo' AND target_id IS NOT NULL)
+SELECT u.id AS undo_id, u.target_id, lower(trim(s.dept)) AS dept_key, lower(trim(s.item)) AS item_key
+FROM u JOIN change_log s ON s.id = u.target_id AND s.action IN {_SETS} WHERE u.id > u.first"""
+SQL["stream_live_days"] = _sales.SQL["live_rollup"].split(",\nbase AS")[0] + """,
+closed AS (SELECT max(timezone('America/Chicago', timezone('UTC', ts))) - INTERVAL 1 DAY AS upto FROM l)
+SELECT day, dept, trim(store) AS store, trim(code) AS code, CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(total) AS DECIMAL(28,2)) AS sales,
+       arg_min(trim(description), (ts, event_id)) AS item, count(*) AS lines
+FROM l, closed WHERE day + INTERVAL 1 DAY <= upto GROUP BY 1, 2, 3, 4"""

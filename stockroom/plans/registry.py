@@ -71,6 +71,8 @@ QUERIES = {
     "stream_live_lines": streams.q_stream_live_lines,
     "stream_history": streams.q_stream_history,
     "stream_decisions": streams.q_stream_decisions,
+    "stream_decision_refusals": streams.q_stream_decision_refusals,
+    "stream_live_days": streams.q_stream_live_days,
     "category_report": lists.q_category_report,
     "row_flags": lists.q_row_flags,
     "po_import": lists.q_po_import,

@@ -83,11 +83,34 @@ def q_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SH.read_history(spark, os.path.join(d, "out"))
 
 
-def q_stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T03 over the change log: the streamed state equals the batch fold."""
+def _decision_run(spark: SparkSession, sf_dir: str) -> str:
     log = ctx(spark, sf_dir).change_log.select(*[c.split()[0] for c in SD.LOG_SCHEMA.split(", ")])
     d = _run_dir(spark, "decisions")
     land(log, F.col("id"), os.path.join(d, "src"))
-    SD.start(spark, os.path.join(d, "src"), os.path.join(d, "log"), os.path.join(d, "ck"),
+    SD.start(spark, os.path.join(d, "src"), os.path.join(d, "feed"), os.path.join(d, "ck"),
              files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
-    return SD.read_state(spark, os.path.join(d, "log"))
+    return d
+
+
+def q_stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T03 over the change log: the keyed state equals the batch fold."""
+    return SD.read_state(spark, os.path.join(_decision_run(spark, sf_dir), "ck"))
+
+
+def q_stream_decision_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The undos that the stream refused, with the entry each wanted to undo."""
+    feed = SD.read_feed(spark, os.path.join(_decision_run(spark, sf_dir), "feed"))
+    return feed.filter("kind = 'refused'").select(F.col("id").alias("undo_id"), "target_id", "dept_key", "item_key").distinct()
+
+
+def q_stream_live_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T01 in event time: all days that the watermark has closed, with the late lines added by the nightly run. The lines
+    are landed out of order, so many of them are late."""
+    lines = ctx(spark, sf_dir).sales_lines.select(*[c.split()[0] for c in SL.SALES_LINE_SCHEMA.split(", ")])
+    d = _run_dir(spark, "days")
+    src, out, late, ck, done = (os.path.join(d, x) for x in ("src", "out", "late", "ck", "done"))
+    land(lines, F.xxhash64("event_id"), src)
+    SL.start_days(spark, src, out, late, ck, files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
+    SL.add_late(spark, out, late, done)
+    return SL.closed_grain(spark, out).select("day", "dept", "store", "code", F.col("u").cast("bigint").alias("units"),
+                                              F.col("s").cast("decimal(28,2)").alias("sales"), F.col("first.d").alias("item"), F.col("n").alias("lines"))

@@ -1,40 +1,164 @@
-"""Buyer decisions kept current from a change-log stream.
-
-A micro-batch costs what it holds: its entries are appended under its own folder (a replay overwrites
-it). The state is the batch fold W07 over the log - the last accepted entry of each key, a ``max_by``
-that combines map-side - so streamed and batch state are one function. An undo may name any earlier
-entry, which is why the log and not a table of last entries is what is kept; readers that want the
-state as a table write it when they need it (``write_state``). Entries delivered twice collapse on
-their id.
+"""Buyer decisions kept current from a change-log stream, with state for each key.
+
+One query holds the log's effect as state and never reads the log again:
+
+* an undo names the entry it undoes, not its key; a stream-stream join with the entries routes it to its target's (dept,
+  item), whichever of the two comes first;
+* a stateful operator keyed by (dept, item) applies the rules of W07: the last accepted entry (by id) decides, an accepted
+  undo brings back what its target had stored, and the first undo of a target counts - a second one is refused. An undo
+  that is delivered after a later undo of the same target takes its place. Entries delivered twice change nothing.
+* an entry that says which entry its writer had last seen (``expected``) is refused as a conflict if that is no longer the
+  newest of its key; ``submit`` reads again and retries, as the original tool does on a version conflict.
+
+State is kept entry by entry (RocksDB), so a micro-batch reads and writes what it touches. ``read_state`` reads the newest
+entry of every key from the state itself; every change, refusal and conflict is also appended to the change feed, one
+folder a micro-batch (a replay overwrites its own).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+from collections.abc import Iterator
 
-from ..operators.decisions import decision_state
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from ..operators.decisions import SET_ACTIONS, decision_key
 from . import batches
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of the library
+
 LOG_SCHEMA = ("id bigint, ts timestamp_ntz, dept string, item string, action string, qty int, note string, "
               "target_id bigint, prev_action string, prev_qty int, prev_note string")
+INPUT_SCHEMA = LOG_SCHEMA + ", expected bigint"
+ENTRY = "id bigint, ts timestamp_ntz, dept string, item string, action string, qty int, note string"
+FEED_SCHEMA = "kind string, dept_key string, item_key string, " + ENTRY + ", target_id bigint"
+FIELDS = ["id", "ts", "dept", "item", "action", "qty", "note"]
+TRIES = 4
+
+
+class KeyState(StatefulProcessor):
+    """The decisions of one (dept, item): its accepted entries by id, the accepted undo of each target, the newest entry."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.entries = handle.getMapState("entries", "id bigint", ENTRY)
+        self.undone = handle.getMapState("undone", "target_id bigint", "id bigint")
+        self.newest = handle.getValueState("newest", ENTRY)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = self.newest.get() if self.newest.exists() else None
+        top = None if before is None else tuple(before)
+        for r in sorted(rows, key=lambda r: r["id"]):
+            entry = tuple(r[f] for f in FIELDS)
+            undo = r["target_id"] is not None
+            if self.entries.containsKey((r["id"],)):
+                continue  # delivered again
+            if r["expected"] is not None and r["expected"] != (-1 if top is None else top[0]):
+                yield self.said("conflict", key, entry, r["target_id"])
+                continue
+            if undo and self.undone.containsKey((r["target_id"],)):
+                held = self.undone.getValue((r["target_id"],))[0]
+                if held <= r["id"]:
+                    yield self.said("refused", key, entry, r["target_id"])
+                    continue
+                out = self.entries.getValue((held,))  # a later undo had come first: it is refused after all
+                self.entries.removeKey((held,))
+                yield self.said("refused", key, tuple(out), r["target_id"])
+                if top[0] == held:
+                    top = max((tuple(v) for v in self.entries.values()), key=lambda v: v[0], default=None)
+            if undo:
+                self.undone.updateValue((r["target_id"],), (r["id"],))
+            self.entries.updateValue((r["id"],), entry)
+            if r["expected"] is not None:
+                yield self.said("accepted", key, entry, r["target_id"])
+            if top is None or entry[0] > top[0]:
+                top = entry
+        if top is not None and (before is None or top != tuple(before)):
+            self.newest.update(top)
+            yield self.said("state", key, top, None)
 
+    @staticmethod
+    def said(kind: str, key, entry: tuple, target) -> Row:
+        return Row(kind=kind, dept_key=key[0], item_key=key[1], **dict(zip(FIELDS, entry)), target_id=target)
 
-def start(spark: SparkSession, source_dir: str, log_dir: str, checkpoint_dir: str, *,
+    def close(self) -> None:
+        pass
+
+
+def routed(log: DataFrame) -> DataFrame:
+    """The log's entries with the key they act on: sets with their own, undos with their target's and what that had stored."""
+    sets = log.filter(F.col("action").isin(SET_ACTIONS))
+    own = sets.select(*decision_key(F.col("dept"), F.col("item")), *FIELDS, F.lit(None).cast("bigint").alias("target_id"), "expected")
+    undos = log.filter((F.col("action") == "undo") & F.col("target_id").isNotNull()).select(
+        F.col("id").alias("undo_id"), F.col("ts").alias("undo_ts"), F.col("target_id").alias("undone"), F.col("expected").alias("undo_expected"))
+    met = undos.join(sets, F.col("undone") == F.col("id"))
+    back = met.select(*decision_key(F.col("dept"), F.col("item")), F.col("undo_id").alias("id"), F.col("undo_ts").alias("ts"), "dept", "item",
+                      F.col("prev_action").alias("action"), F.col("prev_qty").alias("qty"), F.col("prev_note").alias("note"),
+                      F.col("undone").alias("target_id"), F.col("undo_expected").alias("expected"))
+    return own.unionByName(back)
+
+
+def start(spark: SparkSession, source_dir: str, feed_dir: str, checkpoint_dir: str, *,
           files_per_trigger: int | None = None, available_now: bool = True):
-    return batches.run(spark, LOG_SCHEMA, source_dir, checkpoint_dir, batches.append_partials(log_dir, lambda b: b),
-                       files_per_trigger=files_per_trigger, available_now=available_now, interval="1 minute")
+    """Run the stream: parquet files of log entries in ``source_dir`` -> keyed state in ``checkpoint_dir``, change feed in
+    ``feed_dir``."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    reader = spark.readStream.schema(INPUT_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    feed = (routed(reader.parquet(source_dir)).groupBy("dept_key", "item_key")
+            .transformWithState(statefulProcessor=KeyState(), outputStructType=FEED_SCHEMA, outputMode="Append", timeMode="None"))
+    w = feed.writeStream.outputMode("append").foreachBatch(batches.append_partials(feed_dir, lambda b: b)).option("checkpointLocation", checkpoint_dir)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
+
 
+def read_newest(spark: SparkSession, checkpoint_dir: str) -> DataFrame:
+    """The newest accepted entry of every key, read from the stream's state."""
+    state = (spark.read.format("statestore").option("path", checkpoint_dir).option("operatorId", state_operator(spark, checkpoint_dir))
+             .option("stateVarName", "newest").load())
+    return state.select("key.dept_key", "key.item_key", "value.*")
 
-def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    """Every entry once."""
-    t = batches.read_partials(spark, log_dir)
-    return spark.createDataFrame([], LOG_SCHEMA) if t is None else t.drop("batch_id").dropDuplicates(["id"])
 
+def state_operator(spark: SparkSession, checkpoint_dir: str) -> int:
+    """Which of the query's stateful operators is the keyed one."""
+    found = (spark.read.format("state-metadata").load(checkpoint_dir).filter("operatorName = 'transformWithStateInPySparkExec'")
+             .select("operatorId").distinct().collect())
+    return found[0][0]
 
-def read_state(spark: SparkSession, log_dir: str) -> DataFrame:
+
+def read_state(spark: SparkSession, checkpoint_dir: str) -> DataFrame:
     """The current decision of every key that has one."""
-    return decision_state(read_log(spark, log_dir))
+    return (read_newest(spark, checkpoint_dir).filter("action IS NOT NULL")
+            .select("dept", "item", "action", "qty", "note", F.col("id").alias("set_by"), "ts"))
+
+
+def read_feed(spark: SparkSession, feed_dir: str) -> DataFrame:
+    """All changes, refusals and conflicts so far."""
+    t = batches.read_partials(spark, feed_dir)
+    return spark.createDataFrame([], FEED_SCHEMA + ", batch_id int") if t is None else t
+
 
+def submit(spark: SparkSession, entries: DataFrame, source_dir: str, checkpoint_dir: str, advance, feed_dir: str, tries: int = TRIES) -> int:
+    """Land ``entries`` (as the log, ids ascending and new) so that each is accepted only on top of the state its writer saw.
 
-def write_state(spark: SparkSession, log_dir: str, state_dir: str) -> None:
-    read_state(spark, log_dir).write.mode("overwrite").parquet(state_dir)
+    Every try reads the state, stamps each entry with the newest id of its key (-1: none), lands them and lets the
+    stream ``advance``; those that another writer overtook come back as conflicts and are tried again. Returns how
+    many tries it took; raises RuntimeError if some still conflict after ``tries``."""
+    left = entries.collect()  # what one buyer sends
+    for n in range(1, tries + 1):
+        sent = spark.createDataFrame(left, entries.schema)
+        key = [c.alias(f"__{k}") for c, k in zip(decision_key(F.col("dept"), F.col("item")), ("dept", "item"))]
+        seen = read_newest(spark, checkpoint_dir).select(F.col("dept_key").alias("__d"), F.col("item_key").alias("__i"), F.col("id").alias("__seen"))
+        stamped = (sent.select(*sent.columns, *key).join(seen, (F.col("__dept") == F.col("__d")) & (F.col("__item") == F.col("__i")), "left")
+                       .withColumn("expected", F.coalesce("__seen", F.lit(-1))).select(*sent.columns, "expected"))
+        stamped.write.mode("append").parquet(source_dir)
+        advance()
+        accepted = {r[0] for r in read_feed(spark, feed_dir).filter((F.col("kind") == "accepted") & F.col("id").isin([r["id"] for r in left]))
+                    .select("id").collect()}
+        left = [r for r in left if r["id"] not in accepted]
+        if not left:
+            return n
+    raise RuntimeError(f"entries still conflict after {tries} tries")
