@@ -79,6 +79,23 @@ lf2 AS (SELECT page, pos, coalesce(json_extract(j, '$.item'), j) AS leaf FROM lf
 rec AS (SELECT page, pos, {_FIELDS} FROM lf2)
 SELECT * FROM rec WHERE trim(coalesce(productCode, '')) <> ''"""
 
+SQL["report_lines"] = with_views(["report_pulls"]) + f""",
+pg AS (SELECT report, page, min(body) AS body FROM report_pulls GROUP BY 1, 2),
+arr AS (SELECT report, page, CASE WHEN json_type(body) = 'ARRAY' THEN body::JSON ELSE json_extract(body, '$.items') END AS items,
+               CASE WHEN json_type(body) = 'OBJECT' THEN TRY_CAST(json_extract_string(body, '$.estimatedTotal') AS BIGINT) END AS total FROM pg),
+el AS (SELECT report, page, i, json_extract(items, '$[' || CAST(i AS VARCHAR) || ']') AS j
+       FROM (SELECT report, page, items, unnest(range(0, CAST(json_array_length(items) AS BIGINT))) AS i FROM arr)),
+ok AS (SELECT report, page, i, CASE WHEN json_exists(j, '$.item') THEN json_extract(j, '$.item') ELSE j END AS leaf FROM el WHERE json_type(j) = 'OBJECT'),
+use AS (SELECT report, page, row_number() OVER (PARTITION BY report, page ORDER BY i) - 1 AS pos, leaf FROM ok
+        WHERE json_type(leaf) = 'OBJECT' AND len(json_keys(leaf)) > 0),
+got AS (SELECT report, page, count(*) AS n FROM use GROUP BY 1, 2),
+seq AS (SELECT arr.report, arr.page, coalesce(n, 0) AS n, row_number() OVER w AS k, last_value(total IGNORE NULLS) OVER w AS known
+        FROM arr LEFT JOIN got ON got.report = arr.report AND got.page = arr.page WINDOW w AS (PARTITION BY arr.report ORDER BY arr.page)),
+fin AS (SELECT report, min(k) AS k FROM seq WHERE n = 0 OR k * 500 >= known GROUP BY report),
+rec AS (SELECT use.report, use.page, pos, {_FIELDS} FROM use JOIN seq ON seq.report = use.report AND seq.page = use.page
+        LEFT JOIN fin ON fin.report = use.report WHERE seq.k <= coalesce(fin.k, seq.k))
+SELECT * FROM rec WHERE trim(coalesce(productCode, '')) <> ''"""
+
 SQL["ad_sheet_blocks"] = with_views(["ad_sheet"]) + f""",
 hd AS (SELECT row_idx AS block_row, c_date AS ad_date FROM ad_sheet WHERE {_IS_HEAD} AND c_date IS NOT NULL)
 SELECT a.row_idx, a.c2, h.block_row, h.ad_date

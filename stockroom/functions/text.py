@@ -23,9 +23,9 @@ def brand_of(name) -> Column:
 
 
 def potency_of(name) -> Column:
-    """First '<digits> mg' / '<digits>mg' (any case) as an int; NULL when absent."""
+    """First '<digits> mg' / '<digits>mg' (any case) as an int; NULL when absent or too long for one."""
     s = F.regexp_extract(F.coalesce(col(name).cast("string"), F.lit("")), r"(?i)(\d+)\s?mg", 1)
-    return F.when(s != "", s.cast("bigint"))
+    return F.when(s != "", s.try_cast("bigint"))
 
 
 def expand_ad_line(raw) -> Column:

@@ -65,6 +65,12 @@ def q_report_items(spark, sf_dir):
     return report_items(ctx(spark, sf_dir).report_pages)
 
 
+def q_report_lines(spark, sf_dir):
+    """Whole paged reports read to their end."""
+    from ..sources.landed import report_lines
+    return report_lines(ctx(spark, sf_dir).report_pulls)
+
+
 def q_ad_sheet_blocks(spark, sf_dir):
     """Every ad-sheet row with its block's header row and ad date."""
     from ..sources.landed import ad_blocks, carry_forward_block

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
@@ -12,6 +12,7 @@ from ..functions.numeric import round_even
 from ..functions.text import expand_abbrev, expand_ad_line
 from ..operators.matching import best_match, containment, tokens
 from ..operators.rollups import dedupe_keep
+from ..operators.windows import running_sum
 from ..session import write_table
 from ..sources.fixtures import AS_OF
 from .base import ctx
@@ -136,7 +137,9 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
     b_tok = brand.filter(F.col("bk") != "").select("bk", F.explode(F.split("bk", " ")).alias("tok")).distinct()
     hits = containment(b_tok, cat_tok, ["bk"], "cid")
     sizes = hits.groupBy("bk").agg(F.count("*").alias("n"))
-    hits = write_table(hits.withColumn("bi", F.row_number().over(Window.partitionBy("bk").orderBy("cid")))
+    # numbered range by range: a brand word that a third of the catalog holds is not one task's
+    numbered = running_sum(hits.select("bk", "cid", F.lit(1).alias("one")), ["bk"], ["cid"], "one", "bi").drop("one")
+    hits = write_table(numbered.withColumn("bi", F.col("bi").cast("int"))
                            .join(sizes, "bk").join(catalog.select("cid", (F.col("upc") != "").alias("has_upc")), "cid"), "ad-brand-hits")
     line = F.struct("line_id", "pi", "target")
     first = brand.groupBy("bk").agg(F.min(line).alias("l")).select("bk", "l.*")

@@ -80,6 +80,7 @@ QUERIES = {
     "cost_reference": lists.q_cost_reference,
     "ad_week_items": lists.q_ad_week_items,
     "report_items": lists.q_report_items,
+    "report_lines": lists.q_report_lines,
     "ad_sheet_blocks": lists.q_ad_sheet_blocks,
     "upload_compare": uploads.q_upload_compare,
     "upload_money": uploads.q_upload_money,

@@ -299,6 +299,24 @@ SELECT event_id AS page,
 FROM {events}
 """
 
+# Whole paged reports: list pages and object pages, with and without a total (some below the landed pages), empty pages
+# in the middle, pages that landed twice, wrapped, bare and null items.
+VIEWS["report_pulls"] = """
+SELECT e.event_id % 97 AS report, CAST(floor(e.event_id / 97) AS BIGINT) AS page,
+       concat(CASE WHEN e.event_id % 97 % 3 = 0 THEN '['
+                   WHEN e.event_id % 97 % 3 = 1 THEN concat('{{"estimatedTotal": ', cast(500 * (e.event_id % 97 % 29) + 1 AS string), ', "items": [')
+                   ELSE '{{"items": [' END,
+              CASE WHEN (e.event_id % 97 * 7 + floor(e.event_id / 97)) % 61 = 5 THEN ''
+                   ELSE concat(CASE WHEN e.event_id % 2 = 0 THEN '{{"item": ' ELSE '' END,
+                        CASE WHEN e.event_id % 154 = 0 THEN 'null'
+                             ELSE concat('{{"locationName": "STORE_', cast(e.user_id % 16 AS string), '", "department": "', e.event_type,
+                                         '", "productCode": "', CASE WHEN e.event_id % 17 = 0 THEN ' ' ELSE concat('P', cast(e.user_id % 40 AS string)) END,
+                                         '", "quantity": 1, "total": ', cast(cast(e.value AS decimal(18,2)) AS string), '}}') END,
+                        CASE WHEN e.event_id % 2 = 0 THEN '}}' ELSE '' END) END,
+              CASE WHEN e.event_id % 97 % 3 = 0 THEN ']' ELSE ']}}' END) AS body
+FROM {events} e JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) twice ON twice.k = 0 OR e.event_id % 5 = 0
+"""
+
 # Lists that repeat keys; a later row replaces an earlier one (by list_row).
 LAST_ROW_WINS = {"ad_list": "code_key", "par_list": "code_key, lower(trim(store))", "deals": "code_key"}
 

@@ -58,11 +58,48 @@ def ad_week_items(sheet: DataFrame, target: datetime.date, text_cols=("c0", "c1"
 
 
 def report_items(pages: DataFrame, body_col: str = "body") -> DataFrame:
-    """Landed report pages -> one row per sale item. Items may be wrapped as
-    {"item": {...}} or bare; items without a product code are dropped."""
-    raw = pages.select("page", F.posexplode(F.from_json(F.col(body_col), "items array<string>")["items"]).alias("pos", "j"))
-    leaf = F.coalesce(F.get_json_object("j", "$.item"), F.col("j"))
-    rec = raw.select("page", "pos", F.from_json(leaf, SALES_ITEM_SCHEMA).alias("r")).select("page", "pos", "r.*")
+    """Landed report pages -> one row per sale item, each page for itself (``report_lines`` reads whole reports).
+    Items without a product code are dropped."""
+    items, _ = page_items(body_col)
+    raw = pages.select("page", F.posexplode(items).alias("pos", "j"))
+    rec = raw.select("page", "pos", F.from_json("j", SALES_ITEM_SCHEMA).alias("r")).select("page", "pos", "r.*")
+    return rec.filter(F.trim(F.coalesce(F.col("productCode"), F.lit(""))) != "")
+
+
+PAGE_ROWS = 500
+
+
+def page_items(body) -> tuple[F.Column, F.Column]:
+    """Of a landed page: its items as an array of JSON texts (an object's ``items`` or the page itself, if it is a list;
+    each unwrapped from ``{"item": ...}``; anything else than a filled object left out), and its ``estimatedTotal``."""
+    body = F.col(body)
+    is_list = F.startswith(F.ltrim(body), F.lit("["))
+    raw = F.when(is_list, F.from_json(body, "array<string>")).otherwise(F.from_json(body, "items array<string>")["items"])
+    leaf = F.transform(raw, lambda j: F.when(F.array_contains(F.json_object_keys(j), "item"), F.get_json_object(j, "$.item")).otherwise(j))
+    filled = F.filter(leaf, lambda x: x.isNotNull() & F.startswith(F.ltrim(x), F.lit("{")) & (F.regexp_replace(x, r"\s", "") != "{}"))
+    total = F.when(~is_list, F.get_json_object(body, "$.estimatedTotal").try_cast("bigint"))
+    return F.coalesce(filled, F.array().cast("array<string>")), total
+
+
+def report_lines(pages: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """S05 over whole reports: ``pages`` (report, page, body) -> one row per sale item (report, page, pos, fields).
+
+    A page that landed twice counts once. A report is read page by page until one without items, or until the pages read
+    cover the total it last stated; pages past that (left from an earlier, longer pull) are not part of it. Both forms of
+    page count. Windows are over the pages of one report, not over items."""
+    from pyspark.sql import Window
+    once = pages.groupBy("report", "page").agg(F.min("body").alias("body"))
+    items, total = page_items("body")
+    read = once.select("report", "page", items.alias("items"), total.alias("total"))
+    in_order = Window.partitionBy("report").orderBy("page")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    known = F.last("total", ignorenulls=True).over(so_far)
+    last = (F.size("items") == 0) | F.coalesce(F.row_number().over(in_order) * page_rows >= known, F.lit(False))
+    kept = (read.withColumn("last", last).withColumn("ended", F.coalesce(F.max("last").over(before), F.lit(False)))
+                .filter("NOT ended"))
+    rec = kept.select("report", "page", F.posexplode("items").alias("pos", "j")).select(
+        "report", "page", "pos", F.from_json("j", SALES_ITEM_SCHEMA).alias("r")).select("report", "page", "pos", "r.*")
     return rec.filter(F.trim(F.coalesce(F.col("productCode"), F.lit(""))) != "")
 
 

@@ -77,6 +77,7 @@ def test_brand_and_potency(spark):
     assert one(spark, text.brand_of, "Wyld Gummies") == "Wyld"
     assert one(spark, text.potency_of, "Gummy 10 MG x5") == 10
     assert one(spark, text.potency_of, "Gummy") is None
+    assert one(spark, text.potency_of, "Lot 12345678901234567890123 mg, 10 mg") is None
 
 
 def test_expand_ad_line(spark):

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from stockroom.sources.landed import (ad_week_items, buyer_master, list_files, newest_report, report_files,
-                                      write_sheet)
+                                      report_items, report_lines, write_sheet)
 
 
 def test_report_files_one_per_date_folder_priority(spark):
@@ -37,6 +37,34 @@ def test_list_files_reads_names_not_content(spark):
     assert names == ["Sales 2024-01-02.csv", "Sales 2024-01-03.csv"]
 
 
+def test_reports_end_at_an_empty_page_or_their_total(spark):
+    def page(report, n, *items, total=None, bare_list=False):
+        body = "[" + ", ".join(items) + "]"
+        if not bare_list:
+            body = "{" + (f'"estimatedTotal": {total}, ' if total is not None else "") + f'"items": {body}}}'
+        return (report, n, body)
+
+    def item(code, wrapped=False):
+        leaf = f'{{"productCode": "{code}", "quantity": 2}}'
+        return f'{{"item": {leaf}}}' if wrapped else leaf
+
+    pages = spark.createDataFrame([
+        page("list", 0, item("a"), item("b", True), bare_list=True), page("list", 1, item("c"), bare_list=True),
+        page("empty", 0, item("a")), page("empty", 1), page("empty", 2, item("left over")),
+        page("nothing usable", 1, item("a")), page("nothing usable", 2, '{"item": null}', "7", '"x"', "{}"), page("nothing usable", 3, item("left over")),
+        page("total", 0, item("a"), total=1000), page("total", 1, item("b")), page("total", 2, item("left over")),
+        page("new total", 0, item("a"), total=9999), page("new total", 1, item("b"), total=800), page("new total", 2, item("left over")),
+        page("twice", 0, item("a"), item("b")), page("twice", 0, item("a"), item("b")), page("twice", 1, item(" "), item("c")),
+        ("broken", 0, "no json"), ("broken", 1, None)], "report string, page int, body string")
+    got = {}
+    for r in report_lines(pages).orderBy("report", "page", "pos").collect():
+        got.setdefault(r["report"], []).append(r["productCode"])
+    assert got == {"list": ["a", "b", "c"], "empty": ["a"], "nothing usable": ["a"], "total": ["a", "b"], "new total": ["a", "b"], "twice": ["a", "b", "c"]}
+    lone = report_items(pages.filter("report = 'list'"))
+    assert [r["productCode"] for r in lone.orderBy("page", "pos").collect()] == ["a", "b", "c"]
+    assert report_lines(pages.limit(0)).count() == 0
+
+
 def test_buyer_master_by_position(spark):
     rows = [(i, *[f"r{i}c{j}" for j in range(30)]) for i in range(5)]
     raw = spark.createDataFrame(rows, "row_idx bigint, " + ", ".join(f"c{j} string" for j in range(30)))
