@@ -44,8 +44,8 @@ EVERY = 199
 #: Letters of the trie's levels; letters in none of them are in the last.
 GROUPS = ("e", "a", "i", "o", "n", "r", "t", "s", "l", "u", "d", "cq", "mw", "pb", "hgv", "kyz", "jfx")
 STEP = 3
-SUBTRIE = 4096
-QUERIES = 32_768
+SUBTRIE = 16_384
+QUERIES = 131_072
 LEAF = 48
 #: Distinct words a counting task holds before it passes them on.
 HELD = 200_000
