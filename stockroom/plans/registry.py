@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brief, explore, history, lists, matching, order, sales, streams, uploads, vendors, weekly
+from . import books, brief, explore, history, lists, matching, order, sales, streams, uploads, vendors, weekly
 
 QUERIES = {
     "reorder_need": order.q_reorder_need,
@@ -92,4 +92,11 @@ QUERIES = {
     "explore_filtered": uploads.q_explore_filtered,
     "store_orders_written": uploads.q_store_orders_written,
     "vendor_split_files": sales.q_vendor_split_files,
+    "price_reference": books.q_price_reference,
+    "book_headers": books.q_book_headers,
+    "book_inventory": books.q_book_inventory,
+    "book_tab_items": books.q_book_tab_items,
+    "book_columns": books.q_book_columns,
+    "ad_days": books.q_ad_days,
+    "ad_week_sales": books.q_ad_week_sales,
 }

@@ -51,33 +51,31 @@ def first_sale() -> Column:
 
 def live_levels(base: DataFrame, top_n: int = TOP_PRODUCTS) -> DataFrame:
     """A07 levels from the (day, dept, store, code) grain: chain, department, department x
-    store and the top products per department x day, as flat rows labelled by ``level``.
+    store and the top products per department x day, as flat rows labelled by ``level``: one pass over the grain by
+    grouping sets, and one sort that ranks stores and products.
 
     Department units are the sum of *rounded* store units while the chain rounds its raw
     total, as the published figures do. A product's description is the one on its earliest
     sale of the day."""
-    store = (base.groupBy("day", "dept", "store")
-                 .agg(round_even(F.sum("u"), 0).cast("bigint").alias("units"), F.sum("s").alias("sales")))
-    dept = store.groupBy("day", "dept").agg(F.sum("units").alias("units"), F.sum("sales").alias("sales"))
-    chain = base.groupBy("day").agg(round_even(F.sum("u"), 0).cast("bigint").alias("units"), F.sum("s").alias("sales"))
-    prod = (base.groupBy("day", "dept", "code")
-                .agg(round_even(F.sum("u"), 0).cast("bigint").alias("units"), F.sum("s").alias("sales"),
-                     F.min("first").alias("first")))
-    w = Window.partitionBy("day", "dept").orderBy(F.col("sales").desc(), F.col("code"))
-    top = (prod.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
-               .withColumn("item", F.col("first.d")).drop("first"))
-    srank = Window.partitionBy("day", "dept").orderBy(F.col("sales").desc(), F.col("store"))
-    store = store.withColumn("rank", F.row_number().over(srank))
-    cols = ["level", "day", "dept", "store", "code", "item", "units", "sales", "rank"]
-
-    def shape(df: DataFrame, level: str) -> DataFrame:
-        for c in cols:
-            if c not in df.columns:
-                df = df.withColumn(c, F.lit(None).cast("bigint" if c == "rank" else "string"))
-        return df.withColumn("level", F.lit(level)).select(*cols)
-
-    return (shape(chain, "chain").unionByName(shape(dept, "dept"))
-            .unionByName(shape(store, "dept_store")).unionByName(shape(top, "dept_product")))
+    sums = base.groupingSets([["day"], ["day", "dept", "store"], ["day", "dept", "code"]], "day", "dept", "store", "code").agg(
+        F.grouping("dept").alias("_chain"), F.grouping("store").alias("_product"),
+        round_even(F.sum("u"), 0).cast("bigint").alias("units"), F.sum("s").alias("sales"), F.min("first").alias("first"))
+    level = F.when(F.col("_chain") == 1, "chain").when(F.col("_product") == 1, "dept_product").otherwise("dept_store")
+    sums = sums.withColumn("level", level)
+    # one sort for both rankings; a department's total rides on its best store's row
+    group = Window.partitionBy("day", "level", "dept").orderBy(F.col("sales").desc(), "store", "code")
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = sums.withColumns({"rank": F.row_number().over(group), "all_units": F.sum("units").over(whole), "all_sales": F.sum("sales").over(whole)})
+    ranked = ranked.filter((F.col("level") != "dept_product") | (F.col("rank") <= top_n))
+    none = F.lit(None)
+    row = lambda level, store, code, item, units, sales, rank: F.struct(
+        level.alias("level"), "day", "dept", store.cast("string").alias("store"), code.cast("string").alias("code"), item.cast("string").alias("item"),
+        units.alias("units"), sales.alias("sales"), rank.cast("bigint").alias("rank"))
+    own = row(F.col("level"), F.col("store"), F.col("code"), F.when(F.col("level") == "dept_product", F.col("first.d")),
+              F.col("units"), F.col("sales").cast(ranked.schema["all_sales"].dataType), F.when(F.col("level") != "chain", F.col("rank")))
+    dept = row(F.lit("dept"), none, none, none, F.col("all_units"), F.col("all_sales"), none)
+    head = (F.col("level") == "dept_store") & (F.col("rank") == 1)
+    return ranked.select(F.inline(F.when(head, F.array(dept, own)).otherwise(F.array(own))))
 
 
 def live_rollup(lines: DataFrame, mapping=None, top_n: int = TOP_PRODUCTS) -> DataFrame:

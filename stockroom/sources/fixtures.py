@@ -287,6 +287,63 @@ FROM {part}
 
 # Landed pages of the sales report: one JSON document per page; items come wrapped
 # ({"item": {...}}) or bare, and some carry a blank product code.
+VIEWS["ad_sheets"] = """
+SELECT p_brand AS sheet, CAST(floor(p_partkey / 20) AS BIGINT) * 10 AS row_idx, 'In-Store Ad' AS c0, 'week of' AS c1, min(p_name) AS c2,
+       DATE '1997-01-06' + CAST(floor(p_partkey / 40) * 35 % 1750 + CAST(substr(p_brand, 7, 1) AS INT) AS INT) AS c_date
+FROM {part} GROUP BY p_brand, floor(p_partkey / 20), floor(p_partkey / 40)
+UNION ALL
+SELECT p_brand, CAST(floor(p_partkey / 20) AS BIGINT) * 10 + 1, 'Content due', 'no date yet', min(p_name), CAST(NULL AS date)
+FROM {part} GROUP BY p_brand, floor(p_partkey / 20)
+"""
+
+# 31 workbooks: header rows, column orders, names and missing columns differ; header blocks repeat
+VIEWS["workbooks"] = """
+WITH b AS (
+  SELECT p_partkey AS pk, p_partkey % 31 AS k, CAST(floor(p_partkey / 31) AS BIGINT) AS q, p_name, p_size, p_retailprice,
+         cast(900000000000 + CASE WHEN p_partkey % 9 = 4 AND p_partkey > 31 THEN p_partkey - 31 WHEN p_partkey % 17 = 5 THEN p_partkey - 1 ELSE p_partkey END AS string) AS code,
+         CASE WHEN p_partkey % 3 = 0 THEN '' ELSE concat(cast(p_partkey % 50 AS string), '.25') END AS net,
+         cast(p_partkey % 40 + 1 AS string) AS cs, CASE WHEN p_partkey % 13 = 0 THEN '0' WHEN p_partkey % 7 = 0 THEN 'n/a' ELSE cast(p_partkey % 8 + 1 AS string) END AS units,
+         CASE p_partkey % 4 WHEN 0 THEN ' Case deal ' WHEN 1 THEN 'nan' WHEN 2 THEN '' ELSE concat('Deal ', cast(p_size AS string)) END AS deal,
+         CASE p_partkey % 5 WHEN 0 THEN 'JAN/Mar' WHEN 1 THEN 'sond' WHEN 2 THEN 'ALL' WHEN 3 THEN '' ELSE 'nan' END AS bm
+  FROM {part}),
+f AS (SELECT k, concat('/books/', CASE k % 3 WHEN 0 THEN 'Wine' WHEN 1 THEN 'Beer' ELSE 'Spirits' END, ' ', cast(100 + k AS string), '.xlsx') AS file,
+             CASE k % 3 WHEN 0 THEN 'Wine' WHEN 1 THEN 'BEER list' ELSE 'Prices' END AS dsheet, min(pk) AS least
+      FROM b GROUP BY k)
+SELECT file, 'Cover' AS sheet, 0 AS sheet_no, CAST(0 AS BIGINT) AS row_idx, split(concat('Product UPC list ', cast(k AS string)), '~') AS cells FROM f
+UNION ALL
+SELECT file, 'Other', 1, CAST(0 AS BIGINT), split('Product UPC~Net/Unit~c~d~e~f~g~h~i~j~k~l~m', '~') FROM f
+UNION ALL
+SELECT file, 'Other', 1, CAST(1 AS BIGINT), split(concat(cast(800000000000 + k AS string), '~9.99'), '~') FROM f
+UNION ALL
+SELECT file, dsheet, 2, CAST(0 AS BIGINT), split('Buyer~sheet', '~') FROM f WHERE k % 4 > 0
+UNION ALL
+SELECT file, dsheet, 2, CAST(k % 4 AS BIGINT), split(CASE
+         WHEN k % 10 = 9 THEN 'Product UPC~Product Description~Units/Case~Deal Description~x~y~z~a~b~c~d~Product UPC'
+         WHEN k % 2 = 0 THEN 'Product UPC~Product Description~Units/Case~Deal Description~Net/Unit~Net Case Cost~Buy Months (if appl.)~a~b~c~d~Product UPC~Net/Unit'
+         ELSE ' Deal Description ~Product Description~PRODUCT UPC~Buy Months~Invoice Cost~Units / Case~a~b~c~d~e~Product UPC' END, '~')
+FROM f
+UNION ALL
+SELECT f.file, f.dsheet, 2, f.k % 4 + 1 + b.q, split(CASE
+         WHEN f.k % 2 = 0 THEN concat(code, '~', p_name, '~', units, '~', deal, '~', net, '~', cs, '~', bm, '~~~~~', code, '~77')
+         ELSE concat(deal, '~', p_name, '~', code, '~', bm, '~', cs, '~', units) END, '~')
+FROM b JOIN f ON b.k = f.k
+UNION ALL
+SELECT file, 'Remove', 3, CAST(1 AS BIGINT), split('note~The Product UPC~x~Product UPC', '~') FROM f
+UNION ALL
+SELECT file, 'Remove', 3, CAST(CASE WHEN k % 6 = 5 THEN 6 ELSE 1 + k % 3 END AS BIGINT), split('~~Product Description', '~') FROM f WHERE k % 3 > 0
+UNION ALL
+SELECT f.file, 'Remove', 3, b.q + 10, split(concat('x~', code, '~', CASE WHEN pk % 23 = 0 THEN 'NaN' WHEN pk % 29 = 0 THEN ' ' ELSE p_name END), '~')
+FROM b JOIN f ON b.k = f.k WHERE pk % 2 = 0
+UNION ALL
+SELECT file, 'Stock A', 4, CAST(0 AS BIGINT), split('OH~30D~90D~Product Description~TOH', '~') FROM f
+UNION ALL
+SELECT file, 'Stock B', 5, CAST(0 AS BIGINT), split(CASE WHEN k % 2 = 0 THEN 'Product Description~Location Name~OH~30D~90D~PM' ELSE 'Product description~Location Name~OH~30D~90D~PM' END, '~') FROM f
+UNION ALL
+SELECT f.file, 'Stock A', 4, b.q + 1, split(concat(cast(p_size AS string), '~', units, '~', cs, '~', p_name, '~1'), '~') FROM b JOIN f ON b.k = f.k
+UNION ALL
+SELECT f.file, 'Stock B', 5, b.q + 1, split(concat(' ', p_name, '~STORE_', cast(pk % 5 AS string), '~', cast(p_size AS string), '~', units), '~') FROM b JOIN f ON b.k = f.k
+"""
+
 VIEWS["report_pages"] = """
 SELECT event_id AS page,
        concat('{{"estimatedTotal": 1, "items": [',

@@ -18,14 +18,14 @@ def _row_text(cols: list[str]) -> F.Column:
     return F.lower(F.concat_ws(" ", *[F.col(c).cast("string") for c in cols]))
 
 
-def ad_blocks(sheet: DataFrame, text_cols=("c0", "c1", "c2"), date_col: str = "c_date") -> DataFrame:
-    """The header rows of an ad sheet - (row_idx, ad date) - one per week."""
+def ad_blocks(sheet: DataFrame, text_cols=("c0", "c1", "c2"), date_col: str = "c_date", keep=()) -> DataFrame:
+    """The header rows of an ad sheet - (row_idx, ad date) - one per week, with the columns to ``keep``."""
     text = _row_text(list(text_cols))
     is_head = None
     for m in AD_BLOCK_MARKS:
         c = F.instr(text, F.lit(m)) > 0
         is_head = c if is_head is None else (is_head | c)
-    return sheet.filter(is_head & F.col(date_col).isNotNull()).select("row_idx", F.col(date_col).alias("ad_date"))
+    return sheet.filter(is_head & F.col(date_col).isNotNull()).select(*keep, "row_idx", F.col(date_col).alias("ad_date"))
 
 
 def ad_week_items(sheet: DataFrame, target: datetime.date, text_cols=("c0", "c1", "c2"),
