@@ -117,6 +117,10 @@ ORDER BY CASE WHEN (SELECT s FROM share) >= {config.NUMERIC_SORT_SHARE} THEN {_N
          row_id
 LIMIT {_LQ['limit']} OFFSET {_LQ['offset']}"""
 
+SQL["list_explore_indexed"] = SQL["list_explore"]
+SQL["list_search"] = with_views(["explore_tab"]) + f"""
+SELECT row_id, upc, description FROM explore_tab WHERE instr({_HAY}, '{X.LIST_NEEDLE.lower()}') > 0"""
+
 _UNPIVOT = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", trim(coalesce(CAST({c} AS VARCHAR), '')) AS v FROM searched"
                               for c in _TAB)
 SQL["list_facets"] = with_views(["explore_tab"], _SEARCH) + f""",
@@ -190,6 +194,7 @@ SELECT CAST(l_shipdate AS DATE) AS day, CAST(900000000000 + l_partkey AS VARCHAR
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS revenue,
        CAST(sum(l_orderkey % 50) AS DOUBLE) AS on_hand, count(*) AS lines
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2"""
+SQL["ledger_history"] = SQL["stream_history"].replace("CAST(l_shipdate AS DATE) AS day", "CAST(date_trunc('week', l_shipdate) AS DATE) AS day")
 SQL["stream_decisions"] = SQL["decision_state"]
 SQL["stream_decision_refusals"] = with_views(["change_log"]) + f""",
 u AS (SELECT id, target_id, min(id) OVER (PARTITION BY target_id) AS first FROM change_log WHERE action = 'undo' AND target_id IS NOT NULL)

@@ -15,6 +15,7 @@ from ..operators.budget import fit_budget, right_size, right_size_candidates
 from ..operators.decisions import decision_state
 from ..operators.quantile import exact_quantile
 from ..operators.rollups import first_by
+from ..operators.trigrams import build, search
 from ..operators.windows import top_n
 from ..session import write_table
 from .base import ctx, scoped_inventory, store_needs
@@ -29,6 +30,7 @@ SHEET_BUDGET = 100000.0   # per-department budget used by the registered budget
 
 # Parameters of the registered list / focus queries (a user passes their own).
 FOCUS_QUESTION = "What does NATION_3 need this week - blue gear, cold anvil or a green widget?"
+LIST_NEEDLE = "1 10MG"
 LIST_QUERY = {"q": "gear", "filters": {"category": "brand#2"}, "exact": ["category"],
               "sort": "retail", "desc": True, "offset": 5, "limit": 40}
 
@@ -126,11 +128,8 @@ def focus_store_detail(moves: DataFrame, question: str) -> DataFrame:
 
 # ---- O01 / O02 / A21 list explore --------------------------------------------------------
 
-def _search(df: DataFrame, cols: list[str], q: str) -> DataFrame:
-    if not q:
-        return df
-    hay = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]))
-    return df.filter(F.instr(hay, F.lit(q.strip().lower())) > 0)
+def _search(df: DataFrame, cols: list[str], q: str, index=None) -> DataFrame:
+    return search(df, cols, q, index)
 
 
 def facets(df: DataFrame, cols: list[str], *, lo: int = config.FACET_MIN_VALUES,
@@ -158,30 +157,32 @@ def _numeric_key(c: str) -> Column:
 
 def list_explore(tab: DataFrame, cols: list[str], *, q: str = "", filters: dict | None = None,
                  exact: list[str] | tuple = (), sort: str | None = None, desc: bool = False,
-                 offset: int = 0, limit: int = 400, row_id: str = "row_id") -> DataFrame:
+                 offset: int = 0, limit: int = 400, row_id: str = "row_id", index=None) -> DataFrame:
     """O01 + O02: search every column of the whole tab, apply per-column filters (exact after
     case/space normalising, else case-insensitive substring), sort the whole matched set -
     numerically when >= 60 % of the sort column parses as a number after stripping $ , %
     and spaces (blanks last), else case-insensitively - then page. Every row carries the
-    tab total and the matched count; ties keep tab order."""
-    df = _search(tab, cols, q)
+    tab total and the matched count; ties keep tab order. With a text ``index`` of the tab (``trigrams.build``) a
+    search reads the rows that may match; the total is then the index's."""
+    df = _search(tab, cols, q, index)
     for c, val in (filters or {}).items():
         if c in cols and str(val) != "":
             if c in exact:
                 df = df.filter(norm_val(F.trim(F.col(c))) == norm_val(F.lit(str(val))))
             else:
                 df = df.filter(F.instr(F.lower(F.col(c).cast("string")), F.lit(str(val).lower())) > 0)
+    # the counts and the numeric share are scalars of the response, from one aggregate over the matched rows
+    numeric = F.avg(_numeric_key(sort).isNotNull().cast("double")) if sort and sort in cols else F.lit(None).cast("double")
+    matched, share = df.agg(F.count("*"), numeric).first()
+    total = tab.count() if index is None else index.rows
     order = []
     if sort and sort in cols:
-        share = df.agg(F.avg(_numeric_key(sort).isNotNull().cast("double"))).first()[0]  # one scalar
         if share is not None and share >= config.NUMERIC_SORT_SHARE:
             k = _numeric_key(sort)
             order = [k.desc_nulls_last() if desc else k.asc_nulls_last()]
         else:
             k = F.lower(F.col(sort).cast("string"))
             order = [k.desc() if desc else k.asc()]
-    # the two counts are scalars of the response, read once on the driver
-    total, matched = tab.count(), df.count()
     page = df.orderBy(*order, F.col(row_id)).offset(offset).limit(limit)
     return page.withColumn("total", F.lit(total)).withColumn("matched", F.lit(matched))
 
@@ -250,6 +251,23 @@ def q_list_explore(spark, sf_dir):
     return list_explore(t.explore_tab, TAB_COLS, **LIST_QUERY)
 
 
+def tab_index(t):
+    """The text index of the list tab, built once per session."""
+    return t.derived("explore-tab-index", lambda t: build(t.explore_tab, TAB_COLS, "row_id"))
+
+
+def q_list_explore_indexed(spark, sf_dir):
+    """O01 through the text index of the tab: the same page."""
+    t = ctx(spark, sf_dir)
+    return list_explore(t.explore_tab, TAB_COLS, **LIST_QUERY, index=tab_index(t))
+
+
+def q_list_search(spark, sf_dir):
+    """Every row of the tab that holds a rare text, through the index."""
+    t = ctx(spark, sf_dir)
+    return search(t.explore_tab, TAB_COLS, LIST_NEEDLE, tab_index(t)).select("row_id", "upc", "description")
+
+
 def q_list_facets(spark, sf_dir):
     t = ctx(spark, sf_dir)
     return facets(_search(t.explore_tab, TAB_COLS, LIST_QUERY["q"]), TAB_COLS)

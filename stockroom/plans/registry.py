@@ -62,6 +62,8 @@ QUERIES = {
     "focus_items": explore.q_focus_items,
     "focus_store_detail": explore.q_focus_store_detail,
     "list_explore": explore.q_list_explore,
+    "list_explore_indexed": explore.q_list_explore_indexed,
+    "list_search": explore.q_list_search,
     "list_facets": explore.q_list_facets,
     "fit_budget": explore.q_fit_budget,
     "right_size": explore.q_right_size,
@@ -72,6 +74,7 @@ QUERIES = {
     "stream_history": streams.q_stream_history,
     "stream_decisions": streams.q_stream_decisions,
     "stream_decision_refusals": streams.q_stream_decision_refusals,
+    "ledger_history": streams.q_ledger_history,
     "stream_live_days": streams.q_stream_live_days,
     "category_report": lists.q_category_report,
     "row_flags": lists.q_row_flags,

@@ -18,6 +18,8 @@ from .base import ctx
 
 SLICES = 3  # deliveries landed per run
 FILES = 4  # files of a delivery; each holds lines of all its days
+LEDGER_GROUP = 200  # report files of a group of the ledger run
+LEDGER_SHIFT = 3653  # days: file names carry dates of this century only
 FILES_PER_TRIGGER = 3  # so a delivery spans micro-batches, and a micro-batch spans deliveries
 
 
@@ -114,3 +116,19 @@ def q_stream_live_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     SL.add_late(spark, out, late, done)
     return SL.closed_grain(spark, out).select("day", "dept", "store", "code", F.col("u").cast("bigint").alias("units"),
                                               F.col("s").cast("decimal(28,2)").alias("sales"), F.col("first.d").alias("item"), F.col("n").alias("lines"))
+
+
+def q_ledger_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U03 + S07 over the shipped lines landed as one CSV report a week: a run that ends after its first group and one that reads
+    the rest make the whole history by weeks."""
+    from ..sources import ledger
+    d = _run_dir(spark, "ledger")
+    src, book, out = (os.path.join(d, x) for x in ("src", "ledger", "out"))
+    lines = history_lines(ctx(spark, sf_dir)).drop("report_id").withColumn("day", F.trunc("day", "week"))
+    named = lines.withColumn("report", F.concat(F.lit("Sales "), F.date_format(F.date_add("day", LEDGER_SHIFT), "yyyy-MM-dd"))).drop("day")
+    named.repartition("report").write.partitionBy("report").option("header", True).csv(src)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(src).select(
+        "path", F.element_at(F.split("path", "/"), -2).alias("name"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
+    ledger.ingest(spark, files, book, out, group_files=LEDGER_GROUP, groups=1)
+    ledger.ingest(spark, files, book, out, group_files=LEDGER_GROUP)
+    return SH.read_history(spark, out).withColumn("day", F.date_sub("day", LEDGER_SHIFT))

@@ -106,10 +106,10 @@ def report_lines(pages: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
 # --- S07 newest report file -----------------------------------------------------------------
 
 def list_files(spark, folder: str, pattern: str = "*") -> DataFrame:
-    """File listing (path, name, mtime) of a folder; the content column is never read."""
+    """File listing (path, name, mtime, size) of a folder; the content column is never read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
                  .select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
-                         F.col("modificationTime").alias("mtime")))
+                         F.col("modificationTime").alias("mtime"), F.col("length").alias("size")))
 
 
 def report_files(listing: DataFrame, folder_rank: str | None = None) -> DataFrame:
