@@ -195,13 +195,24 @@ def true_velocity(h: DataFrame) -> DataFrame:
                     F.when(F.col("d90") > 0, round_even((F.col("d30") / 30) / (F.col("d90") / 90), 2)).alias("momentum"))
 
 
-def next_month_ratio(wide: DataFrame, key: str, month: int, clamp: tuple[float, float],
+def category_month_index(h: DataFrame) -> DataFrame:
+    """A09's index as rows: (category, m, idx)."""
+    return _index(_monthly(h, "category"), "category").select("category", "m", "idx")
+
+
+def item_month_rows(h: DataFrame) -> DataFrame:
+    """A11's index as rows: (code, m, idx) for the item population of A10."""
+    return _item_population(h)[0].select("code", "m", "idx")
+
+
+def next_month_ratio(index: DataFrame, key: str, month: int, clamp: tuple[float, float],
                      require_next: bool = True) -> DataFrame:
-    """index(next month) / index(this month) clamped, from the 2-dp index table;
-    Dec wraps to Jan. Rows with this month's index <= 0 or missing are dropped."""
-    cur, nxt = MONTH_COLS[month - 1], MONTH_COLS[month % 12]
-    ratio = F.least(F.greatest(F.col(nxt) / F.col(cur), F.lit(clamp[0])), F.lit(clamp[1]))
-    out = wide.filter(F.col(cur) > 0)
+    """index(next month) / index(this month) clamped, from the index rows (key, m, idx) rounded to 2 places; only the
+    two months are read, in one aggregate. Dec wraps to Jan. Keys with this month's index <= 0 or missing are dropped."""
+    after = month % 12 + 1
+    at = lambda m: F.max(F.when(F.col("m") == m, round_even(F.col("idx"), 2)))
+    two = index.filter(F.col("m").isin(month, after)).groupBy(key).agg(at(month).alias("cur"), at(after).alias("nxt"))
+    out = two.filter(F.col("cur") > 0)
     if require_next:
-        out = out.filter(F.col(nxt).isNotNull())
-    return out.select(F.col(key), ratio.alias("factor"))
+        out = out.filter(F.col("nxt").isNotNull())
+    return out.select(F.col(key), F.least(F.greatest(F.col("nxt") / F.col("cur"), F.lit(clamp[0])), F.lit(clamp[1])).alias("factor"))

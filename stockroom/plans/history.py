@@ -62,8 +62,8 @@ def q_buy_ahead(spark, sf_dir):
 
 def seasonal_factors(h: DataFrame, month: int = _MONTH) -> tuple[DataFrame, DataFrame]:
     """(item factors by code, category factors by category)."""
-    item = H.next_month_ratio(H.item_month_index(h), "code", month, config.ITEM_FACTOR_CLAMP)
-    cat = H.next_month_ratio(H.category_seasonality(h), "category", month, config.CATEGORY_FACTOR_CLAMP)
+    item = H.next_month_ratio(H.item_month_rows(h), "code", month, config.ITEM_FACTOR_CLAMP)
+    cat = H.next_month_ratio(H.category_month_index(h), "category", month, config.CATEGORY_FACTOR_CLAMP)
     return item, cat
 
 
