@@ -8,7 +8,7 @@ threshold, else it keeps a shuffled join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_even
@@ -20,49 +20,42 @@ def last_rows(lst: DataFrame, keys: list[str], order: str = "list_row") -> DataF
     return dedupe_keep(lst, keys, order, keep="last").drop(order)
 
 
-def retail_by_code(inv: DataFrame) -> DataFrame:
-    """J01 (retail side): first positive shelf price per code in file order."""
-    return (inv.filter(F.col("price") > 0).groupBy("code_key")
-               .agg(first_by("price").alias("retail")))
-
-
-def buyer_terms(deals: DataFrame) -> DataFrame:
-    """J01 (deal side): discount %, deal text per code from the buyer master; last row wins."""
+def _deal_columns() -> list[Column]:
     unit_regular = F.col("case_cost") / F.col("units_case")
     disc = F.when(unit_regular > 0, round_even((F.lit(1.0) - F.col("net_unit") / unit_regular) * 100, 1))
     gm = F.when(F.col("retail") > 0, round_even((F.col("retail") - F.col("net_unit")) / F.col("retail") * 100, 1))
-    deals = last_rows(deals, ["code_key"])
-    return deals.select("code_key", disc.alias("discount_pct"), gm.alias("buyer_gm_pct"),
-                        F.concat(F.lit("case of "), F.col("units_case").cast("string")).alias("deal"))
-
-
-def flag_membership(df: DataFrame, lst: DataFrame, flag: str, key: str = "code_key") -> DataFrame:
-    """Boolean flag = key is on the list (left join against the distinct keys)."""
-    k = lst.select(F.col(key).alias("_k")).distinct().withColumn(flag, F.lit(True))
-    return (df.join(k, df[key] == k["_k"], "left").drop("_k")
-              .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
+    return [disc.alias("discount_pct"), gm.alias("buyer_gm_pct"),
+            F.concat(F.lit("case of "), F.col("units_case").cast("string")).alias("deal")]
 
 
-def split_discontinued(buy: DataFrame, remove_list: DataFrame) -> DataFrame:
-    """``removed`` = code on the remove list or supplier text contains 'discontinued'.
-    One pass; callers filter on the flag for the two outputs."""
-    df = flag_membership(buy, remove_list, "_on_remove")
-    sup = F.lower(F.coalesce(F.col("supplier"), F.lit(""))).contains("discontinued")
-    return df.withColumn("removed", F.col("_on_remove") | sup).drop("_on_remove")
-
-
-def ad_join(df: DataFrame, ads: DataFrame) -> DataFrame:
-    """Ad kind and weeks-of-supply target by code; the last list row of a code wins."""
-    a = last_rows(ads, ["code_key"]).select(F.col("code_key").alias("_ak"), F.col("kind").alias("ad_kind"),
-                   F.col("target_wos").alias("ad_target"))
-    return df.join(a, df["code_key"] == a["_ak"], "left").drop("_ak")
-
-
-def buy_months_join(df: DataFrame, buy_months: DataFrame) -> DataFrame:
-    """Code -> sorted array of buy months; NULL = no constraint."""
-    bm = (buy_months.groupBy(F.col("code_key").alias("_bk"))
-                    .agg(F.array_sort(F.collect_set(F.col("m").cast("int"))).alias("buy_months")))
-    return df.join(bm, df["code_key"] == bm["_bk"], "left").drop("_bk")
+def buyer_terms(deals: DataFrame) -> DataFrame:
+    """J01 (deal side): discount %, deal text per code from the buyer master; last row wins."""
+    return last_rows(deals, ["code_key"]).select("code_key", *_deal_columns())
+
+
+def code_terms(inv: DataFrame, ads: DataFrame, buy_months: DataFrame, deals: DataFrame, remove_list: DataFrame,
+               new_list: DataFrame) -> DataFrame:
+    """J01-J03, J11 and J19 as one row for each code: first positive shelf price in file order (``retail``), ad
+    kind and weeks-of-supply target, sorted buy months (NULL = no constraint), the buyer's deal terms, and whether
+    the code is on the remove and the new list. The last list row of a code wins.
+
+    The lists are stacked and reduced by one aggregate on the code, which combines map-side, so an item plan meets
+    all of them in one join, and a code that fills a list is never one task's."""
+    months = F.array_sort(F.collect_set("month"))
+    stacked = [ads.select("code_key", F.col("list_row").alias("_ad_row"),
+                          F.struct(F.col("kind").alias("ad_kind"), F.col("target_wos").alias("ad_target")).alias("_ad")),
+               buy_months.select("code_key", F.col("m").cast("int").alias("month")),
+               deals.select("code_key", F.col("list_row").alias("_deal_row"), F.struct(*_deal_columns()).alias("_deal")),
+               remove_list.select("code_key", F.lit(True).alias("_removed")),
+               new_list.select("code_key", F.lit(True).alias("_new"))]
+    rows = inv.filter(F.col("price") > 0).select("code_key", "ingest_row", "price")
+    for lst in stacked:
+        rows = rows.unionByName(lst, allowMissingColumns=True)
+    return (rows.filter(F.col("code_key").isNotNull()).groupBy("code_key").agg(
+                first_by("price").alias("retail"), F.max_by("_ad", "_ad_row").alias("_ad"), months.alias("_months"),
+                F.max_by("_deal", "_deal_row").alias("_deal"), F.bool_or("_removed").alias("_removed"), F.bool_or("_new").alias("_new"))
+            .select("code_key", "retail", "_ad.*", F.when(F.size("_months") > 0, F.col("_months")).alias("buy_months"), "_deal.*",
+                    F.coalesce("_removed", F.lit(False)).alias("on_remove"), F.coalesce("_new", F.lit(False)).alias("is_new")))
 
 
 def apply_overrides(buy: DataFrame, decisions: DataFrame) -> DataFrame:

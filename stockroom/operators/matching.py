@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import write_table
+from ..session import together, write_table
 
 
 def tokens(df: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
@@ -107,8 +107,8 @@ def best_match(q_tokens: DataFrame, c_tokens: DataFrame, q_id: list[str], c_id:
     smallest ``ord`` that hits all of it is kept, and the query takes its largest subset that has one. A
     candidate that hits more of the query than that subset shares a rare token, so it is among the
     pairs. The work grows with the names and the queries, not with their product."""
-    q_tokens = write_table(q_tokens, "match-query-tokens")
-    c_tokens = write_table(c_tokens.select(c_id, "tok"), "match-candidate-tokens")
+    q_tokens, c_tokens = together(q_tokens.sparkSession, lambda: write_table(q_tokens, "match-query-tokens"),
+                                  lambda: write_table(c_tokens.select(c_id, "tok"), "match-candidate-tokens"))
     vocabulary = write_table(_vocabulary(q_tokens, c_tokens), "match-vocabulary")
     queries = write_table(split_queries(q_tokens, vocabulary, q_id), "match-queries")
     order = (lambda df: df.withColumn("ord", F.col(c_id))) if c_rank is None else (lambda df: df.join(c_rank, c_id))

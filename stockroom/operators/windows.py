@@ -33,10 +33,9 @@ def running_sum(df: DataFrame, keys: list[str], order: list, value: str, out: st
     local = ranged.withColumn("_local", F.coalesce(F.sum(value).over(w), F.lit(0)))
     totals = ranged.groupBy(*keys, "_rng").agg(F.sum(value).alias("_t"))
     wo = Window.partitionBy(*keys).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(wo), F.lit(0))).drop("_t")
-    return (local.join(offsets, on=[*keys, "_rng"], how="inner")
-                 .withColumn(out, F.col("_local") + F.col("_off"))
-                 .drop("_local", "_off", "_rng"))
+    offsets = totals.select(*[F.col(k).alias(f"_at_{k}") for k in [*keys, "_rng"]], F.coalesce(F.sum("_t").over(wo), F.lit(0)).alias("_off"))
+    same = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in [*keys, "_rng"]]  # rows without a key are a key
+    return local.join(offsets, same).withColumn(out, F.col("_local") + F.col("_off")).select(*df.columns, out)
 
 
 def top_n(df: DataFrame, keys: list[str], order: list, n: int, rank_col: str = "rank") -> DataFrame:

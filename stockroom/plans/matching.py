@@ -13,7 +13,7 @@ from ..functions.text import expand_abbrev, expand_ad_line
 from ..operators.matching import best_match, containment, tokens
 from ..operators.rollups import dedupe_keep
 from ..operators.windows import running_sum
-from ..session import write_table
+from ..session import together, write_table
 from ..sources.fixtures import AS_OF
 from .base import ctx
 from .brief import inventory_snapshot
@@ -95,60 +95,74 @@ def _stock_rows(snapshot: DataFrame) -> DataFrame:
                            F.struct((-F.col("wk_velocity")).alias("v"), F.col("item").alias("i")).alias("ord"))
 
 
-def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month: int = _MONTH,
-             dept: str = AD_DEPT) -> tuple[DataFrame, DataFrame]:
-    """Q11: expand ad lines (F07), match each part to the catalog - UPC digits, exact name,
-    fuzzy prefix tokens (J14, score >= 0.6), or whole brand (J15) - then size the
-    buy from live stock. Returns (rows, unmatched)."""
+def ad_parts(lines: DataFrame, dept: str) -> DataFrame:
+    """The parts of the ad lines (F07) with the weeks of supply their kind is bought to."""
     tg = {**config.AD_TARGETS_DEFAULT, **config.AD_TARGETS.get(dept, {})}
     parts = lines.select("line_id", "raw", "kind", F.posexplode(expand_ad_line("raw")).alias("pi", "p")) \
         .select("line_id", "raw", "kind", "pi", F.col("p.q").alias("q"), F.col("p.is_brand").alias("is_brand"))
-    parts = parts.withColumn("target", F.when(F.lower("kind") == "sunday", F.lit(tg["sunday"]))
-                             .when(F.lower("kind") == "weekly", F.lit(tg["weekly"])).otherwise(F.lit(4.5)))
-    cat_tok = write_table(tokens(catalog.filter(F.col("nd") != ""), ["cid"], "nd"), "ad-catalog-tokens")
-    # -- single items
+    return parts.withColumn("target", F.when(F.lower("kind") == "sunday", F.lit(tg["sunday"]))
+                            .when(F.lower("kind") == "weekly", F.lit(tg["weekly"])).otherwise(F.lit(4.5)))
+
+
+def match_singles(parts: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Listing of each single item of the ad: UPC digits, exact name, or fuzzy tokens (J14); and the
+    parts without one."""
     single = parts.filter(~F.col("is_brand")).withColumn("dig", digits("q")).withColumn("nq", norm_text("q"))
     by_upc = (catalog.filter(F.col("upc") != "").groupBy("upc").agg(F.max("cid").alias("u_cid")))
     s = single.join(by_upc.withColumnRenamed("upc", "dig"), "dig", "left") \
         .join(by_upc.select(F.col("upc").alias("_d2"), F.col("u_cid").alias("u2_cid")),
               F.regexp_replace("dig", "^0+", "") == F.col("_d2"), "left")
     s = s.withColumn("upc_cid", F.when(F.length("dig") >= 11, F.coalesce("u_cid", "u2_cid")))
-    by_desc = catalog.filter(F.col("nd") != "").groupBy(F.col("nd").alias("nq")).agg(F.min("cid").alias("e_cid"))
-    s = s.join(by_desc, "nq", "left")
+    # listings that share a name score alike and the smallest id wins ties, so both the exact and the
+    # fuzzy match run over distinct names (each carrying its smallest listing id)
+    names = catalog.filter(F.col("nd") != "").groupBy("nd").agg(F.min("cid").alias("cid"))
+    s = write_table(s.join(names.select(F.col("nd").alias("nq"), F.col("cid").alias("e_cid")), "nq", "left"), "ad-singles")
     q_tok = tokens(s.filter(F.col("upc_cid").isNull() & F.col("e_cid").isNull())
                     .withColumn("xq", expand_abbrev("nq")), ["line_id", "pi"], "xq")
-    # listings that share a name score alike and the smallest id wins ties, so the fuzzy
-    # match runs over distinct names (each carrying its smallest listing id)
-    name_tok = tokens(catalog.filter(F.col("nd") != "").groupBy("nd").agg(F.min("cid").alias("cid")), ["cid"], "nd")
-    fz = best_match(q_tok, name_tok, ["line_id", "pi"], "cid", None, min_score=config.AD_MATCH_MIN_SCORE).select("line_id", "pi", F.col("cid").alias("f_cid"))
+    fz = best_match(q_tok, tokens(names, ["cid"], "nd"), ["line_id", "pi"], "cid", None,
+                    min_score=config.AD_MATCH_MIN_SCORE).select("line_id", "pi", F.col("cid").alias("f_cid"))
     s = s.join(fz, ["line_id", "pi"], "left")
     s = s.withColumn("cid", F.coalesce("upc_cid", "e_cid", "f_cid")).withColumn(
         "conf", F.when(F.col("upc_cid").isNotNull(), "upc").when(F.col("e_cid").isNotNull(), "exact")
         .when(F.col("f_cid").isNotNull(), "fuzzy"))
-    single_rows = s.filter(F.col("cid").isNotNull()).select(
+    rows = s.filter(F.col("cid").isNotNull()).select(
         "line_id", "pi", F.lit(0).alias("bi"), "cid", "conf", "target", F.lit(False).alias("many"))
-    single_miss = s.filter(F.col("cid").isNull()).select("line_id", "pi", F.col("q").alias("unmatched"))
-    # -- whole brands
+    return rows, s.filter(F.col("cid").isNull()).select("line_id", "pi", F.col("q").alias("unmatched"))
+
+
+def match_brands(parts: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every listing of each whole brand of the ad (J15), numbered by id; and the parts without one."""
     # lines that name one brand expand alike, so each distinct set of tokens is matched once. A UPC
     # goes to the first line that lists it: of equal sets that is the first line; rows without a UPC
     # stay on every line
     toks = F.array_sort(F.filter(F.array_distinct(F.split(norm_text("q"), " ")), lambda x: F.length(x) >= 2))
     brand = parts.filter(F.col("is_brand")).withColumn("bk", F.array_join(toks, " "))
     b_tok = brand.filter(F.col("bk") != "").select("bk", F.explode(F.split("bk", " ")).alias("tok")).distinct()
-    hits = containment(b_tok, cat_tok, ["bk"], "cid")
-    sizes = hits.groupBy("bk").agg(F.count("*").alias("n"))
+    cat_tok = tokens(catalog.filter(F.col("nd") != ""), ["cid"], "nd")
+    hits = containment(b_tok, cat_tok, ["bk"], "cid").join(catalog.select("cid", (F.col("upc") != "").alias("has_upc")), "cid")
     # numbered range by range: a brand word that a third of the catalog holds is not one task's
-    numbered = running_sum(hits.select("bk", "cid", F.lit(1).alias("one")), ["bk"], ["cid"], "one", "bi").drop("one")
-    hits = write_table(numbered.withColumn("bi", F.col("bi").cast("int"))
-                           .join(sizes, "bk").join(catalog.select("cid", (F.col("upc") != "").alias("has_upc")), "cid"), "ad-brand-hits")
+    numbered = running_sum(hits.withColumn("one", F.lit(1)), ["bk"], ["cid"], "one", "bi").drop("one")
+    hits = write_table(numbered.withColumn("bi", F.col("bi").cast("int")), "ad-brand-hits")
     line = F.struct("line_id", "pi", "target")
     first = brand.groupBy("bk").agg(F.min(line).alias("l")).select("bk", "l.*")
     every = hits.filter("has_upc").join(first, "bk").unionByName(
         hits.filter("NOT has_upc").join(brand.select("bk", "line_id", "pi", "target"), "bk"))
-    brand_rows = every.select("line_id", "pi", "bi", "cid", F.lit("brand").alias("conf"), "target",
-                              (F.col("n") > config.BRAND_REVIEW_COUNT).alias("many"))
-    brand_miss = brand.join(hits.select("bk").distinct(), "bk", "left_anti") \
-        .select("line_id", "pi", F.col("raw").alias("unmatched"))
+    sizes = hits.groupBy("bk").agg(F.max("bi").alias("n"))
+    rows = every.join(sizes, "bk").select("line_id", "pi", "bi", "cid", F.lit("brand").alias("conf"), "target",
+                                          (F.col("n") > config.BRAND_REVIEW_COUNT).alias("many"))
+    return rows, brand.join(sizes, "bk", "left_anti").select("line_id", "pi", F.col("raw").alias("unmatched"))
+
+
+def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month: int = _MONTH,
+             dept: str = AD_DEPT) -> tuple[DataFrame, DataFrame]:
+    """Q11: expand ad lines (F07), match each part to the catalog - UPC digits, exact name,
+    fuzzy prefix tokens (J14, score >= 0.6), or whole brand (J15) - then size the
+    buy from live stock. Returns (rows, unmatched)."""
+    parts, catalog, stock = together(lines.sparkSession, lambda: write_table(ad_parts(lines, dept), "ad-parts"),
+                                     lambda: write_table(catalog, "ad-catalog"),
+                                     lambda: write_table(_stock_rows(snapshot), "ad-stock"))
+    (single_rows, single_miss), (brand_rows, brand_miss) = together(lines.sparkSession, lambda: match_singles(parts, catalog),
+                                                                    lambda: match_brands(parts, catalog))
     # -- first occurrence of a UPC wins across all lines
     rows = single_rows.unionByName(brand_rows).join(catalog, "cid")
     place = F.struct("line_id", "pi", "bi")
@@ -157,7 +171,6 @@ def ad_order(lines: DataFrame, catalog: DataFrame, snapshot: DataFrame, *, month
                 .filter(F.col("_first").isNull() | (place == F.col("_first"))).drop("_first"))
     # -- stock: exact name, else best token overlap with any score
     rows = write_table(rows, "ad-matched-rows")
-    stock = write_table(_stock_rows(snapshot), "ad-stock")
     by_name = stock.groupBy("nd").agg(F.min_by("sid", "ord").alias("x_sid"))
     rows = rows.join(by_name, "nd", "left")
     need_fz = rows.filter(F.col("x_sid").isNull()).select("nd").distinct().withColumn("qid", F.col("nd"))

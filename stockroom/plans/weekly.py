@@ -25,8 +25,7 @@ from ..functions.months import month_abbr, weeks_to_next_buy_month
 from ..functions.numeric import round_even, trend_pct
 from ..functions.text import join_text
 from ..operators.allocate import planned_items
-from ..operators.joins import (ad_join, apply_overrides, buy_months_join, buyer_terms,
-                               flag_membership, retail_by_code, split_discontinued)
+from ..operators.joins import apply_overrides, code_terms
 from ..operators.rollups import item_aggregates, with_case
 from ..operators.windows import priority_order, running_sum
 from ..operators.decisions import read_decisions
@@ -61,6 +60,12 @@ def item_plan(needs: DataFrame) -> DataFrame:
     return with_case(planned_items(needs, extra=item_aggregates()))
 
 
+def list_terms(t) -> DataFrame:
+    """All per-code lists of the order, one row for each code, written once."""
+    return t.derived("code_terms", lambda t: write_table(
+        code_terms(src_inventory(t.inventory), t.ad_list, t.buy_months, t.deals, t.remove_list, t.new_list), "code-terms"))
+
+
 def order_lines(planned: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFrame | None = None,
                 target_weeks: float = config.TARGET_WEEKS) -> DataFrame:
     """All bought-or-considered lines of every department with a ``section`` column:
@@ -84,8 +89,9 @@ def order_lines(planned: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFra
         "buy_cases": cases,
         "buy_units": units,
         "net_buy_usd": round_even(units * F.col("cost"), 0)})
+    # the lists of steps 4 to 10, one lookup by code
+    g = g.join(list_terms(t), "code_key", "left")
     # 4: ad floor
-    g = ad_join(g, t.ad_list)
     on_ad = F.col("ad_kind").isNotNull() & (F.length("ad_kind") > 0)
     oh_pos = F.greatest(F.col("chain_oh"), F.lit(0.0))
     ad_units = F.greatest(F.col("ad_target") * F.col("wk_vel") - oh_pos, F.lit(0.0))
@@ -94,7 +100,6 @@ def order_lines(planned: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFra
                      .otherwise(F.col("net_buy")))
     g = _recase(g, F.col("on_ad"))
     # 5: buy-month stock-up
-    g = buy_months_join(g, t.buy_months)
     bm_wks = weeks_to_next_buy_month(F.col("buy_months"), F.lit(cur_month))
     g = g.withColumns({"bm_wks": bm_wks, "bm_stock": bm_wks > 0})
     bm_units = F.greatest(F.col("bm_wks") * F.col("wk_vel") - oh_pos, F.lit(0.0))
@@ -107,7 +112,6 @@ def order_lines(planned: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFra
     g = g.withColumns({c: F.when(enough, F.lit(z)).otherwise(F.col(c))
                        for c, z in (("net_buy", 0.0), ("buy_cases", 0.0), ("buy_units", 0), ("net_buy_usd", 0.0))})
     # 7: margin, deal terms, ad label, profit protected
-    g = g.join(retail_by_code(src_inventory(t.inventory)), "code_key", "left").join(buyer_terms(t.deals), "code_key", "left")
     g = g.withColumn("gm_pct", F.when(F.col("retail") > 0,
                                       round_even((F.col("retail") - F.col("cost")) / F.col("retail") * 100, 0)))
     tw = F.coalesce(F.col("ad_target"), F.lit(config.DEFAULT_AD_TARGET))
@@ -122,7 +126,8 @@ def order_lines(planned: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFra
     g = g.withColumn("profit_protected", F.col("wk_vel") * F.greatest(F.coalesce(F.col("retail"), F.col("cost"))
                                                                     - F.col("cost"), F.lit(0.0)))
     # 8: bought lines, discontinued split
-    buy = split_discontinued(g.filter(F.col("buy_units") > 0), t.remove_list)
+    discontinued = F.lower(F.coalesce(F.col("supplier"), F.lit(""))).contains("discontinued")
+    buy = g.filter(F.col("buy_units") > 0).withColumn("removed", F.coalesce("on_remove", F.lit(False)) | discontinued)
     # 9: buy-month timing
     has_months = F.col("buy_months").isNotNull() & (F.size("buy_months") > 0)
     mtxt = F.array_join(F.transform(F.coalesce(F.col("buy_months"), _empty_months()), lambda m: month_abbr(m)), ", ")
@@ -138,7 +143,7 @@ def order_lines(planned: DataFrame, t, *, as_of: str = AS_OF, decisions: DataFra
     buy = buy.withColumn("section", F.when(F.col("removed"), "removed")
                          .when(F.col("buy_month").startswith("Wait for"), "wait").otherwise("order"))
     # 10: review reasons
-    buy = flag_membership(buy, t.new_list, "is_new")
+    buy = buy.withColumn("is_new", F.coalesce("is_new", F.lit(False)))
     bmn = F.col("buy_month")
     reasons = [
         F.when(~F.coalesce(F.col("cost") > 0, F.lit(False)), F.lit("No cost data - verify price")),
@@ -183,11 +188,12 @@ def weekly_order(needs: DataFrame, t, *, budget: float | None = config.WEEKLY_BU
     lines = order_lines(item_plan(needs) if planned is None else planned, t, decisions=decisions)
     if budget is None:
         return _present(lines, "section")
-    orders = lines.filter(F.col("section") == "order")
-    ranked = running_sum(orders, ["dept"], priority_order(priority) + [F.col("item")], "net_buy_usd", "cum_buy")
-    ranked = ranked.withColumn("section", F.when(F.col("cum_buy") <= budget, "order").otherwise("deferred"))
-    rest = lines.filter(F.col("section") != "order").withColumn("cum_buy", F.lit(None).cast("double"))
-    return _present(ranked.unionByName(rest), "section", "cum_buy")
+    # the other sections run along as keys of their own, so the lines are worked out once
+    ranked = running_sum(lines, ["dept", "section"], priority_order(priority) + [F.col("item")], "net_buy_usd", "cum_buy")
+    ordered = F.col("section") == "order"
+    ranked = ranked.withColumns({"section": F.when(ordered & ~F.coalesce(F.col("cum_buy") <= budget, F.lit(False)), "deferred").otherwise(F.col("section")),
+                                 "cum_buy": F.when(ordered, F.col("cum_buy"))})
+    return _present(ranked, "section", "cum_buy")
 
 
 def dept_summary(needs: DataFrame, t) -> DataFrame:

@@ -66,6 +66,17 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def together(spark: SparkSession, *steps):
+    """The results of ``steps`` (callables that each write tables and do not need each other), run at the same time:
+    their jobs share the executors instead of waiting in line. The first error is raised once all have ended."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [r.result() for r in running]
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder and cut its lineage (survives lost executors)."""
     checkpoint_dir(df.sparkSession)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from stockroom.operators.allocate import par_floor, transfer_plan
-from stockroom.operators.joins import ad_join, buyer_terms, last_rows
+from stockroom.operators.windows import running_sum
+from stockroom.operators.joins import buyer_terms, code_terms, last_rows
 from stockroom.operators.quantile import exact_quantile
 from stockroom.plans import brief, weekly
 from stockroom.plans.base import scoped_inventory, store_needs
@@ -20,7 +21,10 @@ from stockroom.sources.tables import tables
 def test_lists_repeat_keys_and_the_last_row_wins(spark):
     t = tables(spark, SF_SMALL)
     inv = scoped_inventory(t)
-    for lst, keys, join in ((t.par_list, ["code_key", "store"], lambda l: par_floor(inv, l)), (t.ad_list, ["code_key"], lambda l: ad_join(inv, l))):
+    def with_ads(ads):
+        return inv.join(code_terms(inv, ads, t.buy_months, t.deals, t.remove_list, t.new_list), "code_key", "left")
+
+    for lst, keys, join in ((t.par_list, ["code_key", "store"], lambda l: par_floor(inv, l)), (t.ad_list, ["code_key"], with_ads)):
         assert lst.count() > lst.select(*[F.lower(F.trim(c)) for c in keys]).distinct().count()  # the fixture repeats keys
         assert join(lst).count() == inv.count()
         assert join(lst.unionByName(lst.withColumn("list_row", F.col("list_row") - 1))).count() == inv.count()
@@ -96,3 +100,28 @@ def test_exact_quantile_on_both_sides_of_the_sketch(spark):
         got = {r["k"]: r["q"] for r in exact_quantile(df, "x", 0.7, ["k"], accuracy=accuracy).collect()}
         for k, v in data.items():
             assert abs(got[k] - float(np.quantile(v, 0.7))) < 1e-9
+
+
+def test_code_terms_is_one_row_a_code(spark):
+    """Every list in one row: last row of a code, first positive price, no months as NULL, codes on one list only."""
+    inv = spark.createDataFrame([("a", 1, 0.0), ("a", 3, 4.0), ("a", 2, 5.0), ("n", 1, None), (None, 1, 9.0)], "code_key string, ingest_row long, price double")
+    ads = spark.createDataFrame([("a", 2, "Sunday", 6.0), ("a", 1, "Weekly", 3.0), ("b", 1, None, None)], "code_key string, list_row int, kind string, target_wos double")
+    months = spark.createDataFrame([("a", 11), ("a", 2), ("a", 2)], "code_key string, m int")
+    deals = spark.createDataFrame([("a", 1, 60.0, 12.0, 4.0, 8.0), ("d", 1, 0.0, 6.0, 1.0, 0.0)],
+                                  "code_key string, list_row int, case_cost double, units_case double, net_unit double, retail double")
+    gone, new = (spark.createDataFrame([(c,) for c in codes], "code_key string") for codes in (["b", "b", None], ["a"]))
+    rows = {r["code_key"]: r for r in code_terms(inv, ads, months, deals, gone, new).collect()}
+    assert set(rows) == {"a", "b", "d"}
+    a = rows["a"]
+    assert (a["retail"], a["ad_kind"], a["ad_target"], a["buy_months"], a["on_remove"], a["is_new"]) == (5.0, "Sunday", 6.0, [2, 11], False, True)
+    assert (a["discount_pct"], a["buyer_gm_pct"], a["deal"]) == (20.0, 50.0, "case of 12.0")
+    assert rows["b"]["on_remove"] and rows["b"]["ad_kind"] is None and rows["b"]["buy_months"] is None and not rows["b"]["is_new"]
+    assert rows["d"]["retail"] is None and rows["d"]["discount_pct"] is None
+    empty = code_terms(inv.limit(0), ads.limit(0), months.limit(0), deals.limit(0), gone.limit(0), new.limit(0))
+    assert empty.count() == 0
+
+
+def test_running_sum_keeps_rows_without_a_key(spark):
+    rows = spark.createDataFrame([(None, 1, 2), (None, 2, 3), ("x", 1, 5)], "k string, o int, v int")
+    got = sorted(map(tuple, running_sum(rows, ["k"], ["o"], "v", "s").select("o", "v", "s").collect()))
+    assert got == [(1, 2, 2), (1, 5, 5), (2, 3, 5)]
