@@ -13,8 +13,12 @@ made from the histogram of piece lengths, at most ``LENGTH`` rows however large
 
 A plan entry says: the r-th to s-th pieces of a length go to consecutive sequences at one offset. Each
 step uses up a length or a class of bins, so the plan's size follows the number of lengths, not of
-documents, and is broadcast. A piece's rank within its length is a two-level count (per salted
-bucket, then within it), so a common length is never one task.
+documents; it goes to the tasks with the function that places the pieces (at most some ten thousand
+numbers). A piece's rank within its length is a two-level count: within the task that wrote the
+piece, then over the tasks. The row's number, which holds the task's, is stored with the piece, so a common length, a null or
+repeated doc_id or a text that fills a third of the corpus is spread as widely as the input is, and
+no number of buckets has to be chosen. Counts of (length, task) are joined on the keys the ranks are
+already partitioned by, so they are never broadcast by order and move no piece again.
 
 Defined results: a null or empty text has just the end token; repeated rows are packed as often as
 they occur; a null doc_id is carried; an empty table gives an empty result; extra columns are left
@@ -36,7 +40,6 @@ from .vocabulary import Encoder
 LENGTH = 4096
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-BUCKETS = 64
 
 
 def tokenizer_path() -> str:
@@ -187,21 +190,25 @@ def ranges(plan) -> dict[int, tuple[np.ndarray, ...]]:
     return {n: tuple(np.array(x, np.int64) for x in zip(*v)) for n, v in out.items()}
 
 
-def pack(made: DataFrame, *, length: int = LENGTH, buckets: int = BUCKETS) -> DataFrame:
-    """``made`` (any columns, with doc_id, piece and length) with sequence_id and offset."""
+def numbered(made: DataFrame) -> DataFrame:
+    """``made`` written with a number for each row, and the task that wrote it (``__row``, ``__task``).
+    Both are read back from the table, so a later task that is run again sees the same order."""
+    return kept(made.withColumn("__row", F.monotonically_increasing_id()), "pieces").withColumn("__task", F.shiftright("__row", 33))
+
+
+def pack(made: DataFrame, *, length: int = LENGTH) -> DataFrame:
+    """``made`` (any columns, with length) with sequence_id and offset."""
     names = made.columns
-    salted = made.withColumn("__bucket", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(buckets)))
-    counts = salted.groupBy("length", "__bucket").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = kept(counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))), "pack-counts")
-    histogram = {r[0]: r[1] for r in firsts.groupBy("length").agg(F.sum("__n")).collect()}  # at most `length` rows
+    made_ = numbered(made)
+    counts = kept(made_.groupBy("length", "__task").agg(F.count("*").alias("__n")), "pack-counts")
+    histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("__n")).collect()}  # at most `length` rows
     entries = ranges(best_fit(histogram, length))
-    firsts = F.broadcast(firsts.select(F.col("length").alias("__length"), F.col("__bucket").alias("__b"), "__before"))  # length * buckets rows at most
-    within = Window.partitionBy("length", "__bucket").orderBy("doc_id", "piece")
-    ranked = (salted.withColumn("__within", F.row_number().over(within))
-                    .join(firsts, (F.col("length") == F.col("__length")) & (F.col("__bucket") == F.col("__b")))
-                    .withColumn("__rank", F.col("__before") + F.col("__within") - 1)
-                    .select(*names, "__rank"))
+    before = Window.partitionBy("length").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select("length", "__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    within = Window.partitionBy("length", "__task").orderBy("__row")
+    ranked = (made_.withColumn("__within", F.row_number().over(within)).join(firsts, ["length", "__task"])
+                   .withColumn("__rank", F.col("__before") + F.col("__within") - 1)
+                   .select(*names, "__rank"))
 
     def place(batches):
         import pyarrow as pa
@@ -224,7 +231,7 @@ def pack(made: DataFrame, *, length: int = LENGTH, buckets: int = BUCKETS) -> Da
 
 
 def pack_documents(docs: DataFrame, *, path: str | None = None, length: int = LENGTH) -> DataFrame:
-    return pack(kept(pieces(docs, path=path, length=length), "pieces"), length=length)
+    return pack(pieces(docs, path=path, length=length), length=length)
 
 
 def op10_packing(spark, sf_dir: str) -> DataFrame:

@@ -108,6 +108,21 @@ def test_odd_rows_are_packed(spark):
     assert packing.pack_documents(brute.documents(spark, [])).count() == 0
 
 
+def test_equal_rows_take_places_of_their_own(spark):
+    """A third of all rows without an id, a third under one id, all of one length: no two share a place, and the
+    ranks of a length are spread over the tasks that wrote its pieces."""
+    rows = [(None, "one two")] * 200 + [(5, "one two")] * 200 + [(i, "one two") for i in range(200)]
+    docs = brute.documents(spark, rows).repartition(6)
+    got = packing.pack_documents(docs, length=7).collect()
+    assert len(got) == 600 and len({(r["sequence_id"], r["offset"]) for r in got}) == 600
+    n = got[0]["length"]
+    assert {r["length"] for r in got} == {n}
+    check_gapless(got, 7)
+    assert len({r["sequence_id"] for r in got}) == -(-600 // (7 // n))
+    per = packing.numbered(packing.pieces(docs, length=7)).groupBy("length", "__task").count().collect()
+    assert max(r["count"] for r in per) <= 150 and sum(r["count"] for r in per) == 600
+
+
 def test_mix_matches_sql(spark):
     for sf in ("/root/testdata/sf0.001", SF):
         ok, why = compare(mixing.op8_mixing(spark, sf), mixing.ORACLE, duck(sf))
