@@ -2,7 +2,7 @@
 
 Every version of every path is content-addressed (SHA-256 of its text). The ledger is a Parquet
 table with one row per scan: the blob, the rule versions applied and what they found. A scan
-takes each distinct blob once, applies only the rule versions its ledger rows lack, appends the
+asks the ledger by address before it moves a text, takes each distinct blob once, applies only the rule versions its ledger rows lack, appends the
 findings, and joins them back to all paths by blob address.
 
 Defined results: a null text is the empty blob; repeated rows and equal texts share one scan and
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stockroom.session import checkpoint_dir, read_parquet_or_none
 
-from .shared import map_texts, table
+from .shared import kept, map_texts, table
 
 
 @dataclass(frozen=True)
@@ -75,6 +75,26 @@ def blob_id(text="text"):
     return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
 
 
+#: Up to this many unseen blobs are sent to the texts (as 64-bit keys, some 50 MB); beyond it the texts are shuffled.
+BROADCAST_BLOBS = 2_000_000
+
+
+def unseen(versions: DataFrame, seen: DataFrame | None, rules: list[str]) -> DataFrame:
+    """blob, text, __need (rule versions to apply) of each distinct blob that lacks a rule version in the
+    ledger rows ``seen``. The ledger is asked by address first; only texts of unseen blobs are moved."""
+    addressed = versions.select(blob_id().alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
+    wanted = F.array(*[F.lit(v) for v in rules])
+    if seen is None:
+        return addressed.groupBy("blob").agg(F.first("text").alias("text")).withColumn("__need", wanted)
+    had = seen.groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("__had"))
+    todo = kept(addressed.select("blob").distinct().join(had, "blob", "left")
+                         .withColumn("__need", F.array_except(wanted, F.coalesce("__had", F.array().cast("array<string>"))))
+                         .filter(F.size("__need") > 0).select("blob", "__need"), "unseen-blobs")
+    if todo.count() <= BROADCAST_BLOBS:
+        addressed = addressed.join(F.broadcast(todo.select(F.xxhash64("blob").alias("__k")).distinct()), F.xxhash64("blob") == F.col("__k"), "left_semi")
+    return addressed.groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob")
+
+
 def scan(versions: DataFrame, ledger: str, rules=RULES) -> DataFrame:
     """Scan ``versions`` (path, text; one row per historical version) against the ledger at
     ``ledger`` and return ``path, blob, findings`` for every version. Only unseen pairs of blob
@@ -82,17 +102,8 @@ def scan(versions: DataFrame, ledger: str, rules=RULES) -> DataFrame:
     spark = versions.sparkSession
     every = [r.version for r in rules]
     by_version = {v: (v, k, p, g, n) for v, k, p, g, n in compiled(rules)}
-    blobs = (versions.select(blob_id().alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
-                     .groupBy("blob").agg(F.first("text").alias("text")))
     seen = read_parquet_or_none(spark, ledger)
-    wanted = F.array(*[F.lit(v) for v in every])
-    if seen is not None:
-        had = seen.groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("__had"))
-        blobs = (blobs.join(had, "blob", "left")
-                      .withColumn("__need", F.array_except(wanted, F.coalesce("__had", F.array().cast("array<string>"))))
-                      .filter(F.size("__need") > 0))
-    else:
-        blobs = blobs.withColumn("__need", wanted)
+    blobs = unseen(versions, seen, every)
     # texts that need the same rules go through the same call: the list of needs leads the text
     needy = blobs.select("blob", F.col("__need").alias("rules"),
                          F.concat_ws("\n", F.array_join("__need", ","), "text").alias("text"))

@@ -74,6 +74,27 @@ def test_ledger_scans_only_unseen_pairs(spark):
     assert sorted(len(r["findings"]) for r in more) == [1, 2]
 
 
+def test_texts_of_known_blobs_are_not_moved(spark, monkeypatch):
+    """Only unseen blobs are fetched, whether their addresses are broadcast to the texts or shuffled with them."""
+    path = ledger_path(spark)
+    old, new = [f"password={i:08d}" for i in range(40)], ["token=abcdefgh", "token=abcdefgh", None, ""]
+    scan(spark, old, path).collect()
+    seen = spark.read.parquet(path)
+    docs = docs_of(spark, old + new)
+    every = [r.version for r in secret_scan.RULES]
+    for bound in (secret_scan.BROADCAST_BLOBS, 0):
+        monkeypatch.setattr(secret_scan, "BROADCAST_BLOBS", bound)
+        rows = secret_scan.unseen(docs, seen, every)
+        assert sorted(r["text"] for r in rows.collect()) == ["", "token=abcdefgh"]
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert ("LeftSemi" in plan) == (bound > 0)
+        assert secret_scan.unseen(docs_of(spark, old), seen, every).count() == 0
+        assert secret_scan.unseen(docs_of(spark, []), seen, every).count() == 0
+    found = scan(spark, old + new, path).collect()
+    assert spark.read.parquet(path).count() == 42
+    assert sorted(len(r["findings"]) for r in found) == [0] * 2 + [1] * 42
+
+
 def test_scans_of_an_empty_table(spark):
     assert scan(spark, []).count() == 0
     empty = docs_of(spark, [])
