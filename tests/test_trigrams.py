@@ -60,3 +60,14 @@ def test_an_empty_tab(spark, tab):
     none = tab.limit(0)
     index = trigrams.build(none, COLS, "row_id")
     assert trigrams.search(none, COLS, "ale", index).count() == 0
+
+
+def test_postings_are_lists_of_blocks(spark, monkeypatch):
+    """A gram is written once for a block of rows, not once for a row; blocks lose and repeat nothing."""
+    monkeypatch.setattr(trigrams, "BLOCK_ROWS", 64)
+    tab = spark.range(0, 1000, 1, 2).select(F.col("id").alias("row_id"), F.concat(F.lit("plain 𝄞é "), F.col("id").cast("string")).alias("a"))
+    index = trigrams.build(tab, ["a"], "row_id")
+    plain = spark.read.parquet(f"{index.path}/postings").filter("gram = 'n 𝄞'")
+    assert plain.count() == 16 and sorted(r[0] for r in plain.select(F.explode("rows")).collect()) == list(range(1000))
+    assert trigrams.rarest(index, spark, "𝄞é 77") == [(11, " 77"), (111, "é 7"), (1000, "𝄞é ")]
+    assert [r[0] for r in trigrams.search(tab, ["a"], "É 777", index).select("row_id").collect()] == [777]
