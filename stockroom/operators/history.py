@@ -33,18 +33,26 @@ def full_months(h: DataFrame, min_days: int = config.MIN_DAYS_IN_MONTH) -> DataF
              .filter(F.col("n_days") >= min_days))
 
 
+ROWS_PER_TASK = 500_000
+
+
+def by_key(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """``df`` dealt out by ``key``, about ``ROWS_PER_TASK`` of its ``rows`` to a task: the number of tasks follows the rows,
+    so what a task holds does not grow with the table."""
+    return df.repartition(max(1, -(-rows // ROWS_PER_TASK)), key)
+
+
 def monthly_cube(h: DataFrame) -> DataFrame:
     """The history reduced once to (code, category, full month): units and the earliest
-    (day, item). Every seasonality operator reads this reduction - days x products shrink
+    day. Every seasonality operator reads this reduction - days x products shrink
     to months x products - instead of the daily rows; it is written once to the shared
     checkpoint folder, so all of them share two scans of the history (one for the month
-    calendar, one for the totals)."""
+    calendar, one for the totals). All that is aggregated are numbers, so no rows are sorted."""
     cube = getattr(h, "_monthly_cube", None)
     if cube is None:
-        fm = full_months(h).select("ym")
-        cube = (h.groupBy("code", "category", "ym")
-                 .agg(F.sum("units").alias("units"), F.min(F.struct("day", "item")).alias("first"))
-                 .join(fm, "ym", "left_semi")
+        fm = full_months(h).select("ym")  # bounded by the calendar
+        cube = (h.join(F.broadcast(fm), "ym", "left_semi").groupBy("code", "category", "ym")
+                 .agg(F.sum("units").alias("units"), F.min("day").alias("first_day"))
                  .withColumn("m", F.month("ym")))
         cube = write_table(cube, "history-cube")
         h._monthly_cube = cube
@@ -58,15 +66,17 @@ def _monthly(h: DataFrame, key: str) -> DataFrame:
 
 
 def _index(mt: DataFrame, key: str) -> DataFrame:
-    """Per key: base = mean monthly units, idx[m] = mean units of calendar month m / base."""
-    by_m = mt.groupBy(key, "m").agg(F.sum("units").alias("_s"), F.count("units").alias("_n"))
-    # a key has at most 12 calendar-month rows, so its base is a bounded window, not a join
-    w = Window.partitionBy(key)
-    return (by_m.withColumn("base", F.sum("_s").over(w) / F.sum("_n").over(w))
-                .withColumn("n_months", F.count("*").over(w))
-                .withColumn("m_units", F.col("_s") / F.col("_n"))
-                .filter(F.col("base") > 0).withColumn("idx", F.col("m_units") / F.col("base"))
-                .drop("_s", "_n"))
+    """Per key: base = mean monthly units, idx[m] = mean units of calendar month m / base, and ``tot`` = all units. One aggregate with
+    a sum and a count for each calendar month; a key's months are then rows again."""
+    at = lambda m: F.when(F.col("m") == m, F.col("units"))
+    wide = mt.groupBy(key).agg(*[f(at(m)).alias(f"{n}{m}") for m in range(1, 13) for n, f in (("_s", F.sum), ("_n", F.count))])
+    months = F.filter(F.array(*[F.struct(F.lit(m).alias("m"), F.col(f"_s{m}").alias("s"), F.col(f"_n{m}").alias("n")) for m in range(1, 13)]),
+                      lambda x: x["n"] > 0)
+    tot, n = (sum((F.coalesce(F.col(f"{c}{m}"), F.lit(0)) for m in range(1, 13)), F.lit(0)) for c in ("_s", "_n"))
+    each = wide.select(key, months.alias("_months"), tot.alias("tot"), F.when(n > 0, tot / n).alias("base")).filter(F.col("base") > 0)
+    return (each.select(key, "base", "tot", F.size("_months").alias("n_months"), F.explode("_months").alias("_x"))
+                .select(key, F.col("_x.m").alias("m"), "base", "n_months", (F.col("_x.s") / F.col("_x.n")).alias("m_units"), "tot")
+                .withColumn("idx", F.col("m_units") / F.col("base")))
 
 
 def _wide(idx: DataFrame, keys: list[str]) -> DataFrame:
@@ -89,30 +99,31 @@ def category_seasonality(h: DataFrame) -> DataFrame:
                          *MONTH_COLS, "peak_months"))
 
 
-def _item_population(h: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Items with >= 200 units over full months and >= 6 distinct calendar months."""
+def _item_index(h: DataFrame) -> DataFrame:
+    """The index rows of items with >= 200 units over full months and >= 6 distinct calendar months."""
     cube = monthly_cube(h)
-    info = cube.groupBy("code").agg(
-        F.sum("units").alias("tot"),
-        F.min(F.struct(F.col("first.day").alias("d"), F.col("first.item").alias("i"),
-                       F.col("category").alias("c"))).alias("f"))
-    info = info.select("code", "tot", F.col("f.i").alias("item"), F.col("f.c").alias("category"))
-    keep = info.filter(F.col("tot") >= config.MIN_ITEM_UNITS)
-    mt = (cube.join(keep.select("code"), "code", "left_semi")
-              .groupBy("code", "ym").agg(F.sum("units").alias("units")).withColumn("m", F.month("ym")))
-    idx = _index(mt, "code").filter(F.col("n_months") >= config.MIN_ITEM_MONTHS)
-    return idx, keep
+    mt = (by_key(cube.select("code", "ym", "units").filter(F.col("code").isNotNull()), "code", cube.count())
+          .groupBy("code", "ym").agg(F.sum("units").alias("units")).withColumn("m", F.month("ym")))
+    return _index(mt, "code").filter((F.col("tot") >= config.MIN_ITEM_UNITS) & (F.col("n_months") >= config.MIN_ITEM_MONTHS))
+
+
+def _named(h: DataFrame, items: DataFrame) -> DataFrame:
+    """``items`` (one row per code) with item and category as on the code's earliest day of a full month (the smallest, if
+    that day has several). Only that day's rows of these items are read for them."""
+    days = monthly_cube(h).groupBy("code").agg(F.min("first_day").alias("day"))
+    first = (h.join(items.select("code").join(days, "code"), ["code", "day"]).groupBy("code")
+              .agg(F.min(F.struct("item", "category")).alias("f")))
+    return items.join(first, "code").withColumns({"item": F.col("f.item"), "category": F.col("f.category")}).drop("f")
 
 
 def item_seasonality(h: DataFrame) -> DataFrame:
     """A10: seasonal items - peak month (earliest on ties), peak index >= 1.15, buy-ahead =
     the month before the peak. ``annual_units`` is the total over all full months."""
-    idx, keep = _item_population(h)
-    peak = idx.groupBy("code").agg(
-        F.max("idx").alias("peak_v"),
+    peak = _item_index(h).groupBy("code").agg(
+        F.first("tot").alias("tot"), F.max("idx").alias("peak_v"),
         F.min_by("m", F.struct(-F.col("idx"), F.col("m"))).alias("peak_m"))
     peak = peak.filter(F.col("peak_v") >= config.PEAK_THRESHOLD)
-    return (peak.join(keep, "code").select(
+    return (_named(h, write_table(peak, "item-peaks")).select(
         "code", "item", "category", F.col("tot").cast("bigint").alias("annual_units"),
         month_abbr("peak_m").alias("peak_month"), round_even(F.col("peak_v"), 2).alias("peak_index"),
         month_abbr(F.pmod(F.col("peak_m") - 2, F.lit(12)) + 1).alias("buy_ahead_month")))
@@ -120,10 +131,8 @@ def item_seasonality(h: DataFrame) -> DataFrame:
 
 def item_month_index(h: DataFrame) -> DataFrame:
     """Per item full 12-month index for the item population of A10."""
-    idx, keep = _item_population(h)
-    wide = _wide(idx, ["code"])
-    base = idx.groupBy("code").agg(F.first("base").alias("base"))
-    return (base.join(keep, "code").join(wide, "code")
+    wide = write_table(_wide(_item_index(h), ["code", "base"]), "item-months")
+    return (_named(h, wide)
                 .select("code", "item", "category", round_even(F.col("base"), 0).cast("bigint").alias("avg_units_mo"),
                         *MONTH_COLS))
 
@@ -202,7 +211,7 @@ def category_month_index(h: DataFrame) -> DataFrame:
 
 def item_month_rows(h: DataFrame) -> DataFrame:
     """A11's index as rows: (code, m, idx) for the item population of A10."""
-    return _item_population(h)[0].select("code", "m", "idx")
+    return _item_index(h).select("code", "m", "idx")
 
 
 def next_month_ratio(index: DataFrame, key: str, month: int, clamp: tuple[float, float],
