@@ -77,3 +77,28 @@ def test_no_sort_below_an_aggregate_and_one_allocation(spark, materialised, key)
         text = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
         sorts = [k for k, line in enumerate(text) if line.strip(" +-:").startswith("Sort [")]
         assert all(k == 0 for k in sorts), f"{key}: sorted below the result"
+
+
+def test_history_in_steps_equals_its_text(spark):
+    """The history view built in steps has the rows of its text, with parts that come twice, nulls and parts without lines."""
+    import datetime
+    from stockroom.sources.fixtures import VIEWS
+    from stockroom.sources.tables import PLANS
+    at = datetime.datetime
+    lines = spark.createDataFrame([(1, at(2024, 1, 1, 3), 2.0), (1, at(2024, 1, 1, 9), 3.0), (1, None, 1.0), (2, at(2024, 1, 2), None),
+                                   (None, at(2024, 1, 2), 4.0), (9, at(2024, 1, 2), 4.0)], "l_partkey bigint, l_shipdate timestamp, l_quantity double")
+    part = spark.createDataFrame([(1, "b", "zinc"), (1, "b", "ale"), (1, "c", None), (2, None, "gear"), (3, "d", "x")], "p_partkey bigint, p_brand string, p_name string")
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    got = PLANS["history"](lineitem=lines, part=part)
+    assert rows(got) == rows(spark.sql(VIEWS["history"], lineitem=lines, part=part))
+
+
+def test_item_index_needs_no_window_and_tasks_follow_rows(spark, monkeypatch):
+    from stockroom.operators import history as H
+    days = spark.sql("SELECT explode(sequence(date'2023-01-01', date'2023-12-31')) AS day")
+    h = H.src_history(days.crossJoin(spark.range(40)).selectExpr("day", "cast(id AS string) AS code", "'c' AS category", "'i' AS item", "month(day) * 1.0D AS units"))
+    monkeypatch.setattr(H, "ROWS_PER_TASK", 100)
+    index = H.item_month_rows(h)
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortAggregate" not in plan and "REPARTITION_BY_NUM" in plan  # 480 cube rows: 5 tasks
+    assert index.count() == 480 and H.item_seasonality(h).filter("peak_month = 'Dec' AND item = 'i'").count() == 40
