@@ -11,6 +11,7 @@ from .. import config
 from ..functions.codes import safe_name
 from ..functions.numeric import round_even, staleness_days
 from ..sources.fixtures import AS_OF
+from ..session import write_table
 from .base import ctx
 
 STORE_ZONE = "America/Chicago"
@@ -139,16 +140,24 @@ def _vendor_lines(po: DataFrame, as_of: str, days: int) -> DataFrame:
               .withColumn("vendor", F.coalesce(F.nullif(F.trim("vendor"), F.lit("")), F.lit("Unknown"))))
 
 
-FILES_PER_VENDOR = 4
+FILES_PER_VENDOR = 4         # at least, of a vendor with more than LINES_PER_FILE lines; others have one file
+LINES_PER_FILE = 100_000
+VENDORS_PER_TASK = 500
 
 
 def write_vendor_split(po: DataFrame, out_dir: str, as_of: str = AS_OF, days: int = config.VENDOR_PO_DAYS) -> DataFrame:
     """S10 sink: one CSV folder per vendor (partitioned write, overwrite; a large vendor is several
-    files) + the manifest."""
-    lines = _vendor_lines(po, as_of, days).withColumn("vendor_file", safe_name(F.col("vendor")))
-    (lines.select("vendor_file", "location", "ref", "code", "cases_ordered", "department", "category")
-          .repartition(F.col("vendor_file"), F.pmod(F.xxhash64("ref", "code"), F.lit(FILES_PER_VENDOR))).write.mode("overwrite").partitionBy("vendor_file")
-          .option("header", True).csv(out_dir))
+    files) + the manifest. The work is in the files, so tasks follow the vendors, and each task moves its files into place itself."""
+    lines = _vendor_lines(po, as_of, days).withColumn("vendor_file", safe_name(F.col("vendor"))).select(
+        "vendor_file", "location", "ref", "code", "cases_ordered", "department", "category")
+    sizes = write_table(lines.groupBy("vendor_file").agg(F.count("*").alias("n")), "vendor-sizes")
+    n_files = F.greatest(F.lit(FILES_PER_VENDOR), F.ceil(F.col("n") / LINES_PER_FILE))
+    large = sizes.filter(F.col("n") > LINES_PER_FILE).select("vendor_file", n_files.alias("n_files"))
+    dealt = lines.join(large, "vendor_file", "left").withColumn("piece", F.coalesce(F.pmod(F.xxhash64("ref", "code"), F.col("n_files")), F.lit(0)))
+    vendors, files = sizes.agg(F.count("*"), F.sum(F.ceil(F.col("n") / LINES_PER_FILE))).first()
+    tasks = max(1, -(-vendors // VENDORS_PER_TASK), files // FILES_PER_VENDOR if files and files > vendors else 1)
+    (dealt.repartition(tasks, "vendor_file", "piece").drop("n_files", "piece").write.mode("overwrite").partitionBy("vendor_file")
+          .option("header", True).option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(out_dir))
     return vendor_split_manifest(po, as_of, days)
 
 
