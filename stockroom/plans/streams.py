@@ -10,14 +10,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, write_table
 from ..streaming import decisions as SD
 from ..streaming import history as SH
 from ..streaming import live_sales as SL
 from .base import ctx
 
 SLICES = 3  # deliveries landed per run
-FILES = 4  # files of a delivery; each holds lines of all its days
+FILES = 4  # files of a delivery, at least; each holds lines of all its days
+FILE_ROWS = 2_000_000  # rows of a file, about: large deliveries have more files
 LEDGER_GROUP = 200  # report files of a group of the ledger run
 LEDGER_SHIFT = 3653  # days: file names carry dates of this century only
 FILES_PER_TRIGGER = 3  # so a delivery spans micro-batches, and a micro-batch spans deliveries
@@ -43,12 +44,19 @@ def land(df: DataFrame, order: F.Column, path: str, slices: int = SLICES, files:
         part.drop("_o").repartition(files).write.mode("append").parquet(path)
 
 
+def deliver(df: DataFrame, order: F.Column, path: str) -> int:
+    """``land`` the rows of a table, in more files the more rows there are; returns how many files a micro-batch takes."""
+    files = max(FILES, -(-df.count() // (SLICES * FILE_ROWS)))
+    land(df, order, path, files=files)
+    return files * FILES_PER_TRIGGER // FILES
+
+
 def _live_run(spark: SparkSession, sf_dir: str) -> str:
     lines = ctx(spark, sf_dir).sales_lines.select(*[c.split()[0] for c in SL.SALES_LINE_SCHEMA.split(", ")])
     d = _run_dir(spark, "live")
-    land(lines, F.unix_micros(F.col("ts").cast("timestamp")), os.path.join(d, "src"))
+    files = deliver(lines, F.unix_micros(F.col("ts").cast("timestamp")), os.path.join(d, "src"))
     SL.start(spark, os.path.join(d, "src"), os.path.join(d, "out"), os.path.join(d, "ck"),
-             files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
+             files_per_trigger=files).awaitTermination()
     return os.path.join(d, "out")
 
 
@@ -79,18 +87,19 @@ def q_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T02 over the shipped lines as daily reports: the streamed history table equals the
     batch daily rollup (the ``history`` view)."""
     d = _run_dir(spark, "history")
-    land(history_lines(ctx(spark, sf_dir)), F.unix_date("day"), os.path.join(d, "src"))
+    lines = write_table(history_lines(ctx(spark, sf_dir)), "shipped-lines")  # joined once for all deliveries
+    files = deliver(lines, F.unix_date("day"), os.path.join(d, "src"))
     SH.start(spark, os.path.join(d, "src"), os.path.join(d, "out"), os.path.join(d, "ck"),
-             files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
+             files_per_trigger=files).awaitTermination()
     return SH.read_history(spark, os.path.join(d, "out"))
 
 
 def _decision_run(spark: SparkSession, sf_dir: str) -> str:
     log = ctx(spark, sf_dir).change_log.select(*[c.split()[0] for c in SD.LOG_SCHEMA.split(", ")])
     d = _run_dir(spark, "decisions")
-    land(log, F.col("id"), os.path.join(d, "src"))
+    files = deliver(log, F.col("id"), os.path.join(d, "src"))
     SD.start(spark, os.path.join(d, "src"), os.path.join(d, "feed"), os.path.join(d, "ck"),
-             files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
+             files_per_trigger=files).awaitTermination()
     return d
 
 
@@ -111,8 +120,8 @@ def q_stream_live_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = ctx(spark, sf_dir).sales_lines.select(*[c.split()[0] for c in SL.SALES_LINE_SCHEMA.split(", ")])
     d = _run_dir(spark, "days")
     src, out, late, ck, done = (os.path.join(d, x) for x in ("src", "out", "late", "ck", "done"))
-    land(lines, F.xxhash64("event_id"), src)
-    SL.start_days(spark, src, out, late, ck, files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
+    files = deliver(lines, F.xxhash64("event_id"), src)
+    SL.start_days(spark, src, out, late, ck, files_per_trigger=files).awaitTermination()
     SL.add_late(spark, out, late, done)
     return SL.closed_grain(spark, out).select("day", "dept", "store", "code", F.col("u").cast("bigint").alias("units"),
                                               F.col("s").cast("decimal(28,2)").alias("sales"), F.col("first.d").alias("item"), F.col("n").alias("lines"))

@@ -37,7 +37,10 @@ def same_path(c) -> F.Column:
 def read_reports(spark: SparkSession, paths: list[str], schema: str = REPORT_SCHEMA) -> DataFrame:
     """Lines of CSV reports with the ``path`` each came from; files that went away meanwhile give none."""
     lines = spark.read.option("header", True).option("ignoreMissingFiles", True).schema(schema).csv(paths)
-    return lines.select("*", same_path(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))).alias("path"))
+    # a file's path is decoded once, not for each of its lines
+    files = spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(paths).select(F.col("_metadata.file_path").alias("__file")).distinct()
+    files = files.select("__file", same_path(F.url_decode(F.replace(F.col("__file"), F.lit("+"), F.lit("%2B")))).alias("path"))
+    return lines.select("*", F.col("_metadata.file_path").alias("__file")).join(F.broadcast(files), "__file").drop("__file")
 
 
 def done(spark: SparkSession, ledger_dir: str) -> DataFrame:

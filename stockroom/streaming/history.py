@@ -74,6 +74,7 @@ def read_history(spark: SparkSession, table_dir: str, held: str = "first", first
         t = t.filter(F.col("day") <= F.lit(last))
     pick = {"first": F.min, "newest": F.max}[held]
     holder = t.groupBy("day").agg(pick("report_id").alias("report_id"))  # one row per calendar day
-    return (merge_partials(t).join(holder, ["day", "report_id"])
-                             .select("day", "code", F.col("first.category").alias("category"), F.col("first.item").alias("item"),
-                                     "units", "revenue", "on_hand", "lines"))
+    # a folder has one partial of a key, so the partials are dealt out as they are and sorted once, where they are merged
+    held = t.join(F.broadcast(holder), ["day", "report_id"]).repartition("day", "report_id", "code")
+    return merge_partials(held).select("day", "code", F.col("first.category").alias("category"), F.col("first.item").alias("item"),
+                                       "units", "revenue", "on_hand", "lines")
