@@ -36,10 +36,15 @@ def full_months(h: DataFrame, min_days: int = config.MIN_DAYS_IN_MONTH) -> DataF
 ROWS_PER_TASK = 500_000
 
 
-def by_key(df: DataFrame, key: str, rows: int) -> DataFrame:
+def tasks_for(rows: int) -> int:
+    """The tasks that ``rows`` rows are dealt to: about ``ROWS_PER_TASK`` each."""
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
+def by_key(df: DataFrame, key: str | list[str], rows: int) -> DataFrame:
     """``df`` dealt out by ``key``, about ``ROWS_PER_TASK`` of its ``rows`` to a task: the number of tasks follows the rows,
-    so what a task holds does not grow with the table."""
-    return df.repartition(max(1, -(-rows // ROWS_PER_TASK)), key)
+    so what a task holds does not grow with the table. Two frames dealt for the same ``rows`` meet in a join as they lie."""
+    return df.repartition(tasks_for(rows), *([key] if isinstance(key, str) else key))
 
 
 def monthly_cube(h: DataFrame) -> DataFrame:
@@ -47,11 +52,13 @@ def monthly_cube(h: DataFrame) -> DataFrame:
     day. Every seasonality operator reads this reduction - days x products shrink
     to months x products - instead of the daily rows; it is written once to the shared
     checkpoint folder, so all of them share two scans of the history (one for the month
-    calendar, one for the totals). All that is aggregated are numbers, so no rows are sorted."""
+    calendar, one for the totals). All that is aggregated are numbers, so no rows are sorted. The rows are dealt out
+    before they are summed: a share of a file holds about as many totals as rows, and grows with the file."""
     cube = getattr(h, "_monthly_cube", None)
     if cube is None:
         fm = full_months(h).select("ym")  # bounded by the calendar
-        cube = (h.join(F.broadcast(fm), "ym", "left_semi").groupBy("code", "category", "ym")
+        rows = h.select("code", "category", "ym", "units", "day").join(F.broadcast(fm), "ym", "left_semi")
+        cube = (by_key(rows, ["code", "ym"], h.count()).groupBy("code", "category", "ym")
                  .agg(F.sum("units").alias("units"), F.min("day").alias("first_day"))
                  .withColumn("m", F.month("ym")))
         cube = write_table(cube, "history-cube")

@@ -11,7 +11,7 @@ from .. import config
 from ..functions.codes import norm_code
 from ..functions.numeric import round_even, trend_label
 from ..operators.clean import dept_scope, drop_nonretail, src_inventory
-from ..operators.history import src_history
+from ..operators.history import by_key, src_history, tasks_for
 from ..operators.joins import buyer_terms, last_rows
 from ..operators.rollups import chain_by_code, first_by
 from .base import ctx
@@ -37,16 +37,17 @@ def brief_factors(t) -> tuple[DataFrame, DataFrame]:
     return t.derived("brief-factors", build)
 
 
-def season_factor(df: DataFrame, t) -> DataFrame:
-    """Item factor by code, else category factor, else 1.0; records which applied."""
+def season_factor(df: DataFrame, t, rows: int) -> DataFrame:
+    """Item factor by code, else category factor, else 1.0; records which applied. ``rows``: about how many ``df`` has."""
     item_f, cat_f = brief_factors(t)
-    i = item_f.select(F.col("code").alias("_ic"), F.col("factor").alias("_if"))
+    i = by_key(item_f.select(F.col("code").alias("_ic"), F.col("factor").alias("_if")), "_ic", rows)
     c = cat_f.select(F.col("category").alias("_cc"), F.col("factor").alias("_cf"))
-    j = (df.join(i, norm_code(df["code"]) == i["_ic"], "left")
+    df = by_key(df.withColumn("_nc", norm_code("code")), "_nc", rows)
+    j = (df.join(i, df["_nc"] == i["_ic"], "left")
            .join(c, F.trim(df["category"]) == c["_cc"], "left"))
     return (j.withColumn("season_f", F.coalesce("_if", "_cf", F.lit(1.0)))
              .withColumn("season_src", F.when(F.col("_if").isNotNull(), "item").otherwise("category"))
-             .drop("_ic", "_if", "_cc", "_cf"))
+             .drop("_nc", "_ic", "_if", "_cc", "_cf"))
 
 
 _SRC = T.ArrayType(T.StructType([T.StructField("store", T.StringType()), T.StructField("qty", T.DoubleType())]))
@@ -88,17 +89,19 @@ def _walk(short: Column, pool: Column) -> Column:
 
 
 def restock_actions(t, *, target_weeks: float = config.BRIEF_TARGET_WEEKS) -> DataFrame:
-    """Per store restock line - transfer from surplus stores first, buy the rest."""
+    """Per store restock line - transfer from surplus stores first, buy the rest. Every step deals its rows
+    out by their count: snapshot rows pack so well that shares cut by stored size grow far larger in memory."""
+    n_rows = t.inventory.count()
     df = _brief_rows(t).dropna(subset=["item"])
     v30, v90 = F.col("u30") * 7 / 30, F.col("u90") * 7 / 90
     df = (df.withColumn("vel", F.lit(config.BLEND_30) * v30 + F.lit(config.BLEND_90) * v90)
             .withColumn("trend_r", F.when(v90 > 0, v30 / v90).otherwise(F.lit(1.0))))
-    df = season_factor(df, t)
+    df = season_factor(df, t, n_rows)
     df = (df.withColumn("target", F.ceil(F.col("vel") * target_weeks * F.col("season_f")).cast("double"))
             .withColumn("ohp", F.greatest(F.col("on_hand"), F.lit(0.0)))
             .withColumn("need", F.greatest(F.col("target") - F.col("ohp"), F.lit(0.0)))
             .withColumn("surp", F.greatest(F.col("ohp") - F.col("target"), F.lit(0.0))))
-    per_item = df.groupBy("dept", "item").agg(
+    per_item = by_key(df, ["dept", "item"], n_rows).groupBy("dept", "item").agg(
         F.median("price_raw").alias("item_price"),
         first_by("code").alias("item_code"),
         F.array_sort(F.collect_list(F.when(F.col("need") > 0, F.struct(
@@ -111,9 +114,9 @@ def restock_actions(t, *, target_weeks: float = config.BRIEF_TARGET_WEEKS) -> Da
     moves = moves.select("item", "item_price", "item_code", F.col("m.row").alias("ingest_row"),
                          F.col("m.got").alias("got"), F.col("m.src").alias("src"))
     # an item may have several codes in a store: a receiver is a row, not a store
-    rows = df.filter(F.col("need") > 0).join(moves.drop("item"), "ingest_row")
-    rows = rows.join(buyer_terms(t.deals).withColumnRenamed("code_key", "_bk"),
-                     norm_code(F.col("item_code")) == F.col("_bk"), "left")
+    rows = by_key(df.filter(F.col("need") > 0), "ingest_row", n_rows).join(by_key(moves.drop("item"), "ingest_row", n_rows), "ingest_row")
+    rows = by_key(rows.withColumn("_ik", norm_code("item_code")), "_ik", n_rows).join(
+        by_key(buyer_terms(t.deals).withColumnRenamed("code_key", "_bk"), "_bk", n_rows), F.col("_ik") == F.col("_bk"), "left")
     buy = F.greatest(F.col("need") - F.col("got"), F.lit(0.0)).cast("bigint")
     xfer = F.array_join(F.transform("src", lambda s: F.concat(s["qty"].cast("bigint").cast("string"),
                                                                F.lit(" from "), s["store"])), ", ")
@@ -260,7 +263,9 @@ def inventory_snapshot(t) -> DataFrame:
 # ---- registered queries -----------------------------------------------------------------
 
 def q_restock_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return restock_actions(ctx(spark, sf_dir)).orderBy(F.col("wk_usd_at_risk").desc(), "item", "store")
+    t = ctx(spark, sf_dir)
+    order = [F.col("wk_usd_at_risk").desc(), F.col("item"), F.col("store")]
+    return restock_actions(t).repartitionByRange(tasks_for(t.inventory.count()), *order).sortWithinPartitions(*order)
 
 
 def q_pricing_flags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,42 @@ def test_item_index_needs_no_window_and_tasks_follow_rows(spark, monkeypatch):
     plan = index._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SortAggregate" not in plan and "REPARTITION_BY_NUM" in plan  # 480 cube rows: 5 tasks
     assert index.count() == 480 and H.item_seasonality(h).filter("peak_month = 'Dec' AND item = 'i'").count() == 40
+
+
+def test_inventory_in_steps_equals_its_text(spark):
+    """The inventory view over dealt-out lines has the rows of its text, with parts that come twice, nulls and lost suppliers."""
+    import datetime
+    from stockroom.sources.fixtures import VIEWS
+    from stockroom.sources.tables import PLANS
+    day = datetime.datetime(2001, 6, 10)
+    frames = {
+        "lineitem": spark.createDataFrame([(1, 1, day, 2.0), (1, 2, day, 3.0), (1, 1, None, 1.0), (2, 1, day, None), (None, 1, day, 4.0), (9, 1, day, 4.0), (2, 7, day, 1.0)],
+                                          "l_partkey bigint, l_suppkey bigint, l_shipdate timestamp, l_quantity double"),
+        "supplier": spark.createDataFrame([(1, "s1", 3), (2, "s0", 3), (2, "s2", 4), (3, None, 5)], "s_suppkey bigint, s_name string, s_nationkey int"),
+        "nation": spark.createDataFrame([(3, "N3"), (4, "N4")], "n_nationkey int, n_name string"),
+        "part": spark.createDataFrame([(1, "b", "zinc", "small", 400.0), (1, "b", "ale", "small", 410.0), (2, None, "gear", "large", None)],
+                                      "p_partkey bigint, p_brand string, p_name string, p_type string, p_retailprice double")}
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    got = PLANS["inventory"](**frames)
+    assert rows(got) == rows(spark.sql(VIEWS["inventory"], **frames)) and "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("key", ["restock_brief", "needs_attention_stockouts"])
+def test_tasks_of_the_brief_follow_rows(spark, monkeypatch, materialised, key):
+    """Each join and aggregate of the snapshot's rows, and the monthly cube, is dealt out by row count."""
+    from stockroom.operators import history as H
+    from stockroom.sources.tables import forget
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    whole = QUERIES[key](spark, SF_SMALL)
+    before = rows(whole)
+    monkeypatch.setattr(H, "ROWS_PER_TASK", 300)
+    forget(spark, SF_SMALL)
+    del materialised[:]
+    got = QUERIES[key](spark, SF_SMALL)
+    dealt = lambda df: df._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM")
+    assert dealt(got) >= 7 and any("first_day" in df.columns and dealt(df) for df in materialised)
+    assert rows(got) == before
+    if key == "restock_brief":
+        top = [r["wk_usd_at_risk"] for r in got.collect()]
+        assert got.rdd.getNumPartitions() > 1 and top == sorted(top, reverse=True)
+    forget(spark, SF_SMALL)
