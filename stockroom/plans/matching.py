@@ -26,27 +26,34 @@ AD_DEPT = "thc"
 
 def sheet_compare(upload: DataFrame, catalog: DataFrame, snapshot: DataFrame) -> DataFrame:
     """J12 + J13: match each uploaded row to the catalog by code digits (last listing wins),
-    else by normalised name; attach live stock by name; cost gap and stock flags."""
-    cat = catalog.withColumn("ck", digits("code")).filter(F.col("ck") != "")
-    by_code = dedupe_keep(cat, ["ck"], "cat_row", keep="last").select(
+    else by normalised name; attach live stock by name; cost gap and stock flags.
+
+    The listings meet the stock and the names before the upload does, so an uploaded row is dealt out twice: by its code, and
+    by its name. A row without the key of a join (no code, or its code was found) can hit nothing there and is spread by its
+    hash, so that such rows are never one task's."""
+    cat = catalog.select(digits("code").alias("ck"), squeeze_lower("item").alias("dk"), "item", "unit_cost", "price", "cat_row").filter(F.col("ck") != "")
+    by_code = dedupe_keep(cat.drop("dk"), ["ck"], "cat_row", keep="last").select(
         "ck", F.col("item").alias("c_item"), F.col("unit_cost").alias("our_cost"), F.col("price").alias("our_retail"))
-    by_desc = (dedupe_keep(cat.withColumn("dk", squeeze_lower("item")).filter(F.col("dk") != ""), ["dk"], "cat_row",
-                           keep="last").select("dk", F.col("ck").alias("code2")))
+    by_desc = (dedupe_keep(cat.select("dk", "ck", "cat_row").filter(F.col("dk") != ""), ["dk"], "cat_row", keep="last")
+               .select("dk", F.col("ck").alias("code2")))
     stock = dedupe_keep(snapshot.select(squeeze_lower("item").alias("sk"), F.col("chain_oh").alias("oh"), "wos",
                                         F.struct("dept", "item").alias("_ord")), ["sk"], "_ord", keep="last").drop("_ord")
+    by_code = by_code.withColumn("_sk", F.when(F.col("c_item").isNotNull(), squeeze_lower("c_item")))
+    listing = write_table(by_code.join(stock, F.col("_sk") == stock["sk"], "left").drop("_sk", "sk"), "compare-listings")
+    named = by_desc.join(listing.select(F.col("ck").alias("code2"), *[F.col(c).alias(f"{c}2") for c in listing.columns if c != "ck"]), "code2")
+
     u = upload.withColumn("their_code", digits("up_code")).withColumn("dk", squeeze_lower("up_item"))
-    j = u.join(by_code, u["their_code"] == by_code["ck"], "left").drop("ck")
-    j = j.join(by_desc, "dk", "left")
-    fallback = F.col("c_item").isNull() & (F.coalesce(F.col("up_item"), F.lit("")) != "") & F.col("code2").isNotNull()
-    j = j.withColumn("upc", F.when(fallback, F.col("code2")).otherwise(F.col("their_code")))
-    j = j.join(by_code.select(F.col("ck").alias("_k2"), F.col("c_item").alias("c2_item"),
-                              F.col("our_cost").alias("c2_cost"), F.col("our_retail").alias("c2_retail")),
-               fallback & (F.col("code2") == F.col("_k2")), "left")
-    j = (j.withColumn("c_item", F.coalesce("c_item", "c2_item"))
-          .withColumn("our_cost", F.coalesce("our_cost", "c2_cost"))
-          .withColumn("our_retail", F.coalesce("our_retail", "c2_retail")))
+    apart = F.xxhash64("up_row", "up_item").cast("string")
+    # digits hold no "-", and a squeezed name never two spaces
+    u = u.withColumn("_ck", F.when(F.col("their_code") != "", F.col("their_code")).otherwise(F.concat(F.lit("-"), apart)))
+    j = u.join(listing, F.col("_ck") == listing["ck"], "left").drop("ck", "_ck")
+    asked = F.col("c_item").isNull() & (F.col("dk") != "")
+    j = j.withColumn("_dk", F.when(asked, F.col("dk")).otherwise(F.concat(F.lit("  "), apart))).drop("dk")
+    j = j.join(named, F.col("_dk") == named["dk"], "left")
+    j = j.withColumn("upc", F.coalesce("code2", "their_code"))
+    for c in ("c_item", "our_cost", "our_retail", "oh", "wos"):
+        j = j.withColumn(c, F.coalesce(c, f"{c}2"))
     carry = F.col("c_item").isNotNull()
-    j = j.join(stock, F.when(carry, squeeze_lower("c_item")) == stock["sk"], "left")
     vs = F.when(carry & F.col("up_price").isNotNull() & F.coalesce(F.col("our_cost") != 0, F.lit(False)),
                 round_even((F.col("our_cost") - F.col("up_price")) / F.col("our_cost") * 100, 1))
     flag = (F.when(~carry, F.lit("we don't carry / not found"))

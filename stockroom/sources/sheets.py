@@ -11,6 +11,7 @@ A raw sheet is a DataFrame of string cells ``c0 .. cN`` plus ``row_idx`` (file o
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,16 +48,21 @@ def cell_cols(df: DataFrame) -> list[str]:
     return sorted((c for c in df.columns if re.fullmatch(r"c\d+", c)), key=lambda c: int(c[1:]))
 
 
-def _filled(cols: list[str]) -> F.Column:
-    """The non-empty cells of a row."""
-    return F.filter(F.array(*[F.col(c).cast("string") for c in cols]), lambda x: x.isNotNull() & (x != ""))
+def _filled(c: str) -> F.Column:
+    """Is the cell non-empty? Plain comparisons for each cell, as lambdas over an array of them run uncompiled on every row."""
+    return F.coalesce(F.col(c).cast("string") != "", F.lit(False))
+
+
+def _any(tests) -> F.Column:
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def header_row(sheet: DataFrame) -> int | None:
     """row_idx of the header - the first row with at least two non-empty cells of which one is
     not a number (the first row of all when there is none)."""
-    cells = _filled(cell_cols(sheet))
-    named = (F.size(cells) >= 2) & F.exists(cells, lambda x: loose_num(x).isNull())
+    cols = cell_cols(sheet)
+    n_filled = sum((_filled(c).cast("int") for c in cols), F.lit(0))
+    named = (n_filled >= 2) & _any(_filled(c) & loose_num(c).isNull() for c in cols)
     return sheet.agg(F.coalesce(F.min(F.when(named, F.col("row_idx"))), F.min("row_idx"))).first()[0]
 
 
@@ -68,7 +74,7 @@ def sheet_body(sheet: DataFrame) -> tuple[list[str], DataFrame]:
         return [], sheet.limit(0)
     names = sheet.filter(F.col("row_idx") == at).select(
         F.array(*[F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in cols])).first()[0]
-    return names, sheet.filter((F.col("row_idx") > at) & (F.size(_filled(cols)) > 0))
+    return names, sheet.filter((F.col("row_idx") > at) & _any(map(_filled, cols)))
 
 
 def resolve_aliases(headers: list[str], aliases: dict[str, list[str]]) -> dict[str, int]:
@@ -103,8 +109,10 @@ def detect_columns(headers: list[str], body: DataFrame) -> dict[str, int | None]
     found = {field: next((at for at, h in enumerate(tidy) if re.search("|".join(patterns), h)), None)
              for field, patterns in COLUMN_PATTERNS.items()}
     if found["upc"] is None and headers:
-        codes = _stacked(body, len(headers), lambda x: F.length(F.regexp_replace(x, r"\D", "")).between(11, 14))
-        profile = codes.groupBy("at").agg(F.count_if("v").alias("codes"), F.count("*").alias("rows"))
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cell_cols(body)[:len(headers)]]
+        counts = [F.count_if(F.length(F.regexp_replace(x, r"\D", "")).between(11, 14)) for x in cells]
+        profile = body.agg(F.count("*").alias("rows"), F.array(*counts).alias("each")).filter(F.col("rows") > 0).select(
+            F.posexplode("each").alias("at", "codes"), "rows")
         found["upc"] = _winner(profile, ["codes"], F.col("codes") >= F.greatest(F.lit(3), F.floor(F.col("rows") / 3)))
     return found
 

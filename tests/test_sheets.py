@@ -76,3 +76,34 @@ def test_decisions_from_json(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"dept": "THC", "item": "x", "action": "qty", "qty": 12}, {"item": "y", "qty": "a few", "extra": 1}]')
     got = read_decisions(spark, str(tmp_path / "a.json"), multiline=True).orderBy("item").collect()
     assert [(r.item, r.qty, r.action) for r in got] == [("x", "12", "qty"), ("y", "a few", None)]
+
+
+def test_sheet_compare_meets_the_upload_twice_and_spreads_rows_without_a_key(spark):
+    from stockroom.plans.matching import sheet_compare
+    catalog = spark.createDataFrame(
+        [("0-01", "Blue  Gear", 4.0, 9.0, 1), ("001", "Blue Gear", 5.0, 10.0, 2), ("002", None, 7.0, 8.0, 3), ("none", "Anvil", 1.0, 2.0, 4),
+         ("003", " ", 0.0, 3.0, 5), ("004", "\tOdd", None, 3.0, 6), ("005", "odd", 2.0, 3.0, 7)], "code string, item string, unit_cost double, price double, cat_row bigint")
+    stock = spark.createDataFrame([("A", "blue gear", 3, 1.0), ("B", "BLUE GEAR", 4, 20.0), ("A", " ", 1, 1.0)], "dept string, item string, chain_oh bigint, wos double")
+    upload = spark.createDataFrame(
+        [("00-1", "other", 2.5, 1), ("", "BLUE gear", 2.5, 2), ("002", "blue gear", 1.0, 3), ("002", "", 1.0, 4), (None, None, 1.0, 5), ("999", "anvil", 1.0, 6),
+         ("003", "", 1.0, 7), ("", " odd", None, 8), ("", "\tODD", 1.0, 9)], "up_code string, up_item string, up_price double, up_row bigint")
+    out = sheet_compare(upload, catalog, stock)
+    got = {r[0]: tuple(r)[1:] for r in out.collect()}
+    assert got == {
+        1: ("other", "001", "Yes", 2.5, 5.0, 50.0, 10.0, 4, 20.0, "OVERSTOCK — skip"),
+        2: ("BLUE gear", "001", "Yes", 2.5, 5.0, 50.0, 10.0, 4, 20.0, "OVERSTOCK — skip"),
+        3: ("blue gear", "001", "Yes", 1.0, 7.0, 85.7, 8.0, 4, 20.0, "OVERSTOCK — skip"),  # the code's own cost, the name's item
+        4: ("", "002", "No", 1.0, None, None, None, None, None, "we don't carry / not found"),
+        5: ("", "", "No", 1.0, None, None, None, None, None, "we don't carry / not found"),
+        6: ("anvil", "999", "No", 1.0, None, None, None, None, None, "we don't carry / not found"),
+        7: (" ", "003", "Yes", 1.0, 0.0, None, 3.0, 1, 1.0, "LOW — restock"),
+        8: (" odd", "005", "Yes", None, 2.0, None, 3.0, None, None, None),
+        9: ("\tODD", "004", "Yes", 1.0, None, None, 3.0, None, None, None)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 3 and plan.count("xxhash64") >= 2  # by code, by name, and the names' listings
+
+
+def test_cells_are_tested_without_lambdas(spark):
+    headers, body = sheet_body(_sheet(spark, [["Ref", "Name"], ["1", None], ["", ""], [None, "x"]]))
+    assert headers == ["Ref", "Name"] and [r.row_idx for r in body.orderBy("row_idx").collect()] == [1, 3]
+    assert "lambda" not in body._jdf.queryExecution().optimizedPlan().toString()
