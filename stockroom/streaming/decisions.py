@@ -10,7 +10,8 @@ One query holds the log's effect as state and never reads the log again:
 * an entry that says which entry its writer had last seen (``expected``) is refused as a conflict if that is no longer the
   newest of its key; ``submit`` reads again and retries, as the original tool does on a version conflict.
 
-State is kept entry by entry (RocksDB), so a micro-batch reads and writes what it touches. ``read_state`` reads the newest
+State is kept in RocksDB, each key's newest entry with the latest ids and undos, the older ones in pages of ids, so a micro-batch
+reads and writes the pages it touches, and asks for them once a key, not once an entry. ``read_state`` reads the newest
 entry of every key from the state itself; every change, refusal and conflict is also appended to the change feed, one
 folder a micro-batch (a replay overwrites its own).
 """
@@ -46,9 +47,11 @@ UNDOS = f"array<struct<target_id bigint, {PACKED}>>"
 INDEX = "array<struct<bound bigint, page int>>"
 HEAD = f"{ENTRY}, packed string, under struct<{PACKED}>, ids {IDS}, id_index {INDEX}, undos {UNDOS}, undo_index {INDEX}"
 PAGE = 128  # ids of a page, about
-#: One store for a partition of the join instead of four, and a commit that writes what a micro-batch changed.
+#: One store for a partition of the join instead of four, a commit that writes what a micro-batch changed, and native memory that
+#: does not grow with the state.
 STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+              "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
               "spark.sql.streaming.join.stateFormatVersion": "3"}
 TRIES = 4
 
